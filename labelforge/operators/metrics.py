@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.constants import LABEL_SCHEMA, NONE_LABEL, PARSING_ERROR, STATUS_BANDS, STATUS_ELSE
+from ..functions.text import plan_barrier
 
 R = 6  # ratios are rounded to 6 decimals (float sum order varies)
 
@@ -26,8 +27,14 @@ def _r(c: Column) -> Column:
 
 
 def pair_counts(preds: DataFrame) -> DataFrame:
-    """(model, true_label, pred_label, n)."""
-    return preds.groupBy("model", "true_label", "pred_label").agg(F.count(F.lit(1)).alias("n"))
+    """(model, true_label, pred_label, n).
+
+    The count passes through ``plan_barrier`` so that filters of the metric
+    jobs stay above the aggregate: every consumer then shares one identical
+    scan + partial aggregation + exchange, which Spark reuses within a query.
+    """
+    agg = preds.groupBy("model", "true_label", "pred_label").agg(F.count(F.lit(1)).alias("n"))
+    return agg.select("model", "true_label", "pred_label", plan_barrier(F.col("n")).cast("long").alias("n"))
 
 
 def _valid(pairs: DataFrame) -> DataFrame:

@@ -24,7 +24,7 @@ from ..operators import predict as I
 from ..operators import prompts as T
 from ..operators import records as Fr
 from ..operators import sampling as P
-from ..session import apply_required_conf, checkpoint_dir
+from ..session import apply_required_conf, checkpoint_dir, materialize
 from ..sources import fixtures as X
 from ..sources import jsonl as S
 from ..sources.tables import read_table
@@ -60,7 +60,13 @@ def preds(spark, d):
 
 
 def pairs(spark, d):
-    return E.pair_counts(X.label_pairs(spark, d))
+    """Pair counts of the lineitem-derived predictions, materialised once."""
+    return materialize(E.pair_counts(X.label_pairs(spark, d)))
+
+
+def doc_pairs(spark, d):
+    """Pair counts of the document predictions, materialised once."""
+    return materialize(E.pair_counts(preds(spark, d)))
 
 
 # ------------------------------------------------------------------ F: records
@@ -318,7 +324,7 @@ def q_confusion_used(spark, d):
 
 
 def q_metrics_docs(spark, d):
-    return E.summary(preds(spark, d))
+    return E.summary(doc_pairs(spark, d), is_pairs=True)
 
 
 def q_error_table(spark, d):
@@ -343,12 +349,12 @@ def q_first_failures(spark, d):
 
 
 def q_run_summary(spark, d):
-    return E.run_summary(E.summary(preds(spark, d)), MODEL_META)
+    return E.run_summary(E.summary(doc_pairs(spark, d), is_pairs=True), MODEL_META)
 
 
 # ------------------------------------------------------------------ C / D
 def q_compare_summary(spark, d):
-    return C.compare_summary(E.summary(preds(spark, d)), CAND, BASE)
+    return C.compare_summary(E.summary(doc_pairs(spark, d), is_pairs=True), CAND, BASE)
 
 
 def q_compare_metrics(spark, d):
@@ -405,4 +411,4 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 
 def flagship(spark: SparkSession, d: str) -> DataFrame:
     """Entry query: per-class precision / recall / F1 of both models on the clause corpus."""
-    return E.per_class_report(E.pair_counts(preds(spark, d)))
+    return E.per_class_report(doc_pairs(spark, d))

@@ -88,3 +88,15 @@ def ship_package(spark: SparkSession) -> None:
                                   root_dir=os.path.dirname(pkg_dir), base_dir="labelforge")
     spark.sparkContext.addPyFile(archive)
     _SHIPPED.add(app)
+
+
+def materialize(df):
+    """Compute ``df`` once and cut its lineage with a reliable checkpoint in the
+    shared checkpoint folder (survives executor loss; never machine-local).
+
+    Used for small intermediate tables that several branches of a plan read --
+    the pair-count table of the metric jobs -- so the scan and aggregation
+    behind them run once instead of once per branch.
+    """
+    checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
