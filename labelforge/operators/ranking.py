@@ -14,6 +14,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import materialize
+
 # At most this many rows go through TakeOrderedAndProject.
 TAKE_ORDERED_MAX = 100_000
 
@@ -29,8 +31,10 @@ def global_rank(df: DataFrame, order: list[Column], num_partitions: int | None =
     """
     n = num_partitions or _num_partitions(df)
     ranged = df.repartitionByRange(n, *order).sortWithinPartitions(*order)
-    pos = ranged.select("*", F.spark_partition_id().alias("_pid"),
-                        F.monotonically_increasing_id().alias("_mid"))
+    # Checkpointed once: the count branch and the main branch read the same
+    # written partitions (ids included) instead of each recomputing the shuffle.
+    pos = materialize(ranged.select("*", F.spark_partition_id().alias("_pid"),
+                                    F.monotonically_increasing_id().alias("_mid")))
     counts = pos.groupBy("_pid").agg(F.count(F.lit(1)).alias("_cnt"))
     w = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select(
@@ -59,3 +63,28 @@ def first_fraction(df: DataFrame, order: list[Column], fraction: float) -> DataF
     ranked = global_rank(df, order)
     head = F.col("_rank") < F.ceil(F.col("_n") * F.lit(float(fraction)))
     return ranked.select(*[F.col(c) for c in df.columns], head.alias("_head"))
+
+
+def segmented_offsets(df: DataFrame, key: str, order: str, value: str,
+                      num_partitions: int | None = None) -> DataFrame:
+    """``df`` plus ``_before``: sum of ``value`` over earlier rows (by ``order``)
+    of the same ``key`` -- an exclusive running sum per key.
+
+    A window ``partitionBy(key)`` would send a whole key to one task; here the
+    rows are range-partitioned on (key, order) so a hot key spreads over many
+    tasks.  Per (partition, key) totals -- one row per partition boundary
+    piece, so at most partitions + keys rows -- get running offsets, which are
+    joined back; each task then adds its local running sum.
+    """
+    n = num_partitions or _num_partitions(df)
+    ranged = df.repartitionByRange(n, F.col(key), F.col(order)).sortWithinPartitions(key, order)
+    pos = materialize(ranged.select("*", F.spark_partition_id().alias("_pid")))
+    pieces = pos.groupBy("_pid", key).agg(F.sum(value).alias("_piece"))
+    w = Window.partitionBy(key).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    offs = pieces.select("_pid", key, F.coalesce(F.sum("_piece").over(w), F.lit(0)).alias("_off"))
+    # Local running sum inside each (partition, key) piece; partitions already
+    # hold their rows sorted, and the window keys match the range boundaries.
+    wl = Window.partitionBy("_pid", key).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+    local = pos.select("*", F.coalesce(F.sum(value).over(wl), F.lit(0)).alias("_loc"))
+    out = local.join(offs, ["_pid", key])
+    return out.select(*[F.col(c) for c in df.columns], (F.col("_off") + F.col("_loc")).alias("_before"))

@@ -345,7 +345,7 @@ ORACLE_SQL.update({
     "loss_spans": f"""WITH {CONV_PIECES},
         co AS (SELECT *, 5 + coalesce(sum(length(piece)) OVER (PARTITION BY conv_id ORDER BY turn
                  ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS off FROM cq)
-        SELECT conv_id, CAST(row_number() OVER (PARTITION BY conv_id ORDER BY turn) - 1 AS INTEGER) AS span_index,
+        SELECT conv_id, CAST(turn AS BIGINT) AS turn,
           CAST(off + length(pre) AS BIGINT) AS span_start, CAST(off + length(piece) AS BIGINT) AS span_end
         FROM co WHERE role = 'assistant'""",
     "gen_params": f"""{W} SELECT item_id, coalesce(model, 'deepseek/deepseek-r1') AS model,

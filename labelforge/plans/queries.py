@@ -213,10 +213,9 @@ def q_chat_text(spark, d):
 
 
 def q_loss_spans(spark, d):
-    t = _conv_turns(spark, d)
-    x = t.select("conv_id", F.posexplode(T.loss_spans(F.col("turns"))).alias("span_index", "s"))
-    return x.select("conv_id", F.col("span_index").cast("int"), F.col("s.start").alias("span_start"),
-                    F.col("s.end").alias("span_end"))
+    """T8 over whole conversations without gathering a conversation in one task."""
+    return T.loss_span_rows(read_table(spark, d, "conversations")).select(
+        "conv_id", F.col("turn").cast("long").alias("turn"), "span_start", "span_end")
 
 
 def q_gen_params(spark, d):
@@ -253,7 +252,7 @@ class StubPredictor:
 
 def q_batch_predict(spark, d):
     c = clauses(spark, d).select("item_id", "label")
-    parts = [I.batch_predict(c, StubPredictor(k, name), max_workers=8) for k, name in enumerate(X.MODELS)]
+    parts = [I.batch_predict(c, StubPredictor(k, name)) for k, name in enumerate(X.MODELS)]
     out = parts[0].unionByName(parts[1])
     return out.select("item_id", "model", "response", "error_type")
 
