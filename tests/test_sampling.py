@@ -61,3 +61,13 @@ def test_topk_window_invariant(spark):
     a = _ids(E.first_failures(d.repartition(3), 3).select("model", "item_id"))
     b = _ids(E.first_failures(d.repartition(17), 3).select("model", "item_id"))
     assert a == b and len(a) == 6
+
+
+def test_cap_modes(spark):
+    from labelforge.operators import records as Fr
+    c = Q.clauses(spark, SF_SMALL)
+    assert Fr.cap_first_n(c, 0, mode="pipeline").count() == c.count()      # 0 = no cap
+    assert Fr.cap_first_n(c, 0, mode="notebook").count() == 0              # 0 = empty
+    capped = Fr.cap_first_n(c, 3)
+    assert {r["split"]: r["n"] for r in capped.groupBy("split").agg(F.count("*").alias("n")).collect()} == \
+        {"train": 3, "validation": 3, "test": 3}
