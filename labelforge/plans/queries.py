@@ -365,7 +365,8 @@ def q_error_overlap(spark, d):
 
 
 def q_aligned(spark, d):
-    return C.aligned(diag(spark, d), BASE, CAND)
+    # the parsed diagnostics feed two branches: parse once, read twice
+    return C.aligned(materialize(diag(spark, d)), BASE, CAND)
 
 
 def q_dist_none(spark, d):

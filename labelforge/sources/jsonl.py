@@ -141,3 +141,32 @@ def handoff(df: DataFrame, path: str) -> DataFrame:
 
 def local_path_exists(p: str) -> bool:
     return os.path.exists(p)
+
+
+_BAD_LINE = "LABELFORGE_INVALID_JSONL_LINE"
+
+
+def ingest_jsonl(spark: SparkSession, path: str, out_path: str,
+                 schema: str | StructType = CLAUSE_SCHEMA) -> DataFrame:
+    """S1 + S6 in one pass: strict-check, parse and write Parquet in a single job.
+
+    A bad line aborts the job from inside the scan (``raise_error``); only then
+    a second pass locates it and a ``DatasetError`` names file and line.  On
+    success the Parquet copy is returned, so later steps get column pruning and
+    predicate pushdown instead of re-parsing text.
+    """
+    if not _hadoop_exists(spark, path):
+        raise DatasetError(f"Data file not found: {path}", file_path=path)
+    v = F.col("value")
+    ok = F.coalesce(strict_json_ok(v) & F.btrim(v).startswith("{"), F.lit(False))
+    guarded = F.when(ok, v).otherwise(F.raise_error(F.lit(_BAD_LINE)).cast("string"))
+    parsed = spark.read.text(path).select(F.from_json(guarded, schema).alias("r")).select("r.*")
+    try:
+        parsed.write.mode("overwrite").parquet(out_path)
+    except Exception as e:  # noqa: BLE001 - re-raised below unless it is our marker
+        if _BAD_LINE not in str(e):
+            raise
+        f, line = _first_bad_line(spark, path)
+        raise DatasetError(f"Invalid JSON on line {line} in {f}", file_path=f, line=line,
+                           actual_format="Invalid JSON") from None
+    return spark.read.parquet(out_path)

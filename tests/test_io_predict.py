@@ -101,3 +101,15 @@ def test_prediction_records_prefill_missing(spark):
 def test_completion_by_length(spark):
     d = spark.createDataFrame([("PROMPT", "PROMPT  answer \n")], "p string, f string")
     assert d.select(I.completion(F.col("f"), F.col("p"))).first()[0] == "answer"
+
+
+def test_ingest_single_pass(spark):
+    d = tempfile.mkdtemp(prefix="lf-jsonl-")
+    p = os.path.join(d, "x.jsonl")
+    _write(p, ['{"item_id": 1, "label": "A"}', '{"item_id": 2}'])
+    out = S.ingest_jsonl(spark, p, os.path.join(d, "pq"))
+    assert sorted(r["item_id"] for r in out.collect()) == [1, 2]
+    _write(p, ['{"item_id": 1}', '{"item_id": 2,}', '{"item_id": 3}'])
+    with pytest.raises(S.DatasetError) as e:
+        S.ingest_jsonl(spark, p, os.path.join(d, "pq2"))
+    assert e.value.line == 2
