@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.constants import NONE_LABEL, RESPONSE_TRUNCATE
@@ -68,6 +68,14 @@ def cap_first_n(df: DataFrame, n: int | None, mode: str = "pipeline", order_col:
     order = [F.col(order_col)]
     if not by_split:
         return first_k(df, order, n)
+    limit = int(df.sparkSession.conf.get("spark.sql.optimizer.windowGroupLimitThreshold", "1000"))
+    if n <= limit:
+        # One scan: ``row_number() <= n`` per split is planned with a
+        # per-partition group limit before the shuffle, so each task ships at
+        # most n rows per split -- no split lands whole in one task.
+        w = Window.partitionBy("split").orderBy(*order)
+        x = df.filter(F.col("split").isin(*splits)).withColumn("_rn", F.row_number().over(w))
+        return x.filter(F.col("_rn") <= n).drop("_rn")
     parts = [first_k(df.filter(F.col("split") == s), order, n) for s in splits]
     out = parts[0]
     for p in parts[1:]:

@@ -22,7 +22,7 @@ REQUIRED_CONF = {
 
 
 def get_session(master: str | None = None, shuffle_partitions: int | None = None,
-                app_name: str = "labelforge") -> SparkSession:
+                app_name: str = "labelforge", extra: dict | None = None) -> SparkSession:
     master = master or os.environ.get("LABELFORGE_MASTER", "local[8]")
     b = (
         SparkSession.builder.master(master)
@@ -36,7 +36,7 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
     )
     if shuffle_partitions is not None:
         b = b.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
-    for k, v in REQUIRED_CONF.items():
+    for k, v in {**REQUIRED_CONF, **(extra or {})}.items():
         b = b.config(k, v)
     spark = b.getOrCreate()
     apply_required_conf(spark)
