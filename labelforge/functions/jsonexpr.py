@@ -6,7 +6,9 @@ codegen with no Python worker round trip.
 
 The steps are applied as successive projections (``with_*`` helpers) so every
 step refers to the previous step's column; written as one nested expression
-the shared sub-expressions would be copied many times over.
+the shared sub-expressions would be copied many times over.  Each stage is one
+``selectExpr`` of SQL expressions: a single driver-to-JVM call per stage
+instead of one per column operator.
 """
 
 from __future__ import annotations
@@ -14,16 +16,31 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .constants import LABEL_KEY_NAMES, LABEL_KEY_WRAPPERS
-from .text import col_, last_index, locate_from, py_strip
+from .constants import LABEL_KEY_NAMES, LABEL_KEY_WRAPPERS, PY_WHITESPACE
+from .text import col_
 
 FENCE = "```"
 JSON_FENCE = "```json"
 
+# Python's str.strip() set as a Spark SQL literal (\\uXXXX escapes).
+WS_SQL = "'" + "".join(f"\\u{ord(c):04X}" for c in PY_WHITESPACE) + "'"
 
-def _inner(t: Column, start: Column, end: Column) -> Column:
-    """t[start:end] with 1-based start (inclusive) and end (exclusive)."""
-    return F.substring(t, start, end - start)
+
+def sql_str(s: str) -> str:
+    """Spark SQL string literal."""
+    return "'" + s.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def q(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
+def sql_strip(e: str) -> str:
+    return f"btrim({e}, {WS_SQL})"
+
+
+def _stage(df: DataFrame, **cols: str) -> DataFrame:
+    return df.selectExpr("*", *[f"{e} AS {q(n)}" for n, e in cols.items()])
 
 
 def with_fences_stripped(df: DataFrame, src: str, out: str, mode: str = "notebook") -> DataFrame:
@@ -36,35 +53,32 @@ def with_fences_stripped(df: DataFrame, src: str, out: str, mode: str = "noteboo
     the generic branch needs a ``{`` somewhere in the text.
     Null stays null.
     """
-    t = F.col(src)
-    x = df.withColumn("_js", F.locate(JSON_FENCE, t)).withColumn("_gs", F.locate(FENCE, t))
-    x = (x.withColumn("_je", F.when(F.col("_js") > 0, locate_from(FENCE, t, F.col("_js") + len(JSON_FENCE)))
-                      .otherwise(F.lit(0)))
-         .withColumn("_ge", F.when(F.col("_gs") > 0, locate_from(FENCE, t, F.col("_gs") + len(FENCE)))
-                     .otherwise(F.lit(0))))
-    js, je, gs, ge = F.col("_js"), F.col("_je"), F.col("_gs"), F.col("_ge")
-    jb, gb = js + len(JSON_FENCE), gs + len(FENCE)
-    json_part = py_strip(_inner(t, jb, je))
-    gen_part = py_strip(_inner(t, gb, ge))
+    t = q(src)
+    jl, gl = len(JSON_FENCE), len(FENCE)
+    x = _stage(df, _js=f"locate('{JSON_FENCE}', {t})", _gs=f"locate('{FENCE}', {t})")
+    x = _stage(x, _je=f"CASE WHEN _js > 0 THEN locate('{FENCE}', {t}, _js + {jl}) ELSE 0 END",
+               _ge=f"CASE WHEN _gs > 0 THEN locate('{FENCE}', {t}, _gs + {gl}) ELSE 0 END")
+    json_part = sql_strip(f"substring({t}, _js + {jl}, _je - _js - {jl})")
+    gen_part = sql_strip(f"substring({t}, _gs + {gl}, _ge - _gs - {gl})")
     if mode == "notebook":
-        e = (F.when(t.isNull(), t).when((js > 0) & (je > 0), json_part)
-             .when((gs > 0) & (ge > 0), gen_part).otherwise(t))
+        e = (f"CASE WHEN {t} IS NULL THEN {t} WHEN _js > 0 AND _je > 0 THEN {json_part} "
+             f"WHEN _gs > 0 AND _ge > 0 THEN {gen_part} ELSE {t} END")
     elif mode == "pipeline":
-        e = (F.when(t.isNull(), t)
-             .when(js > 0, F.when(je > jb, json_part).otherwise(t))
-             .when((gs > 0) & (F.locate("{", t) > 0) & (ge > gb), gen_part)
-             .otherwise(t))
+        e = (f"CASE WHEN {t} IS NULL THEN {t} "
+             f"WHEN _js > 0 THEN (CASE WHEN _je > _js + {jl} THEN {json_part} ELSE {t} END) "
+             f"WHEN _gs > 0 AND locate('{{', {t}) > 0 AND _ge > _gs + {gl} THEN {gen_part} ELSE {t} END")
     else:
         raise ValueError(f"unknown fence mode {mode!r}")
-    return x.withColumn(out, e).drop("_js", "_gs", "_je", "_ge")
+    return _stage(x, **{out: e}).drop("_js", "_gs", "_je", "_ge")
 
 
 def with_brace_span(df: DataFrame, src: str, out: str) -> DataFrame:
     """Widest ``{...}`` substring (first ``{`` to last ``}``), or null."""
-    t = F.col(src)
-    x = df.withColumn("_bs", F.locate("{", t)).withColumn("_be", last_index("}", t))
-    s, e = F.col("_bs"), F.col("_be")
-    return x.withColumn(out, F.when((s > 0) & (e > s), F.substring(t, s, e - s + 1))).drop("_bs", "_be")
+    t = q(src)
+    x = _stage(df, _bs=f"locate('{{', {t})",
+               _be=f"CASE WHEN instr(reverse({t}), '}}') > 0 THEN length({t}) - instr(reverse({t}), '}}') + 1 ELSE 0 END")
+    x = _stage(x, **{out: f"CASE WHEN _bs > 0 AND _be > _bs THEN substring({t}, _bs, _be - _bs + 1) END"})
+    return x.drop("_bs", "_be")
 
 
 def strict_json_ok(c) -> Column:
@@ -79,29 +93,23 @@ def strict_json_ok(c) -> Column:
             & F.try_parse_json(F.concat(F.lit('{"w":'), s, F.lit("}"))).isNotNull())
 
 
-def with_strict_json(df: DataFrame, src: str, out: str) -> DataFrame:
-    """VARIANT of a strictly valid JSON text, else null."""
-    s = F.col(src)
-    return df.withColumn(out, F.when(strict_json_ok(s), F.try_parse_json(s)))
-
+def strict_json_sql(s: str) -> str:
+    return (f"CASE WHEN try_parse_json('[' || {s} || ']') IS NOT NULL "
+            f"AND try_parse_json('{{\"w\":' || {s} || '}}') IS NOT NULL THEN try_parse_json({s}) END")
 
-def _as_map(v: Column) -> Column:
-    return F.try_variant_get(v, "$", "map<string,variant>")
 
-
-def _key_for(m: Column, name: str) -> Column:
-    """Key of ``m`` equal to ``name`` ignoring case (last variant wins), or null."""
-    ks = F.filter(F.map_keys(m), lambda k: F.lower(k) == F.lit(name))
-    return F.try_element_at(ks, F.lit(-1))
+def with_strict_json(df: DataFrame, src: str, out: str) -> DataFrame:
+    """VARIANT of a strictly valid JSON text, else null."""
+    return _stage(df, **{out: strict_json_sql(q(src))})
 
 
-def _variant_text(val: Column) -> Column:
+def variant_text_sql(v: str) -> str:
     """Strings as is, booleans as ``True``/``False``, other values as JSON text."""
-    ty = F.schema_of_variant(val)
-    return (F.when(val.isNull() | F.is_variant_null(val), F.lit(None).cast("string"))
-            .when(ty == "STRING", F.variant_get(val, "$", "string"))
-            .when(ty == "BOOLEAN", F.when(F.variant_get(val, "$", "boolean"), "True").otherwise("False"))
-            .otherwise(F.to_json(val)))
+    return (f"CASE WHEN {v} IS NULL OR is_variant_null({v}) THEN CAST(NULL AS STRING) "
+            f"WHEN schema_of_variant({v}) = 'STRING' THEN variant_get({v}, '$', 'string') "
+            f"WHEN schema_of_variant({v}) = 'BOOLEAN' THEN "
+            f"(CASE WHEN variant_get({v}, '$', 'boolean') THEN 'True' ELSE 'False' END) "
+            f"ELSE to_json({v}) END")
 
 
 def with_coerced_label(df: DataFrame, src: str, out: str) -> DataFrame:
@@ -109,33 +117,40 @@ def with_coerced_label(df: DataFrame, src: str, out: str) -> DataFrame:
     (``output``, ``response``, ``data``, ``result``).
 
     In each candidate the first of ``label``, ``category``, ``class``,
-    ``prediction`` present (any case) decides; the first candidate holding one
-    ends the search, and a JSON null there gives null.  Non-strings are
-    rendered as text.  ``out`` is null when no candidate holds a key.
+    ``prediction`` present (any case; the last case variant wins) decides; the
+    first candidate holding one ends the search, and a JSON null there gives
+    null.  Non-strings are rendered as text.  ``out`` is null when no
+    candidate holds a key.
     """
     names = ["_m0"] + [f"_m{i + 1}" for i in range(len(LABEL_KEY_WRAPPERS))]
-    x = df.withColumn("_m0", _as_map(F.col(src)))
-    x = x.select("*", *[_as_map(F.try_element_at(F.col("_m0"), F.lit(w))).alias(names[i + 1])
-                        for i, w in enumerate(LABEL_KEY_WRAPPERS)])
-    x = x.select("*", *[F.coalesce(*[_key_for(F.col(m), n) for n in LABEL_KEY_NAMES]).alias(f"_k{m}")
-                        for m in names])
-    pick = None
-    for m in names:
-        k = F.col(f"_k{m}")
-        val = F.try_element_at(F.col(m), k)
-        pick = F.when(k.isNotNull(), val) if pick is None else pick.when(k.isNotNull(), val)
-    x = x.withColumn("_lv", pick).withColumn("_found", F.coalesce(*[F.col(f"_k{m}") for m in names]).isNotNull())
-    x = x.withColumn(out, F.when(F.col("_found"), _variant_text(F.col("_lv"))))
-    return x.drop(*names, *[f"_k{m}" for m in names], "_lv", "_found")
-
-
-def label_field_strict(v: Column) -> Column:
+    x = _stage(df, _m0=f"try_variant_get({q(src)}, '$', 'map<string,variant>')")
+    x = _stage(x, **{names[i + 1]: f"try_variant_get(try_element_at(_m0, '{w}'), '$', 'map<string,variant>')"
+                     for i, w in enumerate(LABEL_KEY_WRAPPERS)})
+    # keys of each candidate, and the same keys lower-cased in reverse order
+    # (so the first hit is the last case variant)
+    x = _stage(x, **{f"_ks{m}": f"map_keys({m})" for m in names})
+    x = _stage(x, **{f"_lk{m}": f"reverse(transform(_ks{m}, k -> lower(k)))" for m in names})
+
+    def key_of(m: str) -> str:
+        hits = [f"CASE WHEN array_position(_lk{m}, '{n}') > 0 THEN "
+                f"element_at(_ks{m}, CAST(size(_ks{m}) - array_position(_lk{m}, '{n}') + 1 AS INT)) END"
+                for n in LABEL_KEY_NAMES]
+        return "coalesce(" + ", ".join(hits) + ")"
+    x = _stage(x, **{f"_k{m}": key_of(m) for m in names})
+    pick = "CASE " + " ".join(f"WHEN _k{m} IS NOT NULL THEN try_element_at({m}, _k{m})" for m in names) + " END"
+    found = "coalesce(" + ", ".join(f"_k{m}" for m in names) + ") IS NOT NULL"
+    x = _stage(x, _lv=pick, _found=found)
+    x = _stage(x, **{out: f"CASE WHEN _found THEN {variant_text_sql('_lv')} END"})
+    return x.drop(*names, *[f"_{p}{m}" for p in ("ks", "lk", "k") for m in names], "_lv", "_found")
+
+
+def label_field_strict_sql(v: str) -> str:
     """Top-level ``label`` when it is a JSON string, else null."""
-    lab = F.try_variant_get(v, "$.label", "variant")
-    return F.when(F.schema_of_variant(lab) == "STRING", F.variant_get(lab, "$", "string"))
+    lab = f"try_variant_get({v}, '$.label', 'variant')"
+    return f"CASE WHEN schema_of_variant({lab}) = 'STRING' THEN variant_get({lab}, '$', 'string') END"
 
 
-def field_as_text(v: Column, key: str, default: str) -> Column:
+def field_as_text_sql(v: str, key: str, default: str) -> str:
     """``obj.get(key, default)`` rendered as text: missing -> default, null -> null."""
-    val = F.try_variant_get(v, f"$.{key}", "variant")
-    return F.when(val.isNull(), F.lit(default)).otherwise(_variant_text(val))
+    val = f"try_variant_get({v}, '$.{key}', 'variant')"
+    return f"CASE WHEN {val} IS NULL THEN {sql_str(default)} ELSE {variant_text_sql(val)} END"

@@ -3,16 +3,19 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from ..functions import jsonexpr as J
 from ..functions.constants import (DIAG_DECODE, DIAG_INVALID, DIAG_MISSING, DIAG_NO_JSON,
                                    DIAG_NO_RESPONSE, PARSING_ERROR, RAW_SNIPPET_CHARS,
                                    SIMPLE_BAD_JSON, SIMPLE_DEFAULT, SIMPLE_NO_OBJECT,
                                    SIMPLE_NULL_INPUT)
-from ..functions.text import plan_barrier, py_strip
 from .labels import valid_labels as _valid_labels
 
+# A no-op guard that is non-deterministic: filters on parse results stay above
+# it instead of being pushed down and inlining every stage (see text.plan_barrier).
+BARRIER = "CASE WHEN spark_partition_id() < 0 THEN NULL ELSE {} END"
+S, Q_ = J.sql_str, J.q
+
 
 def parse_simple(df: DataFrame, response: str = "response") -> DataFrame:
     """(label, rationale) from the widest brace span; no fence handling.
@@ -22,16 +25,13 @@ def parse_simple(df: DataFrame, response: str = "response") -> DataFrame:
     """
     x = J.with_brace_span(df, response, "_span")
     x = J.with_strict_json(x, "_span", "_v")
-    r, span, v = F.col(response), F.col("_span"), F.col("_v")
-    label = (F.when(r.isNull(), F.lit(SIMPLE_NULL_INPUT))
-             .when(span.isNull(), F.lit(SIMPLE_NO_OBJECT))
-             .when(v.isNull(), F.lit(SIMPLE_BAD_JSON))
-             .otherwise(J.field_as_text(v, "label", SIMPLE_DEFAULT)))
-    rationale = (F.when(r.isNull(), F.lit(None).cast("string"))
-                 .when(span.isNull() | v.isNull(), r)
-                 .otherwise(J.field_as_text(v, "rationale", SIMPLE_DEFAULT)))
-    x = x.withColumn("label", plan_barrier(label)).withColumn("rationale", plan_barrier(rationale))
-    return x.drop("_span", "_v")
+    r = Q_(response)
+    label = (f"CASE WHEN {r} IS NULL THEN {S(SIMPLE_NULL_INPUT)} WHEN _span IS NULL THEN {S(SIMPLE_NO_OBJECT)} "
+             f"WHEN _v IS NULL THEN {S(SIMPLE_BAD_JSON)} ELSE {J.field_as_text_sql('_v', 'label', SIMPLE_DEFAULT)} END")
+    rationale = (f"CASE WHEN {r} IS NULL THEN CAST(NULL AS STRING) WHEN _span IS NULL OR _v IS NULL THEN {r} "
+                 f"ELSE {J.field_as_text_sql('_v', 'rationale', SIMPLE_DEFAULT)} END")
+    keep = [Q_(c) for c in df.columns if c not in ("label", "rationale")]
+    return x.selectExpr(*keep, f"{BARRIER.format(label)} AS label", f"{BARRIER.format(rationale)} AS rationale")
 
 
 def with_strict_label(df: DataFrame, response: str = "response", out: str = "label",
@@ -41,8 +41,9 @@ def with_strict_label(df: DataFrame, response: str = "response", out: str = "lab
     x = J.with_fences_stripped(df, response, "_clean", fence_mode)
     x = J.with_brace_span(x, "_clean", "_span")
     x = J.with_strict_json(x, "_span", "_v")
-    lab = plan_barrier(py_strip(J.label_field_strict(F.col("_v"))))
-    return x.withColumn(out, lab).drop("_clean", "_span", "_v")
+    keep = [Q_(c) for c in df.columns if c != out]
+    lab = J.sql_strip(J.label_field_strict_sql("_v"))
+    return x.selectExpr(*keep, f"{BARRIER.format(lab)} AS {Q_(out)}")
 
 
 def parse_strict(df: DataFrame, response: str = "response", out: str = "label") -> DataFrame:
@@ -58,36 +59,32 @@ def parse_diagnostics(df: DataFrame, response: str = "response", labels: list[st
     MISSING_LABEL_FIELD, INVALID_LABEL; ``ok`` otherwise.
     """
     labels = _valid_labels(False) if labels is None else labels
-    r = F.col(response)
-    x = df.withColumn("_blank", r.isNull() | (py_strip(r) == ""))
+    r = Q_(response)
+    x = df.selectExpr("*", f"{r} IS NULL OR {J.sql_strip(r)} = '' AS _blank")
     x = J.with_fences_stripped(x, response, "_clean", fence_mode)
     x = J.with_brace_span(x, "_clean", "_span")
     x = J.with_strict_json(x, "_span", "_v")
     x = J.with_coerced_label(x, "_v", "_raw")
-    x = x.withColumn("_norm", py_strip(F.col("_raw")))
-    blank, span, v, raw, norm = (F.col(c) for c in ["_blank", "_span", "_v", "_raw", "_norm"])
-    missing = raw.isNull() | (norm == "")
-    stage = (F.when(blank, 0).when(span.isNull(), 1).when(v.isNull(), 2)
-             .when(missing, 3).when(~norm.isin(*labels), 4).otherwise(5))
-    x = x.withColumn("_stage", plan_barrier(stage))
-    st = F.col("_stage")
-    code = (F.when(st == 0, F.lit(DIAG_NO_RESPONSE[0])).when(st == 1, F.lit(DIAG_NO_JSON[0]))
-            .when(st == 2, F.lit(DIAG_DECODE[0])).when(st == 3, F.lit(DIAG_MISSING[0]))
-            .when(st == 4, F.lit(DIAG_INVALID)))
-    detail = (F.when(st == 0, F.lit(DIAG_NO_RESPONSE[1])).when(st == 1, F.lit(DIAG_NO_JSON[1]))
-              .when(st == 2, F.lit(DIAG_DECODE[1])).when(st == 3, F.lit(DIAG_MISSING[1]))
-              .when(st == 4, F.concat(F.lit("Label '"), norm, F.lit("' not in valid label set."))))
-    json_sub = (F.when(st >= 2, F.substring(span, 1, snippet))
-                if show_json_substring else F.lit(None).cast("string"))
-    out = x.select(
-        *[F.col(c) for c in df.columns],
-        F.when(st == 5, norm).otherwise(F.lit(PARSING_ERROR)).alias("pred_label"),
-        (st == 5).alias("ok"),
-        code.alias("error_code"),
-        detail.alias("error_detail"),
-        F.substring(F.coalesce(r, F.lit("")), 1, snippet).alias("raw_snippet"),
-        json_sub.alias("json_substring"),
-        F.when(st >= 4, raw).alias("parsed_label"),
-        F.when(st >= 4, norm).alias("normalized_label"),
+    x = x.selectExpr("*", f"{J.sql_strip('_raw')} AS _norm")
+    in_schema = "_norm IN (" + ", ".join(S(v) for v in labels) + ")" if labels else "false"
+    stage = (f"CASE WHEN _blank THEN 0 WHEN _span IS NULL THEN 1 WHEN _v IS NULL THEN 2 "
+             f"WHEN _raw IS NULL OR _norm = '' THEN 3 WHEN NOT ({in_schema}) THEN 4 ELSE 5 END")
+    x = x.selectExpr("*", f"{BARRIER.format(stage)} AS _stage")
+    code = (f"CASE _stage WHEN 0 THEN {S(DIAG_NO_RESPONSE[0])} WHEN 1 THEN {S(DIAG_NO_JSON[0])} "
+            f"WHEN 2 THEN {S(DIAG_DECODE[0])} WHEN 3 THEN {S(DIAG_MISSING[0])} WHEN 4 THEN {S(DIAG_INVALID)} END")
+    detail = (f"CASE _stage WHEN 0 THEN {S(DIAG_NO_RESPONSE[1])} WHEN 1 THEN {S(DIAG_NO_JSON[1])} "
+              f"WHEN 2 THEN {S(DIAG_DECODE[1])} WHEN 3 THEN {S(DIAG_MISSING[1])} "
+              f"WHEN 4 THEN concat('Label ''', _norm, ''' not in valid label set.') END")
+    json_sub = f"CASE WHEN _stage >= 2 THEN substring(_span, 1, {snippet}) END" if show_json_substring \
+        else "CAST(NULL AS STRING)"
+    return x.selectExpr(
+        *[Q_(c) for c in df.columns],
+        f"CASE WHEN _stage = 5 THEN _norm ELSE {S(PARSING_ERROR)} END AS pred_label",
+        "_stage = 5 AS ok",
+        f"{code} AS error_code",
+        f"{detail} AS error_detail",
+        f"substring(coalesce({r}, ''), 1, {snippet}) AS raw_snippet",
+        f"{json_sub} AS json_substring",
+        "CASE WHEN _stage >= 4 THEN _raw END AS parsed_label",
+        "CASE WHEN _stage >= 4 THEN _norm END AS normalized_label",
     )
-    return out

@@ -27,35 +27,35 @@ MODEL_PATHS = {
 OUT_OF_SCHEMA_TRUTH = "Unlisted Clause"
 
 
+SCHEMA_SQL = "array(" + ", ".join("'" + x.replace("'", "\\'") + "'" for x in LABEL_SCHEMA) + ")"
+
+
 def schema_label_at(idx: Column) -> Column:
     """Schema label at 0-based ordinal ``idx``."""
-    return F.element_at(F.array(*[F.lit(x) for x in LABEL_SCHEMA]), (idx + 1).cast("int"))
+    return F.element_at(F.expr(SCHEMA_SQL), (idx + 1).cast("int"))
 
 
 def clauses(spark: SparkSession, sf_dir: str) -> DataFrame:
     d = read_table(spark, sf_dir, "documents").select("doc_id", "text", "source")
     lab = read_table(spark, sf_dir, "labels").select("doc_id", "quality", "toxic")
     j = d.join(lab, "doc_id", "left")
-    doc = F.col("doc_id")
-    head = F.substring("text", 1, 200)
-    label = (F.when(F.col("quality").isNull(),
-                    F.when(doc % 11 == 0, F.lit(" none "))
-                    .when(doc % 13 == 0, F.lit(None).cast("string"))
-                    .otherwise(F.lit("NONE")))
-             .otherwise(schema_label_at((doc * 31 + F.col("quality") * 5 + F.col("toxic")) % 37)))
-    return j.select(
-        doc.alias("item_id"),
-        F.when(doc % 10 == 0, "test").when(doc % 10 == 1, "validation").otherwise("train").alias("split"),
-        F.when(doc % 5 == 0, F.concat(F.lit("  "), head, F.lit("\t"))).otherwise(head).alias("clause"),
-        F.substring("text", 1, 1000).alias("clause_with_context"),
-        F.when(doc % 7 == 0, F.lit(None).cast("string")).when(doc % 7 == 1, F.lit("  "))
-        .otherwise(F.upper("source")).alias("contract_type"),
-        label.alias("label"),
-        F.concat(F.lit("Because "), F.substring("text", 201, 100)).alias("rationale"),
+    label = ("CASE WHEN quality IS NULL THEN (CASE WHEN doc_id % 11 = 0 THEN ' none ' "
+             "WHEN doc_id % 13 = 0 THEN CAST(NULL AS STRING) ELSE 'NONE' END) "
+             f"ELSE element_at({SCHEMA_SQL}, CAST((doc_id * 31 + quality * 5 + toxic) % 37 + 1 AS INT)) END")
+    return j.selectExpr(
+        "doc_id AS item_id",
+        "CASE WHEN doc_id % 10 = 0 THEN 'test' WHEN doc_id % 10 = 1 THEN 'validation' ELSE 'train' END AS split",
+        "CASE WHEN doc_id % 5 = 0 THEN concat('  ', substring(text, 1, 200), '\\t') "
+        "ELSE substring(text, 1, 200) END AS clause",
+        "substring(text, 1, 1000) AS clause_with_context",
+        "CASE WHEN doc_id % 7 = 0 THEN CAST(NULL AS STRING) WHEN doc_id % 7 = 1 THEN '  ' "
+        "ELSE upper(source) END AS contract_type",
+        f"{label} AS label",
+        "concat('Because ', substring(text, 201, 100)) AS rationale",
         # optional per-row generation settings (sparse on purpose)
-        F.when(doc % 4 == 0, F.lit("deepseek/deepseek-r1-0528")).alias("model"),
-        F.when(doc % 3 != 0, (doc % 10) / F.lit(10.0)).alias("temperature"),
-        F.when(doc % 6 == 0, F.lit(0.9)).alias("top_p"),
+        "CASE WHEN doc_id % 4 = 0 THEN 'deepseek/deepseek-r1-0528' END AS model",
+        "CASE WHEN doc_id % 3 <> 0 THEN (doc_id % 10) / 10.0D END AS temperature",
+        "CASE WHEN doc_id % 6 = 0 THEN 0.9D END AS top_p",
     )
 
 
