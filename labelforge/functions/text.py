@@ -67,3 +67,22 @@ def plan_barrier(c) -> Column:
     keeps filters above it.  Cost: one comparison per row.
     """
     return F.when(F.spark_partition_id() < 0, F.lit(None)).otherwise(col_(c))
+
+
+def _sql_lit(s: str) -> str:
+    return "'" + s.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def str_array(values: list[str]) -> Column:
+    """Literal ``array<string>`` built in one expression (one JVM call)."""
+    return F.expr("array(" + ", ".join(_sql_lit(v) for v in values) + ")")
+
+
+def str_map_to_int(values: list[str]) -> Column:
+    """Literal ``map<string,int>`` value -> 0-based position."""
+    return F.expr("map(" + ", ".join(f"{_sql_lit(v)}, {i}" for i, v in enumerate(values)) + ")")
+
+
+def in_list(c, values: list[str]) -> Column:
+    """``c IN (values)`` as one expression; null stays null."""
+    return F.array_contains(str_array(values), col_(c)) if values else F.lit(False)

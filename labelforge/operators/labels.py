@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.constants import LABEL_SCHEMA, NONE_LABEL, PARSING_ERROR
-from ..functions.text import col_, strip_or_empty
+from ..functions.text import col_, in_list, strip_or_empty
 
 
 def label_dim(spark: SparkSession, labels: list[str] = LABEL_SCHEMA) -> DataFrame:
@@ -29,7 +29,7 @@ def derived_labels(df: DataFrame, label: str = "label") -> DataFrame:
 def validate_label(c, labels: list[str] = LABEL_SCHEMA) -> Column:
     """The label when it is in the schema (exact, case-sensitive), else null."""
     c = col_(c)
-    return F.when(c.isin(*labels), c)
+    return F.when(in_list(c, labels), c)
 
 
 def classes_in_use(pairs: DataFrame, base: DataFrame) -> DataFrame:

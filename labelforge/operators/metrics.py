@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.constants import LABEL_SCHEMA, NONE_LABEL, PARSING_ERROR, STATUS_BANDS, STATUS_ELSE
-from ..functions.text import plan_barrier
+from ..functions.text import in_list, plan_barrier, str_array, str_map_to_int
 
 R = 6  # ratios are rounded to 6 decimals (float sum order varies)
 
@@ -44,7 +44,7 @@ def _valid(pairs: DataFrame) -> DataFrame:
 def _model_labels(pairs: DataFrame, labels: list[str]) -> DataFrame:
     """(model, label_ord, label) for every model x schema label, by a generator
     over the (few) model rows -- no join."""
-    arr = F.array(*[F.lit(x) for x in labels])
+    arr = str_array(labels)
     return (pairs.select("model").distinct()
             .select("model", F.posexplode(arr).alias("label_ord", "label")))
 
@@ -127,7 +127,7 @@ def class_report(pairs: DataFrame, labels: list[str] = LABEL_SCHEMA) -> DataFram
     v = _valid(pairs)
     cover = v.groupBy("model").agg(
         F.sum("n").alias("_valid"),
-        F.sum(F.when(F.col("true_label").isin(*labels), 0).otherwise(F.col("n"))).alias("_outside"))
+        F.sum(F.when(in_list("true_label", labels), 0).otherwise(F.col("n"))).alias("_outside"))
     tot = pc.groupBy("model").agg(
         F.sum("tp").alias("tp"), F.sum("predicted").alias("pr"), F.sum("support").alias("su"),
         F.avg("precision").alias("mp"), F.avg("recall").alias("mr"), F.avg("f1").alias("mf"),
@@ -166,9 +166,9 @@ def confusion_fixed(pairs: DataFrame, labels: list[str] = LABEL_SCHEMA) -> DataF
     Parse errors and out-of-schema pairs are excluded; empty cells are 0.
     """
     k = len(labels)
-    dim = F.array(*[F.lit(x) for x in labels])
+    dim = str_array(labels)
     v = _valid(pairs)
-    ords = F.create_map(*[x for i, lab in enumerate(labels) for x in (F.lit(lab), F.lit(i))])
+    ords = str_map_to_int(labels)
     cells = (v.select("model", ords[F.col("true_label")].alias("true_ord"),
                       ords[F.col("pred_label")].alias("pred_ord"), "n")
              .filter(F.col("true_ord").isNotNull() & F.col("pred_ord").isNotNull())
