@@ -44,7 +44,7 @@ def _stage(df: DataFrame, **cols: str) -> DataFrame:
 
 
 def with_fences_stripped(df: DataFrame, src: str, out: str, mode: str = "notebook") -> DataFrame:
-    """Remove a markdown code fence around the JSON payload.
+    """Remove a markdown code fence around the JSON payload (R4a pipeline, R4b notebook).
 
     ``mode="notebook"``: a ```json fence is used when closed (an empty one
     gives ''); otherwise, or with no json fence, the first generic fence pair.
@@ -73,7 +73,7 @@ def with_fences_stripped(df: DataFrame, src: str, out: str, mode: str = "noteboo
 
 
 def with_brace_span(df: DataFrame, src: str, out: str) -> DataFrame:
-    """Widest ``{...}`` substring (first ``{`` to last ``}``), or null."""
+    """Widest ``{...}`` substring (first ``{`` to last ``}``), or null."""
     t = q(src)
     x = _stage(df, _bs=f"locate('{{', {t})",
                _be=f"CASE WHEN instr(reverse({t}), '}}') > 0 THEN length({t}) - instr(reverse({t}), '}}') + 1 ELSE 0 END")
@@ -99,7 +99,7 @@ def strict_json_sql(s: str) -> str:
 
 
 def with_strict_json(df: DataFrame, src: str, out: str) -> DataFrame:
-    """VARIANT of a strictly valid JSON text, else null."""
+    """VARIANT of a strictly valid JSON text, else null."""
     return _stage(df, **{out: strict_json_sql(q(src))})
 
 
@@ -113,7 +113,7 @@ def variant_text_sql(v: str) -> str:
 
 
 def with_coerced_label(df: DataFrame, src: str, out: str) -> DataFrame:
-    """Label value from a parsed object: root first, then dict-valued wrappers
+    """Label value from a parsed object: root first, then dict-valued wrappers
     (``output``, ``response``, ``data``, ``result``).
 
     In each candidate the first of ``label``, ``category``, ``class``,

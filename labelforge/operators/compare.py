@@ -23,7 +23,7 @@ def _pct(d: Column, base: Column) -> Column:
 def compare_summary(summ: DataFrame, candidate: str, baseline: str) -> DataFrame:
     """One row of candidate-vs-baseline figures from two summary rows.
 
-    Clean accuracy is given in both modes: ``*_clean_accuracy`` follows the
+    C3 clean accuracy is given in both modes: ``*_clean_accuracy`` follows the
     reference rule (the candidate divides by all samples; only the baseline
     drops its parse errors; both use the candidate's total), and
     ``*_clean_accuracy_sym`` drops each model's own parse errors.

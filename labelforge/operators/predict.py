@@ -1,7 +1,8 @@
 """Batch prediction over a table.
 
 A predictor is a plain Python object with ``predict(batch: pandas.DataFrame)
--> list`` returning one response (or ``(content, reasoning)``) per row.  It
+-> list`` returning one response (or ``(content, reasoning)`` -- I5 rationale
+collection, reasoning may be null) per row.  It
 runs inside ``mapInPandas`` on Arrow batches; a failing batch is retried row by
 row so one bad row yields an error record instead of failing the job.
 Results are keyed by ``item_id`` -- never by position.

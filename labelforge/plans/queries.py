@@ -278,6 +278,7 @@ def q_completion_extract(spark, d):
 
 
 def q_rationale_join(spark, d):
+    """Teacher rationale and label per item, joined to the corpus on item_id."""
     c = clauses(spark, d)
     r = responses(spark, d).filter(F.col("model") == BASE)
     p = Rp.parse_simple(r).select("item_id", F.col("rationale").alias("teacher_rationale"),
