@@ -526,6 +526,7 @@ ORACLE_SQL.update({
           WHEN bytes / 1073741824.0 < 1024 THEN printf('%.2f', bytes / 1073741824.0) || ' GB'
           ELSE printf('%.2f', bytes / 1099511627776.0) || ' TB' END AS size_text FROM g""",
     "jsonl_roundtrip": f"{W} SELECT item_id, split, clause, contract_type, label, rationale FROM clauses",
+    "jsonl_ingest": f"{W} SELECT item_id, split, clause, contract_type, label, rationale FROM clauses",
 })
 ORACLE_SQL.pop("labels_used_check")
 

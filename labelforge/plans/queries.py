@@ -405,6 +405,16 @@ def q_jsonl_roundtrip(spark, d):
     return r.select("item_id", "split", "clause", "contract_type", "label", "rationale")
 
 
+def q_jsonl_ingest(spark, d):
+    """S1 + S6: write the corpus as JSONL, then ingest it strictly to Parquet in one pass."""
+    c = clauses(spark, d)
+    base = os.path.join(checkpoint_dir(spark), f"ingest-{uuid.uuid4().hex}")
+    S.write_jsonl(c, base, overwrite=True, write_full=True)
+    src = f"{base}/full_data_with_rationales.jsonl"
+    out = S.ingest_jsonl(spark, src, f"{base}/parquet")
+    return out.select("item_id", "split", "clause", "contract_type", "label", "rationale")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     name[2:]: fn for name, fn in sorted(globals().items()) if name.startswith("q_") and callable(fn)
 }
