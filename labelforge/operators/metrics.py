@@ -56,12 +56,18 @@ def per_class(pairs: DataFrame, labels: list[str] = LABEL_SCHEMA) -> DataFrame:
     whose truth is outside the schema (they are false positives).
     """
     v = _valid(pairs)
-    by_true = v.groupBy("model", F.col("true_label").alias("label")).agg(
-        F.sum("n").alias("support"),
-        F.sum(F.when(F.col("pred_label") == F.col("true_label"), F.col("n")).otherwise(0)).alias("tp"))
-    by_pred = v.groupBy("model", F.col("pred_label").alias("label")).agg(F.sum("n").alias("predicted"))
+    # each valid pair counts once on its truth side and once on its prediction side
+    sides = F.array(
+        F.struct(F.col("true_label").alias("label"), F.col("n").alias("sup"),
+                 F.when(F.col("pred_label") == F.col("true_label"), F.col("n")).otherwise(F.lit(0)).alias("tp"),
+                 F.lit(0).cast("long").alias("pred")),
+        F.struct(F.col("pred_label").alias("label"), F.lit(0).cast("long").alias("sup"),
+                 F.lit(0).cast("long").alias("tp"), F.col("n").alias("pred")))
+    by_label = (v.select("model", F.explode(sides).alias("s"))
+                .groupBy("model", F.col("s.label").alias("label"))
+                .agg(F.sum("s.sup").alias("support"), F.sum("s.tp").alias("tp"), F.sum("s.pred").alias("predicted")))
     base = _model_labels(pairs, labels)
-    x = (base.join(by_true, ["model", "label"], "left").join(by_pred, ["model", "label"], "left")
+    x = (base.join(by_label, ["model", "label"], "left")
          .select("model", "label_ord", "label",
                  F.coalesce("tp", F.lit(0)).cast("long").alias("tp"),
                  F.coalesce("predicted", F.lit(0)).cast("long").alias("predicted"),
