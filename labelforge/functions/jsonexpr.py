@@ -84,23 +84,21 @@ def with_brace_span(df: DataFrame, src: str, out: str) -> DataFrame:
 def strict_json_ok(c) -> Column:
     """True when ``c`` is exactly one JSON value under a strict parser.
 
-    ``try_parse_json`` alone tolerates trailing content; embedding the text in
-    an array and as an object member rejects trailing values and junk.
+    ``try_parse_json`` alone tolerates trailing content.  Embedded in ``[...]``
+    the text must parse as an array of exactly one element: trailing junk makes
+    the array invalid, a trailing value makes it longer.  One parse per row.
     Null input gives null.
     """
-    s = col_(c)
-    return (F.try_parse_json(F.concat(F.lit("["), s, F.lit("]"))).isNotNull()
-            & F.try_parse_json(F.concat(F.lit('{"w":'), s, F.lit("}"))).isNotNull())
-
-
-def strict_json_sql(s: str) -> str:
-    return (f"CASE WHEN try_parse_json('[' || {s} || ']') IS NOT NULL "
-            f"AND try_parse_json('{{\"w\":' || {s} || '}}') IS NOT NULL THEN try_parse_json({s}) END")
+    arr = F.try_parse_json(F.concat(F.lit("["), col_(c), F.lit("]")))
+    return arr.isNotNull() & F.try_variant_get(arr, "$[1]", "variant").isNull()
 
 
 def with_strict_json(df: DataFrame, src: str, out: str) -> DataFrame:
-    """VARIANT of a strictly valid JSON text, else null."""
-    return _stage(df, **{out: strict_json_sql(q(src))})
+    """VARIANT of a strictly valid JSON text, else null (one parse per row)."""
+    x = _stage(df, _arr=f"try_parse_json('[' || {q(src)} || ']')")
+    x = _stage(x, **{out: "CASE WHEN try_variant_get(_arr, '$[1]', 'variant') IS NULL "
+                          "THEN try_variant_get(_arr, '$[0]', 'variant') END"})
+    return x.drop("_arr")
 
 
 def variant_text_sql(v: str) -> str:
