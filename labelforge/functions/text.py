@@ -22,12 +22,6 @@ def strip_or_empty(c) -> Column:
     return py_strip(F.coalesce(col_(c), F.lit("")))
 
 
-def default_if_blank(c, default: str) -> Column:
-    """``(x or "").strip() or default``."""
-    s = strip_or_empty(c)
-    return F.when(s == "", F.lit(default)).otherwise(s)
-
-
 def json_escape(c) -> Column:
     """JSON string literal (with quotes) for a string column; null -> ``null``.
 
@@ -44,19 +38,6 @@ def truncate_text(c, limit: int = 500, suffix: str = "...") -> Column:
     return F.when(F.length(s) > limit, F.concat(F.substring(s, 1, limit), F.lit(suffix))).otherwise(s)
 
 
-def locate_from(sub: str, c, pos) -> Column:
-    """1-based position of ``sub`` in ``c`` at or after 1-based ``pos``; 0 if absent."""
-    # F.locate takes only a Python int position; the SQL function takes a column.
-    return F.call_function("locate", F.lit(sub), col_(c), col_(pos) if not isinstance(pos, int) else F.lit(pos))
-
-
-def last_index(sub_char: str, c) -> Column:
-    """1-based position of the last occurrence of a single character; 0 if absent."""
-    c = col_(c)
-    r = F.instr(F.reverse(c), sub_char)
-    return F.when(r > 0, F.length(c) - r + 1).otherwise(F.lit(0))
-
-
 def plan_barrier(c) -> Column:
     """``c`` unchanged, marked non-deterministic.
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.constants import BATCH_SIZE, GRAD_ACCUMULATION, NONE_LABEL, NUM_EPOCHS, PARSING_ERROR
+from ..functions.constants import BATCH_SIZE, GRAD_ACCUMULATION, NONE_LABEL, NUM_EPOCHS
 from .metrics import R, _div, _r, error_key, error_rows
 from .records import is_none_loose
 
@@ -136,8 +136,3 @@ def step_estimate(df: DataFrame, label: str = "label", batch_size: int = BATCH_S
     g = x.groupBy("split").agg(F.count(F.lit(1)).alias("n"))
     return g.select("split", F.col("n").cast("long"),
                     (F.floor(F.col("n") / F.lit(batch_size * grad_accum)) * epochs).cast("long").alias("steps"))
-
-
-def parse_error_counts(preds: DataFrame) -> DataFrame:
-    """C4 helper: parse errors per model."""
-    return preds.groupBy("model").agg(F.count_if(F.col("pred_label") == PARSING_ERROR).alias("parsing_errors"))

@@ -6,7 +6,6 @@ the same sample under any partitioning, and filter and shuffle commute.
 
 from __future__ import annotations
 
-import math
 import random
 
 from pyspark.sql import Column, DataFrame
@@ -108,7 +107,3 @@ def base_split(df: DataFrame, names: list[str] | None = None) -> DataFrame:
     names = split_names(df) if names is None else names
     chosen = "test" if "test" in names else (sorted(names)[0] if names else None)
     return df.filter(F.col("split") == F.lit(chosen))
-
-
-def exact_fraction_size(n: int, test_size: float) -> int:
-    return math.ceil(test_size * n)

@@ -9,7 +9,6 @@ schema.  The failing file and line number are computed only on failure.
 
 from __future__ import annotations
 
-import os
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -139,10 +138,6 @@ def handoff(df: DataFrame, path: str) -> DataFrame:
     return df.sparkSession.read.parquet(path)
 
 
-def local_path_exists(p: str) -> bool:
-    return os.path.exists(p)
-
-
 _BAD_LINE = "LABELFORGE_INVALID_JSONL_LINE"
 
 

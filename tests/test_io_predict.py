@@ -113,3 +113,15 @@ def test_ingest_single_pass(spark):
     with pytest.raises(S.DatasetError) as e:
         S.ingest_jsonl(spark, p, os.path.join(d, "pq2"))
     assert e.value.line == 2
+
+
+def test_small_operators(spark):
+    from labelforge.operators import prompts as T
+    from labelforge.operators import records as Fr
+    d = spark.createDataFrame([(1, "x" * 600, "P")], "item_id long, response string, text string")
+    assert len(Fr.truncate_responses(d).first()["response"]) == 503
+    assert Fr.only_text(d).columns == ["text"]
+    m = d.select(T.api_messages(F.col("text")).alias("m")).first()["m"]
+    assert [(x["role"], x["content"]) for x in m] == [("user", "P")]
+    out = S.handoff(d, os.path.join(tempfile.mkdtemp(prefix="lf-handoff-"), "t"))
+    assert out.count() == 1 and out.columns == d.columns
