@@ -15,6 +15,10 @@ from .queries import QUERIES
 from ..sources.tables import TABLES
 
 
+SPARK_TO_DUCK = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR",
+                 "boolean": "BOOLEAN"}
+
+
 def _norm(v):
     if v is None:
         return None
@@ -59,14 +63,20 @@ def compare(spark, sf_dir: str, names=None, verbose=True) -> dict:
             t1 = time.time()
             rel = con.sql(ORACLE_SQL[name])
             d_cols = list(rel.columns)
+            d_types = {c: str(t) for c, t in zip(d_cols, rel.types)}
             d_rows = rel.fetchall()
+            s_types = dict(sdf.dtypes)
         except Exception as e:  # noqa: BLE001
             res[name] = f"error: {type(e).__name__}: {str(e)[:400]}"
             if verbose:
                 print(f"{name:24s} ERROR {res[name]}", flush=True)
             continue
+        bad_types = [(c, s_types[c], d_types.get(c)) for c in s_cols
+                     if SPARK_TO_DUCK.get(s_types[c], s_types[c]) != d_types.get(c)]
         if sorted(s_cols) != sorted(d_cols):
             res[name] = f"columns differ: spark={sorted(s_cols)} duck={sorted(d_cols)}"
+        elif bad_types:
+            res[name] = f"types differ: {bad_types}"
         elif len(s_rows) != len(d_rows):
             res[name] = f"rows differ: spark={len(s_rows)} duck={len(d_rows)}"
         else:
