@@ -2,7 +2,7 @@
 
 ``first_k`` keeps the first ``k`` rows under a total order.  Small ``k`` uses
 ``orderBy().limit()`` (TakeOrderedAndProject: each task keeps at most ``k``
-rows).  Large ``k`` -- or a ``k`` that is itself a fraction of the data -- uses
+rows, k <= 10,000).  Large ``k`` -- or a ``k`` that is itself a fraction of the data -- uses
 ``global_rank``: a range shuffle on the order keys, a per-partition row count
 (one row per partition), running offsets over those counts, and a broadcast
 join of the offsets back.  Nothing grows with the data on the driver, and no
@@ -16,8 +16,9 @@ from pyspark.sql import functions as F
 
 from ..session import materialize
 
-# At most this many rows go through TakeOrderedAndProject.
-TAKE_ORDERED_MAX = 100_000
+# At most this many rows go through TakeOrderedAndProject: every task keeps a
+# heap of k full-width rows (whole documents here), so k stays small.
+TAKE_ORDERED_MAX = 10_000
 
 
 def _num_partitions(df: DataFrame) -> int:
