@@ -121,25 +121,27 @@ def with_coerced_label(df: DataFrame, src: str, out: str) -> DataFrame:
     candidate holds a key.
     """
     names = ["_m0"] + [f"_m{i + 1}" for i in range(len(LABEL_KEY_WRAPPERS))]
+
+    def keyed(df_: DataFrame, m: str) -> DataFrame:
+        y = _stage(df_, _lk=f"reverse(transform(map_keys({m}), k -> lower(k)))")
+        hits = [f"CASE WHEN array_position(_lk, '{n}') > 0 THEN "
+                f"element_at(map_keys({m}), CAST(size(_lk) - array_position(_lk, '{n}') + 1 AS INT)) END"
+                for n in LABEL_KEY_NAMES]
+        return _stage(y, **{f"_k{m}": "coalesce(" + ", ".join(hits) + ")"}).drop("_lk")
+
     x = _stage(df, _m0=f"try_variant_get({q(src)}, '$', 'map<string,variant>')")
-    x = _stage(x, **{names[i + 1]: f"try_variant_get(try_element_at(_m0, '{w}'), '$', 'map<string,variant>')"
+    x = keyed(x, "_m0")
+    # wrappers are only looked at when the root holds no label key
+    x = _stage(x, **{names[i + 1]: f"CASE WHEN _k_m0 IS NULL THEN "
+                                   f"try_variant_get(try_element_at(_m0, '{w}'), '$', 'map<string,variant>') END"
                      for i, w in enumerate(LABEL_KEY_WRAPPERS)})
-    # keys of each candidate, and the same keys lower-cased in reverse order
-    # (so the first hit is the last case variant)
-    x = _stage(x, **{f"_ks{m}": f"map_keys({m})" for m in names})
-    x = _stage(x, **{f"_lk{m}": f"reverse(transform(_ks{m}, k -> lower(k)))" for m in names})
-
-    def key_of(m: str) -> str:
-        hits = [f"CASE WHEN array_position(_lk{m}, '{n}') > 0 THEN "
-                f"element_at(_ks{m}, CAST(size(_ks{m}) - array_position(_lk{m}, '{n}') + 1 AS INT)) END"
-                for n in LABEL_KEY_NAMES]
-        return "coalesce(" + ", ".join(hits) + ")"
-    x = _stage(x, **{f"_k{m}": key_of(m) for m in names})
+    for m in names[1:]:
+        x = keyed(x, m)
     pick = "CASE " + " ".join(f"WHEN _k{m} IS NOT NULL THEN try_element_at({m}, _k{m})" for m in names) + " END"
     found = "coalesce(" + ", ".join(f"_k{m}" for m in names) + ") IS NOT NULL"
     x = _stage(x, _lv=pick, _found=found)
     x = _stage(x, **{out: f"CASE WHEN _found THEN {variant_text_sql('_lv')} END"})
-    return x.drop(*names, *[f"_{p}{m}" for p in ("ks", "lk", "k") for m in names], "_lv", "_found")
+    return x.drop(*names, *[f"_k{m}" for m in names], "_lv", "_found")
 
 
 def label_field_strict_sql(v: str) -> str:
