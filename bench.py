@@ -20,7 +20,8 @@ import time
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from labelforge.plans.queries import QUERIES  # noqa: E402
-from labelforge.session import get_session  # noqa: E402
+from labelforge.session import get_session, size_partitions  # noqa: E402
+from labelforge.sources.tables import TABLES  # noqa: E402
 
 HEADLINE = {
     "sample_eval": ["sample_eval"],                              # P2
@@ -72,6 +73,7 @@ def main():
     spark = get_session(f"local[{cpus}]", shuffle_partitions=max(8, cpus * 2), app_name="labelforge-bench",
                         extra={"spark.eventLog.enabled": "true", "spark.eventLog.dir": log_dir,
                                "spark.eventLog.compress": "false"})
+    sizing = size_partitions(spark, [f"{sf_dir.rstrip('/')}/{t}.parquet" for t in TABLES])
     out = {}
     for key, names in HEADLINE.items():
         run_once(spark, names, sf_dir)  # warm-up (JIT, file listing, Python workers)
@@ -84,7 +86,8 @@ def main():
     shuffle = {k: int(statistics.median([per_group.get(f"{k}#{i}", 0) for i in range(runs)])) for k in HEADLINE}
     print(json.dumps({"metric": "headline_total_sec", "value": round(sum(out.values()), 3), "unit": "sec",
                       "queries": out, "sf": sf, "cpus": cpus, "runs": runs, "spark": version,
-                      "shuffle_bytes": shuffle}))
+                      "shuffle_bytes": shuffle, "input_bytes": sizing["input_bytes"],
+                      "shuffle_partitions": int(sizing["spark.sql.shuffle.partitions"])}))
 
 
 if __name__ == "__main__":

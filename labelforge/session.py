@@ -100,3 +100,40 @@ def materialize(df):
     """
     checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def input_bytes(spark: SparkSession, paths: list[str]) -> int:
+    """Total size of the files under ``paths`` (Hadoop FileSystem, any scheme)."""
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    total = 0
+    for p in paths:
+        hp = jvm.org.apache.hadoop.fs.Path(p)
+        fs = hp.getFileSystem(conf)
+        if fs.exists(hp):
+            total += int(fs.getContentSummary(hp).getLength())
+    return total
+
+
+def size_partitions(spark: SparkSession, paths: list[str], target_bytes: int = 256 << 20,
+                    expansion: float = 3.0, min_partitions: int | None = None) -> dict:
+    """Size shuffle and scan partitions from the input volume.
+
+    Shuffle partitions = ceil(input bytes x ``expansion`` / ``target_bytes``)
+    (columnar files grow when decoded), at least 2 x default parallelism; AQE
+    then coalesces small partitions towards ``target_bytes`` and splits skewed
+    ones.  Scan splits are capped at ``target_bytes`` as well.  Returns the
+    settings applied.
+    """
+    n_bytes = input_bytes(spark, paths)
+    floor = min_partitions or 2 * spark.sparkContext.defaultParallelism
+    shuffle = max(floor, -(-int(n_bytes * expansion) // target_bytes))
+    settings = {
+        "spark.sql.shuffle.partitions": str(shuffle),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_bytes),
+        "spark.sql.files.maxPartitionBytes": str(target_bytes),
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+    }
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    return {"input_bytes": n_bytes, **settings}

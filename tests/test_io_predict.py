@@ -125,3 +125,17 @@ def test_small_operators(spark):
     assert [(x["role"], x["content"]) for x in m] == [("user", "P")]
     out = S.handoff(d, os.path.join(tempfile.mkdtemp(prefix="lf-handoff-"), "t"))
     assert out.count() == 1 and out.columns == d.columns
+
+
+def test_size_partitions(spark):
+    from labelforge.session import size_partitions
+    keys = ["spark.sql.shuffle.partitions", "spark.sql.adaptive.advisoryPartitionSizeInBytes",
+            "spark.sql.files.maxPartitionBytes"]
+    before = {k: spark.conf.get(k) for k in keys}
+    try:
+        s = size_partitions(spark, ["/root/testdata/sf0.1/documents.parquet"], target_bytes=1 << 20)
+        assert s["input_bytes"] > 10 << 20
+        assert int(s["spark.sql.shuffle.partitions"]) >= s["input_bytes"] * 3 // (1 << 20)
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
