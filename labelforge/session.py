@@ -30,6 +30,9 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
         .config("spark.ui.enabled", "false")
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
+        # coalesce small shuffles to the advisory size instead of keeping one
+        # tiny task per core (the documented recommendation for shared clusters)
+        .config("spark.sql.adaptive.coalescePartitions.parallelismFirst", "false")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.driver.memory", os.environ.get("LABELFORGE_DRIVER_MEMORY", "16g"))
@@ -133,6 +136,7 @@ def size_partitions(spark: SparkSession, paths: list[str], target_bytes: int = 2
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_bytes),
         "spark.sql.files.maxPartitionBytes": str(target_bytes),
         "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
     }
     for k, v in settings.items():
         spark.conf.set(k, v)
