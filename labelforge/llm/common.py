@@ -9,7 +9,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
-from ..session import checkpoint_dir
+from ..session import checkpoint_dir, ship_package
 
 GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 
@@ -34,13 +34,10 @@ def as_bytes(column: pa.ChunkedArray | pa.Array) -> list[bytes]:
     return [x or b"" for x in column.cast(pa.binary()).to_pylist()]
 
 
-def per_batch(fn: Callable[[pa.RecordBatch], pa.RecordBatch]) -> Callable:
-    """A ``mapInArrow`` function that applies ``fn`` to each non-empty batch."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if batch.num_rows:
-                yield fn(batch)
-    return run
+def map_arrow(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema) -> DataFrame:
+    """``mapInArrow`` with this package present on the executors."""
+    ship_package(df.sparkSession)
+    return df.mapInArrow(fn, schema)
 
 
 def pieces(batch: pa.RecordBatch, column: str, limit: int = 8 << 20) -> Iterator[pa.RecordBatch]:

@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import as_bytes, pieces, stage
+from .common import as_bytes, map_arrow, pieces, stage
 
 COMMON = 64          # common words per language reference
 WORD_BYTES = 32      # function words are short; longer words are never "common"
@@ -145,7 +145,7 @@ def _histograms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def references(docs: DataFrame, common: int = COMMON) -> DataFrame:
     """One row per language: (lang, reference JSON), written to the shared folder."""
-    counts = (docs.select("lang", "text").mapInArrow(_histograms, "lang string, word binary, class int, n long")
+    counts = (map_arrow(docs.select("lang", "text"), _histograms, "lang string, word binary, class int, n long")
               .groupBy("lang", "class", "word").agg(F.sum("n").alias("n")))
     counts = stage(counts, "language-counts")
     top = (counts.filter("class = -1 and word is not null")
@@ -219,7 +219,7 @@ def score(docs: DataFrame, min_words: int = MIN_WORDS, max_chars_js: float = MAX
 
     narrow = docs.select("doc_id", "text", "lang")
     kind = dict(narrow.dtypes)["doc_id"]
-    return _with_reference(narrow, common).mapInArrow(run, f"doc_id {kind}, {SCHEMA}")
+    return map_arrow(_with_reference(narrow, common), run, f"doc_id {kind}, {SCHEMA}")
 
 
 def keep(docs: DataFrame, min_words: int = MIN_WORDS, max_chars_js: float = MAX_CHARS_JS,
@@ -234,4 +234,4 @@ def keep(docs: DataFrame, min_words: int = MIN_WORDS, max_chars_js: float = MAX_
                 kept = [r[6] for r in _judge(batch, refs, limits)]
                 yield batch.drop_columns([_REF]).filter(pa.array(kept, pa.bool_()))
 
-    return _with_reference(docs, common).mapInArrow(run, docs.schema)
+    return map_arrow(_with_reference(docs, common), run, docs.schema)

@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import quality
+from . import neardup, quality
 from .common import table
 
 
@@ -15,7 +15,12 @@ def op10_quality(spark: SparkSession, d: str) -> DataFrame:
     return quality.score(table(spark, d, "documents"))
 
 
+def op9_near_dup(spark: SparkSession, d: str) -> DataFrame:
+    return neardup.near_duplicates(table(spark, d, "documents"), shingle=3, num=85, den=100)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op9_near_dup": op9_near_dup,
     "op10_quality": op10_quality,
 }
 
