@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import neardup, quality
+from . import mixing, neardup, pii, quality
 from .common import table
 
 
@@ -15,11 +15,21 @@ def op10_quality(spark: SparkSession, d: str) -> DataFrame:
     return quality.score(table(spark, d, "documents"))
 
 
+def op2_mix(spark: SparkSession, d: str) -> DataFrame:
+    return mixing.rates(table(spark, d, "documents")).drop("source")
+
+
+def op3_pii(spark: SparkSession, d: str) -> DataFrame:
+    return pii.find(table(spark, d, "documents"))
+
+
 def op9_near_dup(spark: SparkSession, d: str) -> DataFrame:
     return neardup.near_duplicates(table(spark, d, "documents"), shingle=3, num=85, den=100)
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_mix": op2_mix,
+    "op3_pii": op3_pii,
     "op9_near_dup": op9_near_dup,
     "op10_quality": op10_quality,
 }
