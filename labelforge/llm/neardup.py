@@ -290,7 +290,9 @@ def confirmed_edges(docs: DataFrame, clusters: DataFrame, shingle: int, num: int
         "cluster-blocks")
     members = stage(clusters.drop("n_shingles").join(size, "cluster"), "cluster-members")
     by = ("cluster", "bi", "bj")
-    texts = docs.select("doc_id", "text").join(members, "doc_id").select("cluster", "blocks", "node", "digest", "text")
+    # shuffled at every size: the members are a share of the documents, so they grow with them
+    texts = (docs.select("doc_id", "text").join(members.hint("merge"), "doc_id")
+             .select("cluster", "blocks", "node", "digest", "text"))
     sets = map_arrow(texts, _sets(shingle), "cluster long, blocks long, node long, set binary")
     sorted_ = in_blocks(sets, "blocks").select(*by, "node", "set").repartition(*by).sortWithinPartitions(*by)
     return (map_arrow(sorted_, _emit(_near_sets(num, den), by), "a long, b long").distinct())
