@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import mixing, neardup, pii, quality
+from . import bpe, mixing, neardup, pii, quality
 from .common import table
 
 
@@ -23,6 +23,16 @@ def op3_pii(spark: SparkSession, d: str) -> DataFrame:
     return pii.find(table(spark, d, "documents"))
 
 
+def tokenizer() -> tuple[str, str]:
+    """(rank file, pre-token pattern) of the public byte-level vocabulary."""
+    import public_tokenizers
+    return public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN
+
+
+def op6_bpe(spark: SparkSession, d: str) -> DataFrame:
+    return bpe.digests(table(spark, d, "documents"), *tokenizer())
+
+
 def op9_near_dup(spark: SparkSession, d: str) -> DataFrame:
     return neardup.near_duplicates(table(spark, d, "documents"), shingle=3, num=85, den=100)
 
@@ -30,6 +40,7 @@ def op9_near_dup(spark: SparkSession, d: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_mix": op2_mix,
     "op3_pii": op3_pii,
+    "op6_bpe": op6_bpe,
     "op9_near_dup": op9_near_dup,
     "op10_quality": op10_quality,
 }
