@@ -31,6 +31,7 @@ import pyarrow as pa
 import regex
 import sentencepiece
 from pyspark.sql import DataFrame
+from pyspark.sql.types import ArrayType, IntegerType
 
 from .common import as_bytes, map_arrow, pieces
 
@@ -216,7 +217,7 @@ def encode(docs: DataFrame, path: str, pattern: str) -> DataFrame:
                     [*(batch.column(c) for c in kept), pa.array([len(x) for x in ids], pa.int64()),
                      pa.array(ids, pa.list_(pa.int32()))], [*kept, "n_tokens", "ids"])
 
-    schema = docs.select(*[f"`{c}`" for c in kept]).schema.add("n_tokens", "long").add("ids", "array<int>")
+    schema = docs.select(*[f"`{c}`" for c in kept]).schema.add("n_tokens", "long").add("ids", ArrayType(IntegerType()))
     return map_arrow(docs.select(*[f"`{c}`" for c in kept], "text"), run, schema)
 
 
