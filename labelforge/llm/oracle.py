@@ -1,3 +1,86 @@
-"""DuckDB SQL for the training-data queries that SQL can express."""
+r"""DuckDB SQL for the training-data queries that SQL can express.
 
-ORACLE_SQL: dict[str, str] = {}
+Extraction, mixing, tagging, language-model scores, BPE and divergence verdicts
+are no SQL; their tests compare with brute-force versions.
+"""
+
+from __future__ import annotations
+
+_LOWER = "translate(coalesce({0}, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_WORDS = r"regexp_extract_all({0}, '[^\x20\x09-\x0D]+')"
+
+NEAREST = """
+WITH v AS (
+  SELECT vec_id, embedding::DOUBLE[] AS e FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, x -> x IS NULL OR isnan(x) OR isinf(x))) = 0
+    AND len(list_filter(embedding, x -> x <> 0)) > 0),
+s AS (
+  SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.e, c.e) AS score
+  FROM v q JOIN v c ON q.vec_id <> c.vec_id AND len(q.e) = len(c.e) WHERE q.vec_id % 20 = 0),
+r AS (
+  SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS "rank",
+         vec_id, score FROM s)
+SELECT * FROM r WHERE "rank" <= 20
+"""
+
+WARC = """
+WITH p AS (
+  SELECT page_id, CAST(strlen(coalesce(html, '')) AS BIGINT) AS payload_bytes, sha256(coalesce(html, '')) AS payload_digest
+  FROM pages),
+f AS (SELECT *, min(page_id) OVER (PARTITION BY payload_digest) AS first_id FROM p),
+r AS (SELECT *, payload_bytes >= 100 AND page_id IS DISTINCT FROM first_id AND first_id IS NOT NULL AS again FROM f)
+SELECT page_id, payload_bytes, payload_digest, CASE WHEN again THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN again THEN first_id END AS refers_to
+FROM r
+"""
+
+UNIT_DEDUP = rf"""
+WITH p AS (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^.!?\n。！？]+[.!?\n。！？]?|[.!?\n。！？]') AS parts FROM documents),
+u AS (
+  SELECT doc_id, unnest(generate_series(1, len(parts))) AS i, unnest(parts) AS part FROM p),
+o AS (
+  SELECT doc_id, part, CAST(sum(length(part)) OVER (PARTITION BY doc_id ORDER BY i) AS BIGINT) AS stop FROM u),
+n AS (
+  SELECT doc_id, stop - length(part) AS start, stop, array_to_string({_WORDS.format(_LOWER.format(
+      r"regexp_replace(part, '[.!?。！？ \t\n\x0b\x0c\r]+$', '')"))}, ' ') AS norm FROM o),
+k AS (SELECT * FROM n WHERE length(norm) - length(replace(norm, ' ', '')) >= 5),
+r AS (
+  SELECT *, row_number() OVER (PARTITION BY norm ORDER BY doc_id, start) AS pos,
+         first_value(doc_id) OVER (PARTITION BY norm ORDER BY doc_id, start) AS keeper FROM k),
+g AS (
+  SELECT doc_id, count(*) AS n_units, count(*) FILTER (pos > 1) AS n_removed,
+         coalesce(sum(stop - start) FILTER (pos > 1), 0) AS removed_chars,
+         string_agg(start || ':' || stop, ',' ORDER BY start) FILTER (pos > 1) AS spans,
+         array_to_string(list_sort(list_distinct(list(keeper) FILTER (pos > 1))), ',') AS keepers
+  FROM r GROUP BY doc_id)
+SELECT d.doc_id, coalesce(n_units, 0) AS n_units, coalesce(n_removed, 0) AS n_removed,
+       CAST(coalesce(removed_chars, 0) AS BIGINT) AS removed_chars, coalesce(spans, '') AS spans, coalesce(keepers, '') AS keepers
+FROM documents d LEFT JOIN g USING (doc_id)
+"""
+
+NEAR_DUP = f"""
+WITH RECURSIVE w AS (SELECT doc_id, {_WORDS.format(_LOWER.format('text'))} AS ws FROM documents),
+s AS (
+  SELECT DISTINCT doc_id, unnest(CASE WHEN len(ws) = 0 THEN [] WHEN len(ws) < 3 THEN [array_to_string(ws, ' ')]
+      ELSE list_transform(range(1, len(ws) - 1), i -> ws[i] || ' ' || ws[i + 1] || ' ' || ws[i + 2]) END) AS sh FROM w),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+p AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM s a JOIN s b ON a.sh = b.sh AND a.doc_id < b.doc_id GROUP BY 1, 2),
+l AS (
+  SELECT a, b FROM p JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * c >= 85 * (x.n + y.n - c)),
+e AS (SELECT a, b FROM l UNION ALL SELECT b, a FROM l),
+t AS (SELECT a AS doc_id, b AS other FROM e UNION SELECT t.doc_id, e.b FROM t JOIN e ON t.other = e.a),
+m AS (SELECT doc_id, min(other) AS least FROM t GROUP BY doc_id)
+SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, least(d.doc_id, coalesce(m.least, d.doc_id)) AS component_id,
+       d.doc_id <= coalesce(m.least, d.doc_id) AS kept
+FROM documents d LEFT JOIN n USING (doc_id) LEFT JOIN m USING (doc_id)
+"""
+
+ORACLE_SQL: dict[str, str] = {
+    "op4_nearest": NEAREST,
+    "op7_warc": WARC,
+    "op8_unit_dedup": UNIT_DEDUP,
+    "op9_near_dup": NEAR_DUP,
+}

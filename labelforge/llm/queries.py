@@ -6,13 +6,14 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import bpe, mixing, neardup, pii, quality
+from . import bpe, extract, linededup, lm, mixing, neardup, pii, quality, vptree, warc
 from .common import table
 
 
-def op10_quality(spark: SparkSession, d: str) -> DataFrame:
-    return quality.score(table(spark, d, "documents"))
+def op1_extract(spark: SparkSession, d: str) -> DataFrame:
+    return extract.extract(table(spark, d, "pages"))
 
 
 def op2_mix(spark: SparkSession, d: str) -> DataFrame:
@@ -23,6 +24,15 @@ def op3_pii(spark: SparkSession, d: str) -> DataFrame:
     return pii.find(table(spark, d, "documents"))
 
 
+def op4_nearest(spark: SparkSession, d: str) -> DataFrame:
+    """Factor 1: exact search."""
+    return vptree.nearest(table(spark, d, "embeddings"), F.col("vec_id") % 20 == 0, k=20, factor=1.0)
+
+
+def op5_gru(spark: SparkSession, d: str) -> DataFrame:
+    return lm.score(table(spark, d, "documents"))
+
+
 def tokenizer() -> tuple[str, str]:
     """(rank file, pre-token pattern) of the public byte-level vocabulary."""
     import public_tokenizers
@@ -33,15 +43,22 @@ def op6_bpe(spark: SparkSession, d: str) -> DataFrame:
     return bpe.digests(table(spark, d, "documents"), *tokenizer())
 
 
+def op7_warc(spark: SparkSession, d: str) -> DataFrame:
+    return warc.round_trip(table(spark, d, "pages")).drop("url")
+
+
+def op8_unit_dedup(spark: SparkSession, d: str) -> DataFrame:
+    return linededup.report(table(spark, d, "documents"))
+
+
 def op9_near_dup(spark: SparkSession, d: str) -> DataFrame:
     return neardup.near_duplicates(table(spark, d, "documents"), shingle=3, num=85, den=100)
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    "op2_mix": op2_mix,
-    "op3_pii": op3_pii,
-    "op6_bpe": op6_bpe,
-    "op9_near_dup": op9_near_dup,
-    "op10_quality": op10_quality,
-}
+def op10_quality(spark: SparkSession, d: str) -> DataFrame:
+    return quality.score(table(spark, d, "documents"))
+
 
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    f.__name__: f for f in (op1_extract, op2_mix, op3_pii, op4_nearest, op5_gru, op6_bpe, op7_warc, op8_unit_dedup,
+                            op9_near_dup, op10_quality)}
