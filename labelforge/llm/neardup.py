@@ -49,6 +49,8 @@ BITS = 16              # bits kept of each
 MISS = 1e-5            # chance that a pair exactly at the threshold lies beyond the radius
 BLOCK = 1024           # nodes compared in one block
 BLOCK_BYTES = 32 << 20  # bytes of shingle sets in one block
+SPREAD = 24            # blocks into which a cluster is dealt while they hold over SPREAD_ROWS nodes
+SPREAD_ROWS = 128
 _WORDS = 300_000       # word hashes a task keeps at hand
 
 _rng = np.random.default_rng(20240229)
@@ -286,8 +288,8 @@ def confirmed_edges(docs: DataFrame, clusters: DataFrame, shingle: int, num: int
     """Spanning edges of the links den*|A&B| >= num*|A|B| inside each cluster of
     ``clusters`` (cluster, node, doc_id, digest, n_shingles), on full sets."""
     size = stage(clusters.groupBy("cluster").agg(
-        F.greatest(F.ceil(F.count(F.lit(1)) / BLOCK), F.ceil(F.sum("n_shingles") * 8 / BLOCK_BYTES)).alias("blocks")),
-        "cluster-blocks")
+        F.greatest(F.ceil(F.count(F.lit(1)) / BLOCK), F.ceil(F.sum("n_shingles") * 8 / BLOCK_BYTES),
+                   F.least(F.ceil(F.count(F.lit(1)) / SPREAD_ROWS), F.lit(SPREAD))).alias("blocks")), "cluster-blocks")
     members = stage(clusters.drop("n_shingles").join(size, "cluster"), "cluster-members")
     by = ("cluster", "bi", "bj")
     # shuffled at every size: the members are a share of the documents, so they grow with them
