@@ -84,21 +84,22 @@ def with_brace_span(df: DataFrame, src: str, out: str) -> DataFrame:
 def strict_json_ok(c) -> Column:
     """True when ``c`` is exactly one JSON value under a strict parser.
 
-    ``try_parse_json`` alone tolerates trailing content.  Embedded in ``[...]``
-    the text must parse as an array of exactly one element: trailing junk makes
-    the array invalid, a trailing value makes it longer.  One parse per row.
-    Null input gives null.
+    ``try_parse_json`` tolerates trailing content, also after a text that closes
+    the wrapper itself.  So the text must parse both as the only element of
+    ``[...]`` and as the value in ``{"w":...}``: what closes one wrapper early
+    is invalid in the other.  Null input gives null.
     """
     arr = F.try_parse_json(F.concat(F.lit("["), col_(c), F.lit("]")))
-    return arr.isNotNull() & F.try_variant_get(arr, "$[1]", "variant").isNull()
+    obj = F.try_parse_json(F.concat(F.lit('{"w":'), col_(c), F.lit("}")))
+    return arr.isNotNull() & F.try_variant_get(arr, "$[1]", "variant").isNull() & obj.isNotNull()
 
 
 def with_strict_json(df: DataFrame, src: str, out: str) -> DataFrame:
-    """VARIANT of a strictly valid JSON text, else null (one parse per row)."""
-    x = _stage(df, _arr=f"try_parse_json('[' || {q(src)} || ']')")
-    x = _stage(x, **{out: "CASE WHEN try_variant_get(_arr, '$[1]', 'variant') IS NULL "
+    """VARIANT of a strictly valid JSON text, else null (see ``strict_json_ok``)."""
+    x = _stage(df, _arr=f"try_parse_json('[' || {q(src)} || ']')", _obj=f"try_parse_json('{{\"w\":' || {q(src)} || '}}')")
+    x = _stage(x, **{out: "CASE WHEN try_variant_get(_arr, '$[1]', 'variant') IS NULL AND _obj IS NOT NULL "
                           "THEN try_variant_get(_arr, '$[0]', 'variant') END"})
-    return x.drop("_arr")
+    return x.drop("_arr", "_obj")
 
 
 def variant_text_sql(v: str) -> str:
@@ -110,33 +111,37 @@ def variant_text_sql(v: str) -> str:
             f"ELSE to_json({v}) END")
 
 
-def with_coerced_label(df: DataFrame, src: str, out: str) -> DataFrame:
+def with_coerced_label(df: DataFrame, src: str, out: str, text: str) -> DataFrame:
     """Label value from a parsed object: root first, then dict-valued wrappers
     (``output``, ``response``, ``data``, ``result``).
 
     In each candidate the first of ``label``, ``category``, ``class``,
-    ``prediction`` present (any case; the last case variant wins) decides; the
-    first candidate holding one ends the search, and a JSON null there gives
-    null.  Non-strings are rendered as text.  ``out`` is null when no
-    candidate holds a key.
+    ``prediction`` present (any case) decides; the first candidate holding one
+    ends the search, and a JSON null there gives null.  Of several case variants
+    of a key the last in the document wins: a VARIANT sorts its keys, so their
+    order is read from ``text``, the column ``src`` was parsed from, and only in
+    rows that hold several.  Non-strings are rendered as text.  ``out`` is null
+    when no candidate holds a key.
     """
     names = ["_m0"] + [f"_m{i + 1}" for i in range(len(LABEL_KEY_WRAPPERS))]
+    texts = [q(text)] + [f"get_json_object({q(text)}, '$.{w}')" for w in LABEL_KEY_WRAPPERS]
 
-    def keyed(df_: DataFrame, m: str) -> DataFrame:
-        y = _stage(df_, _lk=f"reverse(transform(map_keys({m}), k -> lower(k)))")
-        hits = [f"CASE WHEN array_position(_lk, '{n}') > 0 THEN "
-                f"element_at(map_keys({m}), CAST(size(_lk) - array_position(_lk, '{n}') + 1 AS INT)) END"
-                for n in LABEL_KEY_NAMES]
-        return _stage(y, **{f"_k{m}": "coalesce(" + ", ".join(hits) + ")"}).drop("_lk")
+    def keyed(df_: DataFrame, m: str, t: str) -> DataFrame:
+        hits = []
+        for n in LABEL_KEY_NAMES:
+            own = f"filter(map_keys({m}), k -> lower(k) = '{n}')"
+            in_order = f"element_at(filter(json_object_keys({t}), k -> lower(k) = '{n}'), -1)"
+            hits.append(f"CASE WHEN size({own}) > 1 THEN {in_order} WHEN size({own}) = 1 THEN element_at({own}, 1) END")
+        return _stage(df_, **{f"_k{m}": "coalesce(" + ", ".join(hits) + ")"})
 
     x = _stage(df, _m0=f"try_variant_get({q(src)}, '$', 'map<string,variant>')")
-    x = keyed(x, "_m0")
+    x = keyed(x, "_m0", texts[0])
     # wrappers are only looked at when the root holds no label key
     x = _stage(x, **{names[i + 1]: f"CASE WHEN _k_m0 IS NULL THEN "
                                    f"try_variant_get(try_element_at(_m0, '{w}'), '$', 'map<string,variant>') END"
                      for i, w in enumerate(LABEL_KEY_WRAPPERS)})
-    for m in names[1:]:
-        x = keyed(x, m)
+    for m, t in zip(names[1:], texts[1:]):
+        x = keyed(x, m, t)
     pick = "CASE " + " ".join(f"WHEN _k{m} IS NOT NULL THEN try_element_at({m}, _k{m})" for m in names) + " END"
     found = "coalesce(" + ", ".join(f"_k{m}" for m in names) + ") IS NOT NULL"
     x = _stage(x, _lv=pick, _found=found)

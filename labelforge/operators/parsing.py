@@ -64,7 +64,7 @@ def parse_diagnostics(df: DataFrame, response: str = "response", labels: list[st
     x = J.with_fences_stripped(x, response, "_clean", fence_mode)
     x = J.with_brace_span(x, "_clean", "_span")
     x = J.with_strict_json(x, "_span", "_v")
-    x = J.with_coerced_label(x, "_v", "_raw")
+    x = J.with_coerced_label(x, "_v", "_raw", "_span")
     x = x.selectExpr("*", f"{J.sql_strip('_raw')} AS _norm")
     in_schema = "_norm IN (" + ", ".join(S(v) for v in labels) + ")" if labels else "false"
     stage = (f"CASE WHEN _blank THEN 0 WHEN _span IS NULL THEN 1 WHEN _v IS NULL THEN 2 "

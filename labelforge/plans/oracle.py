@@ -47,13 +47,14 @@ def lit_nl(s: str) -> str:
 CLAUSES = f"""clauses AS (
   SELECT d.doc_id AS item_id,
     CASE WHEN d.doc_id % 10 = 0 THEN 'test' WHEN d.doc_id % 10 = 1 THEN 'validation' ELSE 'train' END AS split,
-    CASE WHEN d.doc_id % 5 = 0 THEN '  ' || substring(d.text, 1, 200) || chr(9) ELSE substring(d.text, 1, 200) END AS clause,
-    substring(d.text, 1, 1000) AS clause_with_context,
+    CASE WHEN d.doc_id % 5 = 0 THEN '  ' || string_split(d.text, chr(10))[1] || chr(9)
+         ELSE string_split(d.text, chr(10))[1] END AS clause,
+    d.text AS clause_with_context,
     CASE WHEN d.doc_id % 7 = 0 THEN NULL WHEN d.doc_id % 7 = 1 THEN '  ' ELSE upper(d.source) END AS contract_type,
     CASE WHEN l.doc_id IS NULL THEN
            (CASE WHEN d.doc_id % 11 = 0 THEN ' none ' WHEN d.doc_id % 13 = 0 THEN NULL ELSE 'NONE' END)
          ELSE {SCHEMA}[((d.doc_id * 31 + l.quality * 5 + l.toxic) % 37) + 1] END AS label,
-    'Because ' || substring(d.text, 201, 100) AS rationale,
+    'Because ' || substring(d.text, length(string_split(d.text, chr(10))[1]) + 2) AS rationale,
     CASE WHEN d.doc_id % 4 = 0 THEN 'deepseek/deepseek-r1-0528' END AS model,
     CASE WHEN d.doc_id % 3 <> 0 THEN CAST(d.doc_id % 10 AS DOUBLE) / 10.0 END AS temperature,
     CASE WHEN d.doc_id % 6 = 0 THEN CAST(0.9 AS DOUBLE) END AS top_p
@@ -65,7 +66,7 @@ def _obj(g: str) -> str:
 
 
 RESPONSES = f"""resp_base AS (
-  SELECT c.item_id, m.k, m.model, (c.item_id * 17 + m.k * 5) % 16 AS shape,
+  SELECT c.item_id, m.k, m.model, (c.item_id * 17 + m.k * 5) % 22 AS shape,
     coalesce({strip('c.label')}, 'NONE') AS g, {SCHEMA}[((c.item_id * 7 + m.k) % 38) + 1] AS w
   FROM clauses c CROSS JOIN {MODELS}),
 responses AS (
@@ -80,7 +81,13 @@ responses AS (
     WHEN shape = 12 THEN 'no json here'
     WHEN shape = 13 THEN NULL
     WHEN shape = 14 THEN '{{"label": null}}'
-    ELSE '{{"label": "Not A Label"}}' END AS response
+    WHEN shape = 15 THEN '{{"label": "Not A Label"}}'
+    WHEN shape = 16 THEN '[' || {_obj('g')} || '] or [' || {_obj('w')} || ']'
+    WHEN shape = 17 THEN {_obj('g')} || '] junk [{{"x": 1}}'
+    WHEN shape = 18 THEN {_obj('g')} || ']}}'
+    WHEN shape = 19 THEN {_obj('g')} || '][{{}}'
+    WHEN shape = 20 THEN '{{"label": "' || g || '", "LABEL": "' || w || '"}}'
+    ELSE '{{"LABEL": "' || w || '", "label": "' || g || '"}}' END AS response
   FROM resp_base)"""
 
 
@@ -355,7 +362,7 @@ ORACLE_SQL.update({
         CAST(len(list_filter(string_split_regex(coalesce(text, ''), '[ \\t\\n\\r\\f]+'), lambda x: x <> '')) AS BIGINT) AS n_words,
         CAST(ceil(length(coalesce(text, '')) / 4.0) AS BIGINT) AS est_tokens,
         ceil(length(coalesce(text, '')) / 4.0) > 4096 AS over_budget FROM documents""",
-    "seq_audit_hist": """SELECT CAST(least(floor(ceil(length(coalesce(text, '')) / 4.0) / 512), 16) AS INTEGER) AS bucket,
+    "seq_audit_hist": """SELECT CAST(floor(ceil(length(coalesce(text, '')) / 4.0) / 512) AS INTEGER) AS bucket,
         count(*) AS n, count(*) FILTER (WHERE ceil(length(coalesce(text, '')) / 4.0) > 4096) AS over_budget
         FROM documents GROUP BY ALL""",
     # ---------------- I

@@ -228,7 +228,7 @@ def q_seq_audit(spark, d):
 
 def q_seq_audit_hist(spark, d):
     a = q_seq_audit(spark, d)
-    b = F.least(F.floor(F.col("est_tokens") / 512), F.lit(16)).cast("int")
+    b = F.floor(F.col("est_tokens") / 512).cast("int")
     return a.groupBy(b.alias("bucket")).agg(F.count(F.lit(1)).alias("n"),
                                             F.count_if("over_budget").alias("over_budget"))
 

@@ -6,7 +6,7 @@ from ..functions.constants import LABEL_SCHEMA, PY_WHITESPACE
 
 
 def stub_text(item_id: int, label: str | None, k: int) -> str | None:
-    shape = (item_id * 17 + k * 5) % 16
+    shape = (item_id * 17 + k * 5) % 22
     gold = label.strip(PY_WHITESPACE) if label is not None else "NONE"
     wrong = LABEL_SCHEMA[(item_id * 7 + k) % 38]
 
@@ -26,4 +26,10 @@ def stub_text(item_id: int, label: str | None, k: int) -> str | None:
         13: None,
         14: '{"label": null}',
         15: '{"label": "Not A Label"}',
+        16: "[" + obj(gold) + "] or [" + obj(wrong) + "]",
+        17: obj(gold) + '] junk [{"x": 1}',
+        18: obj(gold) + "]}",
+        19: obj(gold) + "][{}",
+        20: '{"label": "' + gold + '", "LABEL": "' + wrong + '"}',
+        21: '{"LABEL": "' + wrong + '", "label": "' + gold + '"}',
     }[shape]

@@ -45,13 +45,15 @@ def clauses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return j.selectExpr(
         "doc_id AS item_id",
         "CASE WHEN doc_id % 10 = 0 THEN 'test' WHEN doc_id % 10 = 1 THEN 'validation' ELSE 'train' END AS split",
-        "CASE WHEN doc_id % 5 = 0 THEN concat('  ', substring(text, 1, 200), '\\t') "
-        "ELSE substring(text, 1, 200) END AS clause",
-        "substring(text, 1, 1000) AS clause_with_context",
+        # the first line is the clause, the whole text its context, what follows the first
+        # line the rationale: nothing of a text is left out
+        "CASE WHEN doc_id % 5 = 0 THEN concat('  ', substring_index(text, '\\n', 1), '\\t') "
+        "ELSE substring_index(text, '\\n', 1) END AS clause",
+        "text AS clause_with_context",
         "CASE WHEN doc_id % 7 = 0 THEN CAST(NULL AS STRING) WHEN doc_id % 7 = 1 THEN '  ' "
         "ELSE upper(source) END AS contract_type",
         f"{label} AS label",
-        "concat('Because ', substring(text, 201, 100)) AS rationale",
+        "concat('Because ', substring(text, length(substring_index(text, '\\n', 1)) + 2)) AS rationale",
         # optional per-row generation settings (sparse on purpose)
         "CASE WHEN doc_id % 4 = 0 THEN 'deepseek/deepseek-r1-0528' END AS model",
         "CASE WHEN doc_id % 3 <> 0 THEN (doc_id % 10) / 10.0D END AS temperature",
@@ -65,7 +67,7 @@ def _obj(label: Column) -> Column:
 
 def stub_response(item_id: Column, label: Column, k: Column) -> Column:
     """Deterministic response of model ``k`` (0 candidate, 1 baseline)."""
-    shape = (item_id * 17 + k * 5) % 16
+    shape = (item_id * 17 + k * 5) % 22
     gold = F.coalesce(py_strip(label), F.lit("NONE"))
     wrong = schema_label_at((item_id * 7 + k) % 38)
     return (F.when(shape <= 4, _obj(gold))
@@ -78,7 +80,13 @@ def stub_response(item_id: Column, label: Column, k: Column) -> Column:
             .when(shape == 12, F.lit("no json here"))
             .when(shape == 13, F.lit(None).cast("string"))
             .when(shape == 14, F.lit('{"label": null}'))
-            .otherwise(F.lit('{"label": "Not A Label"}')))
+            .when(shape == 15, F.lit('{"label": "Not A Label"}'))
+            .when(shape == 16, F.concat(F.lit("["), _obj(gold), F.lit("] or ["), _obj(wrong), F.lit("]")))
+            .when(shape == 17, F.concat(_obj(gold), F.lit('] junk [{"x": 1}')))
+            .when(shape == 18, F.concat(_obj(gold), F.lit("]}")))
+            .when(shape == 19, F.concat(_obj(gold), F.lit("][{}")))
+            .when(shape == 20, F.concat(F.lit('{"label": "'), gold, F.lit('", "LABEL": "'), wrong, F.lit('"}')))
+            .otherwise(F.concat(F.lit('{"LABEL": "'), wrong, F.lit('", "label": "'), gold, F.lit('"}'))))
 
 
 def stub_responses(items: DataFrame) -> DataFrame:
