@@ -91,13 +91,14 @@ def error_type_overlap(pairs: DataFrame, candidate: str, baseline: str) -> DataF
 
 
 def aligned(diag: DataFrame, teacher: str, student: str) -> DataFrame:
-    """Gold, teacher and student labels side by side per item (one equi-join)."""
-    t = diag.filter(F.col("model") == teacher).select(
-        "item_id", F.col("true_label").alias("gold"), F.col("pred_label").alias("teacher_label"),
-        F.col("ok").alias("teacher_ok"))
-    s = diag.filter(F.col("model") == student).select(
-        "item_id", F.col("pred_label").alias("student_label"), F.col("ok").alias("student_ok"))
-    return t.join(s, "item_id", "full_outer")
+    """Gold, teacher and student labels side by side per item: one aggregate over
+    (item_id, model, true_label, pred_label, ok) with one row per item and model."""
+    def of(model, column):
+        return F.max(F.when(F.col("model") == model, F.col(column)))
+    return diag.filter(F.col("model").isin(teacher, student)).groupBy("item_id").agg(
+        of(teacher, "true_label").alias("gold"), of(teacher, "pred_label").alias("teacher_label"),
+        of(teacher, "ok").alias("teacher_ok"), of(student, "pred_label").alias("student_label"),
+        of(student, "ok").alias("student_ok"))
 
 
 def none_distribution(df: DataFrame, label: str = "label") -> DataFrame:

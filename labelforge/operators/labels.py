@@ -41,11 +41,10 @@ def classes_in_use(pairs: DataFrame, base: DataFrame) -> DataFrame:
     """
     seen = (pairs.select(F.col("true_label").alias("label"))
             .unionByName(pairs.select(F.col("pred_label").alias("label"))))
-    # Only ``base`` (schema-sized) is broadcast; seen labels may be arbitrary.
-    used = seen.join(F.broadcast(base), "label").select("label", "label_ord").distinct()
+    # the base may be derived from data: Spark broadcasts it only when its size allows
+    used = seen.distinct().join(base, "label").select(F.lit(False).alias("_error"), "label_ord", "label")
     err = (pairs.filter(F.col("pred_label") == PARSING_ERROR).limit(1)
-           .select(F.lit(PARSING_ERROR).alias("label"), F.lit(10**6).alias("label_ord")))
-    allc = used.unionByName(err)
-    w = Window.partitionBy(F.lit(0)).orderBy("label_ord")
+           .select(F.lit(True).alias("_error"), F.lit(0).alias("label_ord"), F.lit(PARSING_ERROR).alias("label")))
+    w = Window.partitionBy(F.lit(0)).orderBy("_error", "label_ord")
     # classes in use are at most |base| + 1 rows: a single-partition window is bounded.
-    return allc.select((F.row_number().over(w) - 1).alias("class_ord"), "label")
+    return used.unionByName(err).select((F.row_number().over(w) - 1).alias("class_ord"), "label")

@@ -125,15 +125,15 @@ def per_class_report(pairs: DataFrame, labels: list[str] = LABEL_SCHEMA) -> Data
 def class_report(pairs: DataFrame, labels: list[str] = LABEL_SCHEMA) -> DataFrame:
     """Per-class rows + ``accuracy`` (or ``micro avg``) + macro + weighted rows.
 
-    ``accuracy`` replaces ``micro avg`` when every label seen on valid rows is in
-    the schema.  Macro averages over all schema classes.  Models without valid
+    ``accuracy`` replaces ``micro avg`` when every label seen on valid rows, truth or
+    prediction, is in the schema.  Macro averages over all schema classes.  Models without valid
     rows get no rows.
     """
     pc = per_class(pairs, labels)
     v = _valid(pairs)
     cover = v.groupBy("model").agg(
         F.sum("n").alias("_valid"),
-        F.sum(F.when(in_list("true_label", labels), 0).otherwise(F.col("n"))).alias("_outside"))
+        F.sum(F.when(in_list("true_label", labels) & in_list("pred_label", labels), 0).otherwise(F.col("n"))).alias("_outside"))
     tot = pc.groupBy("model").agg(
         F.sum("tp").alias("tp"), F.sum("predicted").alias("pr"), F.sum("support").alias("su"),
         F.avg("precision").alias("mp"), F.avg("recall").alias("mr"), F.avg("f1").alias("mf"),
@@ -146,14 +146,14 @@ def class_report(pairs: DataFrame, labels: list[str] = LABEL_SCHEMA) -> DataFram
     is_acc = F.col("_outside") == 0
     rows_avg = t.select("model", F.explode(F.array(
         F.struct(F.when(is_acc, "accuracy").otherwise("micro avg").alias("row_name"),
-                 F.lit(1000).alias("row_ord"),
+                 F.lit(len(labels)).alias("row_ord"),
                  F.when(is_acc, F.lit(None).cast("double")).otherwise(_div(F.col("tp"), F.col("pr"))).alias("precision"),
                  F.when(is_acc, F.lit(None).cast("double")).otherwise(_div(F.col("tp"), su)).alias("recall"),
                  micro_f.alias("f1_score"), su.alias("support")),
-        F.struct(F.lit("macro avg").alias("row_name"), F.lit(1001).alias("row_ord"),
+        F.struct(F.lit("macro avg").alias("row_name"), F.lit(len(labels) + 1).alias("row_ord"),
                  F.col("mp").alias("precision"), F.col("mr").alias("recall"),
                  F.col("mf").alias("f1_score"), su.alias("support")),
-        F.struct(F.lit("weighted avg").alias("row_name"), F.lit(1002).alias("row_ord"),
+        F.struct(F.lit("weighted avg").alias("row_name"), F.lit(len(labels) + 2).alias("row_ord"),
                  _div(F.col("wp"), su).alias("precision"), _div(F.col("wr"), su).alias("recall"),
                  _div(F.col("wf"), su).alias("f1_score"), su.alias("support")),
     )).alias("r")).select("model", "r.*")
@@ -215,7 +215,7 @@ def confusion_used(pairs: DataFrame, classes: DataFrame, models: list[str]) -> D
 def _fold_preds(pairs: DataFrame, classes: DataFrame) -> DataFrame:
     """Predictions outside the classes become PARSING_ERROR; rows then need both
     labels to be classes (so the fold only survives when that class exists)."""
-    cls = F.broadcast(classes.select(F.col("label").alias("_lab")))
+    cls = classes.select(F.col("label").alias("_lab"))
     x = pairs.join(cls, F.col("pred_label") == F.col("_lab"), "left")
     pred = F.when(F.col("_lab").isNotNull(), F.col("pred_label")).otherwise(F.lit(PARSING_ERROR))
     y = x.select("model", "true_label", pred.alias("pred_label"), "n")
@@ -254,10 +254,12 @@ def diagnostic_summary(diag: DataFrame) -> DataFrame:
 
 
 def both_failed(diag: DataFrame, models: list[str]) -> DataFrame:
-    """Items failing under every listed model."""
-    f = diag.filter(~F.col("ok") & F.col("model").isin(*models))
-    return (f.groupBy("item_id").agg(F.countDistinct("model").alias("_m"))
-            .filter(F.col("_m") == len(models)).select("item_id"))
+    """Items failing under every listed model (one aggregate: a flag per model)."""
+    flags = [F.max(F.when(F.col("model") == m, ~F.col("ok")).otherwise(False)).alias(f"_m{i}") for i, m in enumerate(models)]
+    every = F.lit(True)
+    for i in range(len(models)):
+        every = every & F.col(f"_m{i}")
+    return diag.groupBy("item_id").agg(*flags).filter(every).select("item_id")
 
 
 def first_failures(diag: DataFrame, k: int = 3) -> DataFrame:
@@ -271,10 +273,12 @@ def first_failures(diag: DataFrame, k: int = 3) -> DataFrame:
             .filter(F.col("rank") <= k))
 
 
-def run_summary(summ: DataFrame, meta: dict) -> DataFrame:
+def run_summary(summ: DataFrame, meta: dict, excluded: DataFrame | None = None, run: dict | None = None) -> DataFrame:
     """Display name, source and status band per model.
 
-    ``meta``: ``{model: {"display_name", "model_path", "use_local_model"}}``.
+    ``meta``: ``{model: {"display_name", "model_path", "use_local_model", "base_model"}}``.
+    ``excluded``: the one-row NONE-filter counts (F4), giving ``excluded_none``.
+    ``run``: what the run itself knows, ``{"test_data_path", "timestamp"}``.
     """
     def m(field, default):
         e = F.lit(default)
@@ -287,6 +291,11 @@ def run_summary(summ: DataFrame, meta: dict) -> DataFrame:
     status = F.lit(STATUS_ELSE)
     for thr, name in reversed(STATUS_BANDS):
         status = F.when(F.col("accuracy") >= thr, F.lit(name)).otherwise(status)
+    more = []
+    if run is not None:
+        count = F.lit(None).cast("long") if excluded is None else excluded.select("excluded").scalar()
+        more = [count.alias("excluded_none"), F.lit(run.get("test_data_path")).cast("string").alias("test_data_path"),
+                m("base_model", "").alias("base_model"), F.lit(run.get("timestamp")).cast("string").alias("timestamp")]
     return summ.select("model", m("display_name", "").alias("display_name"), path.alias("model_path"),
                        source.alias("model_source"), "accuracy", "correct_count", "total_count",
-                       status.alias("status"))
+                       status.alias("status"), *more)

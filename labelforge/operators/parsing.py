@@ -52,9 +52,13 @@ def parse_strict(df: DataFrame, response: str = "response", out: str = "label")
 
 def parse_diagnostics(df: DataFrame, response: str = "response", labels: list[str] | None = None,
                       show_json_substring: bool = True, snippet: int = RAW_SNIPPET_CHARS,
-                      fence_mode: str = "notebook") -> DataFrame:
+                      fence_mode: str = "notebook", label_table: DataFrame | None = None) -> DataFrame:
     """Label or PARSING_ERROR plus diagnostics columns.
 
+    Labels are valid when they are in ``labels`` (a list, by default the schema
+    without NONE) or, if given, in ``label_table`` (column ``label``, for
+    example the labels derived from the data; joined, of any size).
+
     Codes, first match wins: NO_RESPONSE, NO_JSON_FOUND, JSON_DECODE_ERROR,
     MISSING_LABEL_FIELD, INVALID_LABEL; ``ok`` otherwise.
     """
@@ -67,6 +71,12 @@ def parse_diagnostics(df: DataFrame, response: str = "response", labels: list[st
     x = J.with_coerced_label(x, "_v", "_raw", "_span")
     x = x.selectExpr("*", f"{J.sql_strip('_raw')} AS _norm")
     in_schema = "_norm IN (" + ", ".join(S(v) for v in labels) + ")" if labels else "false"
+    if label_table is not None:
+        known = label_table.selectExpr("label AS _known").distinct()
+        # the barrier keeps the join's constraints from inlining every parser stage
+        x = x.selectExpr(*[Q_(c) for c in x.columns if c != "_norm"], f"{BARRIER.format('_norm')} AS _norm")
+        x = x.join(known, x["_norm"] == known["_known"], "left")
+        in_schema = "_known IS NOT NULL"
     stage = (f"CASE WHEN _blank THEN 0 WHEN _span IS NULL THEN 1 WHEN _v IS NULL THEN 2 "
              f"WHEN _raw IS NULL OR _norm = '' THEN 3 WHEN NOT ({in_schema}) THEN 4 ELSE 5 END")
     x = x.selectExpr("*", f"{BARRIER.format(stage)} AS _stage")

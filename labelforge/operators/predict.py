@@ -10,6 +10,7 @@ Results are keyed by ``item_id`` -- never by position.
 
 from __future__ import annotations
 
+from collections import deque
 from concurrent.futures import ThreadPoolExecutor
 
 import pandas as pd
@@ -29,6 +30,15 @@ def _error_text(e: BaseException) -> str:
     return f"{INFERENCE_ERROR_PREFIX}{type(e).__name__}: {e}"
 
 
+class PartialResults(Exception):
+    """A predictor may raise this to hand over what it has: ``results`` maps row
+    positions of the batch to outputs.  Only rows without one are tried again."""
+
+    def __init__(self, results: dict, cause: BaseException | None = None):
+        super().__init__(str(cause) if cause else "partial results")
+        self.results = results
+
+
 def _run_batch(predictor, pdf: pd.DataFrame) -> pd.DataFrame:
     n = len(pdf)
     resp, reas, et, em = [None] * n, [None] * n, [None] * n, [None] * n
@@ -44,9 +54,14 @@ def _run_batch(predictor, pdf: pd.DataFrame) -> pd.DataFrame:
             raise ValueError(f"predictor returned {len(outs)} results for {n} rows")
         for i, o in enumerate(outs):
             put(i, o)
-    except Exception:
-        # Isolate failures: rerun row by row, keep going past bad rows.
+    except Exception as failure:
+        # Isolate failures: rerun what has no result row by row, keep going past bad rows.
+        done = dict(failure.results) if isinstance(failure, PartialResults) else {}
+        for i, o in done.items():
+            put(i, o)
         for i in range(n):
+            if i in done:
+                continue
             row = pdf.iloc[i:i + 1]
             try:
                 put(i, predictor.predict(row)[0])
@@ -62,9 +77,10 @@ def batch_predict(items: DataFrame, predictor, input_cols: list[str] | None = No
                   batch_rows: int = 64) -> DataFrame:
     """I1 + I2: run ``predictor`` over every row.
 
-    ``max_workers`` bounds global concurrency: the input is spread over at most
-    ``max_workers // threads_per_task`` partitions, each running batches on
-    ``threads_per_task`` threads.  ``None`` keeps the input partitioning.
+    ``max_workers`` bounds global concurrency: at most that many batches run at
+    once, on ``threads_per_task`` threads (or fewer, if the bound is below) of each
+    of the partitions the input is spread over.  ``None`` keeps the input
+    partitioning.  A task holds at most two batches per thread.
     ``predictor=None`` yields the skip response (I6).
     """
     cols = input_cols or items.columns
@@ -74,9 +90,10 @@ def batch_predict(items: DataFrame, predictor, input_cols: list[str] | None = No
                         F.lit(SKIPPED_RESPONSE).alias("response"),
                         *[F.lit(None).cast("string").alias(c) for c in ["reasoning", "error_type", "error_msg"]])
     ship_package(items.sparkSession)
-    if max_workers:
-        x = x.repartition(max(1, max_workers // max(1, threads_per_task)))
     threads = max(1, threads_per_task)
+    if max_workers:
+        threads = min(threads, max_workers)
+        x = x.repartition(max(1, max_workers // threads))
 
     def run(it):
         def chunks():
@@ -88,8 +105,13 @@ def batch_predict(items: DataFrame, predictor, input_cols: list[str] | None = No
                 yield _run_batch(predictor, chunk)
         else:
             with ThreadPoolExecutor(max_workers=threads) as ex:
-                for out in ex.map(lambda c: _run_batch(predictor, c), chunks()):
-                    yield out
+                waiting = deque()
+                for chunk in chunks():
+                    if len(waiting) >= 2 * threads:      # the input is read no further than this
+                        yield waiting.popleft().result()
+                    waiting.append(ex.submit(_run_batch, predictor, chunk))
+                while waiting:
+                    yield waiting.popleft().result()
     return x.mapInPandas(run, PRED_SCHEMA)
 
 

@@ -199,43 +199,39 @@ def loss_spans(turns: Column, tpl: ChatTemplate = GEMMA3, train_role: str = "ass
                        lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end")))
 
 
-def turn_pieces(df: DataFrame, key: str = "conv_id", order: str = "turn", tpl: ChatTemplate = GEMMA3) -> DataFrame:
-    """Long-form rendering: one row per rendered turn with its piece and its
-    0-based char offset in the conversation's rendered text.
-
-    The leading system turn of a conversation is folded into the next turn
-    (joined by an equi-join on (key, next turn), no window over the whole
-    conversation); offsets come from ``segmented_offsets``, so a very long
-    conversation is spread over many tasks instead of gathered in one.
+def turn_offsets(df: DataFrame, key: str = "conv_id", order: str = "turn", tpl: ChatTemplate = GEMMA3) -> DataFrame:
+    """Long-form rendering: one row per rendered turn with its 0-based character
+    offset, the length of its prefix, and its end in the conversation's text.
+
+    A leading system turn is folded into the next turn.  No row needs another
+    row's text for that: the running sum goes over every turn as if it stood for
+    itself, and a conversation's first turn, known from the running sum, says how
+    much longer or shorter the folded form is.  There is no join or window on the
+    conversation alone, so one that holds most of the rows spreads over many tasks.
     """
     from .ranking import segmented_offsets
-    t = df.select(key, order, "role", "text")
-    # first turn per conversation: partial aggregates, safe for a hot key
-    first = t.groupBy(key).agg(F.min(order).alias("_t0"), F.min_by("role", order).alias("_r0"),
-                               F.min_by("text", order).alias("_x0"))
-    j = t.join(first, key)
-    has_sys = F.coalesce(F.col("_r0") == "system", F.lit(False))
-    loop = j.filter(~(has_sys & (F.col(order) == F.col("_t0"))))
-    # first rendered turn (gets the folded system text): another partial aggregate
-    second = loop.groupBy(key).agg(F.min(order).alias("_t1"))
-    x = loop.join(second, key).withColumn(
-        "_lead", F.when(has_sys, F.concat(tpl.body(F.col("_x0")), F.lit(tpl.system_joiner))))
     pre = tpl.prefix(F.col("role"))
-    lead_col = F.when(F.col(order) == F.col("_t1"), F.coalesce(F.col("_lead"), F.lit(""))).otherwise(F.lit(""))
-    x = x.select(key, order, "role", F.concat(pre, lead_col, tpl.body(F.col("text")), F.lit(tpl.turn_suffix)).alias("piece"),
-                 F.length(pre).cast("long").alias("prefix_len"))
-    x = x.withColumn("_len", F.length("piece").cast("long"))
-    r = segmented_offsets(x, key, order, "_len")
-    return r.select(key, order, "role", "piece", "prefix_len",
-                    (F.col("_before") + F.lit(len(tpl.bos))).alias("offset"))
+    body = tpl.body(F.col("text"))
+    t = df.select(key, order, "role", F.length(pre).cast("long").alias("prefix_len"),
+                  F.length(F.concat(pre, body, F.lit(tpl.turn_suffix))).cast("long").alias("_len"),
+                  F.length(F.concat(body, F.lit(tpl.system_joiner))).cast("long").alias("_lead"))
+    r = segmented_offsets(t, key, order, "_len", ["role", "_len", "_lead"])
+    folded = F.coalesce(F.col("_first.role") == "system", F.lit(False))
+    first = F.col(order) == F.col("_first._order")
+    own = F.col("_before") - F.when(folded, F.col("_first._len")).otherwise(0)
+    lead = F.when(folded, F.col("_first._lead")).otherwise(0)
+    bos = F.lit(len(tpl.bos))
+    return r.filter(~(folded & first)).select(
+        key, order, "role", "prefix_len",
+        (bos + F.when(own == 0, 0).otherwise(own + lead)).alias("offset"),
+        (bos + own + lead + F.col("_len")).alias("end"))
 
 
 def loss_span_rows(df: DataFrame, key: str = "conv_id", order: str = "turn", tpl: ChatTemplate = GEMMA3,
                    train_role: str = "assistant") -> DataFrame:
     """T8 in long form: (key, turn, span_start, span_end) per trained turn."""
-    p = turn_pieces(df, key, order, tpl).filter(F.col("role") == train_role)
-    return p.select(key, order, (F.col("offset") + F.col("prefix_len")).alias("span_start"),
-                    (F.col("offset") + F.length("piece")).alias("span_end"))
+    p = turn_offsets(df, key, order, tpl).filter(F.col("role") == train_role)
+    return p.select(key, order, (F.col("offset") + F.col("prefix_len")).alias("span_start"), F.col("end").alias("span_end"))
 
 
 def turns_from_rows(df: DataFrame, key: str = "conv_id", order: str = "turn") -> DataFrame:

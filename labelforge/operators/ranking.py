@@ -1,91 +1,110 @@
-"""Exact ordered selection without a single-partition sort.
-
-``first_k`` keeps the first ``k`` rows under a total order.  Small ``k`` uses
-``orderBy().limit()`` (TakeOrderedAndProject: each task keeps at most ``k``
-rows, k <= 10,000).  Large ``k`` -- or a ``k`` that is itself a fraction of the data -- uses
-``global_rank``: a range shuffle on the order keys, a per-partition row count
-(one row per partition), running offsets over those counts, and a broadcast
-join of the offsets back.  Nothing grows with the data on the driver, and no
-task holds more than its own range partition.
+"""Exact ordered selection without a single-task sort of the data.
+
+``cutoffs`` finds, per group, the order key of the k-th row: rows are counted
+per bucket of a monotone function of the key (a few ten thousand rows whatever
+the data), the bucket that holds the k-th row is read off the running counts,
+and only that bucket's keys are ranked.  Selecting rows is then a comparison
+with the cut-off, map-only, for every k alike: no full row is shuffled.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import materialize
 
-# At most this many rows go through TakeOrderedAndProject: every task keeps a
-# heap of k full-width rows (whole documents here), so k stays small.
-TAKE_ORDERED_MAX = 10_000
-
-
-def _num_partitions(df: DataFrame) -> int:
-    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
-
-
-def global_rank(df: DataFrame, order: list[Column], num_partitions: int | None = None) -> DataFrame:
-    """``df`` plus ``_rank`` (0-based position under ``order``) and ``_n`` (row count).
-
-    ``order`` must be a total order (end with a unique key) for a stable rank.
-    """
-    n = num_partitions or _num_partitions(df)
-    ranged = df.repartitionByRange(n, *order).sortWithinPartitions(*order)
-    # Checkpointed once: the count branch and the main branch read the same
-    # written partitions (ids included) instead of each recomputing the shuffle.
-    pos = materialize(ranged.select("*", F.spark_partition_id().alias("_pid"),
-                                    F.monotonically_increasing_id().alias("_mid")))
-    counts = pos.groupBy("_pid").agg(F.count(F.lit(1)).alias("_cnt"))
-    w = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select(
-        "_pid",
-        F.coalesce(F.sum("_cnt").over(w), F.lit(0)).alias("_off"),
-        F.sum("_cnt").over(Window.partitionBy(F.lit(0))).alias("_n"),
-    )
-    # ``offsets`` has one row per partition: a bounded broadcast.
-    out = pos.join(F.broadcast(offsets), "_pid")
-    local = F.col("_mid") - F.shiftleft(F.col("_pid").cast("long"), 33)
-    return out.select(*[F.col(c) for c in df.columns], (F.col("_off") + local).alias("_rank"), "_n")
-
-
-def first_k(df: DataFrame, order: list[Column], k: int | None) -> DataFrame:
-    """First ``k`` rows of ``df`` under ``order``; ``None`` keeps all."""
+BUCKETS = 65_536
+
+
+def hex_bucket(key: str) -> Callable[[DataFrame], Column]:
+    """Bucket of an order that starts with a hex digest column."""
+    return lambda df: F.conv(F.substring(key, 1, 4), 16, 10).cast("long")
+
+
+def number_bucket(key: str) -> Callable[[DataFrame], Column]:
+    """Bucket of an order that starts with a number column: equal widths between
+    its smallest and largest value (scalar subqueries)."""
+    def bucket(df: DataFrame) -> Column:
+        lo, hi = df.agg(F.min(key)).scalar(), df.agg(F.max(key)).scalar()
+        return F.floor((F.col(key).cast("double") - lo) * F.lit(float(BUCKETS)) / (hi.cast("double") - lo + 1.0))
+    return bucket
+
+
+def cutoffs(df: DataFrame, order: list[str], bucket: Callable[[DataFrame], Column], need: Callable[[Column], Column],
+            by: list[str] | None = None) -> DataFrame:
+    """(by..., _cut): the order key (struct) of row ``need(total)`` of each group;
+    no row for groups that have fewer.  ``order`` must be a total order."""
+    by = by or []
+    keys = df.select(*by, F.struct(*order).alias("_key"), bucket(df).alias("_b"))
+    group = Window.partitionBy(*(by or [F.lit(0)]))
+    counts = keys.groupBy(*by, "_b").agg(F.count(F.lit(1)).alias("_n"))
+    # at most BUCKETS rows per group
+    run = counts.select("*", F.sum("_n").over(group.orderBy("_b").rowsBetween(Window.unboundedPreceding, 0)).alias("_upto"),
+                        need(F.sum("_n").over(group)).cast("long").alias("_k"))
+    edge = run.filter((F.col("_upto") >= F.col("_k")) & (F.col("_upto") - F.col("_n") < F.col("_k"))).select(
+        *[F.col(c).alias(f"_g{i}") for i, c in enumerate(by)], F.col("_b").alias("_eb"),
+        (F.col("_k") - F.col("_upto") + F.col("_n")).alias("_need"))
+    same = F.col("_b") == F.col("_eb")
+    for i, c in enumerate(by):
+        same = same & F.col(c).eqNullSafe(F.col(f"_g{i}"))
+    ranked = keys.join(edge, same).withColumn("_rn", F.row_number().over(group.orderBy("_key")))
+    return ranked.filter(F.col("_rn") == F.col("_need")).select(*by, F.col("_key").alias("_cut"))
+
+
+def first_k(df: DataFrame, order: list[str], k: int | None, bucket: Callable[[DataFrame], Column],
+            by: list[str] | None = None) -> DataFrame:
+    """First ``k`` rows of ``df`` (of each ``by`` group) under ``order``; ``None`` keeps all."""
     if k is None:
         return df
-    if k <= TAKE_ORDERED_MAX:
-        return df.orderBy(*order).limit(int(k))
-    ranked = global_rank(df, order)
-    return ranked.filter(F.col("_rank") < F.lit(int(k))).drop("_rank", "_n")
-
-
-def first_fraction(df: DataFrame, order: list[Column], fraction: float) -> DataFrame:
+    if k <= 0:
+        return df.filter(F.lit(False))
+    cut = cutoffs(df, order, bucket, lambda total: F.lit(int(k)), by)
+    key = F.struct(*order)
+    if not by:
+        return df.filter(F.coalesce(key <= cut.select("_cut").scalar(), F.lit(True)))
+    cut = cut.select(*[F.col(c).alias(f"_g{i}") for i, c in enumerate(by)], "_cut")
+    same = F.lit(True)
+    for i, c in enumerate(by):
+        same = same & F.col(c).eqNullSafe(F.col(f"_g{i}"))
+    joined = df.join(cut, same, "left").filter(F.col("_cut").isNull() | (key <= F.col("_cut")))
+    return joined.select(*df.columns)
+
+
+def first_fraction(df: DataFrame, order: list[str], fraction: float, bucket: Callable[[DataFrame], Column]) -> DataFrame:
     """``df`` plus boolean ``_head``: the first ``ceil(fraction * n)`` rows under ``order``."""
-    ranked = global_rank(df, order)
-    head = F.col("_rank") < F.ceil(F.col("_n") * F.lit(float(fraction)))
-    return ranked.select(*[F.col(c) for c in df.columns], head.alias("_head"))
+    if fraction <= 0:
+        return df.withColumn("_head", F.lit(False))
+    cut = cutoffs(df, order, bucket, lambda total: F.ceil(total * F.lit(float(fraction))))
+    return df.withColumn("_head", F.coalesce(F.struct(*order) <= cut.select("_cut").scalar(), F.lit(False)))
 
 
-def segmented_offsets(df: DataFrame, key: str, order: str, value: str,
+def segmented_offsets(df: DataFrame, key: str, order: str, value: str, head: list[str] | None = None,
                       num_partitions: int | None = None) -> DataFrame:
     """``df`` plus ``_before``: sum of ``value`` over earlier rows (by ``order``)
-    of the same ``key`` -- an exclusive running sum per key.
+    of the same ``key`` -- an exclusive running sum per key -- and ``_first``, the
+    ``head`` columns of the key's first row.
 
     A window ``partitionBy(key)`` would send a whole key to one task; here the
-    rows are range-partitioned on (key, order) so a hot key spreads over many
-    tasks.  Per (partition, key) totals -- one row per partition boundary
-    piece, so at most partitions + keys rows -- get running offsets, which are
-    joined back; each task then adds its local running sum.
+    rows are range-partitioned on (key, order) as they come, so a hot key spreads
+    over many tasks.  Per (partition, key) totals -- at most partitions + keys
+    rows -- get running offsets, which are joined back on both columns; each task
+    then adds its local running sum.
     """
-    n = num_partitions or _num_partitions(df)
+    n = num_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
     ranged = df.repartitionByRange(n, F.col(key), F.col(order)).sortWithinPartitions(key, order)
     pos = materialize(ranged.select("*", F.spark_partition_id().alias("_pid")))
-    pieces = pos.groupBy("_pid", key).agg(F.sum(value).alias("_piece"))
-    w = Window.partitionBy(key).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    offs = pieces.select("_pid", key, F.coalesce(F.sum("_piece").over(w), F.lit(0)).alias("_off"))
+    own = F.struct(F.col(order).alias("_order"), *(head or []))
+    pieces = pos.groupBy("_pid", key).agg(F.sum(value).alias("_piece"), F.min(own).alias("_own"))
+    w = Window.partitionBy(key).orderBy("_pid")
+    offs = pieces.select("_pid", key, F.coalesce(F.sum("_piece").over(w.rowsBetween(Window.unboundedPreceding, -1)),
+                                                 F.lit(0)).alias("_off"),
+                         F.first("_own").over(w.rowsBetween(Window.unboundedPreceding, 0)).alias("_first"))
     # Local running sum inside each (partition, key) piece; partitions already
     # hold their rows sorted, and the window keys match the range boundaries.
     wl = Window.partitionBy("_pid", key).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
     local = pos.select("*", F.coalesce(F.sum(value).over(wl), F.lit(0)).alias("_loc"))
     out = local.join(offs, ["_pid", key])
-    return out.select(*[F.col(c) for c in df.columns], (F.col("_off") + F.col("_loc")).alias("_before"))
+    return out.select(*[F.col(c) for c in df.columns], (F.col("_off") + F.col("_loc")).alias("_before"), "_first")

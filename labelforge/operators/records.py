@@ -2,15 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.constants import NONE_LABEL, RESPONSE_TRUNCATE
 from ..functions.text import py_strip, strip_or_empty, truncate_text
-from .ranking import first_k
+from .ranking import first_k, number_bucket
 
 TEXT_FIELDS = ["clause", "clause_with_context", "rationale"]
-DEFAULT_SPLITS = ["train", "validation", "test"]
 
 
 def normalize(df: DataFrame, unknown_default: str = "") -> DataFrame:
@@ -57,30 +56,16 @@ def none_filter_counts(df: DataFrame, label: str = "label", loose: bool = False)
 
 
 def cap_first_n(df: DataFrame, n: int | None, mode: str = "pipeline", order_col: str = "item_id",
-                by_split: bool = True, splits: list[str] = DEFAULT_SPLITS) -> DataFrame:
-    """first ``n`` records (by ``order_col``) -- per split when ``by_split``.
+                by_split: bool = True) -> DataFrame:
+    """first ``n`` records (by ``order_col``) -- per split when ``by_split``,
+    whatever the splits are called (a null split is one).
 
     ``mode="pipeline"``: 0 or None means no cap.  ``mode="notebook"``: only
     None means no cap; 0 gives an empty result.
     """
     if n is None or (mode == "pipeline" and n == 0):
         return df
-    order = [F.col(order_col)]
-    if not by_split:
-        return first_k(df, order, n)
-    limit = int(df.sparkSession.conf.get("spark.sql.optimizer.windowGroupLimitThreshold", "1000"))
-    if n <= limit:
-        # One scan: ``row_number() <= n`` per split is planned with a
-        # per-partition group limit before the shuffle, so each task ships at
-        # most n rows per split -- no split lands whole in one task.
-        w = Window.partitionBy("split").orderBy(*order)
-        x = df.filter(F.col("split").isin(*splits)).withColumn("_rn", F.row_number().over(w))
-        return x.filter(F.col("_rn") <= n).drop("_rn")
-    parts = [first_k(df.filter(F.col("split") == s), order, n) for s in splits]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    return first_k(df, [order_col], n, number_bucket(order_col), ["split"] if by_split else None)
 
 
 def drop_teacher_columns(df: DataFrame) -> DataFrame:

@@ -7,11 +7,12 @@ the same sample under any partitioning, and filter and shuffle commute.
 from __future__ import annotations
 
 import random
+from fractions import Fraction
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .ranking import first_fraction, first_k
+from .ranking import first_fraction, first_k, hex_bucket, number_bucket
 from .records import drop_none_exact, drop_none_loose
 
 
@@ -39,45 +40,41 @@ def sample_eval(df: DataFrame, num_samples: int | None = 50, exclude_none: bool
     """
     x = drop_none_exact(df) if exclude_none else df
     if randomize:
-        x = with_shuffle_key(x, seed)
-        order = [F.col("shuffle_key"), F.col("item_id")]
-    else:
-        order = [F.col("item_id")]
-    return first_k(x, order, num_samples or None)
+        return first_k(with_shuffle_key(x, seed), ["shuffle_key", "item_id"], num_samples or None, hex_bucket("shuffle_key"))
+    return first_k(x, ["item_id"], num_samples or None, number_bucket("item_id"))
 
 
 def sample_eval_loose(df: DataFrame, num_samples: int = 5, seed: int | None = 42) -> DataFrame:
     """P3 (notebook order): loose NONE filter -> shuffle -> min(N, size)."""
     x = with_shuffle_key(drop_none_loose(df), seed)
-    return first_k(x, [F.col("shuffle_key"), F.col("item_id")], num_samples)
-
-
-def _threshold_hex(fraction: float, digits: int = 8) -> str:
-    return format(min(int(fraction * 16**digits), 16**digits - 1), f"0{digits}x")
+    return first_k(x, ["shuffle_key", "item_id"], num_samples, hex_bucket("shuffle_key"))
 
 
 def split_hash(df: DataFrame, test_size: float = 0.1, seed: int = 42) -> DataFrame:
-    """P4 default: validation when the key's 8-hex prefix falls below the
-    ``test_size`` threshold.  Map-only (no shuffle); size is approximate."""
-    thr = _threshold_hex(test_size)
-    key = F.substring(shuffle_key(seed), 1, 8)
-    return df.withColumn("role", F.when(key < F.lit(thr), "validation").otherwise("train"))
+    """P4 default: validation when the key (as a fraction of the key space) falls
+    below ``test_size``; 0 gives none, 1 gives all.  Map-only; size is approximate."""
+    share = Fraction(repr(float(test_size)))
+    below = F.lit(share >= 1)
+    if 0 < share < 1:
+        below = shuffle_key(seed) < F.lit(format(int(share * 16**32), "032x"))
+    return df.withColumn("role", F.when(below, "validation").otherwise("train"))
 
 
 def split_exact(df: DataFrame, test_size: float = 0.1, seed: int = 42) -> DataFrame:
     """P4 exact: the first ``ceil(test_size * n)`` rows by key are validation."""
-    x = df.withColumn("_key", shuffle_key(seed))
-    r = first_fraction(x, [F.col("_key"), F.col("item_id")], test_size)
+    x = df.withColumn("_sort", shuffle_key(seed))
+    r = first_fraction(x, ["_sort", "item_id"], test_size, hex_bucket("_sort"))
     return r.select(*[F.col(c) for c in df.columns],
                     F.when(F.col("_head"), "validation").otherwise("train").alias("role"))
 
 
 def split_names(df: DataFrame, limit: int = 64) -> list[str]:
-    """Distinct split names (a handful by nature); errors out if implausibly many."""
-    names = [r[0] for r in df.select("split").distinct().limit(limit + 1).collect()]
-    if len(names) > limit:
+    """Split names in the order of their first item; a ``ValueError`` when there are
+    more than ``limit`` (then the column holds no splits)."""
+    found = df.groupBy("split").agg(F.min("item_id").alias("first")).limit(limit + 1).collect()
+    if len(found) > limit:
         raise ValueError(f"more than {limit} distinct split names; not a split column")
-    return names
+    return [r["split"] for r in sorted(found, key=lambda r: (r["first"] is None, r["first"]))]
 
 
 def resolve_splits(df: DataFrame, test_size: float = 0.1, seed: int = 42,
@@ -86,8 +83,11 @@ def resolve_splits(df: DataFrame, test_size: float = 0.1, seed: int = 42,
 
     ``train`` + the first of ``validation``, ``val``, ``test``; with only
     ``train``, carve validation from it; without ``train``, carve from the
-    first available split.  Rows of other splits are dropped.
+    first split in item order.  Rows of other splits are dropped.  A table
+    without a ``split`` column is one dataset: validation is carved from it.
     """
+    if "split" not in df.columns:
+        return split_hash(df, test_size, seed)
     names = split_names(df) if names is None else names
     if "train" in names:
         val = next((v for v in ["validation", "val", "test"] if v in names), None)
@@ -96,7 +96,7 @@ def resolve_splits(df: DataFrame, test_size: float = 0.1, seed: int = 42,
             return x.withColumn("role", F.when(F.col("split") == "train", "train").otherwise("validation"))
         base = "train"
     elif names:
-        base = sorted(names)[0]
+        base = names[0]
     else:
         return df.withColumn("role", F.lit(None).cast("string")).limit(0)
     return split_hash(df.filter(F.col("split") == base), test_size, seed)
@@ -105,5 +105,5 @@ def resolve_splits(df: DataFrame, test_size: float = 0.1, seed: int = 42,
 def base_split(df: DataFrame, names: list[str] | None = None) -> DataFrame:
     """Rows of ``test`` if present, else of the first split name."""
     names = split_names(df) if names is None else names
-    chosen = "test" if "test" in names else (sorted(names)[0] if names else None)
+    chosen = "test" if "test" in names else (names[0] if names else None)
     return df.filter(F.col("split") == F.lit(chosen))

@@ -309,7 +309,7 @@ ORACLE_SQL.update({
         ORDER BY shuffle_key, item_id LIMIT 50""",
     "sample_eval_loose": f"""{W} SELECT item_id, label, md5('42:' || CAST(item_id AS VARCHAR)) AS shuffle_key
         FROM clauses WHERE split = 'test' AND {LOOSE} ORDER BY shuffle_key, item_id LIMIT 5""",
-    "split_hash": f"""{W} SELECT item_id, CASE WHEN substring(md5('42:' || CAST(item_id AS VARCHAR)), 1, 8) < '19999999'
+    "split_hash": f"""{W} SELECT item_id, CASE WHEN md5('42:' || CAST(item_id AS VARCHAR)) < '19999999999999999999999999999999'
         THEN 'validation' ELSE 'train' END AS role FROM clauses""",
     "split_exact": f"""{W} SELECT item_id, CASE WHEN rn <= ceil(CAST(0.1 AS DOUBLE) * n) THEN 'validation' ELSE 'train' END AS role
         FROM (SELECT item_id, row_number() OVER (ORDER BY md5('42:' || CAST(item_id AS VARCHAR)), item_id) AS rn,
@@ -417,7 +417,7 @@ WG = f"{W}, {DIAG}"
 
 def class_report_sql() -> str:
     return f"""{WP},
-    cover AS (SELECT model, sum(n) AS valid, sum(CASE WHEN list_contains({SCHEMA}, true_label) THEN 0 ELSE n END) AS outside
+    cover AS (SELECT model, sum(n) AS valid, sum(CASE WHEN list_contains({SCHEMA}, true_label) AND list_contains({SCHEMA}, pred_label) THEN 0 ELSE n END) AS outside
               FROM v GROUP BY model),
     tot AS (SELECT model, sum(tp) AS tp, sum(predicted) AS pr, sum(support) AS su, avg(precision) AS mp,
               avg(recall) AS mr, avg(f1) AS mf, sum(precision * support) AS wp, sum(recall * support) AS wr,
@@ -426,12 +426,12 @@ def class_report_sql() -> str:
     rows AS (
       SELECT p.model, p.label AS row_name, p.label_ord AS row_ord, p.precision, p.recall, p.f1 AS f1_score, p.support
         FROM pcl p JOIN cover USING (model)
-      UNION ALL SELECT model, CASE WHEN outside = 0 THEN 'accuracy' ELSE 'micro avg' END, 1000,
+      UNION ALL SELECT model, CASE WHEN outside = 0 THEN 'accuracy' ELSE 'micro avg' END, 38,
           CASE WHEN outside = 0 THEN NULL ELSE (CASE WHEN pr > 0 THEN tp / pr ELSE 0.0 END) END,
           CASE WHEN outside = 0 THEN NULL ELSE (CASE WHEN su > 0 THEN tp / su ELSE 0.0 END) END,
           CASE WHEN su + pr > 0 THEN 2 * tp / (su + pr) ELSE 0.0 END, su FROM t
-      UNION ALL SELECT model, 'macro avg', 1001, mp, mr, mf, su FROM t
-      UNION ALL SELECT model, 'weighted avg', 1002, CASE WHEN su > 0 THEN wp / su ELSE 0.0 END,
+      UNION ALL SELECT model, 'macro avg', 39, mp, mr, mf, su FROM t
+      UNION ALL SELECT model, 'weighted avg', 40, CASE WHEN su > 0 THEN wp / su ELSE 0.0 END,
           CASE WHEN su > 0 THEN wr / su ELSE 0.0 END, CASE WHEN su > 0 THEN wf / su ELSE 0.0 END, su FROM t)
     SELECT model, row_name, CAST(row_ord AS INTEGER) AS row_ord, round(precision, 6) AS precision,
       round(recall, 6) AS recall, round(f1_score, 6) AS f1_score, CAST(support AS BIGINT) AS support FROM rows"""
@@ -571,3 +571,41 @@ def _compare_summary() -> str:
 
 
 ORACLE_SQL["compare_summary"] = _compare_summary()
+
+DERIVED = f"""derived AS (SELECT DISTINCT {strip0('label')} AS label FROM clauses
+  WHERE split = 'test' AND {strip0('label')} <> '' AND upper({strip0('label')}) <> 'NONE')"""
+
+_TEACHER = """r1_src AS (SELECT item_id,
+          CASE WHEN item_id % 97 = 0 THEN 'Error during inference: RuntimeError: stub predictor failed on item '
+               || CAST(item_id AS VARCHAR) ELSE response END AS r,
+          CASE WHEN item_id % 97 <> 0 AND response IS NOT NULL THEN 'reasoning ' || CAST(item_id AS VARCHAR) END AS reasoning_trace
+        FROM responses WHERE model = 'baseline')"""
+
+ORACLE_SQL.update({
+    "parse_diag_derived": f"""{W}, {DERIVED}, {DIAG},
+        x AS (SELECT item_id, model, raw, norm,
+              CASE WHEN st < 4 THEN st WHEN norm IN (SELECT label FROM derived) THEN 5 ELSE 4 END AS st FROM rd_n)
+        SELECT item_id, model, CASE WHEN st = 5 THEN norm ELSE 'PARSING_ERROR' END AS pred_label, st = 5 AS ok,
+          CASE st WHEN 0 THEN 'NO_RESPONSE' WHEN 1 THEN 'NO_JSON_FOUND' WHEN 2 THEN 'JSON_DECODE_ERROR'
+            WHEN 3 THEN 'MISSING_LABEL_FIELD' WHEN 4 THEN 'INVALID_LABEL' END AS error_code,
+          CASE st WHEN 0 THEN 'Model returned empty response.' WHEN 1 THEN 'Could not find brace-delimited JSON in response.'
+            WHEN 2 THEN 'JSONDecodeError: invalid JSON' WHEN 3 THEN 'Parsed JSON but no usable ''label'' found.'
+            WHEN 4 THEN 'Label ''' || norm || ''' not in valid label set.' END AS error_detail,
+          CASE WHEN st >= 4 THEN raw END AS parsed_label, CASE WHEN st >= 4 THEN norm END AS normalized_label FROM x""",
+    "run_metadata": f"""{WD} SELECT model,
+        CASE model WHEN 'candidate' THEN './gemma3-12b-legal-classifier'
+          WHEN 'baseline' THEN 'openrouter/deepseek/deepseek-r1-0528' ELSE '' END AS model_path, accuracy,
+        (SELECT count(*) FILTER (WHERE label IS NOT DISTINCT FROM 'NONE') FROM clauses WHERE split = 'test') AS excluded_none,
+        'documents' AS test_data_path, CASE model WHEN 'candidate' THEN 'google/gemma-3-12b-it' ELSE '' END AS base_model,
+        CAST(NULL AS VARCHAR) AS timestamp FROM summ""",
+    "text_only": f"SELECT text FROM ({ORACLE_SQL['sft_text']})",
+    "text_repair": ORACLE_SQL["sft_text"],
+    "api_messages": f"{W} SELECT item_id, 0 AS msg_index, 'user' AS role, {PROMPT_TRAIN} AS content FROM clauses",
+    "split_single": ORACLE_SQL["split_hash"],
+    "jsonl_guard": f"""{W} SELECT item_id, CASE WHEN item_id % 68 < 67 THEN 's' || CAST(item_id % 68 AS VARCHAR) END AS split,
+        true AS wrote_first, false AS wrote_again FROM clauses""",
+    "teacher_collect": ORACLE_SQL["rationale_join"].replace(
+        "r1_src AS (SELECT item_id, response AS r FROM responses WHERE model = 'baseline')", _TEACHER).replace(
+        "r1 AS (SELECT item_id,", "r1 AS (SELECT item_id, reasoning_trace,").replace(
+        "c.label, r1.teacher_rationale", "c.label, r1.reasoning_trace, r1.teacher_rationale"),
+})

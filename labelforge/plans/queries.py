@@ -51,8 +51,12 @@ def responses(spark, d):
 def diag(spark, d):
     """R3 over every response, joined back to the gold label."""
     c = clauses(spark, d).select("item_id", F.coalesce(Fr.strip_or_empty("label"), F.lit("")).alias("true_label"))
-    r = Rp.parse_diagnostics(responses(spark, d), labels=NON_NONE)
-    return r.join(c, "item_id")
+    return parsed(spark, d).join(c, "item_id")
+
+
+def parsed(spark, d):
+    """R3 over every response, without the gold label."""
+    return Rp.parse_diagnostics(responses(spark, d), labels=NON_NONE)
 
 
 def preds(spark, d):
@@ -138,6 +142,11 @@ def q_split_resolve(spark, d):
     return P.resolve_splits(c).select("item_id", "split", "role")
 
 
+def q_split_single(spark, d):
+    """P5 on one dataset without splits."""
+    return P.resolve_splits(clauses(spark, d).select("item_id"))
+
+
 # ------------------------------------------------------------------ L: labels
 def q_labels_derived(spark, d):
     base = P.base_split(clauses(spark, d), names=["train", "validation", "test"])
@@ -196,6 +205,25 @@ def q_sft_text(spark, d):
     return conv.select("item_id", T.render_chat(T.flat_turns(F.col("conversations"))).alias("text"))
 
 
+def q_text_only(spark, d):
+    """the training text as the only column."""
+    conv = _train_conv(Fr.drop_none_loose(clauses(spark, d)))
+    return Fr.only_text(conv.select("item_id", T.render_chat(T.flat_turns(F.col("conversations"))).alias("text")))
+
+
+def q_text_repair(spark, d):
+    """A ``text`` column of token ids is replaced by the rendered text."""
+    conv = _train_conv(Fr.drop_none_loose(clauses(spark, d))).withColumn("text", F.array(F.lit(1), F.lit(2)))
+    return T.ensure_text(conv).select("item_id", "text")
+
+
+def q_api_messages(spark, d):
+    """T5: the (role, content) messages of an API call."""
+    msgs = T.api_messages(T.classify_prompt(labels=NON_NONE))
+    x = clauses(spark, d).select("item_id", F.posexplode(msgs).alias("msg_index", "m"))
+    return x.select("item_id", F.col("msg_index").cast("int"), "m.role", "m.content")
+
+
 def q_infer_text(spark, d):
     c = clauses(spark, d)
     conv = T.conversation(T.classify_prompt(labels=NON_NONE, unknown_default="Unknown"))
@@ -286,6 +314,24 @@ def q_rationale_join(spark, d):
     return c.select("item_id", "split", "label").join(p, "item_id", "left")
 
 
+class StubTeacher(StubPredictor):
+    """A predictor that returns (content, reasoning) pairs."""
+
+    def predict(self, pdf):
+        return [(text, None if text is None else f"reasoning {i}") for i, text in zip(pdf["item_id"], super().predict(pdf))]
+
+
+def q_teacher_collect(spark, d):
+    """I1 + I5 as one flow: the teacher's (content, reasoning) collected per item,
+    its label and rationale parsed, all joined to the corpus."""
+    c = clauses(spark, d)
+    got = I.batch_predict(c, StubTeacher(1, BASE), input_cols=["item_id", "label"])
+    p = Rp.parse_simple(got.select("item_id", "response", "reasoning")).select(
+        "item_id", F.col("reasoning").alias("reasoning_trace"), F.col("label").alias("teacher_label"),
+        F.col("rationale").alias("teacher_rationale"))
+    return c.select("item_id", "split", "label").join(p, "item_id", "left")
+
+
 # ------------------------------------------------------------------ R: parsing
 def q_parse_simple(spark, d):
     return Rp.parse_simple(responses(spark, d)).select("item_id", "model", "label", "rationale")
@@ -301,6 +347,14 @@ def q_parse_diag(spark, d):
         "json_substring", "parsed_label", "normalized_label")
 
 
+def q_parse_diag_derived(spark, d):
+    """R3 against the labels derived from the base split (L3)."""
+    c = clauses(spark, d)
+    derived = L.derived_labels(P.base_split(c, names=["train", "validation", "test"]))
+    return Rp.parse_diagnostics(responses(spark, d), label_table=derived).select(
+        "item_id", "model", "pred_label", "ok", "error_code", "error_detail", "parsed_label", "normalized_label")
+
+
 # ------------------------------------------------------------------ E: evaluation
 def q_metrics_summary(spark, d):
     return E.summary(pairs(spark, d), is_pairs=True)
@@ -336,15 +390,15 @@ def q_error_breakdown(spark, d):
 
 
 def q_diag_summary(spark, d):
-    return E.diagnostic_summary(diag(spark, d))
+    return E.diagnostic_summary(parsed(spark, d))
 
 
 def q_both_failed(spark, d):
-    return E.both_failed(diag(spark, d), X.MODELS)
+    return E.both_failed(parsed(spark, d), X.MODELS)
 
 
 def q_first_failures(spark, d):
-    return E.first_failures(diag(spark, d), 3).select(
+    return E.first_failures(parsed(spark, d), 3).select(
         "model", "item_id", F.col("rank").cast("int"), "error_code", "pred_label", "raw_snippet")
 
 
@@ -352,6 +406,15 @@ def q_run_summary(spark, d):
     return E.run_summary(E.summary(doc_pairs(spark, d), is_pairs=True), MODEL_META)
 
 
+def q_run_metadata(spark, d):
+    """E14 with the run's own facts: test path, base model, excluded NONE records."""
+    counts = Fr.none_filter_counts(clauses(spark, d).filter(F.col("split") == "test"))
+    meta = {m: {**f, "base_model": "google/gemma-3-12b-it" if m == CAND else ""} for m, f in MODEL_META.items()}
+    return E.run_summary(E.summary(doc_pairs(spark, d), is_pairs=True), meta, excluded=counts,
+                         run={"test_data_path": "documents", "timestamp": None}).select(
+        "model", "model_path", "accuracy", "excluded_none", "test_data_path", "base_model", "timestamp")
+
+
 # ------------------------------------------------------------------ C / D
 def q_compare_summary(spark, d):
     return C.compare_summary(E.summary(doc_pairs(spark, d), is_pairs=True), CAND, BASE)
@@ -366,8 +429,7 @@ def q_error_overlap(spark, d):
 
 
 def q_aligned(spark, d):
-    # the parsed diagnostics feed two branches: parse once, read twice
-    return C.aligned(materialize(diag(spark, d)), BASE, CAND)
+    return C.aligned(diag(spark, d).select("item_id", "model", "true_label", "pred_label", "ok"), BASE, CAND)
 
 
 def q_dist_none(spark, d):
@@ -405,6 +467,18 @@ def q_jsonl_roundtrip(spark, d):
     return r.select("item_id", "split", "clause", "contract_type", "label", "rationale")
 
 
+def q_jsonl_guard(spark, d):
+    """S3 + S4: 67 splits and a null one are written by one job; a second write into
+    the same folder is refused as a whole and leaves the first one's rows."""
+    c = clauses(spark, d).select("item_id", F.when(F.col("item_id") % 68 < 67, F.concat(
+        F.lit("s"), (F.col("item_id") % 68).cast("string"))).alias("split"))
+    out = os.path.join(checkpoint_dir(spark), f"guard-{uuid.uuid4().hex}")
+    first = S.write_jsonl(c, out, write_full=False)
+    again = S.write_jsonl(c.withColumn("split", F.lit("other")), out, write_full=False)
+    rows = S.read_jsonl(spark, f"{out}/*_data_with_rationales.jsonl", "item_id long, split string")
+    return rows.select("item_id", "split", F.lit(first).alias("wrote_first"), F.lit(again).alias("wrote_again"))
+
+
 def q_jsonl_ingest(spark, d):
     """S1 + S6: write the corpus as JSONL, then ingest it strictly to Parquet in one pass."""
     c = clauses(spark, d)

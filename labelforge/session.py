@@ -8,6 +8,7 @@ driver entry point; on a cluster the caller's own session is used as is.
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -57,13 +58,17 @@ def checkpoint_dir(spark: SparkSession) -> str:
     """Shared folder for lineage cuts and materialised steps.
 
     Reads ``spark.checkpoint.dir`` from the session (the cluster's shared
-    folder).  Only when it is unset -- local runs and tests -- a fresh folder
-    under the system temp dir is chosen and recorded in the session.
+    folder).  Only when it is unset and the master is local -- tests -- a fresh
+    folder under the system temp dir is chosen and recorded in the session; on a
+    cluster an unset folder is an error.
     """
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
         d = spark.sparkContext.getCheckpointDir()
     if not d:
+        master = spark.sparkContext.master
+        if not re.fullmatch(r"local(\[[^,\]]*(,[^\]]*)?\])?", master):
+            raise ValueError(f"set spark.checkpoint.dir to a folder that all executors of {master} share")
         d = tempfile.mkdtemp(prefix="labelforge-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
     if spark.sparkContext.getCheckpointDir() is None:

@@ -1,16 +1,18 @@
 """JSONL sources and sinks (S1-S5) and the Parquet hand-off.
 
-Reads are strict: every line, blank ones included, must be one JSON object,
-as with a line-by-line ``json.loads``.  Spark's JSON
-reader skips blank lines and nulls malformed ones, so lines are read as text,
-validated with a Catalyst strict-JSON check, and only then parsed with a fixed
-schema.  The failing file and line number are computed only on failure.
+Reads are strict: every line, blank ones included, must be one JSON object
+whose values fit the schema, as with a line-by-line ``json.loads``.  Spark's
+JSON reader skips blank lines and nulls what does not fit, so lines are read as
+text and checked in the same plan that parses them: a bad line fails the job
+from inside the scan.  Only then a second pass finds its file and line number.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from typing import TypeVar
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -18,8 +20,12 @@ from ..functions.constants import SPLIT_FILE_SUFFIX
 from ..functions.jsonexpr import strict_json_ok
 
 CLAUSE_SCHEMA = ("item_id long, split string, clause string, clause_with_context string, "
-                 "contract_type string, label string, rationale string, model string, "
-                 "temperature double, top_p double")
+                 "contract_type string, label string, rationale string, reasoning_trace string, "
+                 "model string, temperature double, top_p double")
+
+_BAD_LINE = "LABELFORGE_INVALID_JSONL_LINE"
+_CORRUPT = "__corrupt"
+T = TypeVar("T")
 
 
 class DatasetError(ValueError):
@@ -30,14 +36,26 @@ class DatasetError(ValueError):
         self.expected_format, self.actual_format = expected_format, actual_format
 
 
+def _fs(spark: SparkSession, path: str):
+    """(file system, path) of the Hadoop API for ``path``, whatever its store."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
+
+
 def _hadoop_exists(spark: SparkSession, path: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return bool(fs.exists(p))
+    fs, p = _fs(spark, path)
+    return bool(fs.globStatus(p)) if "*" in path else bool(fs.exists(p))
 
 
-def _first_bad_line(spark: SparkSession, path: str) -> tuple[str, int]:
+def _parsed(value: Column, schema: str | StructType) -> tuple[Column, Column]:
+    """(parsed struct, whether the line is a JSON object that fits ``schema``)."""
+    ddl = schema if isinstance(schema, str) else ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema)
+    r = F.from_json(value, f"{ddl}, {_CORRUPT} string", {"columnNameOfCorruptRecord": _CORRUPT})
+    ok = strict_json_ok(value) & F.btrim(value, F.lit(" \t\r\n")).startswith("{") & r[_CORRUPT].isNull()
+    return r, F.coalesce(ok, F.lit(False))
+
+
+def _first_bad_line(spark: SparkSession, path: str, schema: str | StructType) -> tuple[str, int]:
     """Second pass, run only after a failure: the first bad (file, 1-based line).
 
     Line numbers come from per-block line counts (one row per file block),
@@ -50,8 +68,7 @@ def _first_bad_line(spark: SparkSession, path: str) -> tuple[str, int]:
     blocks = lines.groupBy("f", "b", "pid").agg(F.min("mid").alias("m0"), F.count(F.lit(1)).alias("n"))
     w = Window.partitionBy("f").orderBy("b").rowsBetween(Window.unboundedPreceding, -1)
     blocks = blocks.select("f", "b", "pid", "m0", F.coalesce(F.sum("n").over(w), F.lit(0)).alias("off"))
-    ok = F.coalesce(strict_json_ok(F.col("value")) & F.btrim(F.col("value")).startswith("{"), F.lit(False))
-    bad = lines.filter(~ok).join(blocks, ["f", "b", "pid"])  # blocks: one row per file split
+    bad = lines.filter(~_parsed(F.col("value"), schema)[1]).join(blocks, ["f", "b", "pid"])  # one row per file split
     first = (bad.select("f", (F.col("off") + F.col("mid") - F.col("m0") + 1).alias("line"))
              .orderBy("f", "line").first())
     return first["f"], int(first["line"])
@@ -59,19 +76,31 @@ def _first_bad_line(spark: SparkSession, path: str) -> tuple[str, int]:
 
 def read_jsonl(spark: SparkSession, path: str, schema: str | StructType = CLAUSE_SCHEMA,
                strict: bool = True) -> DataFrame:
-    """Strict JSONL scan with a fixed schema; ``path`` may be a directory."""
+    """Strict JSONL scan with a fixed schema; ``path`` may be a directory.
+
+    Lazy and one pass: a line that is no JSON object, or whose values do not fit
+    the schema, fails the action that reads it; run that action through
+    ``checked`` for a ``DatasetError`` naming file and line.  Keys outside the
+    schema are not read.
+    """
     if not _hadoop_exists(spark, path):
         raise DatasetError(f"Data file not found: {path}", file_path=path)
-    raw = spark.read.text(path)
+    r, ok = _parsed(F.col("value"), schema)
     if strict:
-        trimmed = F.btrim(F.col("value"))
-        ok = strict_json_ok(F.col("value")) & trimmed.startswith("{")
-        n_bad = raw.filter(~F.coalesce(ok, F.lit(False))).limit(1).count()
-        if n_bad:
-            f, line = _first_bad_line(spark, path)
-            raise DatasetError(f"Invalid JSON on line {line} in {f}", file_path=f, line=line,
-                               actual_format="Invalid JSON")
-    return raw.select(F.from_json("value", schema).alias("r")).select("r.*")
+        r = F.when(ok, r).otherwise(F.raise_error(F.concat(F.lit(f"{_BAD_LINE}: "), F.substring("value", 1, 200))))
+    return spark.read.text(path).select(r.alias("r")).select("r.*").drop(_CORRUPT)
+
+
+def checked(spark: SparkSession, path: str, action: Callable[[], T], schema: str | StructType = CLAUSE_SCHEMA) -> T:
+    """``action()``; when it fails on a bad line of ``path``, a ``DatasetError``
+    with the file and line number (found by a second pass)."""
+    try:
+        return action()
+    except Exception as e:  # noqa: BLE001 - re-raised below unless it is our marker
+        if _BAD_LINE not in str(e):
+            raise
+    f, line = _first_bad_line(spark, path, schema)
+    raise DatasetError(f"Invalid JSON on line {line} in {f}", file_path=f, line=line, actual_format="Invalid JSON")
 
 
 def require_splits(spark: SparkSession, data_dir: str, splits=("train", "validation")) -> dict:
@@ -91,21 +120,29 @@ def write_jsonl(df: DataFrame, data_dir: str, overwrite: bool = False, write_ful
     """S3 + S4: one JSONL dataset per split (``<split>_data_with_rationales.jsonl``,
     a directory of part files) and optionally ``full_...`` with every row.
 
-    Without ``overwrite``, nothing is written when any split output exists
-    (directory-wide skip).  Nulls are written as JSON nulls.  Returns whether
-    it wrote.
+    All splits are written by one job, however many there are; rows without a
+    split go to ``__HIVE_DEFAULT_PARTITION___data_with_rationales.jsonl``.
+    Without ``overwrite`` nothing is written when the folder holds any
+    ``*_data_with_rationales.jsonl``; with it, those are replaced.  Nulls are
+    written as JSON nulls.  Returns whether it wrote.
     """
     spark = df.sparkSession
-    splits_present = [r[0] for r in df.select("split").distinct().limit(65).collect()]
-    targets = {s: f"{data_dir.rstrip('/')}/{s}{SPLIT_FILE_SUFFIX}" for s in splits_present}
-    if write_full:
-        targets["full"] = f"{data_dir.rstrip('/')}/full{SPLIT_FILE_SUFFIX}"
-    if not overwrite and any(_hadoop_exists(spark, p) for p in targets.values()):
+    base = data_dir.rstrip("/")
+    fs, folder = _fs(spark, base)
+    there = fs.globStatus(_fs(spark, f"{base}/*{SPLIT_FILE_SUFFIX}")[1]) if fs.exists(folder) else []
+    if there and not overwrite:
         return False
-    mode = "overwrite"
-    for s, p in targets.items():
-        part = df if s == "full" else df.filter(F.col("split") == s)
-        part.write.mode(mode).option("ignoreNullFields", "false").json(p)
+    for status in there or []:
+        fs.delete(status.getPath(), True)
+    parts = f"{base}/_splits"
+    (df.withColumn("_file", F.col("split")).write.mode("overwrite").partitionBy("_file")
+     .option("ignoreNullFields", "false").json(parts))
+    for status in fs.globStatus(_fs(spark, f"{parts}/_file=*")[1]) or []:
+        name = status.getPath().getName().removeprefix("_file=")
+        fs.rename(status.getPath(), _fs(spark, f"{base}/{name}{SPLIT_FILE_SUFFIX}")[1])
+    fs.delete(_fs(spark, parts)[1], True)
+    if write_full:
+        df.write.mode("overwrite").option("ignoreNullFields", "false").json(f"{base}/full{SPLIT_FILE_SUFFIX}")
     return True
 
 
@@ -138,30 +175,14 @@ def handoff(df: DataFrame, path: str) -> DataFrame:
     return df.sparkSession.read.parquet(path)
 
 
-_BAD_LINE = "LABELFORGE_INVALID_JSONL_LINE"
-
-
 def ingest_jsonl(spark: SparkSession, path: str, out_path: str,
                  schema: str | StructType = CLAUSE_SCHEMA) -> DataFrame:
     """S1 + S6 in one pass: strict-check, parse and write Parquet in a single job.
 
-    A bad line aborts the job from inside the scan (``raise_error``); only then
-    a second pass locates it and a ``DatasetError`` names file and line.  On
-    success the Parquet copy is returned, so later steps get column pruning and
-    predicate pushdown instead of re-parsing text.
+    A bad line aborts the job from inside the scan and gives a ``DatasetError``
+    that names file and line.  On success the Parquet copy is returned, so later
+    steps get column pruning and predicate pushdown instead of parsing text again.
     """
-    if not _hadoop_exists(spark, path):
-        raise DatasetError(f"Data file not found: {path}", file_path=path)
-    v = F.col("value")
-    ok = F.coalesce(strict_json_ok(v) & F.btrim(v).startswith("{"), F.lit(False))
-    guarded = F.when(ok, v).otherwise(F.raise_error(F.lit(_BAD_LINE)).cast("string"))
-    parsed = spark.read.text(path).select(F.from_json(guarded, schema).alias("r")).select("r.*")
-    try:
-        parsed.write.mode("overwrite").parquet(out_path)
-    except Exception as e:  # noqa: BLE001 - re-raised below unless it is our marker
-        if _BAD_LINE not in str(e):
-            raise
-        f, line = _first_bad_line(spark, path)
-        raise DatasetError(f"Invalid JSON on line {line} in {f}", file_path=f, line=line,
-                           actual_format="Invalid JSON") from None
+    parsed = read_jsonl(spark, path, schema)
+    checked(spark, path, lambda: parsed.write.mode("overwrite").parquet(out_path), schema)
     return spark.read.parquet(out_path)

@@ -7,15 +7,6 @@ from pyspark.sql import DataFrame, SparkSession
 TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
           "documents", "embeddings", "pages", "benchmark", "labels", "conversations"]
 
-_READS: dict = {}
-
-
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """Lazy scan of one table.  The DataFrame (file listing + footer schema) is
-    reused per session and path; every action still reads the files anew."""
-    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    key = (spark.sparkContext.applicationId, id(spark), path)
-    df = _READS.get(key)
-    if df is None:
-        df = _READS[key] = spark.read.parquet(path)
-    return df
+    """Lazy scan of one table; files are listed anew on every call."""
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")

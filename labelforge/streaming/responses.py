@@ -44,8 +44,9 @@ def start_pair_count_sink(counts: DataFrame, table_path: str, checkpoint: str, t
     """Write the running pair counts as a parquet snapshot after every micro-batch.
 
     ``foreachBatch`` receives the complete aggregate each batch (small: models x
-    labels^2) and overwrites the snapshot, so readers always see a whole table.
-    The checkpoint folder must be on shared storage.
+    labels^2) and overwrites the snapshot.  A reader that lists the folder during an
+    overwrite can miss files; read it between batches, or again on failure.  The
+    checkpoint folder must be on shared storage.
     """
     def write(batch: DataFrame, _epoch: int) -> None:
         batch.write.mode("overwrite").parquet(table_path)

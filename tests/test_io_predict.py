@@ -23,7 +23,7 @@ def test_strict_read_reports_line(spark):
     p = os.path.join(d, "x.jsonl")
     _write(p, ['{"item_id": 1, "label": "A"}', '{"item_id": 2, "label": "Ω"}', "{bad json", '{"item_id": 4}'])
     with pytest.raises(S.DatasetError) as e:
-        S.read_jsonl(spark, p).collect()
+        S.checked(spark, p, lambda: S.read_jsonl(spark, p).collect())
     assert e.value.line == 3 and e.value.file_path.endswith("x.jsonl")
 
 
@@ -32,10 +32,32 @@ def test_blank_line_is_an_error(spark):
     p = os.path.join(d, "x.jsonl")
     _write(p, ['{"item_id": 1}', "", '{"item_id": 3}'])
     with pytest.raises(S.DatasetError) as e:
-        S.read_jsonl(spark, p)
+        S.checked(spark, p, lambda: S.read_jsonl(spark, p).collect())
     assert e.value.line == 2
 
 
+def test_values_that_do_not_fit_are_errors_and_json_white_space_is_not(spark):
+    d = tempfile.mkdtemp(prefix="lf-jsonl-")
+    p = os.path.join(d, "x.jsonl")
+    _write(p, ['\t{"item_id": 1, "reasoning_trace": "t"} ', '{"item_id": "abc"}'])
+    with pytest.raises(S.DatasetError) as e:
+        S.checked(spark, p, lambda: S.read_jsonl(spark, p).collect())
+    assert e.value.line == 2
+    _write(p, ['\t{"item_id": 1, "reasoning_trace": "t"} '])
+    assert S.read_jsonl(spark, p).select("item_id", "reasoning_trace").collect() == [(1, "t")]
+
+
+def test_many_splits_and_a_null_split_are_all_written_and_guarded(spark):
+    rows = [(i, None if i == 66 else f"s{i}") for i in range(67)]
+    df = spark.createDataFrame(rows, "item_id long, split string")
+    out = os.path.join(tempfile.mkdtemp(prefix="lf-out-"), "data")
+    assert S.write_jsonl(df, out, write_full=False) is True
+    back = spark.read.json(f"{out}/*_data_with_rationales.jsonl", schema="item_id long, split string")
+    assert sorted(map(tuple, back.collect())) == rows
+    # another split's file in the folder guards it as a whole
+    assert S.write_jsonl(df.filter("split = 's1'").withColumn("split", F.lit("new")), out) is False
+
+
 def test_valid_file_and_missing_keys(spark):
     d = tempfile.mkdtemp(prefix="lf-jsonl-")
     p = os.path.join(d, "x.jsonl")

@@ -35,12 +35,35 @@ def test_exact_split_size(spark):
     assert s.count() == n
 
 
-def test_first_k_large_path_equals_take_ordered(spark, monkeypatch):
+def test_first_k_equals_a_sort_at_every_k(spark):
     c = Q.clauses(spark, SF_SMALL).select("item_id")
-    want = _ids(c.orderBy("item_id").limit(37))
-    monkeypatch.setattr(ranking, "TAKE_ORDERED_MAX", 5)
-    got = _ids(ranking.first_k(c.repartition(5), [F.col("item_id")], 37))
-    assert got == want
+    for k in (1, 37, 200, 1000):
+        want = _ids(c.orderBy("item_id").limit(k))
+        assert _ids(ranking.first_k(c.repartition(5), ["item_id"], k, ranking.number_bucket("item_id"))) == want
+    one = spark.createDataFrame([(7,)], "item_id long")
+    assert _ids(ranking.first_k(one, ["item_id"], 1, ranking.number_bucket("item_id"))) == [(7,)]
+    assert _ids(ranking.first_k(one.limit(0), ["item_id"], 1, ranking.number_bucket("item_id"))) == []
+
+
+def test_cap_keeps_every_split_name(spark):
+    from labelforge.operators import records as Fr
+    rows = [(i, s) for i, s in enumerate(["train", "val", None, "odd"] * 5)]
+    df = spark.createDataFrame(rows, "item_id long, split string")
+    assert Fr.cap_first_n(df, 100).count() == 20
+    got = Fr.cap_first_n(df, 2).groupBy("split").count().collect()
+    assert {r["split"]: r["count"] for r in got} == {"train": 2, "val": 2, None: 2, "odd": 2}
+
+
+def test_split_hash_at_both_ends(spark):
+    c = Q.clauses(spark, SF_SMALL).select("item_id")
+    for share, want in ((0.0, {"train"}), (1.0, {"validation"})):
+        assert {r["role"] for r in P.split_hash(c, share).select("role").distinct().collect()} == want
+        assert {r["role"] for r in P.split_exact(c, share).select("role").distinct().collect()} == want
+
+
+def test_one_dataset_without_splits_is_carved(spark):
+    c = Q.clauses(spark, SF_SMALL).select("item_id")
+    assert _ids(P.resolve_splits(c)) == _ids(P.split_hash(c))
 
 
 def test_unseeded_shuffle_records_seed(spark):
