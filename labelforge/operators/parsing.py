@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from ..functions import jsonexpr as J
 from ..functions.constants import (DIAG_DECODE, DIAG_INVALID, DIAG_MISSING, DIAG_NO_JSON,
@@ -15,6 +16,7 @@ from .labels import valid_labels as _valid_labels
 # it instead of being pushed down and inlining every stage (see text.plan_barrier).
 BARRIER = "CASE WHEN spark_partition_id() < 0 THEN NULL ELSE {} END"
 S, Q_ = J.sql_str, J.q
+MAX_LABELS = 10_000  # labels of a derived label table
 
 
 def parse_simple(df: DataFrame, response: str = "response") -> DataFrame:
@@ -57,7 +59,7 @@ def parse_diagnostics(df: DataFrame, response: str = "response", labels: list[st
 
     Labels are valid when they are in ``labels`` (a list, by default the schema
     without NONE) or, if given, in ``label_table`` (column ``label``, for
-    example the labels derived from the data; joined, of any size).
+    example the labels derived from the data; at most ``MAX_LABELS``).
 
     Codes, first match wins: NO_RESPONSE, NO_JSON_FOUND, JSON_DECODE_ERROR,
     MISSING_LABEL_FIELD, INVALID_LABEL; ``ok`` otherwise.
@@ -72,11 +74,12 @@ def parse_diagnostics(df: DataFrame, response: str = "response", labels: list[st
     x = x.selectExpr("*", f"{J.sql_strip('_raw')} AS _norm")
     in_schema = "_norm IN (" + ", ".join(S(v) for v in labels) + ")" if labels else "false"
     if label_table is not None:
-        known = label_table.selectExpr("label AS _known").distinct()
-        # the barrier keeps the join's constraints from inlining every parser stage
-        x = x.selectExpr(*[Q_(c) for c in x.columns if c != "_norm"], f"{BARRIER.format('_norm')} AS _norm")
-        x = x.join(known, x["_norm"] == known["_known"], "left")
-        in_schema = "_known IS NOT NULL"
+        # one value for the whole table, as a label list stands in every prompt; its size is checked
+        found = F.sort_array(F.collect_set("label"))
+        checked = F.when(F.size(found) <= MAX_LABELS, found).otherwise(
+            F.raise_error(F.lit(f"more than {MAX_LABELS} derived labels")))
+        x = x.withColumn("_known", label_table.agg(checked.alias("labels")).scalar())
+        in_schema = "array_contains(_known, _norm)"
     stage = (f"CASE WHEN _blank THEN 0 WHEN _span IS NULL THEN 1 WHEN _v IS NULL THEN 2 "
              f"WHEN _raw IS NULL OR _norm = '' THEN 3 WHEN NOT ({in_schema}) THEN 4 ELSE 5 END")
     x = x.selectExpr("*", f"{BARRIER.format(stage)} AS _stage")
@@ -98,3 +101,4 @@ def parse_diagnostics(df: DataFrame, response: str = "response", labels: list[st
         "CASE WHEN _stage >= 4 THEN _raw END AS parsed_label",
         "CASE WHEN _stage >= 4 THEN _norm END AS normalized_label",
     )
+
