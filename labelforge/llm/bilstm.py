@@ -158,8 +158,10 @@ class Tagger:
         np.add.at(g["E"], x, demb)
         return g
 
-    def train(self, x: np.ndarray, y: np.ndarray, epochs: int = 10, rate: float = 0.02, seed: int = 11) -> Tagger:
-        """Adam on the CRF log-likelihood of tag rows ``y`` for character rows ``x``."""
+    def train(self, x: np.ndarray, y: np.ndarray, steps: int = 400, rate: float = 0.02, seed: int = 11) -> Tagger:
+        """Adam on the CRF log-likelihood of tag rows ``y`` for character rows ``x``:
+        whole passes over the rows, ``steps`` updates of 64 rows at least."""
+        epochs = -(-steps // -(-len(x) // 64))
         r = np.random.default_rng(seed)
         m = {k: np.zeros_like(v) for k, v in self.p.items()}
         v2 = {k: np.zeros_like(v) for k, v in self.p.items()}
