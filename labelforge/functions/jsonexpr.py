@@ -16,6 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import apply_required_conf
 from .constants import LABEL_KEY_NAMES, LABEL_KEY_WRAPPERS, PY_WHITESPACE
 from .text import col_
 
@@ -95,7 +96,10 @@ def strict_json_ok(c) -> Column:
 
 
 def with_strict_json(df: DataFrame, src: str, out: str) -> DataFrame:
-    """VARIANT of a strictly valid JSON text, else null (see ``strict_json_ok``)."""
+    """VARIANT of a strictly valid JSON text, else null (see ``strict_json_ok``).
+    Duplicate keys are valid, the last one counts: the session setting that this
+    needs is made here."""
+    apply_required_conf(df.sparkSession)
     x = _stage(df, _arr=f"try_parse_json('[' || {q(src)} || ']')", _obj=f"try_parse_json('{{\"w\":' || {q(src)} || '}}')")
     x = _stage(x, **{out: "CASE WHEN try_variant_get(_arr, '$[1]', 'variant') IS NULL AND _obj IS NOT NULL "
                           "THEN try_variant_get(_arr, '$[0]', 'variant') END"})

@@ -183,20 +183,19 @@ def loss_spans(turns: Column, tpl: ChatTemplate = GEMMA3, train_role: str = "ass
     """0-based half-open char spans of trained text in the rendered chat.
 
     Each span starts after a response marker and runs to the start of the next
-    turn (or the end): the assistant text plus its end-of-turn marker.
+    turn (or the end): the assistant text plus its end-of-turn marker.  One pass
+    over the turns carries the offset; for long conversations use
+    ``loss_span_rows``.
     """
-    ps = _pieces(turns, tpl)
-    lens = F.transform(ps, lambda p: F.length(p["piece"]).cast("long"))
-    bos = F.lit(len(tpl.bos)).cast("long")
-
-    def span(p, i):
-        start = bos + F.aggregate(F.slice(lens, 1, i), F.lit(0).cast("long"), lambda a, b: a + b)
-        return F.struct(p["role"].alias("role"),
-                        (start + p["prefix_len"]).alias("start"),
-                        (start + F.length(p["piece"])).alias("end"))
-    spans = F.transform(ps, span)
-    return F.transform(F.filter(spans, lambda s: s["role"] == train_role),
-                       lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end")))
+    span = "struct<start:bigint,end:bigint>"
+    zero = F.struct(F.lit(len(tpl.bos)).cast("long").alias("at"), F.array().cast(f"array<{span}>").alias("spans"))
+
+    def step(acc, p):
+        end = acc["at"] + F.length(p["piece"])
+        own = F.struct((acc["at"] + p["prefix_len"]).cast("long").alias("start"), end.cast("long").alias("end"))
+        trained = F.when(p["role"] == train_role, F.concat(acc["spans"], F.array(own))).otherwise(acc["spans"])
+        return F.struct(end.cast("long").alias("at"), trained.cast(f"array<{span}>").alias("spans"))
+    return F.aggregate(_pieces(turns, tpl), zero, step, lambda acc: acc["spans"])
 
 
 def turn_offsets(df: DataFrame, key: str = "conv_id", order: str = "turn", tpl: ChatTemplate = GEMMA3) -> DataFrame:

@@ -18,7 +18,6 @@ REQUIRED_CONF = {
     # json.loads keeps the last of duplicate keys; variant parsing rejects
     # duplicates unless this is on (then last wins as well).
     "spark.sql.variant.allowDuplicateKeys": "true",
-    "spark.sql.session.timeZone": "UTC",
 }
 
 
@@ -29,6 +28,7 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
         SparkSession.builder.master(master)
         .appName(app_name)
         .config("spark.ui.enabled", "false")
+        .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         # coalesce small shuffles to the advisory size instead of keeping one
@@ -49,9 +49,11 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
 
 
 def apply_required_conf(spark: SparkSession) -> None:
-    """Set the semantic confs on an existing session (idempotent)."""
+    """Set the confs the parsers need for right results, where they are not set
+    (idempotent; every parser entry point calls it)."""
     for k, v in REQUIRED_CONF.items():
-        spark.conf.set(k, v)
+        if spark.conf.get(k, None) != v:
+            spark.conf.set(k, v)
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
@@ -124,18 +126,21 @@ def input_bytes(spark: SparkSession, paths: list[str]) -> int:
 
 
 def size_partitions(spark: SparkSession, paths: list[str], target_bytes: int = 256 << 20,
-                    expansion: float = 3.0, min_partitions: int | None = None) -> dict:
+                    expansion: float = 3.0, min_partitions: int | None = None,
+                    max_partitions: int = 65_536) -> dict:
     """Size shuffle and scan partitions from the input volume.
 
     Shuffle partitions = ceil(input bytes x ``expansion`` / ``target_bytes``)
-    (columnar files grow when decoded), at least 2 x default parallelism; AQE
+    (columnar files grow when decoded), at least 2 x default parallelism and at
+    most ``max_partitions`` (what one shuffle can track well; pass the paths that
+    feed the largest shuffle, not all inputs of a job).  AQE
     then coalesces small partitions towards ``target_bytes`` and splits skewed
     ones.  Scan splits are capped at ``target_bytes`` as well.  Returns the
     settings applied.
     """
     n_bytes = input_bytes(spark, paths)
     floor = min_partitions or 2 * spark.sparkContext.defaultParallelism
-    shuffle = max(floor, -(-int(n_bytes * expansion) // target_bytes))
+    shuffle = max(floor, min(max_partitions, -(-int(n_bytes * expansion) // target_bytes)))
     settings = {
         "spark.sql.shuffle.partitions": str(shuffle),
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_bytes),

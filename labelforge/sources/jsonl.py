@@ -18,6 +18,7 @@ from pyspark.sql.types import StructType
 
 from ..functions.constants import SPLIT_FILE_SUFFIX
 from ..functions.jsonexpr import strict_json_ok
+from ..session import apply_required_conf
 
 CLAUSE_SCHEMA = ("item_id long, split string, clause string, clause_with_context string, "
                  "contract_type string, label string, rationale string, reasoning_trace string, "
@@ -85,6 +86,7 @@ def read_jsonl(spark: SparkSession, path: str, schema: str | StructType = CLAUSE
     """
     if not _hadoop_exists(spark, path):
         raise DatasetError(f"Data file not found: {path}", file_path=path)
+    apply_required_conf(spark)
     r, ok = _parsed(F.col("value"), schema)
     if strict:
         r = F.when(ok, r).otherwise(F.raise_error(F.concat(F.lit(f"{_BAD_LINE}: "), F.substring("value", 1, 200))))
