@@ -24,11 +24,30 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     and read it back: the lineage ends there, so a lost executor costs its own
     tasks only, and every later branch reads the same rows."""
     spark = df.sparkSession
-    path = f"{checkpoint_dir(spark).rstrip('/')}/llm-{uuid.uuid4().hex}/{name}"
+    path = shared_folder(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+_FOLDERS: dict[str, list[str]] = {}      # by application
+
+
+def shared_folder(spark: SparkSession, name: str) -> str:
+    """A fresh path under the shared folder of the session."""
+    folder = f"{checkpoint_dir(spark).rstrip('/')}/llm-{uuid.uuid4().hex}"
+    _FOLDERS.setdefault(spark.sparkContext.applicationId, []).append(folder)
+    return f"{folder}/{name}"
+
+
+def drop_stages(spark: SparkSession) -> None:
+    """Delete what ``stage`` has written for this application; call it when the
+    results that read it are no longer needed."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    for folder in _FOLDERS.pop(spark.sparkContext.applicationId, []):
+        path = jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(conf).delete(path, True)
+
+
 def as_bytes(column: pa.ChunkedArray | pa.Array) -> list[bytes]:
     """UTF-8 bytes of a string column; null becomes empty."""
     return [x or b"" for x in column.cast(pa.binary()).to_pylist()]

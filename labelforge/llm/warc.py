@@ -24,15 +24,13 @@ from __future__ import annotations
 
 import hashlib
 import re
-import uuid
 
 import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import checkpoint_dir
-from .common import as_bytes, map_arrow, pieces
+from .common import as_bytes, map_arrow, pieces, shared_folder
 
 SMALLEST = 100
 _CONTROL = re.compile(r"[\x00-\x20\x7f]")
@@ -144,6 +142,6 @@ def records(spark: SparkSession, path: str) -> DataFrame:
 def round_trip(pages: DataFrame) -> DataFrame:
     """Write an archive of ``pages`` in the shared folder and read it back."""
     spark = pages.sparkSession
-    path = f"{checkpoint_dir(spark).rstrip('/')}/llm-{uuid.uuid4().hex}/archive"
+    path = shared_folder(spark, "archive")
     write_archive(pages, path)
     return read_archive(spark, path)
