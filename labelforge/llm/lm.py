@@ -42,7 +42,7 @@ VOCABULARY = 2048    # network outputs besides "other"
 HEAD = 100_000       # words looked up in tasks, at most
 ROUNDS = 2           # averaging rounds; every training document is in one
 WORD_BYTES = 64      # longer words go by their digest
-FAN_IN = 32          # weight vectors that one task adds up
+FAN_IN = 8           # weight vectors that one task, and at last the driver, adds up
 END = b""
 
 
