@@ -39,7 +39,7 @@ from .common import as_bytes, map_arrow, pieces, stage
 from .gru import Model
 
 VOCABULARY = 2048    # network outputs besides "other"
-HEAD = 100_000       # words looked up in tasks, at most
+HEAD = 65_536       # words looked up in tasks, at most
 ROUNDS = 2           # averaging rounds; every training document is in one
 WORD_BYTES = 64      # longer words go by their digest
 FAN_IN = 8           # weight vectors that one task, and at last the driver, adds up
