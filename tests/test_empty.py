@@ -1,7 +1,5 @@
 """Empty inputs give empty (or zero) results with the full output schema."""
 
-from pyspark.sql import functions as F
-
 from labelforge.operators import metrics as E
 from labelforge.operators import parsing as Rp
 from labelforge.operators import predict as I
@@ -18,7 +16,7 @@ def test_empty_row_operators(spark):
     assert Rp.parse_simple(resp).count() == 0 and Rp.parse_strict(resp).count() == 0
     items = spark.createDataFrame([], "item_id long, split string, label string")
     assert P.split_exact(items.select("item_id")).count() == 0
-    assert ranking.first_k(items, [F.col("item_id")], 10**6).count() == 0
+    assert ranking.first_k(items, ["item_id"], 10**6, ranking.number_bucket("item_id")).count() == 0
     assert Fr.cap_first_n(items, 5).count() == 0
     assert I.prediction_records(items, resp, ["m"]).count() == 0
     assert E.first_failures(d).count() == 0 and E.both_failed(d, ["a", "b"]).count() == 0
