@@ -5,10 +5,11 @@ and its text blocks, each with its path and content.  Over the pages of a host
 every token has an occurrence vector (how often it occurs in each page).
 Tokens of a host with equal vectors form an equivalence class; a class is valid
 when it has at least ``MIN_TOKENS`` tokens, a tag among them, and at least
-``MIN_PAGES`` pages and half of the host's pages support it.  Valid classes nest
-by their paths: the class of the page frame holds those of the regions inside
-it.  Together they are the host's template, and text that is no token of the
-template is what fills its slots.
+``MIN_PAGES`` pages and half of the host's pages support it.  Valid classes nest:
+the outermost tag of a class must stand at the top of the page or directly
+inside a tag of another class that is itself nested, its parent (``nest``).  The
+tree of nested classes is the host's template; classes that hang nowhere are not
+part of it.  Text that is no token of the template is what fills its slots.
 
 A page's text is what fills the slots inside its article: the ``article`` or
 ``main`` element if it has one (only elements that are no article text by their
@@ -213,44 +214,77 @@ def host(url: str | None) -> str:
 
 
 def _tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """One row per page and distinct token: host, token, whether a tag, its share of the two vector sums."""
+    """One row per page and distinct token: host, token, a tag's path, its share of the two vector sums."""
     for whole in batches:
         for batch in pieces(whole, "html", 2 << 20):
             rows = []
             for url, raw in zip(batch.column("url").to_pylist(), as_bytes(batch.column("html"))):
                 tags, blocks = parse(raw.decode("utf-8", "replace"))
                 own = xxhash.xxh64_intdigest(raw, 17) ^ xxhash.xxh64_intdigest((url or "").encode(), 5)
-                counts = Counter((_hash("t", p), True) for p in tags)
-                counts.update((_hash("x", b.path, b.text), False) for b in blocks)
-                counts[(0, True)] = 1                                  # the page itself
+                counts = Counter((_hash("t", p), p) for p in tags)
+                counts.update((_hash("x", b.path, b.text), None) for b in blocks)
+                counts[(0, None)] = 1                                  # the page itself
                 where = host(url)
-                for (token, tag), n in counts.items():
+                for (token, path), n in counts.items():
                     h = xxhash.xxh64_intdigest(b"%d,%d" % (own, n))
-                    rows.append((where, token, tag, h >> 33, h & 0x7FFFFFFF))
+                    rows.append((where, token, path, h >> 33, h & 0x7FFFFFFF))
             cols = zip(*rows)
-            types = [pa.string(), pa.int64(), pa.bool_(), pa.int64(), pa.int64()]
+            types = [pa.string(), pa.int64(), pa.string(), pa.int64(), pa.int64()]
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types)],
-                                             ["host", "token", "tag", "va", "vb"])
+                                             ["host", "token", "path", "va", "vb"])
 
 
 def equivalence_classes(pages: DataFrame) -> DataFrame:
-    """(host, va, vb, pages, tokens, texts): the valid classes of each host; ``va``
-    and ``vb`` stand for the occurrence vector, ``texts`` are its text tokens."""
-    counted = map_arrow(pages.select("url", "html"), _tokens, "host string, token long, tag boolean, va long, vb long")
-    vectors = counted.groupBy("host", "token", "tag").agg(
-        F.count(F.lit(1)).alias("pages"), F.sum("va").alias("va"), F.sum("vb").alias("vb")).filter(F.col("pages") >= MIN_PAGES)
+    """(host, va, vb, pages, tokens, paths, texts): the valid classes of each host;
+    ``va`` and ``vb`` stand for the occurrence vector, ``paths`` are the class's tag
+    tokens and ``texts`` its text tokens."""
+    counted = map_arrow(pages.select("url", "html"), _tokens, "host string, token long, path string, va long, vb long")
+    vectors = counted.groupBy("host", "token").agg(
+        F.count(F.lit(1)).alias("pages"), F.sum("va").alias("va"), F.sum("vb").alias("vb"), F.max("path").alias("path")
+    ).filter(F.col("pages") >= MIN_PAGES)
     vectors = stage(vectors, "token-vectors")
     total = vectors.filter("token = 0").select(F.col("host").alias("h"), F.col("pages").alias("of"))
     held = vectors.filter("token <> 0").join(total, F.col("host") == F.col("h")).filter(F.col("pages") * 2 >= F.col("of"))
     return held.groupBy("host", "va", "vb", "pages").agg(
-        F.count(F.lit(1)).alias("tokens"), F.max("tag").alias("framed"),
-        F.collect_list(F.when(~F.col("tag"), F.col("token"))).alias("texts")
-    ).filter((F.col("tokens") >= MIN_TOKENS) & F.col("framed")).drop("framed")
+        F.count(F.lit(1)).alias("tokens"), F.sort_array(F.collect_list("path")).alias("paths"),
+        F.collect_list(F.when(F.col("path").isNull(), F.col("token"))).alias("texts")
+    ).filter((F.col("tokens") >= MIN_TOKENS) & (F.size("paths") > 0))
+
+
+def nest(paths: list[list[str]]) -> list[int | None]:
+    """Parent of each class, given the tag paths of the classes: -1 at the top of
+    the page, None for a class that hangs nowhere."""
+    owner = {p: k for k, own in enumerate(paths) for p in own}
+    root = [min(own, key=lambda p: (p.count("/"), p)) for own in paths]
+    parent: list[int | None] = [None] * len(paths)
+    for k in sorted(range(len(paths)), key=lambda k: root[k].count("/")):       # outermost first
+        above = root[k].rpartition("/")[0]
+        if not above:
+            parent[k] = -1
+        elif (holder := owner.get(above)) is not None and holder != k and parent[holder] is not None:
+            parent[k] = holder
+    return parent
 
 
 def templates(pages: DataFrame) -> DataFrame:
-    """(host, texts): the text tokens of all valid classes of a host, one bounded row."""
-    return equivalence_classes(pages).groupBy("host").agg(F.flatten(F.collect_list("texts")).alias("texts"))
+    """(host, texts, tree): a host's template, one bounded row -- the text tokens of
+    its nested classes, and per nested class (class, parent, root, tokens)."""
+    def run(batches):
+        for batch in batches:
+            rows = []
+            for where, classes in zip(batch.column("host").to_pylist(), batch.column("classes").to_pylist()):
+                parent = nest([c["paths"] for c in classes])
+                kept = [k for k, p in enumerate(parent) if p is not None]
+                rows.append((where, [t for k in kept for t in classes[k]["texts"]],
+                             [{"class": k, "parent": parent[k], "root": min(classes[k]["paths"], key=lambda p: (p.count("/"), p)),
+                               "tokens": classes[k]["tokens"]} for k in kept]))
+            types = [pa.string(), pa.list_(pa.int64()), pa.list_(pa.struct(
+                [("class", pa.int32()), ("parent", pa.int32()), ("root", pa.string()), ("tokens", pa.int64())]))]
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types)], ["host", "texts", "tree"])
+    classes = equivalence_classes(pages).groupBy("host").agg(
+        F.sort_array(F.collect_list(F.struct("va", "vb", "tokens", "paths", "texts"))).alias("classes"))
+    return map_arrow(classes, run, "host string, texts array<bigint>, "
+                                   "tree array<struct<class:int,parent:int,root:string,tokens:bigint>>")
 
 
 def main_text(page: str, template: frozenset[int] | set[int]) -> str:

@@ -80,3 +80,20 @@ def test_equal_vectors_are_one_class_and_unequal_ones_are_not(spark):
             want.setdefault(tuple(v), []).append(token)
     sizes = sorted(len(t) for t in want.values() if len(t) >= extract.MIN_TOKENS and any(x[0] == "t" for x in t))
     assert sorted(c["tokens"] for c in extract.equivalence_classes(df).collect()) == sizes
+
+
+def test_classes_nest_into_a_tree(spark):
+    """Regions that only some pages have hang inside the frame that all have."""
+    assert extract.nest([["/html", "/html/body"], ["/html/body/div/p"], ["/html/body/ul", "/html/body/ul/li"], ["/x/y"]]) == \
+        [-1, None, 0, None]
+
+    def page(i):
+        box = "<div class=box><h2>Same box</h2><em>on these pages</em><p>more</p></div>" if i % 3 else ""
+        return f"<html><body><h1>t{i}</h1><table><tr><td>cell {i}</td></tr></table>{box}<p>own text {i}</p></body></html>"
+    df = spark.createDataFrame([(i, "http://n.org/", page(i), "", "", "") for i in range(12)], SCHEMA)
+    tree = extract.templates(df).first()["tree"]
+    frame = [c for c in tree if c["parent"] == -1]
+    assert len(frame) == 1 and frame[0]["root"] == "/html"
+    assert [c["root"] for c in tree if c["parent"] == frame[0]["class"]] == ["/html/body/div.box"]
+    got = {r["page_id"]: r["text"] for r in extract.extract(df).collect()}
+    assert got[4] == "t4\ncell 4\nown text 4"
