@@ -35,7 +35,7 @@ from pyspark.sql.types import ArrayType, IntegerType
 
 from .common import as_bytes, map_arrow, pieces
 
-MEMO = 500_000   # encoded chunks a task keeps at hand
+MEMO = 200_000   # encoded chunks a task keeps at hand
 SLICE = 2 << 20   # bytes of text encoded at a time
 _CHUNKS = re.compile(r" (?=\S)").split
 _NORMAL, _UNKNOWN, _BPE = 1, 2, 2     # enum values of the model format
@@ -158,18 +158,6 @@ class Codec:
         return b"".join(map(self.bytes.__getitem__, ids))
 
 
-_CODECS: dict[bytes, Codec] = {}
-
-
-def _codec(model: bytes, ranks: np.ndarray, pattern: str) -> Codec:
-    """The codec of this worker process (built once for a model and pattern)."""
-    key = hashlib.sha256(model + ranks.tobytes() + pattern.encode()).digest()
-    if key not in _CODECS:
-        _CODECS.clear()
-        _CODECS[key] = Codec(model, ranks, pattern)
-    return _CODECS[key]
-
-
 def _model(path: str) -> tuple[bytes, np.ndarray]:
     ranks = load_ranks(path)
     return serialise(ranks), np.array(sorted(ranks.values()), np.int64)
@@ -185,7 +173,7 @@ def digests(docs: DataFrame, path: str, pattern: str) -> DataFrame:
     model, ranks = _model(path)
 
     def run(batches):
-        codec = _codec(model, ranks, pattern)
+        codec = Codec(model, ranks, pattern)
         for whole in batches:
             for batch in pieces(whole, "text", SLICE):
                 rows = []
@@ -209,7 +197,7 @@ def encode(docs: DataFrame, path: str, pattern: str) -> DataFrame:
     kept = [c for c in docs.columns if c not in ("text", "ids", "n_tokens")]
 
     def run(batches):
-        codec = _codec(model, ranks, pattern)
+        codec = Codec(model, ranks, pattern)
         for whole in batches:
             for batch in pieces(whole, "text", SLICE):
                 ids = [[i for own, _ in parts for i in own] for parts in codec.encode_all(_texts(batch))]
@@ -226,7 +214,7 @@ def decode(tokens: DataFrame, path: str, pattern: str) -> DataFrame:
     model, ranks = _model(path)
 
     def run(batches):
-        codec = _codec(model, ranks, pattern)
+        codec = Codec(model, ranks, pattern)
         for whole in batches:
             for at in range(0, whole.num_rows, 256):
                 batch = whole.slice(at, 256)

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
+import gc
 import uuid
 from collections.abc import Callable, Iterator
 
@@ -53,10 +56,26 @@ def as_bytes(column: pa.ChunkedArray | pa.Array) -> list[bytes]:
     return [x or b"" for x in column.cast(pa.binary()).to_pylist()]
 
 
+def give_back() -> None:
+    """Return freed memory to the system: Python workers outlive their tasks, and
+    what one operator has used would otherwise count against the next one."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):       # glibc only
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+
+
 def map_arrow(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema) -> DataFrame:
-    """``mapInArrow`` with this package present on the executors."""
+    """``mapInArrow`` with this package present on the executors; a task leaves no
+    memory behind in its worker."""
     ship_package(df.sparkSession)
-    return df.mapInArrow(fn, schema)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from fn(batches)
+        finally:
+            give_back()
+    return df.mapInArrow(run, schema)
 
 
 def pieces(batch: pa.RecordBatch, column: str, limit: int = 8 << 20) -> Iterator[pa.RecordBatch]:
