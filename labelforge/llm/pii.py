@@ -4,13 +4,15 @@ The base rules (email, ip, card, phone) run over every whole text.  The tagger
 is trained in numpy on labelled spans: at most ``SAMPLE`` windows per kind and
 as many without any, those with the smallest hash, labelled by the base rules,
 and copies of them in which separators, plus signs and at signs are written in
-other ways, labels kept.  It then reads every stretch of text around a digit or
-an at sign in overlapping windows.  Each window is decoded by itself; globally,
-every character takes the tag of the window in which it lies farthest from an
-edge, and spans are read off these tags.  A tagged span counts when it touches
-no base span and has the shape its kind demands (``plausible``), which always
-needs digits or an at sign -- so text that is near neither cannot hold a span,
-and leaving it out loses nothing.
+other ways, labels kept.  It then reads every stretch of text around a digit, an
+at sign or one of its other writings in overlapping windows.  Each window is
+decoded by itself; globally, every character takes the tag of the window in
+which it lies farthest from an edge, and spans are read off these tags (pieces
+of one address are one span, ``_whole``).  A tagged span counts when it touches
+no base span and has the shape its kind demands (``plausible``): an address has
+one of "@", "(at)", "[at]", the other kinds have a digit every few characters.
+The stretches take in whatever can be part of an address around its at sign, of
+any length (``_address``), so text outside of them cannot be in a span.
 
 Defined cases: null or empty text has no spans; without any labelled span there
 is no tagger and only base spans; rows are judged alone, so repeated rows agree;
@@ -24,6 +26,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
 
 import numpy as np
@@ -37,14 +40,16 @@ from .common import as_bytes, map_arrow, pieces, stage
 SAMPLE = 300     # training windows per kind
 WIDTH = 64       # characters of a window
 STRIDE = 32      # step between overlapping windows
-REACH = 32       # characters read on either side of a digit or at sign
+REACH = 32       # characters read on either side of a digit or a possible address
 
 _DOMAIN = re.compile(r"[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
 _LOCAL = re.compile(r"[A-Za-z0-9._%+-]*\Z")
 _DOTTED = re.compile(r"[0-9]+(?:\.[0-9]+)*")
 _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
-_TRIGGER = re.compile(r"[0-9@]")
+_TRIGGER = re.compile(r"[0-9@]")             # what a base span holds
+_AT = re.compile(r"@|\(at\)|\[at\]")
+_READ = re.compile(rf"[0-9]|{_AT.pattern}")   # what a tagged span holds
 _DIGITS = re.compile(r"[0-9]+")
 _NOT_LOCAL = re.compile(r"[^A-Za-z0-9._%+-]")
 
@@ -108,8 +113,11 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
 
 
 # ------------------------------------------------------------------ the tagger
+_HOST = r" ?[A-Za-z0-9-]+(?: ?(?:\.|\(dot\)|\[dot\]) ?[A-Za-z0-9-]+)+"
+_AFTER = re.compile(_HOST)
+_LABEL = re.compile(r"[A-Za-z0-9-]*")
 _SHAPES = (
-    re.compile(r"[A-Za-z0-9._%+-]+ ?(?:@|\(at\)|\[at\]) ?[A-Za-z0-9-]+(?: ?(?:\.|\(dot\)|\[dot\]) ?[A-Za-z0-9-]+)+"),
+    re.compile(rf"[A-Za-z0-9._%+-]+ ?(?:{_AT.pattern}){_HOST}"),
     re.compile(r"[0-9]{1,3}(?:\s?[.,]\s?[0-9]{1,3}){3}"),
     re.compile(r"[0-9](?:[ . _/-]{0,2}[0-9]){12,18}"),
     re.compile(r"(?:\+|00|\(0|0|\()[0-9](?:[ .()/ -]{0,3}[0-9]){7,14}"),
@@ -128,20 +136,26 @@ def plausible(piece: str, kind: int) -> bool:
     return kind == 0 or 9 <= len(digits) <= 15
 
 
+def _address(text: str, start: int, end: int) -> tuple[int, int] | None:
+    """The longest address whose at sign stands at ``start``:``end``."""
+    host = _AFTER.match(text, end)
+    at = start - (start > 0 and text[start - 1] == " ")
+    first = at
+    while first and not _NOT_LOCAL.match(text, first - 1):
+        first -= 1
+    return (first, host.end()) if host and first < at else None
+
+
 def windows(text: str) -> Iterator[tuple[int, int]]:
-    """Overlapping windows (start, end) that cover all text near a digit or at sign."""
-    begin = end = -1
-    regions = []
-    for m in _TRIGGER.finditer(text):
-        a, b = max(0, m.start() - REACH), min(len(text), m.end() + REACH)
-        if a <= end:
-            end = b
+    """Overlapping windows (start, end) that cover all text near a digit or a possible address."""
+    near = [m.span() if m.group().isdigit() else _address(text, *m.span()) or m.span() for m in _READ.finditer(text)]
+    regions: list[tuple[int, int]] = []
+    for first, last in sorted(near):                        # a long address may reach back over digits
+        a, b = max(0, first - REACH), min(len(text), last + REACH)
+        if regions and a <= regions[-1][1]:
+            regions[-1] = (regions[-1][0], max(b, regions[-1][1]))
         else:
-            if end >= 0:
-                regions.append((begin, end))
-            begin, end = a, b
-    if end >= 0:
-        regions.append((begin, end))
+            regions.append((a, b))
     for a, b in regions:
         at = a
         while True:
@@ -188,13 +202,35 @@ def tagged_spans(texts: list[str], tagger: Tagger) -> list[list[tuple[int, int,
     return out
 
 
+def _whole(text: str, found: list[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
+    """``found`` with the tagged pieces of one address, the at sign's among them, as
+    one span: from the start of its local part to the end of its last tagged word."""
+    mail = [s for s in found if s[2] == 0]
+    starts, ends = [s[0] for s in mail], [s[1] for s in mail]
+    gone: set[tuple[int, int, int]] = set()
+    joined = []
+    for m in _AT.finditer(text) if mail else ():
+        whole = _address(text, *m.span())
+        if not whole or bisect_right(ends, m.start()) == bisect_left(starts, m.end()):
+            continue
+        own = mail[bisect_right(ends, whole[0]):bisect_left(starts, whole[1])]
+        end = min(whole[1], own[-1][1])
+        end = _LABEL.match(text, end).end() if text[end - 1].isalnum() else end
+        if plausible(text[whole[0]:end], 0):
+            gone.update(own)
+            joined.append((whole[0], end, 0))
+    return sorted([*(s for s in found if s not in gone), *joined])
+
+
 def _variants(text: str, spans: list[tuple[int, int, int]], turn: int) -> tuple[str, list[tuple[int, int, int]]]:
     """A labelled window with its spans written in another way."""
     out, moved, last = "", [], 0
     for a, b, kind in spans:
         piece = text[a:b]
         if kind == 0:
-            piece = piece.replace("@", (" @ ", "(at)", " [at] ", "@")[turn % 4]).replace(".", (".", "(dot)", " [dot] ")[turn % 3])
+            local, _, host = piece.partition("@")
+            host = host.replace(".", (".", " (dot) ", "(dot)", " [dot] ", "[dot]")[turn % 5])
+            piece = local + (" @ ", "(at)", " [at] ", "@", " (at) ", "[at]")[turn % 6] + host
         elif kind == 1:
             piece = piece.replace(".", (" . ", ",", ". ")[turn % 3])
         elif kind == 2:
@@ -260,7 +296,7 @@ def all_spans(texts: list[str], tagger: Tagger | None) -> list[tuple[list, list]
     out = []
     for text, own, found in zip(texts, base, tagged_spans(texts, tagger)):
         extra = []
-        for a, b, kind in found:
+        for a, b, kind in _whole(text, found):
             while a < b and text[a].isspace():
                 a += 1
             while b > a and text[b - 1].isspace():

@@ -128,3 +128,27 @@ def test_windows_cover_all_text_near_triggers_and_long_spans_are_one():
             return np.where(first, 5, np.where(d, 6, 0)).astype(np.int8)
     spans = pii.tagged_spans([text], Digits())[0]
     assert spans[0] == (500, 800, 2)                    # windows reconciled into one span
+
+
+def test_windows_cover_addresses_without_digit_or_at_sign():
+    local, host = "john.smith" * 9, " (dot) ".join(["department"] * 20)
+    for address in ("john.smith (at) example (dot) org", "a[at]b[dot]c", "a (at) b.c", f"{local} (at) {host}", f"{local}@{host}"):
+        text = "word " * 60 + address + " word" * 60
+        covered = np.zeros(len(text), bool)
+        for a, b in pii.windows(text):
+            covered[a:b] = True
+        assert covered[300 - pii.REACH:300 + len(address) + pii.REACH].all() and not covered[:200].any(), address
+        assert pii.plausible(address, 0)
+    assert list(pii.windows("look (at) this " * 3)) and not list(pii.windows("no address (dot) here"))
+    assert len(list(pii.windows("a" * 200_000 + "(at)" * 50_000 + "-" * 200_000))) > 0      # ends in time
+
+
+def test_address_without_digit_or_at_sign_is_redacted(spark):
+    r = random.Random(3)
+    word = lambda: "".join(r.choice("abcdehionrst") for _ in range(r.randrange(3, 9)))
+    rows = [(i, f"{word()} {word()} please write to {word()}.{word()}@{word()}.org or ask {word()} for it {word()}") for i in range(400)]
+    secret = "john.smith (at) example (dot) org"
+    rows.append((1000, f"the parents of the class may please write to {secret} or ask the office for it"))
+    df = spark.createDataFrame([(i, t, len(t), "s", "n") for i, t in rows], SCHEMA).repartition(2)
+    got = {x["doc_id"]: x["text"] for x in pii.redact(df).filter("doc_id = 1000").collect()}
+    assert got[1000] == rows[-1][1].replace(secret, "[EMAIL]")
