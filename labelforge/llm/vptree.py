@@ -12,7 +12,11 @@ each starting from the leaf it falls into.
 
 Scores are sums over the original vectors in double precision, component by
 component.  Equal vectors of a shard are one point of its tree with their
-smallest ids (more than k copies cannot all be among the k nearest).
+smallest ids (more than k copies cannot all be among the k nearest).  Points are
+numbered by smallest id, and a query keeps the best by (score, number), at least
+k + 1 because of its own row: of points with equal scores, however many, those
+with the smallest ids stay.  A fast product only tells, up to its rounding error,
+which points are worth their score.
 
 Defined cases: a vector that is null, empty, zero, or holds a null or
 non-finite component takes no part, nor does a row without id; vectors meet
@@ -41,7 +45,7 @@ from .common import map_arrow, stage
 SHARD = 16_384      # vectors per shard, about
 BLOCK = 4_096       # queries per block, about
 LEAF = 48
-SPARE = 12          # candidates scored exactly beyond k
+SPARE = 12          # rows kept beyond k, which widens the reach of a search by a larger factor
 
 
 def pack(**arrays: np.ndarray) -> bytes:
@@ -60,8 +64,9 @@ def build(ids: np.ndarray, vectors: np.ndarray, k: int) -> dict[str, np.ndarray]
     order[begin:end], its vantage point first; children 0 are leaves' marks."""
     by_id = np.argsort(ids, kind="stable")
     ids, vectors = ids[by_id], np.ascontiguousarray(vectors[by_id])
-    points, where = np.unique(vectors, axis=0, return_inverse=True)
-    where = where.ravel()
+    points, earliest, where = np.unique(vectors, axis=0, return_index=True, return_inverse=True)
+    by_first = np.argsort(earliest)                            # points in the order of their smallest ids
+    points, where = points[by_first], np.argsort(by_first)[where.ravel()]
     at = np.argsort(where, kind="stable")
     first = np.searchsorted(where[at], np.arange(len(points)))
     near = np.arange(len(at)) - first[where[at]] <= k          # k + 1 smallest ids of each point
@@ -107,23 +112,36 @@ def search(tree: dict[str, np.ndarray], qids: np.ndarray, queries: np.ndarray, k
     norms = (points ** 2).sum(1)
     lift = np.sqrt(np.maximum(top - norms, 0))
     keep = min(k + 1 + SPARE, len(points))
-    best = np.full((len(q), keep), -np.inf)
+    best = np.full((len(q), keep), -np.inf)                     # scores, best first
     best_at = np.full((len(q), keep), -1)
     slack = 1e-6 * math.sqrt(top + 1e-300)
+    # twice what a product and a score can be off, in any order of summation
+    off = 4 * (q.shape[1] + 2) * np.finfo(np.float64).eps * np.sqrt(q_norm * top)
     looked = 0
 
     def offer(rows: np.ndarray, which: np.ndarray, products: np.ndarray):
         nonlocal looked
         looked += products.size
-        both = np.concatenate([best[rows], products], 1)
-        at = np.concatenate([best_at[rows], np.broadcast_to(which, products.shape)], 1)
-        pick = np.argpartition(-both, keep - 1, 1)[:, :keep] if both.shape[1] > keep else np.arange(both.shape[1])[None]
+        worth = products >= (best[rows, -1] - off[rows])[:, None]
+        some = worth.any(1)
+        rows, worth = rows[some], worth[some]
+        if not len(rows):
+            return
+        r, c = np.nonzero(worth)
+        exact = np.zeros(len(r))
+        for d in range(q.shape[1]):                             # component by component
+            exact += q[rows[r], d] * points[which[c], d]
+        scores = np.full(worth.shape, -np.inf)
+        scores[r, c] = exact
+        both = np.concatenate([best[rows], scores], 1)
+        at = np.concatenate([best_at[rows], np.where(worth, which, -1)], 1)
+        pick = np.lexsort((at, -both), axis=1)[:, :keep]
         best[rows] = np.take_along_axis(both, pick, 1)
         best_at[rows] = np.take_along_axis(at, pick, 1)
 
     def reach(rows: np.ndarray) -> np.ndarray:
         """Distance beyond which nothing can enter a query's best."""
-        worst = best[rows].min(1)
+        worst = best[rows, -1]
         return np.where(np.isneginf(worst), np.inf, np.sqrt(np.maximum(q_norm[rows] + top - 2 * np.where(
             np.isneginf(worst), 0, worst), 0)))
 
@@ -170,9 +188,7 @@ def search(tree: dict[str, np.ndarray], qids: np.ndarray, queries: np.ndarray, k
 
     out_q, out_v, out_s = [], [], []
     for i in range(len(q)):
-        at = best_at[i][best_at[i] >= 0]
-        exact = np.cumsum(points[at] * q[i], axis=1)[:, -1]     # component by component
-        got = [(-s, int(v)) for s, p in zip(exact, at) for v in tree["ids"][tree["starts"][p]:tree["starts"][p + 1]]
+        got = [(-s, int(v)) for s, p in zip(best[i], best_at[i]) if p >= 0 for v in tree["ids"][tree["starts"][p]:tree["starts"][p + 1]]
                if v != qids[i]]
         for s, v in sorted(got)[:k]:
             out_q.append(int(qids[i]))

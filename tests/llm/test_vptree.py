@@ -73,3 +73,28 @@ def test_a_larger_factor_looks_at_less_and_keeps_recall(factor):
     assert looked < 200 * 4000 * 0.1
     if factor > 1:
         assert looked < vptree.search(tree, ids[::20], v[::20], 10, 1.0)[3] * 0.7
+
+
+@pytest.mark.parametrize("kind", ["one-hot", "binary", "rounded"])
+def test_of_many_vectors_with_equal_scores_the_smallest_ids_stay(kind):
+    """Hundreds of distinct vectors are tied at the last rank."""
+    r = np.random.default_rng(8)
+    n, dim, k = 900, 1000, 20
+    if kind == "one-hot":
+        v = np.eye(n, dim, dtype=np.float32)
+        v[:30, 999] = 1                                     # 30 that are near one another
+    elif kind == "binary":
+        v = (r.random((n, 12)) < 0.5).astype(np.float32)
+        v[:, 0] = 1
+    else:                                                   # equal scores up to rounding, by products in other orders
+        base = r.normal(size=12).astype(np.float32)
+        v = np.stack([base[r.permutation(12)] for _ in range(n)])
+        v[::20] = np.float32(0.1)
+    ids = r.permutation(5 * n)[:n]
+    tree = vptree.build(ids, v, k)
+    q, found, score, _ = vptree.search(tree, ids[::20], v[::20], k, 1.0)
+    w = v.astype(np.float64)
+    for i in range(0, n, 20):
+        exact = np.cumsum(w * w[i], axis=1)[:, -1]
+        want = sorted((-s, int(x)) for s, x in zip(exact, ids) if x != ids[i])[:k]
+        assert [(-s, x) for s, x in zip(score[q == ids[i]], found[q == ids[i]])] == want
