@@ -19,8 +19,9 @@ documents every word is unseen; extra columns are ignored.
 
 Scale: words are counted per batch, then by one shuffle.  Words of at least an
 even share of counts (``HEAD`` words at most, taken from a histogram of counts)
-are looked up in the tasks; the rest, whose counts are bounded by that share,
-are joined, once per document and word.  A long word goes by its digest.  The
+are looked up in the tasks, the end and the vocabulary always (ranked below
+the whole bins of the histogram if those hold too few words); the rest, whose
+counts are bounded by that share, are joined, once per document and word.  A long word goes by its digest.  The
 driver holds the head, and weights of about 600 KB.
 """
 
@@ -72,21 +73,27 @@ class Counts:
         counted = map_arrow(docs.filter(~held_out("doc_id")).select("text"), _count, "word binary, n long")
         self.table = stage(counted.groupBy("word").agg(F.sum("n").alias("n")), "word-counts")
         # counts by eighth powers of two: a few hundred rows whatever the corpus
-        bins = sorted(((r["b"], r["k"], r["s"]) for r in self.table.groupBy(
-            F.floor(F.log2("n") * 8).alias("b")).agg(F.count(F.lit(1)).alias("k"), F.sum("n").alias("s")).collect()), reverse=True)
-        self.total, self.distinct = sum(b[2] for b in bins), sum(b[1] for b in bins)
-        taken, self.least = 0, None
+        size = F.when(F.length("word") > 0, F.floor(F.log2("n") * 8))          # none for the end
+        rows = self.table.groupBy(size.alias("b")).agg(F.count(F.lit(1)).alias("k"), F.sum("n").alias("s")).collect()
+        bins = sorted(((r["b"], r["k"], r["s"]) for r in rows if r["b"] is not None), reverse=True)
+        ends = sum(r["s"] for r in rows if r["b"] is None)
+        self.total, self.distinct = ends + sum(b[2] for b in bins), (ends > 0) + sum(b[1] for b in bins)
+        taken, self.least, over = 0, None, None
         for b, k, _ in bins:
             if taken + k > head:
+                over = b
                 break
             taken, self.least = taken + k, b
-        in_head = F.lit(False) if self.least is None else F.floor(F.log2("n") * 8) >= self.least
-        self.tail = self.table.filter(~in_head)
-        got = sorted(((r["n"], bytes(r["word"])) for r in self.table.filter(in_head).collect()), key=lambda x: (-x[0], x[1]))
-        self.head = {w: n for n, w in got}
-        ends = self.head.get(END)
-        words = [w for _, w in got if w != END][:max(0, vocabulary - 1)]
-        self.vocabulary = [END, *words] if ends is not None else []
+        in_head = F.lit(False) if self.least is None else F.coalesce(size >= self.least, F.lit(False))
+        got = [(r["n"], bytes(r["word"])) for r in self.table.filter(in_head).collect()]
+        own = max(0, vocabulary - 1)
+        if over is not None and taken < own:                       # the vocabulary goes on there
+            more = self.table.filter(size <= over).orderBy(F.desc("n"), "word").limit(own - taken)
+            got += [(r["n"], bytes(r["word"])) for r in more.collect()]
+        self.tail = self.table.filter(~in_head)                    # holds these, too: nobody asks for them
+        got = sorted(got, key=lambda x: (-x[0], x[1]))
+        self.head = {w: n for n, w in [(ends, END)] * (ends > 0) + got}
+        self.vocabulary = [END, *(w for _, w in got[:own])] if ends else []
         self.counts = np.array([self.head[w] for w in self.vocabulary], np.float64)
         self.rest = int(self.total - self.counts.sum())            # tokens of the class "other"
         self.rest_words = self.distinct - len(self.vocabulary)

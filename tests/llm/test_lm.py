@@ -110,3 +110,32 @@ def test_empty_table_and_no_training_documents(spark):
     for r in lm.score(df).collect():
         assert (r["held_out"], r["n_known"], r["train_tokens"], r["base_score"]) == (True, 0, 0, 0.0)
         assert r["score"] <= 0
+
+
+def test_the_end_and_the_vocabulary_are_known_whatever_the_counts(spark):
+    """One long document: 70,000 words of one count, more than the head holds."""
+    words = [f"w{k}" for k in range(70_000)]
+    one = next(i for i in range(99) if zlib.crc32(str(i).encode()) % 7 != 2)
+    df = spark.createDataFrame([(one, " ".join(words))], "doc_id long, text string")
+    counts = lm.Counts(df)
+    assert counts.head[lm.END] == 1 and (counts.total, counts.distinct) == (70_001, 70_001)
+    assert counts.vocabulary == [lm.END] + sorted(w.encode() for w in words)[:lm.VOCABULARY - 1]
+    got = lm.score(df).first()
+    want = 70_001 * math.log10(2 / (70_001 + 70_001 + 1))
+    assert (got["n_tokens"], got["n_known"]) == (70_001, 70_001)
+    assert abs(got["base_score"] - want) < 1e-6 * abs(want) and got["score"] != got["base_score"]
+
+
+def test_more_frequent_words_than_the_head_holds(spark):
+    """Few long texts: every word is more frequent than the end."""
+    rows = [(k, " ".join(f"v{(k * j) % 40}" for j in range(4000))) for k in range(1, 30)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    train = [t for i, t in rows if zlib.crc32(str(i).encode()) % 7 != 2]
+    c = Counter(w for t in train for w in t.encode().split() + [b""])
+    counts = lm.Counts(df, head=10, vocabulary=21)
+    assert counts.vocabulary == [b""] + sorted((w for w in c if w), key=lambda w: (-c[w], w))[:20]
+    total, distinct = sum(c.values()), len(c)
+    for r in lm.score(df, head=10, vocabulary=21).collect():
+        own = dict(rows)[r["doc_id"]].encode().split() + [b""]
+        want = sum(math.log10((c[w] + 1) / (total + distinct + 1)) for w in own)
+        assert r["n_known"] == sum(c[w] > 0 for w in own) and abs(r["base_score"] - want) < 1e-6 * abs(want)
