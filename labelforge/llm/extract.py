@@ -61,7 +61,7 @@ VOID = frozenset("area base br col embed hr img input link meta param source tra
 INLINE = frozenset(
     "a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label mark q rp rt ruby s samp small "
     "span strike strong sub sup time tt u var wbr".split())
-# elements that are no article text, by name, role, or a word of class or id
+# elements that are no article text, by name, role, or the last word of a class or id
 SKIP = frozenset("head nav aside footer form button dialog menu input option select".split())
 SKIP_ROLES = frozenset("navigation banner contentinfo complementary search alert alertdialog dialog menu menubar form".split())
 SKIP_WORDS = frozenset(
@@ -80,38 +80,46 @@ _STOPS = frozenset("ul ol dl table tbody thead tfoot body html".split())
 
 
 class _Open:
-    __slots__ = ("name", "skip", "article", "path")
+    """An open element: left out by its tag or role (``skip``), or by a word of its
+    class or id (``named``) unless it turns out to hold the page's text."""
+    __slots__ = ("name", "skip", "named", "article", "path", "articles")
 
-    def __init__(self, name: str, skip: bool, article: bool, path: str):
-        self.name, self.skip, self.article, self.path = name, skip, article, path
+    def __init__(self, name: str, skip: bool, named: bool, article: bool, path: str):
+        self.name, self.skip, self.named, self.article, self.path = name, skip, named, article, path
+        self.articles = 0                       # article and main elements inside
 
 
-def _skipped(name: str, attrs: str, inside_article: bool) -> bool:
+def _skipped(name: str, attrs: str, inside_article: bool) -> tuple[bool, bool]:
+    """Whether an element is no article text by its tag or role, and by its names."""
     if name in SKIP or name == "header" and not inside_article:
-        return True
+        return True, False
     if "=" not in attrs:
-        return False
+        return False, False
+    named = False
     for key, a, b, c in _ATTR.findall(attrs):
         value = (a or b or c).lower()
         if key.lower() == "role" and value.strip() in SKIP_ROLES:
-            return True
-        if key.lower() in ("class", "id") and not SKIP_WORDS.isdisjoint(_WORDS.findall(value)):
-            return True
-    return False
+            return True, False
+        if key.lower() in ("class", "id"):
+            named = named or any(_WORDS.findall(own)[-1:] and _WORDS.findall(own)[-1] in SKIP_WORDS for own in value.split())
+    # an article inside an article may be a comment, the others hold the page's text
+    return False, named and name not in ("html", "body", "main") and (name != "article" or inside_article)
 
 
 class Block:
     """A stretch of text without a block border: path, text, characters in links,
-    whether it is inside an article and inside skipped elements."""
-    __slots__ = ("path", "text", "linked", "article", "skip")
+    whether it is inside an article and inside skipped elements, and the open
+    elements that are left out by their names unless they hold the page's text."""
+    __slots__ = ("path", "text", "linked", "article", "skip", "named")
 
-    def __init__(self, path: str, text: str, linked: int, article: bool, skip: bool):
-        self.path, self.text, self.linked, self.article, self.skip = path, text, linked, article, skip
+    def __init__(self, path: str, text: str, linked: int, article: bool, skip: bool, named: list[_Open]):
+        self.path, self.text, self.linked, self.article, self.skip, self.named = path, text, linked, article, skip, named
 
 
 def parse(page: str) -> tuple[list[str], list[Block]]:
     """Tag tokens (paths) and text blocks of a page, in order."""
-    stack = [_Open("", False, False, "")]
+    stack = [_Open("", False, False, False, "")]
+    articles = 0
     tags: list[str] = []
     blocks: list[Block] = []
     text: list[str] = []
@@ -125,7 +133,8 @@ def parse(page: str) -> tuple[list[str], list[Block]]:
             text.clear()
             if joined:
                 top = next(e for e in reversed(stack) if e.name not in INLINE)
-                blocks.append(Block(top.path, joined, linked, stack[-1].article, any(e.skip for e in stack)))
+                blocks.append(Block(top.path, joined, linked, stack[-1].article, any(e.skip for e in stack),
+                                    [e for e in stack if e.named]))
         linked = 0
 
     def pop_to(k: int):
@@ -193,15 +202,40 @@ def parse(page: str) -> tuple[list[str], list[Block]]:
             label = f"{name}.{'.'.join(sorted(classes[0].split()))}" if classes else name
         path = top.path if name in INLINE else f"{top.path}/{label}"
         inside = top.article or name in ("article", "main") and not any(e.skip for e in stack)
-        stack.append(_Open(name, _skipped(name, attrs, top.article), inside, path))
+        if inside and not top.article:
+            articles += 1
+            for e in stack:
+                e.articles += 1
+        stack.append(_Open(name, *_skipped(name, attrs, top.article), inside, path))
         links += name == "a"
         if name not in INLINE:
             tags.append(path)
     pop_to(1)
     flush()
+    _judge(blocks, articles)
     return tags, blocks
 
 
+def _judge(blocks: list[Block], articles: int):
+    """Mark the blocks inside elements with a telling name, except elements that
+    hold over half of the text (of the articles if inside one, else of the page),
+    or all articles of the page and no less than stands outside named elements."""
+    text: Counter = Counter()
+    page = inside = plain = 0
+    for b in blocks:
+        if not b.skip:
+            page += len(b.text)
+            inside += len(b.text) * b.article
+            plain += len(b.text) * (not b.named)
+            for e in b.named:
+                text[e] += len(b.text)
+
+    def held(e: _Open) -> bool:
+        return text[e] * 2 > (inside if e.article else page) or 0 < articles == e.articles and text[e] >= plain
+    for b in blocks:
+        b.skip = b.skip or not all(map(held, b.named))
+
+
 def _hash(kind: str, path: str, text: str = "") -> int:
     return xxhash.xxh64_intdigest(f"{kind}\x00{path}\x00{text}".encode("utf-8", "surrogatepass")) >> 1
 

@@ -97,3 +97,23 @@ def test_classes_nest_into_a_tree(spark):
     assert [c["root"] for c in tree if c["parent"] == frame[0]["class"]] == ["/html/body/div.box"]
     got = {r["page_id"]: r["text"] for r in extract.extract(df).collect()}
     assert got[4] == "t4\ncell 4\nown text 4"
+
+
+WRAPPED = [
+    ("<body class='has-sidebar'><p>One.</p><div class=sidebar>s</div></body>", "One."),
+    ("<body><div id=content class='with-sidebar'><article><p>One.</p></article></div></body>", "One."),
+    ("<body><div class='page-with-sidebar'><p>The text of the page.</p><div class=ad>Buy.</div></div><p>x</p></body>",
+     "The text of the page.\nx"),
+    ("<article class='post comments-open'><p>One.</p><div class='ad'>Buy.</div></article>", "One."),
+    ("<article id='social-policy'><p>One.</p></article>", "One."),
+    ("<article class=sidebar><p>One.</p></article><main class=search><p>Two.</p></main>", "One.\nTwo."),
+    ("<article><p>The story.</p><div class='social-policy'>Policy.</div><div class=comments><article class=comment>c</article></div>"
+     "</article>", "The story.\nPolicy."),
+    ("<article><p>The first story.</p></article><div class=related><article>r</article></div>", "The first story."),
+    ("<div id=content><p>The text of the page.</p></div><div class=related><article>Other.</article></div>", "The text of the page."),
+]
+
+
+@pytest.mark.parametrize("page,want", WRAPPED)
+def test_names_of_wrappers_do_not_empty_a_page(page, want):
+    assert extract.main_text(page, frozenset()) == want
