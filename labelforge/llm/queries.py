@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, extract, linededup, lm, mixing, neardup, pii, quality, vptree, warc
+from . import bpe, extract, linededup, lm, mixing, neardup, packing, pii, quality, vptree, warc
 from .common import table
 
 
@@ -59,6 +59,11 @@ def op10_quality(spark: SparkSession, d: str) -> DataFrame:
     return quality.score(table(spark, d, "documents"))
 
 
+def op13_best_fit(spark: SparkSession, d: str) -> DataFrame:
+    import public_tokenizers
+    return packing.pack(table(spark, d, "documents"), public_tokenizers.path("word_bpe_49k.json"), size=2048, with_ids=False)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_extract, op2_mix, op3_pii, op4_nearest, op5_gru, op6_bpe, op7_warc, op8_unit_dedup,
-                            op9_near_dup, op10_quality)}
+                            op9_near_dup, op10_quality, op13_best_fit)}
