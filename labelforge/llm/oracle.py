@@ -7,6 +7,7 @@ are no SQL; their tests compare with brute-force versions.
 from __future__ import annotations
 
 _LOWER = "translate(coalesce({0}, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_TERMS = r"regexp_extract_all({0}, '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"
 _WORDS = r"regexp_extract_all({0}, '[^\x20\x09-\x0D]+')"
 
 NEAREST = """
@@ -78,9 +79,33 @@ SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, least(d.doc_id, coalesce(m.leas
 FROM documents d LEFT JOIN n USING (doc_id) LEFT JOIN m USING (doc_id)
 """
 
+RANKED = f"""
+WITH d AS (
+  SELECT doc_id, row_number() OVER () AS row_id, {_TERMS.format(_LOWER.format('text'))} AS ts FROM documents),
+n AS (SELECT count(*) AS n_docs, CAST(sum(len(ts)) AS BIGINT) AS n_terms FROM d WHERE len(ts) > 0),
+m AS (
+  SELECT doc_id, row_id, ts, 100 - 25 + (25 * CAST(len(ts) AS BIGINT) * n_docs) // n_terms AS m FROM d, n WHERE len(ts) > 0),
+i AS (SELECT item_id, row_number() OVER () AS item, {_TERMS.format(_LOWER.format('text'))} AS ts FROM benchmark),
+q AS (SELECT item, t, count(*) AS asked FROM (SELECT item, unnest(ts) AS t FROM i) GROUP BY item, t),
+p AS (
+  SELECT row_id, t, count(*) AS tf FROM (SELECT row_id, unnest(ts) AS t FROM m) WHERE t IN (SELECT t FROM q) GROUP BY row_id, t),
+w AS (
+  SELECT t, CAST(floor(1000 * ln(CAST(2 * n_docs + 2 AS DOUBLE) / (2 * count(*) + 1))) AS BIGINT) AS w
+  FROM p, n GROUP BY t, n_docs),
+s AS (
+  SELECT item, row_id, CAST(sum(asked * w * ((1000000000 * tf) // (1000 * tf + 12 * m))) AS BIGINT) AS score
+  FROM q JOIN p USING (t) JOIN w USING (t) JOIN m USING (row_id) GROUP BY item, row_id),
+r AS (
+  SELECT item_id, CAST(row_number() OVER (PARTITION BY item ORDER BY score DESC, doc_id NULLS LAST) AS INTEGER) AS "rank",
+         doc_id, score
+  FROM s JOIN m USING (row_id) JOIN i USING (item) WHERE score > 0)
+SELECT * FROM r WHERE "rank" <= 20
+"""
+
 ORACLE_SQL: dict[str, str] = {
     "op4_nearest": NEAREST,
     "op7_warc": WARC,
     "op8_unit_dedup": UNIT_DEDUP,
     "op9_near_dup": NEAR_DUP,
+    "op12_fp_tree": RANKED,
 }
