@@ -102,10 +102,42 @@ r AS (
 SELECT * FROM r WHERE "rank" <= 20
 """
 
+def _lloyd(k: int, dim: int, rounds: int, seed: int) -> str:
+    """One assignment and one update per round, spelt out."""
+    steps = [f"""
+WITH v AS (
+  SELECT vec_id, row_number() OVER () AS row_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS e,
+         sha256('{seed}:' || coalesce(CAST(vec_id AS VARCHAR), '')) AS h
+  FROM embeddings
+  WHERE len(embedding) = {dim} AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0),
+c0 AS (SELECT CAST(row_number() OVER (ORDER BY h, e) - 1 AS INTEGER) AS c, e AS m FROM v QUALIFY c < {k})"""]
+    for i in range(rounds + 1):
+        steps.append(f"""
+a{i} AS (
+  SELECT row_id, min(struct_pack(d := d, c := c)) AS b
+  FROM (SELECT row_id, c, list_sum(list_transform(list_zip(e, m), lambda x: (x[1] - x[2]) * (x[1] - x[2]))) AS d FROM v, c{i})
+  GROUP BY row_id)""")
+        if i < rounds:
+            steps.append(f"""
+u{i} AS (
+  SELECT c, list(z ORDER BY i) AS m FROM (
+    SELECT c, i, CAST((sum(x) - ((sum(x) % count(*)) + count(*)) % count(*)) // count(*) AS BIGINT) AS z FROM (
+      SELECT a.b.c AS c, unnest(generate_series(1, {dim})) AS i, unnest(e) AS x FROM a{i} a JOIN v USING (row_id))
+    GROUP BY c, i) GROUP BY c),
+c{i + 1} AS (SELECT c, coalesce(u{i}.m, c{i}.m) AS m FROM c{i} LEFT JOIN u{i} USING (c))""")
+    last = f"""
+r AS (SELECT vec_id, a.b.c AS cluster, CAST(a.b.d AS BIGINT) AS distance FROM a{rounds} a JOIN v USING (row_id))
+SELECT vec_id, cluster, distance, CAST(sum(distance) OVER (PARTITION BY cluster) AS BIGINT) AS cluster_inertia,
+       CAST(sum(distance) OVER () AS BIGINT) AS inertia, sha256(array_to_string(m, ',')) AS centroid_sha256
+FROM r JOIN c{rounds} ON c = cluster"""
+    return ",".join([*steps, last])
+
+
 ORACLE_SQL: dict[str, str] = {
     "op4_nearest": NEAREST,
     "op7_warc": WARC,
     "op8_unit_dedup": UNIT_DEDUP,
     "op9_near_dup": NEAR_DUP,
+    "op11_lloyd": _lloyd(40, 64, 5, 2),
     "op12_fp_tree": RANKED,
 }

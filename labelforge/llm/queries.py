@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, extract, linededup, lm, mixing, neardup, packing, pii, quality, ranked, vptree, warc
+from . import bpe, extract, linededup, lloyd, lm, mixing, neardup, packing, pii, quality, ranked, vptree, warc
 from .common import table
 
 
@@ -59,6 +59,10 @@ def op10_quality(spark: SparkSession, d: str) -> DataFrame:
     return quality.score(table(spark, d, "documents"))
 
 
+def op11_lloyd(spark: SparkSession, d: str) -> DataFrame:
+    return lloyd.report(table(spark, d, "embeddings"), k=40, dim=64, rounds=5, seed=2)
+
+
 def op12_fp_tree(spark: SparkSession, d: str) -> DataFrame:
     return ranked.rank(table(spark, d, "documents"), table(spark, d, "benchmark"), k=20)
 
@@ -70,4 +74,4 @@ def op13_best_fit(spark: SparkSession, d: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_extract, op2_mix, op3_pii, op4_nearest, op5_gru, op6_bpe, op7_warc, op8_unit_dedup,
-                            op9_near_dup, op10_quality, op12_fp_tree, op13_best_fit)}
+                            op9_near_dup, op10_quality, op11_lloyd, op12_fp_tree, op13_best_fit)}
