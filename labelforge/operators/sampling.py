@@ -12,7 +12,7 @@ from fractions import Fraction
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .ranking import first_fraction, first_k, hex_bucket, number_bucket
+from .ranking import first_fraction, first_k, hex_bucket, number_bucket, positions
 from .records import drop_none_exact, drop_none_loose
 
 
@@ -31,6 +31,12 @@ def with_shuffle_key(df: DataFrame, seed: int | None) -> DataFrame:
     return df.withColumn("shuffle_key", shuffle_key(seed)).withColumn("seed", F.lit(seed).cast("long"))
 
 
+def shuffled(df: DataFrame, seed: int | None, num_partitions: int | None = None) -> DataFrame:
+    """``df`` with shuffle_key, seed and ``position``, the row's dense 0-based place in
+    the shuffled order; write it sorted by ``position`` to have the order in files."""
+    return positions(with_shuffle_key(df, seed), ["shuffle_key", "item_id"], num_partitions)
+
+
 def sample_eval(df: DataFrame, num_samples: int | None = 50, exclude_none: bool = True,
                 randomize: bool = False, seed: int | None = None) -> DataFrame:
     """P2 (pipeline order): shuffle -> exact NONE filter -> head N.
@@ -68,13 +74,18 @@ def split_exact(df: DataFrame, test_size: float = 0.1, seed: int = 42) -> DataFr
                     F.when(F.col("_head"), "validation").otherwise("train").alias("role"))
 
 
-def split_names(df: DataFrame, limit: int = 64) -> list[str]:
-    """Split names in the order of their first item; a ``ValueError`` when there are
-    more than ``limit`` (then the column holds no splits)."""
-    found = df.groupBy("split").agg(F.min("item_id").alias("first")).limit(limit + 1).collect()
-    if len(found) > limit:
-        raise ValueError(f"more than {limit} distinct split names; not a split column")
-    return [r["split"] for r in sorted(found, key=lambda r: (r["first"] is None, r["first"]))]
+WANTED_SPLITS = ["train", "validation", "val", "test"]
+
+
+def split_names(df: DataFrame) -> list[str]:
+    """Of the split names those that resolution asks for, the split of the first item
+    before them: one aggregate, however many splits there are."""
+    first = F.min(F.struct(F.col("item_id").isNull().alias("n"), "item_id", "split"))
+    r = df.agg(first["split"].alias("first"), F.count(F.lit(1)).alias("n"),
+               *[F.max(F.col("split").eqNullSafe(w)).alias(w) for w in WANTED_SPLITS]).first()
+    if not r["n"]:
+        return []
+    return [r["first"], *[w for w in WANTED_SPLITS if r[w] and w != r["first"]]]
 
 
 def resolve_splits(df: DataFrame, test_size: float = 0.1, seed: int = 42,

@@ -609,3 +609,11 @@ ORACLE_SQL.update({
         "r1 AS (SELECT item_id,", "r1 AS (SELECT item_id, reasoning_trace,").replace(
         "c.label, r1.teacher_rationale", "c.label, r1.reasoning_trace, r1.teacher_rationale"),
 })
+
+ODD_SPLITS = ["full", "a/b", "a:b", "", "train", "Ü ñ%~+*=_", "n", "s" * 200]
+ORACLE_SQL.update({
+    "jsonl_publish": f"""{W}, x AS (SELECT item_id, [{', '.join(map(q, ODD_SPLITS))}, NULL][item_id % {len(ODD_SPLITS) + 1} + 1] AS split,
+          label FROM clauses) SELECT *, split AS read_from FROM x""",
+    "shuffle_order": f"""{W} SELECT item_id, row_number() OVER (ORDER BY md5('42:' || CAST(item_id AS VARCHAR)), item_id) - 1 AS position
+        FROM clauses""",
+})

@@ -36,6 +36,7 @@ MODEL_META = {
     BASE: {"display_name": "DeepSeek R1 (Base Model)", "model_path": X.MODEL_PATHS[BASE], "use_local_model": False},
 }
 NON_NONE = L.valid_labels(False)
+ODD_SPLITS = ["full", "a/b", "a:b", "", "train", "Ü ñ%~+*=_", "n", "s" * 200]
 
 
 # ------------------------------------------------------------------ shared inputs
@@ -118,6 +119,11 @@ def q_shuffle_key(spark, d):
     return clauses(spark, d).select("item_id", P.shuffle_key(SEED).alias("shuffle_key"))
 
 
+def q_shuffle_order(spark, d):
+    """The place of every clause in the seeded shuffle."""
+    return P.shuffled(clauses(spark, d).select("item_id"), SEED).select("item_id", "position")
+
+
 def q_sample_eval(spark, d):
     test = clauses(spark, d).filter(F.col("split") == "test")
     s = P.sample_eval(test, num_samples=50, exclude_none=True, randomize=True, seed=SEED)
@@ -459,7 +465,7 @@ def q_jsonl_roundtrip(spark, d):
     """Write per-split JSONL, read it back strictly, return the rows."""
     c = clauses(spark, d)
     out = os.path.join(checkpoint_dir(spark), f"jsonl-{uuid.uuid4().hex}")
-    S.write_jsonl(c, out, overwrite=True, write_full=False)
+    S.write_jsonl(c, out, overwrite=True)
     parts = [S.read_jsonl(spark, p) for p in S.require_splits(spark, out, ("train", "validation", "test")).values()]
     r = parts[0]
     for p in parts[1:]:
@@ -473,19 +479,34 @@ def q_jsonl_guard(spark, d):
     c = clauses(spark, d).select("item_id", F.when(F.col("item_id") % 68 < 67, F.concat(
         F.lit("s"), (F.col("item_id") % 68).cast("string"))).alias("split"))
     out = os.path.join(checkpoint_dir(spark), f"guard-{uuid.uuid4().hex}")
-    first = S.write_jsonl(c, out, write_full=False)
-    again = S.write_jsonl(c.withColumn("split", F.lit("other")), out, write_full=False)
-    rows = S.read_jsonl(spark, f"{out}/*_data_with_rationales.jsonl", "item_id long, split string")
+    first = S.write_jsonl(c, out)
+    again = S.write_jsonl(c.withColumn("split", F.lit("other")), out)
+    rows = S.read_jsonl(spark, S.full_path(spark, out), "item_id long, split string")
     return rows.select("item_id", "split", F.lit(first).alias("wrote_first"), F.lit(again).alias("wrote_again"))
 
 
+def q_jsonl_publish(spark, d):
+    """S3 + S4: splits with any name keep every row; a second committed write replaces the
+    first, and each row comes from the folder of its own split."""
+    names = F.array(*map(F.lit, ODD_SPLITS), F.lit(None))
+    c = clauses(spark, d).select("item_id", F.element_at(names, (F.col("item_id") % (len(ODD_SPLITS) + 1) + 1).cast("int")).alias("split"),
+                                 "label")
+    out = os.path.join(checkpoint_dir(spark), f"publish-{uuid.uuid4().hex}")
+    S.write_jsonl(c.withColumn("label", F.lit("first")), out)
+    S.write_jsonl(c, out, overwrite=True)
+    rows = None
+    for split, path in S.split_paths(spark, out).items():
+        own = S.read_jsonl(spark, path, "item_id long, split string, label string").withColumn("read_from", F.lit(split).cast("string"))
+        rows = own if rows is None else rows.unionByName(own)
+    return rows
+
+
 def q_jsonl_ingest(spark, d):
     """S1 + S6: write the corpus as JSONL, then ingest it strictly to Parquet in one pass."""
     c = clauses(spark, d)
     base = os.path.join(checkpoint_dir(spark), f"ingest-{uuid.uuid4().hex}")
-    S.write_jsonl(c, base, overwrite=True, write_full=True)
-    src = f"{base}/full_data_with_rationales.jsonl"
-    out = S.ingest_jsonl(spark, src, f"{base}/parquet")
+    S.write_jsonl(c, base, overwrite=True)
+    out = S.ingest_jsonl(spark, S.full_path(spark, base), f"{base}/parquet")
     return out.select("item_id", "split", "clause", "contract_type", "label", "rationale")
 
 

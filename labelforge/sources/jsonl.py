@@ -19,6 +19,7 @@ from pyspark.sql.types import StructType
 from ..functions.constants import SPLIT_FILE_SUFFIX
 from ..functions.jsonexpr import strict_json_ok
 from ..session import apply_required_conf
+from . import publish
 
 CLAUSE_SCHEMA = ("item_id long, split string, clause string, clause_with_context string, "
                  "contract_type string, label string, rationale string, reasoning_trace string, "
@@ -37,14 +38,8 @@ class DatasetError(ValueError):
         self.expected_format, self.actual_format = expected_format, actual_format
 
 
-def _fs(spark: SparkSession, path: str):
-    """(file system, path) of the Hadoop API for ``path``, whatever its store."""
-    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
-
-
 def _hadoop_exists(spark: SparkSession, path: str) -> bool:
-    fs, p = _fs(spark, path)
+    fs, p = publish.hadoop(spark, path)
     return bool(fs.globStatus(p)) if "*" in path else bool(fs.exists(p))
 
 
@@ -105,46 +100,56 @@ def checked(spark: SparkSession, path: str, action: Callable[[], T], schema: str
     raise DatasetError(f"Invalid JSON on line {line} in {f}", file_path=f, line=line, actual_format="Invalid JSON")
 
 
+def split_paths(spark: SparkSession, data_dir: str) -> dict[str | None, str]:
+    """Split value -> path of its JSON lines in the dataset's last committed run."""
+    base = data_dir.rstrip("/")
+    state = publish.manifest(spark, base)
+    return {s["split"]: f"{base}/{s['path']}" for s in state["splits"]} if state else {}
+
+
+def full_path(spark: SparkSession, data_dir: str) -> str:
+    """Path of all rows of the dataset's last committed run, or of a plain ``full_...`` file."""
+    base = data_dir.rstrip("/")
+    state = publish.manifest(spark, base)
+    return f"{base}/{state['run']}" if state else f"{base}/full{SPLIT_FILE_SUFFIX}"
+
+
 def require_splits(spark: SparkSession, data_dir: str, splits=("train", "validation")) -> dict:
-    """Existence checks for the data directory and each split file."""
+    """Existence checks for the data directory and each split: the last committed run,
+    or, in a folder without one, plain ``<split>_data_with_rationales.jsonl`` files."""
     if not _hadoop_exists(spark, data_dir):
         raise DatasetError(f"Data directory not found: {data_dir}", file_path=data_dir)
+    base = data_dir.rstrip("/")
+    committed = publish.manifest(spark, base) is not None
+    there = split_paths(spark, base)
     out = {}
     for s in splits:
-        p = f"{data_dir.rstrip('/')}/{s}{SPLIT_FILE_SUFFIX}"
-        if not _hadoop_exists(spark, p):
+        p = there.get(s, f"{base}/{s}{SPLIT_FILE_SUFFIX}")
+        if s not in there and (committed or not _hadoop_exists(spark, p)):
             raise DatasetError(f"{s} data file not found: {p}", file_path=p)
         out[s] = p
     return out
 
 
-def write_jsonl(df: DataFrame, data_dir: str, overwrite: bool = False, write_full: bool = True) -> bool:
-    """S3 + S4: one JSONL dataset per split (``<split>_data_with_rationales.jsonl``,
-    a directory of part files) and optionally ``full_...`` with every row.
+def is_written(spark: SparkSession, data_dir: str) -> bool:
+    """Whether the folder holds a committed run or any plain ``*_data_with_rationales.jsonl``."""
+    base = data_dir.rstrip("/")
+    return publish.manifest(spark, base) is not None or _hadoop_exists(spark, f"{base}/*{SPLIT_FILE_SUFFIX}")
+
+
+def write_jsonl(df: DataFrame, data_dir: str, overwrite: bool = False) -> bool:
+    """S3 + S4: one JSONL dataset per split, and all of them together (``full_path``).
 
-    All splits are written by one job, however many there are; rows without a
-    split go to ``__HIVE_DEFAULT_PARTITION___data_with_rationales.jsonl``.
-    Without ``overwrite`` nothing is written when the folder holds any
-    ``*_data_with_rationales.jsonl``; with it, those are replaced.  Nulls are
-    written as JSON nulls.  Returns whether it wrote.
+    All splits are written by one job, whatever they are called and however many
+    there are (null and empty ones included), into a folder of the run's own; one small
+    manifest then makes it the dataset (see ``publish``).  A job that fails midway
+    leaves what was there before.  Without ``overwrite`` nothing is written when the folder
+    holds a dataset.  Nulls are written as JSON nulls.  Returns whether it wrote.
     """
-    spark = df.sparkSession
-    base = data_dir.rstrip("/")
-    fs, folder = _fs(spark, base)
-    there = fs.globStatus(_fs(spark, f"{base}/*{SPLIT_FILE_SUFFIX}")[1]) if fs.exists(folder) else []
-    if there and not overwrite:
+    spark, base = df.sparkSession, data_dir.rstrip("/")
+    if not overwrite and is_written(spark, base):
         return False
-    for status in there or []:
-        fs.delete(status.getPath(), True)
-    parts = f"{base}/_splits"
-    (df.withColumn("_file", F.col("split")).write.mode("overwrite").partitionBy("_file")
-     .option("ignoreNullFields", "false").json(parts))
-    for status in fs.globStatus(_fs(spark, f"{parts}/_file=*")[1]) or []:
-        name = status.getPath().getName().removeprefix("_file=")
-        fs.rename(status.getPath(), _fs(spark, f"{base}/{name}{SPLIT_FILE_SUFFIX}")[1])
-    fs.delete(_fs(spark, parts)[1], True)
-    if write_full:
-        df.write.mode("overwrite").option("ignoreNullFields", "false").json(f"{base}/full{SPLIT_FILE_SUFFIX}")
+    publish.commit(spark, base, publish.write_run(df, base))
     return True
 
 

@@ -51,13 +51,56 @@ def test_many_splits_and_a_null_split_are_all_written_and_guarded(spark):
     rows = [(i, None if i == 66 else f"s{i}") for i in range(67)]
     df = spark.createDataFrame(rows, "item_id long, split string")
     out = os.path.join(tempfile.mkdtemp(prefix="lf-out-"), "data")
-    assert S.write_jsonl(df, out, write_full=False) is True
-    back = spark.read.json(f"{out}/*_data_with_rationales.jsonl", schema="item_id long, split string")
+    assert S.write_jsonl(df, out) is True
+    back = S.read_jsonl(spark, S.full_path(spark, out), "item_id long, split string")
     assert sorted(map(tuple, back.collect())) == rows
+    paths = S.split_paths(spark, out)
+    assert set(paths) == {r[1] for r in rows}
+    assert [tuple(r) for r in S.read_jsonl(spark, paths[None], "item_id long, split string").collect()] == [rows[66]]
     # another split's file in the folder guards it as a whole
     assert S.write_jsonl(df.filter("split = 's1'").withColumn("split", F.lit("new")), out) is False
 
 
+def _rows(spark, out):
+    return {split: sorted(r["item_id"] for r in S.read_jsonl(spark, path, "item_id long").collect())
+            for split, path in S.split_paths(spark, out).items()}
+
+
+def test_a_write_that_dies_leaves_the_old_data_and_is_not_seen(spark):
+    out = os.path.join(tempfile.mkdtemp(prefix="lf-out-"), "data")
+    old = spark.createDataFrame([(1, "full"), (2, "a/b"), (3, "a:b"), (4, ""), (5, None), (6, "x" * 300), (7, "full")],
+                                "item_id long, split string")
+    broken = spark.range(100).select(F.col("id").alias("item_id"), F.lit("full").alias("split")).withColumn(
+        "label", F.when(F.col("item_id") == 90, F.raise_error(F.lit("died"))).otherwise("x"))
+    with pytest.raises(Exception, match="died"):
+        S.write_jsonl(broken, out)
+    assert not S.is_written(spark, out) and S.split_paths(spark, out) == {}
+    assert S.write_jsonl(old, out) is True
+    want = {"full": [1, 7], "a/b": [2], "a:b": [3], "": [4], None: [5], "x" * 300: [6]}
+    assert _rows(spark, out) == want
+    with pytest.raises(Exception, match="died"):
+        S.write_jsonl(broken, out, overwrite=True)
+    assert _rows(spark, out) == want and S.write_jsonl(old, out) is False
+    assert set(S.require_splits(spark, out, ("a:b", "full", ""))) == {"a:b", "full", ""}
+    with pytest.raises(S.DatasetError):
+        S.require_splits(spark, out, ("a%3Ab",))
+    # three more writes: the dataset is the last one, the one before stays for readers that have begun
+    for n in range(3):
+        before = S.split_paths(spark, out)
+        assert S.write_jsonl(old.filter(F.col("item_id") <= n + 1), out, overwrite=True)
+        assert all(os.path.isdir(p) for p in before.values())
+    assert _rows(spark, out) == {"full": [1], "a/b": [2], "a:b": [3]}
+    assert sum(x.startswith("_manifest") for x in os.listdir(out)) == 1
+
+
+def test_plain_files_of_other_writers_are_read_and_guarded(spark):
+    d = tempfile.mkdtemp(prefix="lf-plain-")
+    _write(os.path.join(d, "train_data_with_rationales.jsonl"), ['{"item_id": 1}'])
+    p = S.require_splits(spark, d, ("train",))["train"]
+    assert S.read_jsonl(spark, p, "item_id long").collect() == [(1,)]
+    assert S.write_jsonl(spark.createDataFrame([(2, "train")], "item_id long, split string"), d) is False
+
+
 def test_valid_file_and_missing_keys(spark):
     d = tempfile.mkdtemp(prefix="lf-jsonl-")
     p = os.path.join(d, "x.jsonl")
@@ -78,7 +121,7 @@ def test_write_guard_and_roundtrip(spark):
     out = os.path.join(tempfile.mkdtemp(prefix="lf-out-"), "data")
     assert S.write_jsonl(c, out) is True
     assert S.write_jsonl(c, out) is False               # any existing split file -> skip all
-    back = S.read_jsonl(spark, f"{out}/full_data_with_rationales.jsonl",
+    back = S.read_jsonl(spark, S.full_path(spark, out),
                         "item_id long, split string, clause string, contract_type string, label string")
     assert sorted(map(tuple, back.collect())) == sorted(map(tuple, c.collect()))
 

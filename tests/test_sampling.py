@@ -94,3 +94,78 @@ def test_cap_modes(spark):
     capped = Fr.cap_first_n(c, 3)
     assert {r["split"]: r["n"] for r in capped.groupBy("split").agg(F.count("*").alias("n")).collect()} == \
         {"train": 3, "validation": 3, "test": 3}
+
+
+def _largest_rank_task(spark, monkeypatch):
+    """Records how many keys each final ranking holds per group."""
+    seen = []
+    real = ranking.materialize
+
+    def note(df):
+        out = real(df)
+        if "_need" in out.columns:
+            seen.append([r["_n"] for r in out.select("_n").collect()])
+        return out
+    monkeypatch.setattr(ranking, "materialize", note)
+    return seen
+
+
+def test_cut_offs_under_outlying_keys_and_a_hot_group(spark, monkeypatch):
+    """One id of 2^62 among small ones, 95 % of the rows in one group, nulls and keys that
+    lie apart like powers of two: the last ranges hold few keys and the cut-off is exact."""
+    monkeypatch.setattr(ranking, "RANKED", 40)
+    monkeypatch.setattr(ranking, "CELLS", 16)
+    monkeypatch.setattr(ranking, "HEAD", 0)
+    seen = _largest_rank_task(spark, monkeypatch)
+    rows = [(i * 3, "hot") for i in range(3000)] + [(2**62, "hot"), (-2**63, "hot"), (2**63 - 1, "hot")]
+    rows += [(1 + 3 * i, "cold") for i in range(50)] + [(2**i, "powers") for i in range(62) if 2**i % 3 != 0]
+    rows += [(2**i + 1, "powers") for i in range(3, 62)] + [(-i, None) for i in range(1, 80)]
+    df = spark.createDataFrame(rows, "item_id long, split string").repartition(5)
+    want = {}
+    for i, g in sorted(rows, key=lambda r: r[0]):
+        want.setdefault(g, []).append(i)
+    for k in (1, 45, 77, 2999):
+        seen.clear()
+        got = ranking.first_k(df, ["item_id"], k, ranking.number_bucket("item_id"), by=["split"])
+        have = {}
+        for r in got.collect():
+            have.setdefault(r["split"], []).append(r["item_id"])
+        assert {g: sorted(v) for g, v in have.items()} == {g: v[:k] for g, v in want.items()}
+        assert max(seen[-1], default=0) <= 40
+    x = P.with_shuffle_key(df.drop("split").dropDuplicates(), 42)
+    order = sorted(x.select("shuffle_key", "item_id").collect())
+    got = ranking.first_k(x, ["shuffle_key", "item_id"], 700, ranking.hex_bucket("shuffle_key"))
+    assert sorted(got.select("shuffle_key", "item_id").collect()) == order[:700]
+
+
+def test_cut_offs_with_null_keys_and_many_equal_ones(spark, monkeypatch):
+    monkeypatch.setattr(ranking, "RANKED", 10)
+    monkeypatch.setattr(ranking, "CELLS", 4)
+    rows = [(None, i) for i in range(60)] + [(5, i) for i in range(100)] + [(6, i) for i in range(7)]
+    df = spark.createDataFrame(rows, "a long, b long").repartition(4)
+    order = sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, r[1]))
+    for k in (3, 60, 61, 150, 166, 167):
+        got = ranking.cutoffs(df, ["a", "b"], ranking.number_bucket("a"), lambda total: F.lit(k)).collect()
+        assert [tuple(r["_cut"]) for r in got] == [order[k - 1]]
+    assert ranking.cutoffs(df, ["a", "b"], ranking.number_bucket("a"), lambda total: F.lit(168)).collect() == []
+    alike = spark.createDataFrame([(1,)] * 50, "a long")
+    assert [tuple(r["_cut"]) for r in ranking.cutoffs(alike, ["a"], ranking.number_bucket("a"), lambda t: F.lit(30)).collect()] == [(1,)]
+
+
+def test_shuffled_positions_are_dense_and_the_same_at_any_partitioning(spark):
+    c = Q.clauses(spark, SF_SMALL).select("item_id", "split")
+    outs = [{r["item_id"]: r["position"] for r in P.shuffled(c.repartition(n), 42, n).collect()} for n in (1, 3, 11)]
+    assert outs[0] == outs[1] == outs[2] and sorted(outs[0].values()) == list(range(len(outs[0])))
+    by_key = [r["item_id"] for r in P.with_shuffle_key(c, 42).orderBy("shuffle_key", "item_id").collect()]
+    assert sorted(outs[0], key=outs[0].get) == by_key
+    assert P.shuffled(c.limit(0), 42).collect() == []
+
+
+def test_split_resolution_with_any_number_of_splits(spark):
+    rows = [(i, f"s{i}") for i in range(300)]
+    df = spark.createDataFrame(rows, "item_id long, split string")
+    assert {r["item_id"] for r in P.resolve_splits(df).collect()} == {0}
+    more = df.unionByName(spark.createDataFrame([(500, "train"), (501, "val"), (502, "test")], df.schema))
+    assert {(r["item_id"], r["role"]) for r in P.resolve_splits(more).collect()} == {(500, "train"), (501, "validation")}
+    assert [r["item_id"] for r in P.base_split(more).collect()] == [502]
+    assert P.resolve_splits(df.limit(0)).collect() == [] and P.base_split(df.limit(0)).collect() == []
