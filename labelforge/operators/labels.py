@@ -19,6 +19,18 @@ def valid_labels(include_none: bool = False, labels: list[str] = LABEL_SCHEMA) -
     return list(labels) if include_none else [x for x in labels if x != NONE_LABEL]
 
 
+def label_usage(df: DataFrame, labels: list[str] = LABEL_SCHEMA, label: str = "label") -> DataFrame:
+    """L1 + L2: (label_ord, label, n, in_prompt, in_prompt_with_none): every label of the
+    dimension in its order, how many records carry it (stripped; zero included), and
+    whether the prompt's label list names it without and with NONE."""
+    counts = df.groupBy(strip_or_empty(label).alias("label")).agg(F.count(F.lit(1)).alias("n"))
+    dim = label_dim(df.sparkSession, labels)
+    return dim.join(counts, "label", "left").select(
+        "label_ord", "label", F.coalesce("n", F.lit(0)).cast("long").alias("n"),
+        in_list(F.col("label"), valid_labels(False, labels)).alias("in_prompt"),
+        in_list(F.col("label"), valid_labels(True, labels)).alias("in_prompt_with_none"))
+
+
 def derived_labels(df: DataFrame, label: str = "label") -> DataFrame:
     """L3: stripped, non-empty, non-NONE distinct labels, code-point order."""
     lab = strip_or_empty(label)

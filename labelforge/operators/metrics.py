@@ -26,15 +26,17 @@ def _r(c: Column) -> Column:
     return F.round(c.cast("double"), R)
 
 
-def pair_counts(preds: DataFrame) -> DataFrame:
-    """(model, true_label, pred_label, n).
+def pair_counts(preds: DataFrame, first: str | None = None) -> DataFrame:
+    """(model, true_label, pred_label, n), with ``first`` (a column such as item_id) also
+    ``first``: its smallest value, where the pair appears first.
 
     The count passes through ``plan_barrier`` so that filters of the metric
     jobs stay above the aggregate: every consumer then shares one identical
     scan + partial aggregation + exchange, which Spark reuses within a query.
     """
-    agg = preds.groupBy("model", "true_label", "pred_label").agg(F.count(F.lit(1)).alias("n"))
-    return agg.select("model", "true_label", "pred_label", plan_barrier(F.col("n")).cast("long").alias("n"))
+    more = [F.min(first).alias("first")] if first else []
+    agg = preds.groupBy("model", "true_label", "pred_label").agg(F.count(F.lit(1)).alias("n"), *more)
+    return agg.select("model", "true_label", "pred_label", plan_barrier(F.col("n")).cast("long").alias("n"), *["first"] * len(more))
 
 
 def _valid(pairs: DataFrame) -> DataFrame:
@@ -190,6 +192,21 @@ def confusion_fixed(pairs: DataFrame, labels: list[str] = LABEL_SCHEMA) -> DataF
                       F.coalesce("n", F.lit(0)).cast("long").alias("n"))
 
 
+def confusion_wide(pairs: DataFrame, labels: list[str] = LABEL_SCHEMA) -> DataFrame:
+    """E8 as a matrix: one row per model and true label, one column ``p<ord>`` per
+    predicted label, row_total besides; parse errors and out-of-schema pairs are excluded.
+    One aggregate: every model brings a row of zeros per label along."""
+    ords = str_map_to_int(labels)
+    cells = _valid(pairs).select("model", ords[F.col("true_label")].alias("true_ord"), ords[F.col("pred_label")].alias("pred_ord"), "n")
+    cells = cells.filter(F.col("true_ord").isNotNull() & F.col("pred_ord").isNotNull())
+    zeros = pairs.select("model", F.explode(F.sequence(F.lit(0), F.lit(len(labels) - 1))).alias("true_ord"),
+                         F.lit(None).cast("int").alias("pred_ord"), F.lit(0).cast("long").alias("n"))
+    columns = [F.sum(F.when(F.col("pred_ord") == i, F.col("n")).otherwise(0)).cast("long").alias(f"p{i}") for i in range(len(labels))]
+    wide = cells.unionByName(zeros).groupBy("model", "true_ord").agg(*columns, F.sum("n").cast("long").alias("row_total"))
+    return wide.select("model", "true_ord", F.element_at(str_array(labels), F.col("true_ord") + 1).alias("true_label"),
+                       *[f"p{i}" for i in range(len(labels))], "row_total")
+
+
 def confusion_used(pairs: DataFrame, classes: DataFrame, models: list[str]) -> DataFrame:
     """Matrix over the classes in use (L4), parse errors as a class.
 
@@ -233,12 +250,14 @@ def error_key() -> Column:
     return F.concat(F.coalesce(F.col("true_label"), none), F.lit(" -> "), F.coalesce(F.col("pred_label"), none))
 
 
-def error_breakdown(pairs: DataFrame, top_n: int | None = 10) -> DataFrame:
-    """``"true -> pred"`` error counts per model, top N by count (ties by key)."""
-    e = error_rows(pairs).groupBy("model", error_key().alias("error_type")).agg(F.sum("n").cast("long").alias("n"))
+def error_breakdown(pairs: DataFrame, top_n: int | None = 10, ties: str = "key") -> DataFrame:
+    """``"true -> pred"`` error counts per model, top N by count.  Ties by key, or
+    (``ties="first"``, pair counts with ``first``) by where the error appears first."""
+    more = [F.min("first").alias("first")] if ties == "first" else []
+    e = error_rows(pairs).groupBy("model", error_key().alias("error_type")).agg(F.sum("n").cast("long").alias("n"), *more)
     if top_n is None:
         return e
-    w = Window.partitionBy("model").orderBy(F.col("n").desc(), F.col("error_type"))
+    w = Window.partitionBy("model").orderBy(F.col("n").desc(), *["first"] * len(more), F.col("error_type"))
     return e.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= top_n)
 
 
@@ -262,6 +281,41 @@ def both_failed(diag: DataFrame, models: list[str]) -> DataFrame:
     return diag.groupBy("item_id").agg(*flags).filter(every).select("item_id")
 
 
+_WORD_BITS = 62     # models per word of a mask
+
+
+def _failure_masks(models: list[str], failed: Column) -> list[Column]:
+    """Aggregates: bit i of word w is set when model 62 * w + i has a failed row."""
+    ordinal = str_map_to_int(models)[F.col("model")]
+    bit = F.call_function("shiftleft", F.lit(1).cast("long"), (ordinal % _WORD_BITS).cast("int"))
+    return [F.bit_or(F.when(failed & (F.floor(ordinal / _WORD_BITS) == w), bit).otherwise(F.lit(0).cast("long"))).alias(f"_w{w}")
+            for w in range(-(-len(models) // _WORD_BITS))]
+
+
+def _by_failing_models(keys: DataFrame, models: list[str], n: str) -> DataFrame:
+    """(models, n_models, <n>): how many keys fail under exactly each set of models."""
+    words = [c for c in keys.columns if c.startswith("_w")]
+    sets = keys.filter(" OR ".join(f"{w} <> 0" for w in words)).groupBy(*words).agg(F.count(F.lit(1)).alias(n))
+    named = F.array_compact(F.array(*[
+        F.when(F.col(f"_w{i // _WORD_BITS}").bitwiseAND(F.lit(1 << i % _WORD_BITS)) != 0, F.lit(m)) for i, m in enumerate(models)]))
+    return sets.select(F.array_join(named, ",").alias("models"), F.size(named).alias("n_models"), n)
+
+
+def failing_sets(diag: DataFrame, models: list[str]) -> DataFrame:
+    """E12 for any number of models: (models, n_models, n_items), one row per set of models
+    that fail together on an item, and under no other listed model.  One mask per item."""
+    keys = diag.filter(F.col("model").isin(models)).groupBy("item_id").agg(*_failure_masks(models, ~F.col("ok")))
+    return _by_failing_models(keys, models, "n_items")
+
+
+def error_type_sets(pairs: DataFrame, models: list[str]) -> DataFrame:
+    """C5 for any number of models: (models, n_models, n_error_types), the error types
+    that exactly these models make."""
+    keys = error_rows(pairs).filter(F.col("model").isin(models)).groupBy(error_key().alias("error_type")).agg(
+        *_failure_masks(models, F.lit(True)))
+    return _by_failing_models(keys, models, "n_error_types")
+
+
 def first_failures(diag: DataFrame, k: int = 3) -> DataFrame:
     """First ``k`` failing records per model by item_id.
 

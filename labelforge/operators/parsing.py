@@ -10,13 +10,13 @@ from ..functions.constants import (DIAG_DECODE, DIAG_INVALID, DIAG_MISSING, DIAG
                                    DIAG_NO_RESPONSE, PARSING_ERROR, RAW_SNIPPET_CHARS,
                                    SIMPLE_BAD_JSON, SIMPLE_DEFAULT, SIMPLE_NO_OBJECT,
                                    SIMPLE_NULL_INPUT)
+from ..session import materialize
 from .labels import valid_labels as _valid_labels
 
 # A no-op guard that is non-deterministic: filters on parse results stay above
 # it instead of being pushed down and inlining every stage (see text.plan_barrier).
 BARRIER = "CASE WHEN spark_partition_id() < 0 THEN NULL ELSE {} END"
 S, Q_ = J.sql_str, J.q
-MAX_LABELS = 10_000  # labels of a derived label table
 
 
 def parse_simple(df: DataFrame, response: str = "response") -> DataFrame:
@@ -59,7 +59,8 @@ def parse_diagnostics(df: DataFrame, response: str = "response", labels: list[st
 
     Labels are valid when they are in ``labels`` (a list, by default the schema
     without NONE) or, if given, in ``label_table`` (column ``label``, for
-    example the labels derived from the data; at most ``MAX_LABELS``).
+    example the labels derived from the data, of any number).  The parse is then
+    written once and joined to the table.
 
     Codes, first match wins: NO_RESPONSE, NO_JSON_FOUND, JSON_DECODE_ERROR,
     MISSING_LABEL_FIELD, INVALID_LABEL; ``ok`` otherwise.
@@ -73,14 +74,15 @@ def parse_diagnostics(df: DataFrame, response: str = "response", labels: list[st
     x = J.with_coerced_label(x, "_v", "_raw", "_span")
     x = x.selectExpr("*", f"{J.sql_strip('_raw')} AS _norm")
     in_schema = "_norm IN (" + ", ".join(S(v) for v in labels) + ")" if labels else "false"
+    # of the span only its first characters are used below, of the value only whether there is one
+    x = x.selectExpr(*[Q_(c) for c in df.columns], "_blank", "_span IS NULL AS _no_span", f"substring(_span, 1, {snippet}) AS _sub",
+                     "_v IS NULL AS _no_value", "_raw", "_norm")
     if label_table is not None:
-        # one value for the whole table, as a label list stands in every prompt; its size is checked
-        found = F.sort_array(F.collect_set("label"))
-        checked = F.when(F.size(found) <= MAX_LABELS, found).otherwise(
-            F.raise_error(F.lit(f"more than {MAX_LABELS} derived labels")))
-        x = x.withColumn("_known", label_table.agg(checked.alias("labels")).scalar())
-        in_schema = "array_contains(_known, _norm)"
-    stage = (f"CASE WHEN _blank THEN 0 WHEN _span IS NULL THEN 1 WHEN _v IS NULL THEN 2 "
+        known = label_table.select(F.col("label").alias("_known")).distinct()
+        x = materialize(x)
+        x = x.join(known, x["_norm"] == known["_known"], "left")
+        in_schema = "_known IS NOT NULL"
+    stage = (f"CASE WHEN _blank THEN 0 WHEN _no_span THEN 1 WHEN _no_value THEN 2 "
              f"WHEN _raw IS NULL OR _norm = '' THEN 3 WHEN NOT ({in_schema}) THEN 4 ELSE 5 END")
     x = x.selectExpr("*", f"{BARRIER.format(stage)} AS _stage")
     code = (f"CASE _stage WHEN 0 THEN {S(DIAG_NO_RESPONSE[0])} WHEN 1 THEN {S(DIAG_NO_JSON[0])} "
@@ -88,7 +90,7 @@ def parse_diagnostics(df: DataFrame, response: str = "response", labels: list[st
     detail = (f"CASE _stage WHEN 0 THEN {S(DIAG_NO_RESPONSE[1])} WHEN 1 THEN {S(DIAG_NO_JSON[1])} "
               f"WHEN 2 THEN {S(DIAG_DECODE[1])} WHEN 3 THEN {S(DIAG_MISSING[1])} "
               f"WHEN 4 THEN concat('Label ''', _norm, ''' not in valid label set.') END")
-    json_sub = f"CASE WHEN _stage >= 2 THEN substring(_span, 1, {snippet}) END" if show_json_substring \
+    json_sub = "CASE WHEN _stage >= 2 THEN _sub END" if show_json_substring \
         else "CAST(NULL AS STRING)"
     return x.selectExpr(
         *[Q_(c) for c in df.columns],

@@ -10,10 +10,13 @@ Results are keyed by ``item_id`` -- never by position.
 
 from __future__ import annotations
 
+import threading
 from collections import deque
+from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 
 import pandas as pd
+from pyspark import Broadcast, cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -39,6 +42,44 @@ class PartialResults(Exception):
         self.results = results
 
 
+class PredictorDown(Exception):
+    """A predictor raises this when it cannot go on at all (quota, lost service): the
+    job fails instead of turning every further row into an error record."""
+
+
+_INSTANCES: dict[str, object] = {}      # of this Python worker, by predictor name
+_BUILDING = threading.Lock()
+
+
+class PerWorker:
+    """A predictor that ``factory`` builds once in each Python worker, which all tasks the
+    worker runs then use; only the factory travels.  ``name`` is the model's name; a
+    factory of another version needs another ``version``.  The worker keeps one
+    instance per name."""
+
+    def __init__(self, name: str, factory: Callable[[], object], version: str = ""):
+        self.name, self.factory, self.version = name, factory, version
+
+    def predict(self, pdf: pd.DataFrame) -> list:
+        with _BUILDING:
+            held = _INSTANCES.get(self.name)
+            if held is None or held[0] != self.version:
+                factory = cloudpickle.loads(self.factory.value) if isinstance(self.factory, Broadcast) else self.factory
+                held = _INSTANCES[self.name] = (self.version, factory())
+        return held[1].predict(pdf)
+
+    def shipped(self, spark) -> PerWorker:
+        """The same with its factory sent to every executor once."""
+        return PerWorker(self.name, spark.sparkContext.broadcast(cloudpickle.dumps(self.factory)), self.version)
+
+
+def _whole_executor(spark):
+    """A resource profile under which an executor runs one task at a time."""
+    from pyspark.resource import ResourceProfileBuilder, TaskResourceRequests
+    cores = int(spark.conf.get("spark.executor.cores", "1"))
+    return ResourceProfileBuilder().require(TaskResourceRequests().cpus(cores)).build
+
+
 def _run_batch(predictor, pdf: pd.DataFrame) -> pd.DataFrame:
     n = len(pdf)
     resp, reas, et, em = [None] * n, [None] * n, [None] * n, [None] * n
@@ -54,6 +95,8 @@ def _run_batch(predictor, pdf: pd.DataFrame) -> pd.DataFrame:
             raise ValueError(f"predictor returned {len(outs)} results for {n} rows")
         for i, o in enumerate(outs):
             put(i, o)
+    except PredictorDown:
+        raise
     except Exception as failure:
         # Isolate failures: rerun what has no result row by row, keep going past bad rows.
         done = dict(failure.results) if isinstance(failure, PartialResults) else {}
@@ -65,6 +108,8 @@ def _run_batch(predictor, pdf: pd.DataFrame) -> pd.DataFrame:
             row = pdf.iloc[i:i + 1]
             try:
                 put(i, predictor.predict(row)[0])
+            except PredictorDown:
+                raise
             except Exception as e:  # noqa: BLE001 - per-row capture is the contract
                 resp[i], et[i], em[i] = _error_text(e), type(e).__name__, str(e)
     return pd.DataFrame({"item_id": pdf["item_id"].astype("int64").values,
@@ -74,13 +119,15 @@ def _run_batch(predictor, pdf: pd.DataFrame) -> pd.DataFrame:
 
 def batch_predict(items: DataFrame, predictor, input_cols: list[str] | None = None,
                   max_workers: int | None = None, threads_per_task: int = 1,
-                  batch_rows: int = 64) -> DataFrame:
+                  batch_rows: int = 64, exclusive: bool = False) -> DataFrame:
     """I1 + I2: run ``predictor`` over every row.
 
     ``max_workers`` bounds global concurrency: at most that many batches run at
     once, on ``threads_per_task`` threads (or fewer, if the bound is below) of each
     of the partitions the input is spread over.  ``None`` keeps the input
     partitioning.  A task holds at most two batches per thread.
+    ``exclusive`` is for predictors that need a machine's device to themselves: an
+    executor runs one task at a time, on one thread (in local mode one task in all).
     ``predictor=None`` yields the skip response (I6).
     """
     cols = input_cols or items.columns
@@ -90,7 +137,9 @@ def batch_predict(items: DataFrame, predictor, input_cols: list[str] | None = No
                         F.lit(SKIPPED_RESPONSE).alias("response"),
                         *[F.lit(None).cast("string").alias(c) for c in ["reasoning", "error_type", "error_msg"]])
     ship_package(items.sparkSession)
-    threads = max(1, threads_per_task)
+    if isinstance(predictor, PerWorker):
+        predictor = predictor.shipped(items.sparkSession)
+    threads = 1 if exclusive else max(1, threads_per_task)
     if max_workers:
         threads = min(threads, max_workers)
         x = x.repartition(max(1, max_workers // threads))
@@ -112,7 +161,11 @@ def batch_predict(items: DataFrame, predictor, input_cols: list[str] | None = No
                     waiting.append(ex.submit(_run_batch, predictor, chunk))
                 while waiting:
                     yield waiting.popleft().result()
-    return x.mapInPandas(run, PRED_SCHEMA)
+    if not exclusive:
+        return x.mapInPandas(run, PRED_SCHEMA)
+    if items.sparkSession.sparkContext.master.startswith("local") and "cluster" not in items.sparkSession.sparkContext.master:
+        return x.repartition(1).mapInPandas(run, PRED_SCHEMA)
+    return x.mapInPandas(run, PRED_SCHEMA, profile=_whole_executor(items.sparkSession))
 
 
 def prediction_records(items: DataFrame, responses: DataFrame, models: list[str],

@@ -118,6 +118,7 @@ class ChatTemplate:
     generation_prefix: str = MODEL_TURN_MARKER
     system_joiner: str = "\n\n"   # a leading system turn is folded into the next turn
     trim_content: bool = True
+    fold_system: bool = True
 
     def prefix(self, role: Column) -> Column:
         e = None
@@ -133,6 +134,31 @@ class ChatTemplate:
 GEMMA3 = ChatTemplate()
 
 
+TEMPLATE_SCHEMA = ("model string, bos string, role_prefix map<string,string>, other_open string, other_close string, "
+                   "turn_suffix string, generation_prefix string, system_joiner string, fold_system boolean, trim_content boolean")
+
+
+class TemplateColumns:
+    """A chat template whose parts are columns of each row (``TEMPLATE_SCHEMA``).  Roles
+    without a prefix of their own are written between ``other_open`` and ``other_close``;
+    without ``fold_system`` a system turn is a turn like others."""
+
+    def __init__(self, at: str = "_tpl"):
+        def part(name):
+            return F.col(f"{at}.{name}")
+        self.bos, self.turn_suffix, self.generation_prefix = part("bos"), part("turn_suffix"), part("generation_prefix")
+        self.system_joiner, self.fold_system = part("system_joiner"), part("fold_system")
+        self._roles, self._trim = part("role_prefix"), part("trim_content")
+        self._open, self._close = part("other_open"), part("other_close")
+
+    def prefix(self, role: Column) -> Column:
+        return F.coalesce(F.try_element_at(self._roles, role), F.concat(self._open, role, self._close))
+
+    def body(self, text: Column) -> Column:
+        t = F.coalesce(text, F.lit(""))
+        return F.when(self._trim, py_strip(t)).otherwise(t)
+
+
 def _turn_text(content: Column) -> Column:
     """Text of a ``content`` array: its text items concatenated."""
     texts = F.transform(F.filter(content, lambda c: c["type"] == "text"), lambda c: c["text"])
@@ -146,7 +172,7 @@ def flat_turns(conv: Column) -> Column:
 
 def _pieces(turns: Column, tpl: ChatTemplate) -> Column:
     """Rendered piece per non-system turn: ``array<struct<role, piece, prefix_len>>``."""
-    first_sys = F.coalesce(turns[0]["role"] == "system", F.lit(False))
+    first_sys = F.coalesce((turns[0]["role"] == "system") & F.lit(tpl.fold_system), F.lit(False))
     sys_text = F.when(first_sys, F.concat(tpl.body(turns[0]["text"]), F.lit(tpl.system_joiner))).otherwise(F.lit(""))
     loop = F.when(first_sys, F.slice(turns, 2, F.greatest(F.size(turns) - 1, F.lit(0)))).otherwise(turns)
 
@@ -171,6 +197,21 @@ def render_chat(turns: Column, tpl: ChatTemplate = GEMMA3, add_generation_prompt
     return out
 
 
+def render_by_template(df: DataFrame, templates: DataFrame, turns: Column, by: str = "model",
+                       add_generation_prompt: bool = False, out: str = "text") -> DataFrame:
+    """T6 / T7 with one template per row: ``df`` joined on ``by`` to a template table
+    (``TEMPLATE_SCHEMA``, one row per value of ``by``); null where it has none."""
+    row = templates.select(F.col(by), F.struct(*[c for c in templates.columns if c != by]).alias("_tpl"))
+    joined = df.join(row, by, "left")
+    return joined.withColumn(out, render_chat(turns, TemplateColumns(), add_generation_prompt)).drop("_tpl")
+
+
+def template_row(model: str, tpl: ChatTemplate) -> tuple:
+    """A row of a template table from a template."""
+    return (model, tpl.bos, dict(tpl.role_prefix), "<start_of_turn>", "\n", tpl.turn_suffix, tpl.generation_prefix,
+            tpl.system_joiner, tpl.fold_system, tpl.trim_content)
+
+
 def roles_alternate(turns: Column) -> Column:
     """True when non-system turns alternate user / assistant starting with user."""
     first_sys = F.coalesce(turns[0]["role"] == "system", F.lit(False))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ..functions.constants import NONE_LABEL, RESPONSE_TRUNCATE
@@ -55,6 +55,15 @@ def none_filter_counts(df: DataFrame, label: str = "label", loose: bool = False)
                   F.count_if(~dropped).alias("kept"))
 
 
+def drop_none_observed(df: DataFrame, loose: bool = False, label: str = "label") -> tuple[DataFrame, Observation]:
+    """F3 / F4 with their counts: the kept rows, and an observation that the job which
+    produces them fills (``get``: total, excluded), without a scan of its own."""
+    seen = Observation()
+    dropped = is_none_loose(label) if loose else F.col(label).eqNullSafe(F.lit(NONE_LABEL))
+    counted = df.observe(seen, F.count(F.lit(1)).alias("total"), F.count_if(dropped).alias("excluded"))
+    return counted.filter(~dropped), seen
+
+
 def cap_first_n(df: DataFrame, n: int | None, mode: str = "pipeline", order_col: str = "item_id",
                 by_split: bool = True) -> DataFrame:
     """first ``n`` records (by ``order_col``) -- per split when ``by_split``,

@@ -12,8 +12,9 @@ from fractions import Fraction
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .ranking import first_fraction, first_k, hex_bucket, number_bucket, positions
-from .records import drop_none_exact, drop_none_loose
+from .ranking import HEAD, first_fraction, first_k, hex_bucket, number_bucket, positions
+from ..session import materialize
+from .records import drop_none_exact, drop_none_loose, drop_none_observed
 
 
 def shuffle_key(seed: int, item_col: str = "item_id") -> Column:
@@ -50,6 +51,24 @@ def sample_eval(df: DataFrame, num_samples: int | None = 50, exclude_none: bool
     return first_k(x, ["item_id"], num_samples or None, number_bucket("item_id"))
 
 
+def sample_eval_counted(df: DataFrame, num_samples: int = 50, randomize: bool = False, seed: int | None = None,
+                        loose: bool = False) -> tuple[DataFrame, dict]:
+    """P2 with its counts: the sample, written once, and {requested, total, excluded,
+    available, sampled}, which come from the job that wrote it: the input is read once."""
+    kept, seen = drop_none_observed(df, loose)
+    order = ["shuffle_key", "item_id"] if randomize else ["item_id"]
+    x = with_shuffle_key(kept, seed) if randomize else kept
+    if num_samples and num_samples <= HEAD:
+        out = materialize(x.orderBy(*order).limit(num_samples))
+    else:
+        whole = materialize(x)
+        out = first_k(whole, order, num_samples or None, hex_bucket("shuffle_key") if randomize else number_bucket("item_id"))
+    counts = seen.get
+    available = counts["total"] - counts["excluded"]
+    return out, {"requested": num_samples, "total": counts["total"], "excluded": counts["excluded"], "available": available,
+                 "sampled": min(num_samples, available) if num_samples else available}
+
+
 def sample_eval_loose(df: DataFrame, num_samples: int = 5, seed: int | None = 42) -> DataFrame:
     """P3 (notebook order): loose NONE filter -> shuffle -> min(N, size)."""
     x = with_shuffle_key(drop_none_loose(df), seed)

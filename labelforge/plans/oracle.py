@@ -617,3 +617,66 @@ ORACLE_SQL.update({
     "shuffle_order": f"""{W} SELECT item_id, row_number() OVER (ORDER BY md5('42:' || CAST(item_id AS VARCHAR)), item_id) - 1 AS position
         FROM clauses""",
 })
+
+
+def _templates() -> str:
+    """Two renderings of whole conversations by the model's template."""
+    both = f"""WITH t AS (SELECT conv_id, turn, role, coalesce(text, '') AS x, row_number() OVER (PARTITION BY conv_id ORDER BY turn) AS rn,
+          first_value(role) OVER (PARTITION BY conv_id ORDER BY turn) = 'system' AS sys,
+          first_value(text) OVER (PARTITION BY conv_id ORDER BY turn) AS lead FROM conversations),
+        p AS (SELECT conv_id, turn,
+            CASE WHEN sys AND rn = 1 THEN '' ELSE
+              (CASE role WHEN 'user' THEN {USER_P} WHEN 'assistant' THEN {MODEL_P} WHEN 'model' THEN {MODEL_P}
+                 ELSE '<start_of_turn>' || role || {NL} END)
+              || (CASE WHEN sys AND rn = 2 THEN {strip0('lead')} || {NL} || {NL} ELSE '' END) || {strip('x')} || {EOT} END AS g,
+            '<|im_start|>' || role || {NL} || x || '<|im_end|>' || {NL} AS c FROM t),
+        r AS (SELECT conv_id, '<bos>' || string_agg(g, '' ORDER BY turn) AS g, string_agg(c, '' ORDER BY turn) AS c FROM p GROUP BY conv_id)"""
+    return f"""{both} SELECT conv_id, ['gemma', 'chatml', 'unknown'][conv_id % 3 + 1] AS model,
+          CASE conv_id % 3 WHEN 0 THEN g WHEN 1 THEN c END AS text,
+          CASE conv_id % 3 WHEN 0 THEN g || {MODEL_P} WHEN 1 THEN c || '<|im_start|>assistant' || {NL} END AS prompt FROM r"""
+
+
+def _sets(failed: str, key: str, models: list[str], n: str) -> str:
+    """``failed``: a query of (key, model); the sets of models that share a key."""
+    return f"""SELECT models, CAST(len(string_split(models, ',')) AS INTEGER) AS n_models, count(*) AS {n} FROM (
+        SELECT {key}, string_agg(DISTINCT model, ',' ORDER BY list_position([{', '.join(map(q, models))}], model)) AS models
+        FROM ({failed}) GROUP BY {key}) GROUP BY models"""
+
+
+SIX = [f"model{k}" for k in range(6)]
+SIX_DIAG = WG.replace(MODELS, "(VALUES " + ", ".join(f"({k}, {q(m)})" for k, m in enumerate(SIX)) + ") m(k, model)")
+ORDER_KEYS = "substr(o_orderpriority, 1, 1) <= '3'"
+ORACLE_SQL.update({
+    "sample_counts": f"""{W}, t AS (SELECT * FROM clauses WHERE split = 'test'),
+        a AS (SELECT count(*) AS total, count(*) FILTER (label = 'NONE') AS excluded FROM t),
+        s AS (SELECT item_id, md5('42:' || CAST(item_id AS VARCHAR)) AS shuffle_key FROM t WHERE label IS DISTINCT FROM 'NONE'
+              ORDER BY shuffle_key, item_id LIMIT 50)
+        SELECT s.*, CAST(50 AS BIGINT) AS requested, total, excluded, total - excluded AS available,
+          least(50, total - excluded) AS sampled FROM s, a""",
+    "labels_dim": f"""{W}, {SCH}, n AS (SELECT {strip0('label')} AS label, count(*) AS n FROM clauses GROUP BY 1)
+        SELECT label_ord, label, coalesce(n, 0) AS n, label <> 'NONE' AS in_prompt, true AS in_prompt_with_none
+        FROM sch LEFT JOIN n USING (label)""",
+    "chat_templates": _templates(),
+    "predict_resume": f"""{W}, {PREDS}, a AS (SELECT * FROM preds WHERE model = 'candidate')
+        SELECT item_id, model, true_label, CASE WHEN item_id % 97 = 0 THEN 'PARSING_ERROR' ELSE pred_label END AS pred_label,
+          CASE WHEN item_id % 97 = 0 THEN 'Error during inference: RuntimeError: stub predictor failed on item ' || item_id
+               ELSE response END AS response,
+          CASE WHEN CAST('0x' || substr(md5(CAST(item_id AS VARCHAR)), 1, 8) AS BIGINT) % 4 < 2 THEN CAST(1 AS BIGINT) ELSE 2 END AS run FROM a""",
+    "parse_diag_many_labels": f"""SELECT o_orderkey AS item_id, CASE WHEN {ORDER_KEYS} THEN 'order ' || o_orderkey ELSE 'PARSING_ERROR' END AS pred_label,
+          {ORDER_KEYS} AS ok, CASE WHEN NOT {ORDER_KEYS} THEN 'INVALID_LABEL' END AS error_code,
+          CASE WHEN NOT {ORDER_KEYS} THEN 'Label ' || chr(39) || 'order ' || o_orderkey || chr(39) || ' not in valid label set.' END AS error_detail FROM orders""",
+    "error_breakdown_first": f"""{W}, {PREDS},
+        e AS (SELECT model, coalesce(true_label, 'None') || ' -> ' || coalesce(pred_label, 'None') AS error_type, count(*) AS n,
+                min(item_id) AS "first" FROM preds WHERE pred_label IS DISTINCT FROM true_label GROUP BY ALL)
+        SELECT * FROM (SELECT *, CAST(row_number() OVER (PARTITION BY model ORDER BY n DESC, "first") AS INTEGER) AS rank FROM e)
+        WHERE rank <= 10""",
+    "confusion_wide": f"""WITH {LP}, {SCH}, c AS (
+          SELECT model, t.label_ord AS true_ord, p.label_ord AS pred_ord, n FROM pc JOIN sch t ON t.label = true_label JOIN sch p ON p.label = pred_label),
+        g AS (SELECT model, label_ord AS true_ord, label AS true_label FROM (SELECT DISTINCT model FROM pc), sch)
+        SELECT model, true_ord, true_label, {', '.join(f"CAST(coalesce(sum(n) FILTER (pred_ord = {i}), 0) AS BIGINT) AS p{i}" for i in range(len(LABEL_SCHEMA)))},
+          CAST(coalesce(sum(n), 0) AS BIGINT) AS row_total FROM g LEFT JOIN c USING (model, true_ord) GROUP BY ALL""",
+    "failing_sets": f"{WG}, f AS (SELECT item_id, model FROM diag WHERE NOT ok) {_sets('FROM f', 'item_id', ['candidate', 'baseline'], 'n_items')}",
+    "failing_sets_six": f"{SIX_DIAG}, f AS (SELECT item_id, model FROM diag WHERE NOT ok) {_sets('FROM f', 'item_id', SIX, 'n_items')}",
+    "error_type_sets": f"""WITH {LP}, f AS (SELECT DISTINCT model, coalesce(true_label, 'None') || ' -> ' || coalesce(pred_label, 'None') AS et
+          FROM pc WHERE pred_label IS DISTINCT FROM true_label) {_sets('FROM f', 'et', ['candidate', 'baseline'], 'n_error_types')}""",
+})

@@ -7,10 +7,12 @@ operators over whole tables and whole texts.
 
 from __future__ import annotations
 
+import hashlib
 import os
 import uuid
 from collections.abc import Callable
 
+from pyspark.errors import PythonException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -18,6 +20,7 @@ from ..functions.constants import LABEL_SCHEMA
 from ..functions.text import truncate_text
 from ..operators import compare as C
 from ..operators import labels as L
+from ..operators import ledger as G
 from ..operators import metrics as E
 from ..operators import parsing as Rp
 from ..operators import predict as I
@@ -153,7 +156,18 @@ def q_split_single(spark, d):
     return P.resolve_splits(clauses(spark, d).select("item_id"))
 
 
+def q_sample_counts(spark, d):
+    """F4 + P2: what was asked for, excluded, there and sampled, from the job that draws the sample."""
+    test = clauses(spark, d).filter(F.col("split") == "test")
+    sample, counts = P.sample_eval_counted(test, 50, randomize=True, seed=SEED)
+    return sample.select("item_id", "shuffle_key", *[F.lit(v).cast("long").alias(k) for k, v in counts.items()])
+
+
 # ------------------------------------------------------------------ L: labels
+def q_labels_dim(spark, d):
+    return L.label_usage(clauses(spark, d))
+
+
 def q_labels_derived(spark, d):
     base = P.base_split(clauses(spark, d), names=["train", "validation", "test"])
     return L.derived_labels(base)
@@ -246,6 +260,22 @@ def q_chat_text(spark, d):
                     T.roles_alternate(F.col("turns")).alias("roles_ok"))
 
 
+TEMPLATES = [
+    T.template_row("gemma", T.GEMMA3),
+    ("chatml", "", {}, "<|im_start|>", "\n", "<|im_end|>\n", "<|im_start|>assistant\n", "", False, False),
+]
+
+
+def q_chat_templates(spark, d):
+    """T6 + T7: rows of one table rendered by the template of their model."""
+    t = _conv_turns(spark, d).withColumn("model", F.element_at(F.array(F.lit("gemma"), F.lit("chatml"), F.lit("unknown")),
+                                                              (F.col("conv_id") % 3 + 1).cast("int")))
+    table = spark.createDataFrame(TEMPLATES, T.TEMPLATE_SCHEMA)
+    text = T.render_by_template(t, table, F.col("turns"))
+    return T.render_by_template(text, table, F.col("turns"), add_generation_prompt=True, out="prompt").select(
+        "conv_id", "model", "text", "prompt")
+
+
 def q_loss_spans(spark, d):
     """T8 over whole conversations without gathering a conversation in one task."""
     return T.loss_span_rows(read_table(spark, d, "conversations")).select(
@@ -291,6 +321,31 @@ def q_batch_predict(spark, d):
     return out.select("item_id", "model", "response", "error_type")
 
 
+class StoppingPredictor(StubPredictor):
+    """Goes down at the first item whose id's digest, taken modulo 4, is 2 or more."""
+
+    def predict(self, pdf):
+        if any(int(hashlib.md5(str(i).encode()).hexdigest()[:8], 16) % 4 >= 2 for i in pdf["item_id"]):
+            raise I.PredictorDown("no quota left")
+        return super().predict(pdf)
+
+
+def q_predict_resume(spark, d):
+    """I1 + I3: the predictor of a first run goes down midway; the second run asks only for
+    what the ledger does not hold, and both together give the prediction records."""
+    c = clauses(spark, d).select("item_id", "label")
+    ledger = os.path.join(checkpoint_dir(spark), f"ledger-{uuid.uuid4().hex}")
+    try:
+        G.predict_resumable(c, StoppingPredictor(0, CAND), ledger, CAND, n_units=4)
+    except PythonException as e:
+        if "PredictorDown" not in str(e):
+            raise
+    got = G.predict_resumable(c, StubPredictor(0, CAND), ledger, CAND, n_units=4)
+    records = I.prediction_records(c, got, [CAND])
+    return records.join(got.select("item_id", "run"), "item_id", "left").select(
+        "item_id", "model", "true_label", "pred_label", "response", "run")
+
+
 def q_batch_predict_skipped(spark, d):
     c = clauses(spark, d).select("item_id", "label")
     s = I.batch_predict(c, None)
@@ -361,6 +416,16 @@ def q_parse_diag_derived(spark, d):
         "item_id", "model", "pred_label", "ok", "error_code", "error_detail", "parsed_label", "normalized_label")
 
 
+def q_parse_diag_many_labels(spark, d):
+    """R3 against as many derived labels as there are orders of the first three priorities."""
+    o = read_table(spark, d, "orders")
+    labels = L.derived_labels(o.filter(F.substring("o_orderpriority", 1, 1) <= "3").select(
+        F.concat(F.lit(" order "), F.col("o_orderkey").cast("string")).alias("label")))
+    answers = o.select(F.col("o_orderkey").alias("item_id"), F.concat(
+        F.lit('{"label": "order '), F.col("o_orderkey").cast("string"), F.lit('"}')).alias("response"))
+    return Rp.parse_diagnostics(answers, label_table=labels).select("item_id", "pred_label", "ok", "error_code", "error_detail")
+
+
 # ------------------------------------------------------------------ E: evaluation
 def q_metrics_summary(spark, d):
     return E.summary(pairs(spark, d), is_pairs=True)
@@ -395,6 +460,39 @@ def q_error_breakdown(spark, d):
     return E.error_breakdown(pairs(spark, d), 10).select("model", "error_type", "n", F.col("rank").cast("int"))
 
 
+def q_error_breakdown_first(spark, d):
+    """E10 with ties in the order in which the errors appear."""
+    p = materialize(E.pair_counts(preds(spark, d), first="item_id"))
+    return E.error_breakdown(p, 10, ties="first").select("model", "error_type", "n", "first", F.col("rank").cast("int"))
+
+
+def q_confusion_wide(spark, d):
+    return E.confusion_wide(pairs(spark, d))
+
+
+SIX = [f"model{k}" for k in range(6)]
+
+
+def _six(spark, d):
+    """Diagnostics of six stub models over every clause."""
+    x = clauses(spark, d).select("item_id", "label", F.explode(F.sequence(F.lit(0), F.lit(5))).alias("k"))
+    r = x.select("item_id", F.concat(F.lit("model"), F.col("k").cast("string")).alias("model"),
+                 X.stub_response(F.col("item_id"), F.col("label"), F.col("k")).alias("response"))
+    return Rp.parse_diagnostics(r, labels=NON_NONE)
+
+
+def q_failing_sets(spark, d):
+    return E.failing_sets(parsed(spark, d), X.MODELS)
+
+
+def q_failing_sets_six(spark, d):
+    return E.failing_sets(_six(spark, d), SIX)
+
+
+def q_error_type_sets(spark, d):
+    return E.error_type_sets(pairs(spark, d), X.MODELS)
+
+
 def q_diag_summary(spark, d):
     return E.diagnostic_summary(parsed(spark, d))
 

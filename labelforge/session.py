@@ -127,20 +127,21 @@ def input_bytes(spark: SparkSession, paths: list[str]) -> int:
 
 def size_partitions(spark: SparkSession, paths: list[str], target_bytes: int = 256 << 20,
                     expansion: float = 3.0, min_partitions: int | None = None,
-                    max_partitions: int = 65_536) -> dict:
+                    max_partitions: int | None = None) -> dict:
     """Size shuffle and scan partitions from the input volume.
 
     Shuffle partitions = ceil(input bytes x ``expansion`` / ``target_bytes``)
-    (columnar files grow when decoded), at least 2 x default parallelism and at
-    most ``max_partitions`` (what one shuffle can track well; pass the paths that
-    feed the largest shuffle, not all inputs of a job).  AQE
+    (columnar files grow when decoded), at least 2 x default parallelism and, if
+    given, at most ``max_partitions``.  Pass the paths that feed the largest shuffle, not
+    all inputs of a job: partitions then stay at ``target_bytes`` at any size.  AQE
     then coalesces small partitions towards ``target_bytes`` and splits skewed
     ones.  Scan splits are capped at ``target_bytes`` as well.  Returns the
     settings applied.
     """
     n_bytes = input_bytes(spark, paths)
     floor = min_partitions or 2 * spark.sparkContext.defaultParallelism
-    shuffle = max(floor, min(max_partitions, -(-int(n_bytes * expansion) // target_bytes)))
+    shuffle = -(-int(n_bytes * expansion) // target_bytes)
+    shuffle = max(floor, shuffle if max_partitions is None else min(max_partitions, shuffle))
     settings = {
         "spark.sql.shuffle.partitions": str(shuffle),
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_bytes),

@@ -204,3 +204,117 @@ def test_size_partitions(spark):
     finally:
         for k, v in before.items():
             spark.conf.set(k, v)
+
+
+class Dying:
+    """Notes every item it is asked for; goes down once it has answered ``after`` of them."""
+    name = "m"
+
+    def __init__(self, folder, after):
+        self.folder, self.after = folder, after
+
+    def predict(self, pdf):
+        out = []
+        for i in pdf["item_id"]:
+            if len(os.listdir(self.folder)) >= self.after:
+                raise I.PredictorDown("gone")
+            open(os.path.join(self.folder, str(i)), "x").close()
+            out.append(f'{{"label": "Insurance", "n": {i}}}')
+        return out
+
+
+def test_a_run_that_dies_is_taken_up_where_it_stopped(spark):
+    from labelforge.operators import ledger as G
+    items = spark.range(200).select(F.col("id").alias("item_id"), F.lit("Insurance").alias("label"))
+    book, first, second = (tempfile.mkdtemp(prefix="lf-ledger-") for _ in range(3))
+    with pytest.raises(Exception, match="gone"):
+        G.predict_resumable(items.coalesce(1), Dying(first, 100), book, "m", n_units=10)
+    kept = {r["item_id"] for r in G.read_ledger(spark, book).collect()}
+    assert 60 < len(kept) <= 100                                  # all units but the one it died in
+    # rows never reached are filled
+    early = I.prediction_records(items, G.read_ledger(spark, book), ["m"])
+    assert early.count() == 200 and early.filter("pred_label = 'PARSING_ERROR'").count() == 200 - len(kept)
+    got = {r["item_id"]: r for r in G.predict_resumable(items, Dying(second, 10**6), book, "m", n_units=10).collect()}
+    assert {int(x) for x in os.listdir(second)} == set(range(200)) - kept
+    assert len(got) == 200 and all(got[i]["run"] == (1 if i in kept else 2) for i in got)
+    whole = {r["item_id"]: r["response"] for r in I.batch_predict(items, Dying(tempfile.mkdtemp(), 10**6)).collect()}
+    assert {i: r["response"] for i, r in got.items()} == whole
+    # a third run asks for nothing; another model has its own keys
+    third = tempfile.mkdtemp(prefix="lf-ledger-")
+    assert G.predict_resumable(items, Dying(third, 0), book, "m").count() == 200 and os.listdir(third) == []
+    assert G.read_ledger(spark, book).filter("model = 'other'").count() == 0
+
+
+def test_errors_are_asked_again_when_wanted(spark):
+    from labelforge.operators import ledger as G
+    items = spark.range(20).select(F.col("id").alias("item_id"))
+    book = tempfile.mkdtemp(prefix="lf-ledger-")
+    a = G.predict_resumable(items, Flaky(), book, "flaky", n_units=2)
+    assert a.filter("error_type IS NOT NULL").count() == 4
+    seen = tempfile.mkdtemp(prefix="lf-ledger-")
+    fixed = Dying(seen, 10**6)
+    fixed.name = "flaky"
+    b = {r["item_id"]: r for r in G.predict_resumable(items, fixed, book, "flaky", n_units=2, retry_errors=True).collect()}
+    assert {int(x) for x in os.listdir(seen)} == {0, 5, 10, 15} and all(r["error_type"] is None for r in b.values())
+    assert b[5]["run"] == 2 and b[6]["run"] == 1
+
+
+class _Built:
+    """Notes where it was built."""
+
+    def __init__(self, folder):
+        open(os.path.join(folder, f"{os.getpid()}-{id(self)}-{os.urandom(4).hex()}"), "x").close()
+
+    def predict(self, pdf):
+        return [str(os.getpid())] * len(pdf)
+
+
+def test_a_predictor_is_built_once_per_worker(spark):
+    folder = tempfile.mkdtemp(prefix="lf-built-")
+    items = spark.range(400).select(F.col("id").alias("item_id")).repartition(40)
+    p = I.PerWorker("built", lambda: _Built(folder), version=folder)
+    workers = {r["response"] for _ in range(2) for r in I.batch_predict(items, p, batch_rows=3).collect()}
+    built = [x.split("-")[0] for x in os.listdir(folder)]
+    assert len(built) == len(set(built)) and workers <= set(built) and len(built) < 40
+
+
+class _Alone:
+    name = "alone"
+
+    def __init__(self, path):
+        self.path = path
+
+    def predict(self, pdf):
+        fd = os.open(self.path, os.O_CREAT | os.O_EXCL)            # fails while another task holds it
+        try:
+            return ["ok"] * len(pdf)
+        finally:
+            os.close(fd)
+            os.unlink(self.path)
+
+
+def test_an_exclusive_predictor_has_one_task_at_a_time(spark):
+    path = os.path.join(tempfile.mkdtemp(prefix="lf-alone-"), "lock")
+    items = spark.range(300).select(F.col("id").alias("item_id")).repartition(8)
+    out = I.batch_predict(items, _Alone(path), batch_rows=5, threads_per_task=4, exclusive=True)
+    assert {r["response"] for r in out.collect()} == {"ok"}
+
+
+def test_counts_come_from_the_job_that_draws_the_sample(spark):
+    from labelforge.operators import records as Fr
+    from labelforge.operators import sampling as P
+    rows = [(i, "NONE" if i % 3 == 0 else " none " if i % 7 == 0 else "A") for i in range(100)]
+    df = spark.createDataFrame(rows, "item_id long, label string")
+    kept, seen = Fr.drop_none_observed(df)
+    assert len(kept.collect()) == 66 and seen.get == {"total": 100, "excluded": 34}
+    for n, loose, randomize in ((10, False, True), (0, True, False), (1000, False, False), (2000, True, True)):
+        out, counts = P.sample_eval_counted(df, n, randomize, 42, loose)
+        available = 56 if loose else 66
+        assert counts == {"requested": n, "total": 100, "excluded": 100 - available, "available": available,
+                          "sampled": min(n or 10**6, available)}
+        want = (P.sample_eval_loose(df, n or 10**6) if loose and randomize else
+                P.sample_eval(Fr.drop_none_loose(df) if loose else df, n, True, randomize, 42))
+        assert sorted(r["item_id"] for r in out.collect()) == sorted(r["item_id"] for r in want.collect())
+        assert out.count() == counts["sampled"]
+    plan = kept._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Scan") == 1 and "CollectMetrics" in plan

@@ -122,3 +122,55 @@ def test_compare_clean_accuracy_modes(spark):
     assert r["candidate_clean_accuracy"] == 0.5 and r["baseline_clean_accuracy"] == 0.5   # 4 / (10 - 2)
     assert r["parsing_error_reduction"] == 2 and r["accuracy_improvement"] == pytest.approx(0.1)
     assert r["overall_improvement_pct"] == pytest.approx(25.0)
+
+
+def test_sets_of_failing_models_beyond_one_word(spark):
+    """70 models: bits in two words; ties and models that fail alone are kept apart."""
+    models = [f"m{i}" for i in range(70)]
+    fails = {1: ["m0"], 2: ["m0", "m69"], 3: ["m61", "m62", "m63"], 4: ["m69", "m0"], 5: []}
+    rows = [(i, m, m not in bad) for i, bad in fails.items() for m in models] + [(1, "other", False)]
+    df = spark.createDataFrame(rows, "item_id long, model string, ok boolean").repartition(5)
+    got = {r["models"]: (r["n_models"], r["n_items"]) for r in E.failing_sets(df, models).collect()}
+    assert got == {"m0": (1, 1), "m0,m69": (2, 2), "m61,m62,m63": (3, 1)}
+    both = {r["item_id"] for r in E.both_failed(df, ["m0", "m69"]).collect()}
+    assert both == {2, 4}
+
+
+def test_breakdown_ties_by_first_appearance(spark):
+    rows = [(9, "m", "A", "B"), (3, "m", "Z", "Y"), (4, "m", "A", "B"), (8, "m", "Z", "Y"), (1, "m", "C", "C"), (2, "m", None, "Q")]
+    df = spark.createDataFrame(rows, "item_id long, model string, true_label string, pred_label string").repartition(3)
+    pairs = E.pair_counts(df, first="item_id")
+    got = [tuple(r) for r in E.error_breakdown(pairs, 10, ties="first").orderBy("rank").select("error_type", "n", "first").collect()]
+    assert got == [("Z -> Y", 2, 3), ("A -> B", 2, 4), ("None -> Q", 1, 2)]
+    assert [r["error_type"] for r in E.error_breakdown(pairs, 10).orderBy("rank").collect()] == ["A -> B", "Z -> Y", "None -> Q"]
+
+
+def test_wide_matrix_is_one_aggregate_and_keeps_empty_classes(spark):
+    from labelforge.functions.constants import LABEL_SCHEMA as S
+    df = spark.createDataFrame([("m", S[0], S[1], 3), ("m", S[0], S[0], 2), ("m", S[2], "PARSING_ERROR", 9), ("m", "Else", S[0], 4)],
+                               "model string, true_label string, pred_label string, n long")
+    wide = E.confusion_wide(df)
+    rows = {r["true_ord"]: r for r in wide.collect()}
+    assert len(rows) == len(S) and (rows[0]["p0"], rows[0]["p1"], rows[0]["row_total"]) == (2, 3, 5) and rows[2]["row_total"] == 0
+    plan = wide._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Aggregate") == 1
+
+
+def test_any_number_of_derived_labels(spark):
+    from labelforge.operators import parsing as Rp
+    labels = spark.range(100_000).select(F.concat(F.lit("L"), F.col("id").cast("string")).alias("label"))
+    labels = labels.unionByName(labels.limit(5))                    # repeated labels join once
+    df = spark.range(99_990, 100_010).select("id", F.concat(F.lit('{"label": "L'), F.col("id").cast("string"), F.lit('"}')).alias("response"))
+    df = df.unionByName(spark.createDataFrame([(1, "no"), (2, None), (3, '{"label": "L3"}')], "id long, response string"))
+    got = {r["id"]: (r["ok"], r["error_code"]) for r in Rp.parse_diagnostics(df, label_table=labels).collect()}
+    assert len(got) == 23 and sum(ok for ok, _ in got.values()) == 11 and got[100_001] == (False, "INVALID_LABEL")
+    assert got[1] == (False, "NO_JSON_FOUND") and got[2] == (False, "NO_RESPONSE") and got[3] == (True, None)
+
+
+def test_label_usage_counts_zeros(spark):
+    from labelforge.functions.constants import LABEL_SCHEMA as S
+    from labelforge.operators import labels as L
+    df = spark.createDataFrame([(f" {S[1]} ",), (S[1],), ("NONE",), (None,), ("Else",)], "label string")
+    rows = L.label_usage(df).orderBy("label_ord").collect()
+    assert [r["label"] for r in rows] == S and rows[1]["n"] == 2 and sum(r["n"] for r in rows) == 3
+    assert [r["label"] for r in rows if not r["in_prompt"]] == ["NONE"] and all(r["in_prompt_with_none"] for r in rows)

@@ -83,3 +83,19 @@ def test_gen_params_defaults_and_overrides(spark):
     assert (r["model"], r["temperature"], r["top_p"], r["max_tokens"]) == ("deepseek/deepseek-r1", 0.6, 0.5, 1500)
     r2 = d.select(*T.gen_params({"temperature": 0.1})).first()
     assert r2["temperature"] == 0.1
+
+
+def test_rows_take_the_template_of_their_model(spark):
+    turns = [("system", " be brief "), ("user", " hi "), ("assistant", "yo"), ("tool", "x")]
+    table = spark.createDataFrame([
+        T.template_row("a", T.GEMMA3),
+        ("b", "^", {"user": "U:", "assistant": "A:"}, "[", "]", "|", "A:", "+", False, False),
+        ("c", "", {"user": "U:"}, "<", ">", ";", "G", "/", True, True)], T.TEMPLATE_SCHEMA)
+    rows = [(i, m, turns) for i, m in enumerate(["a", "b", "c", "none"])]
+    df = spark.createDataFrame(rows, "id int, model string, turns array<struct<role:string,text:string>>")
+    got = {r["id"]: r for r in T.render_by_template(df, table, F.col("turns"), add_generation_prompt=True).collect()}
+    plain = spark.createDataFrame([(turns,)], "turns array<struct<role:string,text:string>>")
+    assert got[0]["text"] == plain.select(T.render_chat(F.col("turns"), add_generation_prompt=True)).first()[0]
+    assert got[1]["text"] == "^[system] be brief |U: hi |A:yo|[tool]x|A:"
+    assert got[2]["text"] == "U:be brief/hi;<assistant>yo;<tool>x;G"
+    assert got[3]["text"] is None and set(got[0].asDict()) == {"id", "model", "turns", "text"}
