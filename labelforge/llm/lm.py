@@ -2,8 +2,9 @@
 
 Documents whose crc32(doc_id) mod 7 is not 2 train.  Tokens are words, ASCII
 case folded, and one end per document.  Word counts over all training documents
-give the add-one base score and the network's vocabulary: the ``VOCABULARY``
-most frequent words (the end first) are its own outputs, all other words one
+give the add-one base score and the network's vocabulary: the most frequent words
+(the end first) are its own outputs, twice the square root of the number of
+distinct words and at least ``VOCABULARY``, all other words one
 class whose members have add-one shares of that class, an unseen word the share
 of one.  So the model is a distribution over all words, seen or not.
 
@@ -22,24 +23,25 @@ even share of counts (``HEAD`` words at most, taken from a histogram of counts)
 are looked up in the tasks, the end and the vocabulary always (ranked below
 the whole bins of the histogram if those hold too few words); the rest, whose
 counts are bounded by that share, are joined, once per document and word.  A long word goes by its digest.  The
-driver holds the head, and weights of about 600 KB.
+driver holds the head, and weights of 260 bytes per word of the vocabulary, which is no
+larger than the head.
 """
 
 from __future__ import annotations
 
 import hashlib
 import math
-from collections import Counter
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import as_bytes, map_arrow, pieces, stage
-from .gru import Model
+from .common import map_arrow, pieces, stage
+from .gru import CLASSES, Model
 
-VOCABULARY = 2048    # network outputs besides "other"
+VOCABULARY = 2048    # least number of network outputs besides "other"
 HEAD = 65_536       # words looked up in tasks, at most
 ROUNDS = 2           # averaging rounds; every training document is in one
 WORD_BYTES = 64      # longer words go by their digest
@@ -55,21 +57,38 @@ def held_out(doc_id) -> F.Column:
     return F.coalesce(F.crc32(F.col(doc_id).cast("string").cast("binary")) % 7 == 2, F.lit(False))
 
 
+def _split(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, pa.Array]:
+    """(row of each word, place of each word's key among the keys, distinct keys) of a
+    batch of texts, ASCII case folded and cut at ASCII white space."""
+    parts = pc.ascii_split_whitespace(pc.ascii_lower(batch.column("text").fill_null("")))
+    flat = pc.list_flatten(parts)
+    rows = np.repeat(np.arange(batch.num_rows), np.asarray(pc.list_value_length(parts)))
+    some = pc.not_equal(flat, "")                                # white space at either end leaves empty ones
+    coded = flat.filter(some).dictionary_encode()
+    keys = coded.dictionary.cast(pa.binary())
+    if len(keys) and pc.max(pc.binary_length(keys)).as_py() > WORD_BYTES:
+        keys = pa.array(map(key_of, keys.to_pylist()), pa.binary(), size=len(keys))
+    return rows[np.asarray(some.to_numpy(zero_copy_only=False), bool)], np.asarray(coded.indices), keys
+
+
 def _count(batches):
     for whole in batches:
         for batch in pieces(whole, "text"):
-            counts: Counter = Counter()
-            for text in as_bytes(batch.column("text")):
-                counts.update(text.lower().split())
-            counts[END] = batch.num_rows
-            yield pa.RecordBatch.from_arrays([pa.array([key_of(w) for w in counts], pa.binary()),
-                                              pa.array(list(counts.values()), pa.int64())], ["word", "n"])
+            _, at, keys = _split(batch)
+            n = np.bincount(at, minlength=len(keys)).astype(np.int64)
+            yield pa.RecordBatch.from_arrays([pa.concat_arrays([keys, pa.array([END], pa.binary())]),
+                                              pa.array(np.append(n, batch.num_rows))], ["word", "n"])
+
+
+def grown(distinct: int, head: int = HEAD) -> int:
+    """Network outputs for so many distinct words: twice their square root, within bounds."""
+    return max(VOCABULARY, min(2 * math.isqrt(distinct), head))
 
 
 class Counts:
     """Word counts of the training documents: a table, totals, and the head."""
 
-    def __init__(self, docs: DataFrame, head: int = HEAD, vocabulary: int = VOCABULARY):
+    def __init__(self, docs: DataFrame, head: int = HEAD, vocabulary: int | None = None):
         counted = map_arrow(docs.filter(~held_out("doc_id")).select("text"), _count, "word binary, n long")
         self.table = stage(counted.groupBy("word").agg(F.sum("n").alias("n")), "word-counts")
         # counts by eighth powers of two: a few hundred rows whatever the corpus
@@ -86,7 +105,7 @@ class Counts:
             taken, self.least = taken + k, b
         in_head = F.lit(False) if self.least is None else F.coalesce(size >= self.least, F.lit(False))
         got = [(r["n"], bytes(r["word"])) for r in self.table.filter(in_head).collect()]
-        own = max(0, vocabulary - 1)
+        own = max(0, (grown(self.distinct, head) if vocabulary is None else vocabulary) - 1)
         if over is not None and taken < own:                       # the vocabulary goes on there
             more = self.table.filter(size <= over).orderBy(F.desc("n"), "word").limit(own - taken)
             got += [(r["n"], bytes(r["word"])) for r in more.collect()]
@@ -109,49 +128,59 @@ _ENCODED = ("row long, doc_id {kind}, held_out boolean, n_tokens long, known lon
             "ids binary, tail array<struct<word:binary,n:bigint>>")
 
 
+def id_type(vocabulary: int) -> type:
+    """The type that ids 0 .. ``vocabulary`` are written in."""
+    return np.uint16 if vocabulary < 1 << 16 else np.uint32
+
+
+def _binary(data: bytes, ends: np.ndarray) -> pa.Array:
+    offsets = np.concatenate([[0], ends]).astype(np.int32)
+    return pa.Array.from_buffers(pa.binary(), len(ends), [None, pa.py_buffer(offsets), pa.py_buffer(data)])
+
+
 def _encode(counts: Counts):
-    ids = {w: k for k, w in enumerate(counts.vocabulary)}
-    other, head = len(ids), counts.head
-    bases = {n: counts.base(n) for n in set(head.values())}
-    insides = {n: counts.inside_other(n) for n in set(head.values())}
+    other, head = len(counts.vocabulary), counts.head
+    of_id = {w: k for k, w in enumerate(counts.vocabulary)}
+    words = [w for w in head if w != END]
+    # of every head word, and at last of any other one: id, base score, score inside "other", whether it is known
+    ids = np.array([*(of_id.get(w, other) for w in words), other], id_type(other))
+    base = np.array([*(counts.base(head[w]) for w in words), 0.0])
+    inside = np.array([*(0.0 if w in of_id else counts.inside_other(head[w]) for w in words), 0.0])
     end_known = END in head
-    unseen_base, unseen_inside = counts.base(0), counts.inside_other(0)
-    tail_type = pa.list_(pa.struct([("word", pa.binary()), ("n", pa.int64())]))
+    end_id = of_id.get(END, other)
+    end_base = counts.base(head.get(END, 0))
+    end_inside = 0.0 if END in of_id else counts.inside_other(head.get(END, 0))
+    width = ids.itemsize
 
     def run(batches):
+        known_words = pa.array(words, pa.binary())
         for whole in batches:
-            for batch in pieces(whole, "text", 4 << 20):
-                rows = []
-                for text in as_bytes(batch.column("text")):
-                    words = [w if len(w) <= WORD_BYTES else key_of(w) for w in text.lower().split()]
-                    base = inside = 0.0
-                    known = 0
-                    tail = []
-                    for w, n in Counter(words).items():
-                        c = head.get(w)
-                        if c is None:
-                            tail.append({"word": w, "n": n})
-                            continue
-                        known += n
-                        base += n * bases[c]
-                        if w not in ids:
-                            inside += n * insides[c]
-                    base += bases[head[END]] if end_known else unseen_base
-                    inside += 0.0 if END in ids else insides[head[END]] if end_known else unseen_inside
-                    seq = np.fromiter((ids.get(w, other) for w in words), np.uint16, len(words))
-                    last = ids.get(END, other)
-                    rows.append((len(words) + 1, known + end_known, base, inside,
-                                 np.append(seq, np.uint16(last)).tobytes(), tail))
-                types = [pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.binary(), tail_type]
+            for batch in pieces(whole, "text"):
+                n = batch.num_rows
+                row, at, keys = _split(batch)
+                place = np.asarray(pc.index_in(keys, value_set=known_words).fill_null(len(words))).astype(np.int64)
+                of = place[at]
+                size = np.bincount(row, minlength=n)
+                seq = np.full(len(row) + n, end_id, ids.dtype)             # an end behind every row
+                seq[np.arange(len(row)) + row] = ids[of]
+                ends = np.cumsum(size + 1)
+                # words outside the head: one entry for each row and word
+                rare = of == len(words)
+                pair, times = np.unique(row[rare] * max(1, len(keys)) + at[rare], return_counts=True)
+                begin = np.searchsorted(pair, np.arange(n + 1) * max(1, len(keys)))
+                tail = pa.ListArray.from_arrays(pa.array(begin, pa.int32()), pa.StructArray.from_arrays(
+                    [keys.take(pa.array(pair % max(1, len(keys)))), pa.array(times.astype(np.int64))], ["word", "n"]))
                 yield pa.RecordBatch.from_arrays(
-                    [*(batch.column(c) for c in ("row", "doc_id", "held_out")),
-                     *(pa.array(c, t) for c, t in zip(zip(*rows), types))],
+                    [*(batch.column(c) for c in ("row", "doc_id", "held_out")), pa.array(size + 1, pa.int64()),
+                     pa.array(np.bincount(row, ~rare, n).astype(np.int64) + end_known),
+                     pa.array(np.bincount(row, base[of], n) + end_base), pa.array(np.bincount(row, inside[of], n) + end_inside),
+                     _binary(seq.tobytes(), width * ends), tail],
                     ["row", "doc_id", "held_out", "n_tokens", "known", "base", "other", "ids", "tail"])
     return run
 
 
-def _sequences(column) -> list[np.ndarray]:
-    return [np.frombuffer(x, np.uint16).astype(np.int32) for x in column.to_pylist()]
+def _sequences(column, vocabulary: int) -> list[np.ndarray]:
+    return [np.frombuffer(x, id_type(vocabulary)).astype(np.int32) for x in column.to_pylist()]
 
 
 def _train(model: Model):
@@ -163,7 +192,7 @@ def _train(model: Model):
         adam, tokens, held, size = None, 0, [], 0
         for batch in batches:
             for at in range(0, batch.num_rows, 1024):
-                seqs = _sequences(batch.column("ids").slice(at, 1024))
+                seqs = _sequences(batch.column("ids").slice(at, 1024), model.other)
                 held += seqs
                 size += sum(map(len, seqs))
                 if size >= 1 << 20:
@@ -195,7 +224,7 @@ def _add(batches):
 
 def fit(encoded: DataFrame, counts: Counts, rounds: int = ROUNDS) -> Model:
     """A model that has learnt from every training row of ``encoded``."""
-    model = Model(counts.counts, float(counts.rest))
+    model = Model(counts.counts, float(counts.rest), classes=max(CLASSES, math.isqrt(len(counts.counts) // 2)))
     if not counts.vocabulary:
         return model
     schema = "weights binary, tokens long"
@@ -223,7 +252,7 @@ def _score(model: Model):
             while start < whole.num_rows:                      # about four million tokens together
                 end = max(start + 1, int(np.searchsorted(sizes, (sizes[start - 1] if start else 0) + (1 << 22), "right")))
                 batch = whole.slice(start, end - start)
-                got = model.score(_sequences(batch.column("ids"))) / log10
+                got = model.score(_sequences(batch.column("ids"), model.other)) / log10
                 yield pa.RecordBatch.from_arrays(
                     [*(batch.column(c) for c in ("row", "doc_id", "held_out", "n_tokens", "known", "base")),
                      pa.array(got + batch.column("other").to_numpy())],
@@ -232,7 +261,7 @@ def _score(model: Model):
     return run
 
 
-def score(docs: DataFrame, vocabulary: int = VOCABULARY, rounds: int = ROUNDS, head: int = HEAD) -> DataFrame:
+def score(docs: DataFrame, vocabulary: int | None = None, rounds: int = ROUNDS, head: int = HEAD) -> DataFrame:
     """(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score) per
     document of (doc_id, text); scores are log10 probabilities."""
     docs = docs.select("doc_id", F.col("text").cast("string").alias("text"))
