@@ -20,8 +20,8 @@ which points are worth their score.
 
 Defined cases: a vector that is null, empty, zero, or holds a null or
 non-finite component takes no part, nor does a row without id; vectors meet
-vectors of their own length only; rows that repeat an id count once (the
-smallest vector); fewer than k candidates give them all; other columns are
+vectors of their own length only; rows that repeat an id are separate rows, as
+queries and as candidates, and a query leaves out its own row only; fewer than k candidates give them all; other columns are
 ignored.
 
 Scale: the query set is a stated share of the rows, so blocks of queries meet
@@ -59,18 +59,20 @@ def unpack(data: bytes) -> dict[str, np.ndarray]:
         return {k: f[k] for k in f.files}
 
 
-def build(ids: np.ndarray, vectors: np.ndarray, k: int) -> dict[str, np.ndarray]:
+def build(ids: np.ndarray, vectors: np.ndarray, k: int, rows: np.ndarray | None = None) -> dict[str, np.ndarray]:
     """A tree over a shard as flat arrays.  ``order`` lists points; node n covers
-    order[begin:end], its vantage point first; children 0 are leaves' marks."""
-    by_id = np.argsort(ids, kind="stable")
-    ids, vectors = ids[by_id], np.ascontiguousarray(vectors[by_id])
+    order[begin:end], its vantage point first; children 0 are leaves' marks.  ``rows``
+    tells rows apart (without it ids do)."""
+    rows = ids if rows is None else rows
+    by_id = np.lexsort((rows, ids))
+    ids, rows, vectors = ids[by_id], rows[by_id], np.ascontiguousarray(vectors[by_id])
     points, earliest, where = np.unique(vectors, axis=0, return_index=True, return_inverse=True)
     by_first = np.argsort(earliest)                            # points in the order of their smallest ids
     points, where = points[by_first], np.argsort(by_first)[where.ravel()]
     at = np.argsort(where, kind="stable")
     first = np.searchsorted(where[at], np.arange(len(points)))
     near = np.arange(len(at)) - first[where[at]] <= k          # k + 1 smallest ids of each point
-    kept_ids, kept_of = ids[at][near], where[at][near]
+    kept_ids, kept_rows, kept_of = ids[at][near], rows[at][near], where[at][near]
     starts = np.searchsorted(kept_of, np.arange(len(points) + 1))
 
     norms = (points.astype(np.float64) ** 2).sum(1)
@@ -98,13 +100,15 @@ def build(ids: np.ndarray, vectors: np.ndarray, k: int) -> dict[str, np.ndarray]
         half = len(d) // 2
         nodes[n][4:8] = [d[0], d[half - 1], d[half], d[-1]]
         todo += [(begin + 1, begin + 1 + half, n, 0), (begin + 1 + half, end, n, 1)]
-    return {"points": points, "ids": kept_ids, "starts": starts, "order": order, "top": np.array([top]),
+    return {"points": points, "ids": kept_ids, "rows": kept_rows, "starts": starts, "order": order, "top": np.array([top]),
             "nodes": np.array(nodes)}
 
 
-def search(tree: dict[str, np.ndarray], qids: np.ndarray, queries: np.ndarray, k: int, factor: float) -> tuple:
-    """(query id, vec id, score) arrays of each query's k best rows of the shard,
-    and how many points were looked at."""
+def search(tree: dict[str, np.ndarray], qids: np.ndarray, queries: np.ndarray, k: int, factor: float,
+           qrows: np.ndarray | None = None) -> tuple:
+    """(query row, vec id, score) arrays of each query's k best rows of the shard,
+    and how many points were looked at.  ``qrows``: the queries' rows (without it, their ids)."""
+    qrows = qids if qrows is None else qrows
     points, order, nodes = tree["points"].astype(np.float64), tree["order"], tree["nodes"]
     q = queries.astype(np.float64)
     top = float(tree["top"][0])
@@ -188,10 +192,10 @@ def search(tree: dict[str, np.ndarray], qids: np.ndarray, queries: np.ndarray, k
 
     out_q, out_v, out_s = [], [], []
     for i in range(len(q)):
-        got = [(-s, int(v)) for s, p in zip(best[i], best_at[i]) if p >= 0 for v in tree["ids"][tree["starts"][p]:tree["starts"][p + 1]]
-               if v != qids[i]]
+        got = [(-s, int(tree["ids"][j])) for s, p in zip(best[i], best_at[i]) if p >= 0
+               for j in range(tree["starts"][p], tree["starts"][p + 1]) if tree["rows"][j] != qrows[i]]
         for s, v in sorted(got)[:k]:
-            out_q.append(int(qids[i]))
+            out_q.append(int(qrows[i]))
             out_v.append(v)
             out_s.append(-s)
     return np.array(out_q, np.int64), np.array(out_v, np.int64), np.array(out_s, np.float64), looked
@@ -207,19 +211,20 @@ def _grouped(per_group: Callable, by: tuple[str, ...], names: list[str], types:
     return run
 
 
-def _matrix(group: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+def _matrix(group: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     vectors = group.column("v").combine_chunks()
     dim = group.column("dim")[0].as_py()
-    return group.column("vec_id").to_numpy(), np.asarray(vectors.flatten().to_numpy(zero_copy_only=False)).reshape(-1, dim)
+    return group.column("vec_id").to_numpy(), group.column("row").to_numpy(), np.asarray(vectors.flatten().to_numpy(zero_copy_only=False)).reshape(-1, dim)
 
 
 def usable(table: DataFrame) -> DataFrame:
-    """(vec_id, v, dim) of the rows that take part, one per id."""
+    """(row, vec_id, v, dim) of the rows that take part; ``row`` tells them apart once written."""
     v = F.col("embedding")
     odd = F.exists(v, lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
     return (table.filter(F.col("vec_id").isNotNull() & v.isNotNull() & (F.size(v) > 0)).filter(~odd)
-            .filter(F.exists(v, lambda x: x != 0)).groupBy(F.col("vec_id").cast("long").alias("vec_id"))
-            .agg(F.min(v).alias("v")).withColumn("dim", F.size("v")))
+            .filter(F.exists(v, lambda x: x != 0))
+            .select(F.monotonically_increasing_id().alias("row"), F.col("vec_id").cast("long").alias("vec_id"), v.alias("v"),
+                    F.size(v).alias("dim")))
 
 
 def nearest(table: DataFrame, is_query: Column, k: int = 20, factor: float = 1.0, shard: int = SHARD,
@@ -230,21 +235,20 @@ def nearest(table: DataFrame, is_query: Column, k: int = 20, factor: float = 1.0
     n = rows.count()
     shards = max(1, math.ceil(n / shard))
     blocks = max(1, math.ceil(rows.filter(is_query).count() / block))
-    hashed = F.xxhash64("vec_id")
+    hashed = F.xxhash64("row")
 
     def one_blob(make):
         def per_group(group):
-            ids, vectors = _matrix(group)
-            return [[group.column("dim")[0].as_py()], [group.column("part")[0].as_py()], [make(ids, vectors)]]
+            return [[group.column("dim")[0].as_py()], [group.column("part")[0].as_py()], [make(*_matrix(group))]]
         return _grouped(per_group, ("dim", "part"), ["dim", "part", "blob"], [pa.int32(), pa.int64(), pa.binary()])
 
     def blobs(df, parts, make):
-        df = df.withColumn("part", F.pmod(hashed, F.lit(parts))).select("dim", "part", "vec_id", "v")
+        df = df.withColumn("part", F.pmod(hashed, F.lit(parts))).select("dim", "part", "row", "vec_id", "v")
         df = df.repartition("dim", "part").sortWithinPartitions("dim", "part", "vec_id")
         return map_arrow(df, one_blob(make), "dim int, part long, blob binary")
 
-    trees = stage(blobs(rows, shards, lambda ids, v: pack(**build(ids, v, k))), "trees")
-    asked = blobs(rows.filter(is_query), blocks, lambda ids, v: pack(ids=ids, vectors=v))
+    trees = stage(blobs(rows, shards, lambda ids, at, v: pack(**build(ids, v, k, at))), "trees")
+    asked = blobs(rows.filter(is_query), blocks, lambda ids, at, v: pack(ids=ids, rows=at, vectors=v))
     pairs = trees.withColumnRenamed("blob", "tree").join(
         asked.select("dim", "blob", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(shards - 1).cast("long"))).alias("part")),
         ["dim", "part"])
@@ -253,10 +257,13 @@ def nearest(table: DataFrame, is_query: Column, k: int = 20, factor: float = 1.0
         for batch in batches:
             for row in range(batch.num_rows):
                 asked = unpack(batch.column("blob")[row].as_py())
-                q, v, s, _ = search(unpack(batch.column("tree")[row].as_py()), asked["ids"], asked["vectors"], k, factor)
-                yield pa.RecordBatch.from_arrays([pa.array(q), pa.array(v), pa.array(s)], ["query_id", "vec_id", "score"])
-
-    found = map_arrow(pairs, run, "query_id long, vec_id long, score double")
-    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+                q, v, s, _ = search(unpack(batch.column("tree")[row].as_py()), asked["ids"], asked["vectors"], k, factor, asked["rows"])
+                by = np.argsort(asked["rows"])
+                ids = asked["ids"][by][np.searchsorted(asked["rows"][by], q)]
+                yield pa.RecordBatch.from_arrays([pa.array(q), pa.array(ids), pa.array(v), pa.array(s)],
+                                                 ["row", "query_id", "vec_id", "score"])
+
+    found = map_arrow(pairs, run, "row long, query_id long, vec_id long, score double")
+    order = Window.partitionBy("row").orderBy(F.desc("score"), "vec_id")
     return (found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
             .select("query_id", "rank", "vec_id", "score"))

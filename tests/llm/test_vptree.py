@@ -20,23 +20,21 @@ def vectors(n=700, dim=6, seed=1):
 
 
 def brute(rows, k):
-    good = {}
-    for i, v in rows:
-        if i is None or v is None or not len(v) or any(x is None or not math.isfinite(x) for x in v) or not any(v):
-            continue
-        good[i] = min(good.get(i, v), v)
+    """The lists of (rank, vec_id, score) of every query row, by id."""
+    good = [(i, v) for i, v in rows if not (i is None or v is None or not len(v) or any(x is None or not math.isfinite(x) for x in v)
+                                            or not any(v))]
     out = {}
-    for q in good:
+    for at, (q, own) in enumerate(good):
         if q % 20:
             continue
         scored = []
-        for i, v in good.items():
-            if i != q and len(v) == len(good[q]):
+        for n, (i, v) in enumerate(good):
+            if n != at and len(v) == len(own):
                 s = 0.0
-                for a, b in zip(good[q], v):
+                for a, b in zip(own, v):
                     s += a * b
                 scored.append((-s, i))
-        out[q] = [(i, -s) for s, i in sorted(scored)[:k]]
+        out.setdefault(q, []).extend((r, i, -s) for r, (s, i) in enumerate(sorted(scored)[:k], 1))
     return out
 
 
@@ -45,13 +43,13 @@ def test_factor_one_is_exact(spark):
     nan, inf = float("nan"), float("inf")
     rows += [(1000, None), (1020, []), (1040, [0.0] * 6), (1060, [nan] + [1.0] * 5), (1080, [inf] + [1.0] * 5),
              (1100, [1.0, None, 1.0, 1.0, 1.0, 1.0]), (None, [1.0] * 6), (1120, [1.0, 2.0]), (1121, [2.0, 1.0]), (1140, [5.0]),
-             (1160, [1.0] * 6), (1160, [1.0] * 6), (-20, [0.5] * 6)]
+             (1160, [1.0] * 6), (1160, [1.0] * 6), (1160, [0.5, 0.25] * 3), (7, [1.0] * 6), (7, [2.0] * 6), (-20, [0.5] * 6)]
     df = spark.createDataFrame([(*r, 0.5, 1, 2) for r in rows], SCHEMA).repartition(4)
     got = {}
     for r in vptree.nearest(df, F.col("vec_id") % 20 == 0, k=20, shard=150, block=13).collect():
         got.setdefault(r["query_id"], []).append((r["rank"], r["vec_id"], r["score"]))
-    want = {q: v for q, v in brute(rows, 20).items() if v}
-    assert {q: [(n + 1, i, s) for n, (i, s) in enumerate(v)] for q, v in want.items()} == {q: sorted(v) for q, v in got.items()}
+    want = {q: sorted(v) for q, v in brute(rows, 20).items() if v}
+    assert want == {q: sorted(v) for q, v in got.items()} and len(want[1160]) == 60
     assert 1140 not in got and len(got[1120]) == 1
     assert vptree.nearest(df.limit(0), F.col("vec_id") % 20 == 0).collect() == []
 
