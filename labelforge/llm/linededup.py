@@ -4,18 +4,24 @@ A text is cut into units that cover all its characters: lines, paragraphs, or
 sentences (``SENTENCE``: cut after each . ! ? and their wide forms, and after
 line feeds; passages pasted into the middle of a line keep their inner
 sentences whole, which lines would miss).  A unit is normalised -- ASCII case
-folded, white space runs as one space, no end mark -- and hashed to 128 bits;
-units of fewer than ``MIN_WORDS`` words are never removed.  Of equal units of
-the whole table the earliest stays (by doc_id, then row, then offset) and the
-others are removed; a removed unit keeps its offsets in the original text.
+folded, white space runs as one space, no end mark -- and every one that then holds
+anything is hashed to 128 bits.  Of equal units of the whole table the earliest
+occurrence (by doc_id, then row, then offset) stays, all others are repeats.  Repeats
+that follow one another in a document form a run; runs of size ``MIN_SIZE`` or more are
+removed as a whole, so a passage of many short sentences goes, and so does a repeated
+line or paragraph, whose sentences are a run, while a short sentence alone stays.
+The size of a run counts its words; a word of over ``LONG_WORD`` characters, as in
+scripts without blanks, counts a fifth of them.  A removed unit keeps its offsets in
+the original text.
 
 Defined cases: null or empty text has no units; a null id ranks last; rows that
-repeat an id are ranked in row order, so of repeated rows the first keeps its
-units; extra columns are ignored by ``find`` and kept by ``clean``.
+repeat an id are separate documents, ranked in row order, so of repeated rows the first
+keeps its units; ids of any type that has an order; extra columns are ignored by
+``find`` and kept by ``clean``.
 
 Scale: units are written once, narrow (no text).  The earliest occurrence is a
 partial aggregate, so a passage in a third of all documents is no hot key; the
-join back is plain on both sides, for adaptive execution to split.  Removed
+join back is plain on both sides, for adaptive execution to split.  Runs and removed
 units are gathered per document, whose size bounds them.
 """
 
@@ -25,7 +31,7 @@ import re
 from hashlib import blake2b
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import as_bytes, map_arrow, pieces, stage
@@ -33,9 +39,8 @@ from .common import as_bytes, map_arrow, pieces, stage
 SENTENCE = r"[^.!?\n。！？]+[.!?\n。！？]?|[.!?\n。！？]"
 LINE = r"[^\n]+\n?|\n"
 PARAGRAPH = r"(?s).+?(?:\n[ \t]*\n\s*|\Z)"
-MIN_WORDS = 6
-_SPACE = re.compile(r"[ \t-\r]+")
-_UNITS = "row long, doc_id long, start long, end long, digest binary"
+MIN_SIZE = 6
+LONG_WORD = 20
 
 
 def normalised(unit: str) -> bytes:
@@ -43,67 +48,82 @@ def normalised(unit: str) -> bytes:
     return b" ".join(unit.rstrip(".!?。！？ \t\n\x0b\x0c\r").encode("utf-8", "surrogatepass").lower().split())
 
 
-def units(text: str, pattern: re.Pattern, min_words: int) -> list[tuple[int, int, bytes]]:
-    """(start, end, digest) of the units that are long enough to count."""
+def units(text: str, pattern: re.Pattern) -> list[tuple[int, int, int, bytes]]:
+    """(start, end, size, digest) of the units that hold anything."""
     out = []
     for m in pattern.finditer(text):
         norm = normalised(m.group())
-        if norm.count(b" ") >= min_words - 1 and norm:
-            out.append((m.start(), m.end(), blake2b(norm, digest_size=16).digest()))
+        if not norm:
+            continue
+        size = sum(1 if len(w) <= LONG_WORD or (n := len(w.decode("utf-8", "surrogatepass"))) <= LONG_WORD else n // 5
+                   for w in norm.split(b" "))
+        out.append((m.start(), m.end(), size, blake2b(norm, digest_size=16).digest()))
     return out
 
 
-def _cut(pattern: str, min_words: int):
+def _cut(pattern: str):
     def run(batches):
         compiled = re.compile(pattern)
         for whole in batches:
             for batch in pieces(whole, "text"):
                 rows = []
-                for row, doc, raw in zip(batch.column("row").to_pylist(), batch.column("doc_id").to_pylist(),
-                                         as_bytes(batch.column("text"))):
-                    found = units(raw.decode("utf-8", "replace"), compiled, min_words)
-                    rows.append((row, doc, -1, len(found), None))           # the document itself
-                    rows += [(row, doc, a, b, h) for a, b, h in found]
-                types = [pa.int64()] * 4 + [pa.binary()]
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types)],
-                                                 ["row", "doc_id", "start", "end", "digest"])
+                for k, (row, raw) in enumerate(zip(batch.column("row").to_pylist(), as_bytes(batch.column("text")))):
+                    found = units(raw.decode("utf-8", "replace"), compiled)
+                    rows.append((k, row, -1, len(found), 0, 0, None))           # the document itself
+                    rows += [(k, row, a, b, n, i, h) for i, (a, b, n, h) in enumerate(found)]
+                of, *columns = zip(*rows)
+                types = [pa.int64()] * 5 + [pa.binary()]
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column("doc_id").take(pa.array(of, pa.int64())), *(pa.array(c, t) for c, t in zip(columns, types))],
+                    ["doc_id", "row", "start", "end", "size", "place", "digest"])
     return run
 
 
-def find(docs: DataFrame, pattern: str = SENTENCE, min_words: int = MIN_WORDS) -> DataFrame:
+def find(docs: DataFrame, pattern: str = SENTENCE, min_size: int = MIN_SIZE) -> DataFrame:
     """(row, doc_id, n_units, removed) per document of (doc_id, text); ``removed``
     holds (start, end, keeper) of each removed unit, in order, ``keeper`` the
     doc_id of the occurrence that stays."""
-    numbered = docs.select(F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("long").alias("doc_id"), "text")
-    cut = stage(map_arrow(numbered, _cut(pattern, min_words), _UNITS), "units")
+    return _find(docs.select(F.monotonically_increasing_id().alias("row"), "doc_id", "text"), pattern, min_size)
+
+
+def _find(numbered: DataFrame, pattern: str, min_size: int) -> DataFrame:
+    kind = numbered.schema["doc_id"].dataType.simpleString()
+    cut = stage(map_arrow(numbered, _cut(pattern), f"doc_id {kind}, row long, start long, end long, size long, place long, digest binary"),
+                "units")
     own = cut.filter("start >= 0")
     place = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "row", "start")
     repeated = stage(own.groupBy("digest").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("n"))
                      .filter("n > 1").select("digest", "first"), "repeated-units")
     later = (own.join(repeated, "digest").filter((F.col("row") != F.col("first.row")) | (F.col("start") != F.col("first.start")))
-             .select("row", "start", "end", F.col("first.doc_id").alias("keeper")))
-    removed = later.groupBy("row").agg(F.sort_array(F.collect_list(F.struct("start", "end", "keeper"))).alias("removed"))
+             .select("row", "start", "end", "size", "place", F.col("first.doc_id").alias("keeper")))
+    # repeats that follow one another have one difference of place and rank
+    run = F.col("place") - F.row_number().over(Window.partitionBy("row").orderBy("place"))
+    sized = later.withColumn("run", run).withColumn("run_size", F.sum("size").over(Window.partitionBy("row", "run")))
+    removed = sized.filter(F.col("run_size") >= min_size).groupBy("row").agg(
+        F.sort_array(F.collect_list(F.struct("start", "end", "keeper"))).alias("removed"))
     return cut.filter("start < 0").select("row", "doc_id", F.col("end").alias("n_units")).join(removed, "row", "left")
 
 
-def report(docs: DataFrame, pattern: str = SENTENCE, min_words: int = MIN_WORDS) -> DataFrame:
+def report(docs: DataFrame, pattern: str = SENTENCE, min_size: int = MIN_SIZE) -> DataFrame:
     """(doc_id, n_units, n_removed, removed_chars, spans, keepers) per document:
     ``spans`` lists start:end of removed units, ``keepers`` the distinct doc_ids
     that keep them, both as text."""
-    r = F.coalesce("removed", F.array().cast("array<struct<start:bigint,end:bigint,keeper:bigint>>"))
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    r = F.coalesce("removed", F.array().cast(f"array<struct<start:bigint,end:bigint,keeper:{kind}>>"))
     keepers = F.sort_array(F.array_distinct(F.filter(F.transform(r, lambda u: u["keeper"]), lambda k: k.isNotNull())))
-    return find(docs, pattern, min_words).select(
+    return find(docs, pattern, min_size).select(
         "doc_id", "n_units", F.size(r).cast("long").alias("n_removed"),
         F.aggregate(r, F.lit(0).cast("long"), lambda a, u: a + u["end"] - u["start"]).alias("removed_chars"),
         F.array_join(F.transform(r, lambda u: F.concat_ws(":", u["start"], u["end"])), ",").alias("spans"),
         F.array_join(keepers, ",").alias("keepers"))
 
 
-def clean(docs: DataFrame, pattern: str = SENTENCE, min_words: int = MIN_WORDS) -> DataFrame:
-    """``docs`` (all columns, unique doc_id) with removed units cut from ``text``,
-    and ``n_chars`` (if there) counted anew."""
-    gone = find(docs, pattern, min_words).filter("removed is not null").select(
-        F.col("doc_id").alias("__lf_id"), F.col("removed").alias("__lf_removed"))
+def clean(docs: DataFrame, pattern: str = SENTENCE, min_size: int = MIN_SIZE) -> DataFrame:
+    """``docs`` (all columns) with removed units cut from ``text``, and ``n_chars`` (if
+    there) counted anew; every row by its own units, also where ids repeat."""
+    rows = stage(docs.select("*", F.monotonically_increasing_id().alias("__lf_row")), "rows")
+    found = _find(rows.select(F.col("__lf_row").alias("row"), "doc_id", "text"), pattern, min_size)
+    gone = found.filter("removed is not null").select(F.col("row").alias("__lf_row"), F.col("removed").alias("__lf_removed"))
 
     def run(batches):
         for whole in batches:
@@ -118,5 +138,5 @@ def clean(docs: DataFrame, pattern: str = SENTENCE, min_words: int = MIN_WORDS)
                     cols["n_chars"] = pa.array([None if t is None else len(t) for t in text], batch.schema.field("n_chars").type)
                 yield pa.RecordBatch.from_arrays(list(cols.values()), names=list(cols))
 
-    joined = docs.join(gone, docs["doc_id"].eqNullSafe(gone["__lf_id"]), "left").drop("__lf_id")
+    joined = rows.join(gone, "__lf_row", "left").select(*docs.columns, "__lf_removed")
     return map_arrow(joined, run, docs.schema)

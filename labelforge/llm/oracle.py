@@ -12,15 +12,15 @@ _WORDS = r"regexp_extract_all({0}, '[^\x20\x09-\x0D]+')"
 
 NEAREST = """
 WITH v AS (
-  SELECT vec_id, embedding::DOUBLE[] AS e FROM embeddings
+  SELECT vec_id, row_number() OVER () AS id, embedding::DOUBLE[] AS e FROM embeddings
   WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0
     AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0
     AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
 s AS (
-  SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.e, c.e) AS score
-  FROM v q JOIN v c ON q.vec_id <> c.vec_id AND len(q.e) = len(c.e) WHERE q.vec_id % 20 = 0),
+  SELECT q.id, q.vec_id AS query_id, c.vec_id, list_inner_product(q.e, c.e) AS score
+  FROM v q JOIN v c ON q.id <> c.id AND len(q.e) = len(c.e) WHERE q.vec_id % 20 = 0),
 r AS (
-  SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS "rank",
+  SELECT query_id, CAST(row_number() OVER (PARTITION BY id ORDER BY score DESC, vec_id) AS INTEGER) AS "rank",
          vec_id, score FROM s)
 SELECT * FROM r WHERE "rank" <= 20
 """
@@ -44,18 +44,23 @@ u AS (
 o AS (
   SELECT doc_id, part, CAST(sum(length(part)) OVER (PARTITION BY doc_id ORDER BY i) AS BIGINT) AS stop FROM u),
 n AS (
-  SELECT doc_id, stop - length(part) AS start, stop, array_to_string({_WORDS.format(_LOWER.format(
-      r"regexp_replace(part, '[.!?。！？ \t\n\x0b\x0c\r]+$', '')"))}, ' ') AS norm FROM o),
-k AS (SELECT * FROM n WHERE length(norm) - length(replace(norm, ' ', '')) >= 5),
+  SELECT doc_id, stop - length(part) AS start, stop, {_WORDS.format(_LOWER.format(
+      r"regexp_replace(part, '[.!?。！？ \t\n\x0b\x0c\r]+$', '')"))} AS ws FROM o),
+k AS (
+  SELECT doc_id, start, stop, array_to_string(ws, ' ') AS norm, row_number() OVER (PARTITION BY doc_id ORDER BY start) AS place,
+         list_sum(list_transform(ws, lambda w: CASE WHEN length(w) > 20 THEN length(w) // 5 ELSE 1 END)) AS size
+  FROM n WHERE len(ws) > 0),
 r AS (
-  SELECT *, row_number() OVER (PARTITION BY norm ORDER BY doc_id, start) AS pos,
+  SELECT *, row_number() OVER (PARTITION BY norm ORDER BY doc_id, start) > 1 AS again,
          first_value(doc_id) OVER (PARTITION BY norm ORDER BY doc_id, start) AS keeper FROM k),
+i AS (SELECT *, place - row_number() OVER (PARTITION BY doc_id, again ORDER BY start) AS run FROM r),
+x AS (SELECT *, again AND sum(size) OVER (PARTITION BY doc_id, again, run) >= 6 AS gone FROM i),
 g AS (
-  SELECT doc_id, count(*) AS n_units, count(*) FILTER (pos > 1) AS n_removed,
-         coalesce(sum(stop - start) FILTER (pos > 1), 0) AS removed_chars,
-         string_agg(start || ':' || stop, ',' ORDER BY start) FILTER (pos > 1) AS spans,
-         array_to_string(list_sort(list_distinct(list(keeper) FILTER (pos > 1))), ',') AS keepers
-  FROM r GROUP BY doc_id)
+  SELECT doc_id, count(*) AS n_units, count(*) FILTER (gone) AS n_removed,
+         coalesce(sum(stop - start) FILTER (gone), 0) AS removed_chars,
+         string_agg(start || ':' || stop, ',' ORDER BY start) FILTER (gone) AS spans,
+         array_to_string(list_sort(list_distinct(list(keeper) FILTER (gone))), ',') AS keepers
+  FROM x GROUP BY doc_id)
 SELECT d.doc_id, coalesce(n_units, 0) AS n_units, coalesce(n_removed, 0) AS n_removed,
        CAST(coalesce(removed_chars, 0) AS BIGINT) AS removed_chars, coalesce(spans, '') AS spans, coalesce(keepers, '') AS keepers
 FROM documents d LEFT JOIN g USING (doc_id)
