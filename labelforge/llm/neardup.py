@@ -330,13 +330,13 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, num: int = 80, den: int =
 
 
 def keep_one(docs: DataFrame, shingle: int = 5, num: int = 80, den: int = 100) -> DataFrame:
-    """The rows of ``docs`` (all columns) that are first of their group; rows
-    with a null id stay, of rows that repeat an id one stays."""
-    found = stage(near_duplicates(docs, shingle, num, den).filter("kept and doc_id is not null")
-                  .groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")), "kept")
-    repeated = found.filter("n > 1").limit(1).count() > 0
-    named = docs.filter("doc_id is not null").join(found.select(F.col("doc_id").alias("__lf_id")),
-                                                   F.col("doc_id").cast("long") == F.col("__lf_id"), "left_semi")
-    if repeated:
-        named = named.dropDuplicates(["doc_id"])
-    return named.unionByName(docs.filter("doc_id is null"))
+    """The rows of ``docs`` (all columns) that are first of their group, by doc_id, then
+    row.  Every row is judged by its own text: rows that repeat an id are separate, and
+    rows with a null id stay."""
+    rows = stage(docs.select("*", F.monotonically_increasing_id().alias("__lf_row")), "rows")
+    named = rows.filter("doc_id is not null")
+    found = near_duplicates(named.select(F.col("__lf_row").alias("doc_id"), "text"), shingle, num, den)
+    groups = found.select(F.col("doc_id").alias("__lf_row"), "component_id").join(named.select("__lf_row", "doc_id"), "__lf_row")
+    first = groups.groupBy("component_id").agg(F.min(F.struct("doc_id", "__lf_row")).alias("m")).select("m.__lf_row")
+    kept = named.join(stage(first, "kept"), "__lf_row", "left_semi")
+    return kept.unionByName(rows.filter("doc_id is null")).drop("__lf_row")

@@ -67,6 +67,9 @@ def test_null_and_repeated_ids_and_empty_tables(spark):
     got = sorted(map(tuple, neardup.near_duplicates(df).collect()), key=str)
     assert got == sorted([(None, 6, None, True), (1, 6, 1, True), (1, 6, 1, True), (2, 6, 1, False), (2, 4, 2, True)], key=str)
     assert sorted((r["doc_id"] or 0) for r in neardup.keep_one(df).collect()) == [0, 1, 2]
+    other = spark.createDataFrame([("2", "quite another text of eight words stands here", 1), ("2", "a third text that has its own six words", 2),
+                                   ("1", t, 3), ("2", t, 4), (None, t, 5), ("2", None, 6), ("2", "", 7)], "doc_id string, text string, __n int")
+    assert sorted(r["__n"] for r in neardup.keep_one(other.repartition(3)).collect()) == [1, 2, 3, 5, 6, 7]
     empty = df.limit(0)
     assert neardup.near_duplicates(empty).collect() == [] and neardup.keep_one(empty).collect() == []
 

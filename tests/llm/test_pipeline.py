@@ -101,4 +101,4 @@ def test_empty_tables_and_extra_columns_pass_every_stage(spark, tmp_path):
 def test_entry_registers_every_operator_and_the_pipeline():
     import __spark_entry__ as entry
     assert set(QUERIES) | {"pipeline"} <= set(entry.queries())
-    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 14))
