@@ -13,7 +13,8 @@ import numpy as np
 
 HIDDEN = 16
 CLASSES = 32
-ROWS = 512           # documents or stretches that advance together
+ROWS = 512           # stretches that advance together in training
+SCORE_ROWS = 2048    # rows of whole documents that advance together in scoring
 WINDOW = 32          # steps of one truncated backpropagation
 
 
@@ -43,6 +44,16 @@ def _softmax(z: np.ndarray) -> np.ndarray:
     return e
 
 
+def _log_sums(z: np.ndarray) -> np.ndarray:
+    """log of the row sums of exp(z); shifted only where it is needed."""
+    with np.errstate(over="ignore"):
+        total = np.exp(z).sum(1)
+    if np.isfinite(total).all() and total.min() > 1e-30:
+        return np.log(total)
+    top = z.max(1)
+    return top + np.log(np.exp(z - top[:, None]).sum(1))
+
+
 class Model:
     """``p`` holds all parameters; ``borders`` the classes of ids 0..n-1."""
 
@@ -105,9 +116,12 @@ class Model:
         p = self.p
         rows = np.arange(len(targets))
         cls = self.class_of[targets]
-        d = _softmax(states @ p["wc"] + p["bc"])
-        out = np.log(d[rows, cls])
-        if grads is not None:
+        z = states @ p["wc"] + p["bc"]
+        if grads is None:
+            out = np.minimum(z[rows, cls] - _log_sums(z), 0)
+        else:
+            d = _softmax(z)
+            out = np.log(d[rows, cls])
             d[rows, cls] -= 1
             grads["wc"] += states.T @ d
             grads["bc"] += d.sum(0)
@@ -121,14 +135,17 @@ class Model:
                 continue
             w = p["ww"][a:b]
             inside = states[own]
-            e = _softmax(inside @ w.T + p["bw"][a:b])
+            z = inside @ w.T + p["bw"][a:b]
             pick = (np.arange(len(own)), targets[own] - a)
+            if grads is None:
+                out[own] += np.minimum(z[pick] - _log_sums(z), 0)
+                continue
+            e = _softmax(z)
             out[own] += np.log(e[pick])
-            if grads is not None:
-                e[pick] -= 1
-                grads["ww"][a:b] += e.T @ inside
-                grads["bw"][a:b] += e.sum(0)
-                ds[own] += e @ w
+            e[pick] -= 1
+            grads["ww"][a:b] += e.T @ inside
+            grads["bw"][a:b] += e.sum(0)
+            ds[own] += e @ w
         return out if grads is None else (out, ds)
 
     # ---- scoring
@@ -141,7 +158,7 @@ class Model:
         if not docs:
             return np.zeros(0)
         lengths = np.array([len(d) for d in docs])
-        n_rows = min(ROWS, len(docs))
+        n_rows = min(SCORE_ROWS, len(docs))
         load = [(0, r) for r in range(n_rows)]
         rows: list[list[int]] = [[] for _ in range(n_rows)]
         for k in np.argsort(-lengths, kind="stable").tolist():
