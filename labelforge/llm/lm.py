@@ -3,7 +3,7 @@
 Documents whose crc32(doc_id) mod 7 is not 2 train.  Tokens are words, ASCII
 case folded, and one end per document.  Word counts over all training documents
 give the add-one base score and the network's vocabulary: the most frequent words
-(the end first) are its own outputs, twice the square root of the number of
+(the end first) are its own outputs, as many as the square root of the number of
 distinct words and at least ``VOCABULARY``, all other words one
 class whose members have add-one shares of that class, an unseen word the share
 of one.  So the model is a distribution over all words, seen or not.
@@ -81,8 +81,8 @@ def _count(batches):
 
 
 def grown(distinct: int, head: int = HEAD) -> int:
-    """Network outputs for so many distinct words: twice their square root, within bounds."""
-    return max(VOCABULARY, min(2 * math.isqrt(distinct), head))
+    """Network outputs for so many distinct words: their square root, within bounds."""
+    return max(VOCABULARY, min(math.isqrt(distinct), head))
 
 
 class Counts:
