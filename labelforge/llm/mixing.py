@@ -19,9 +19,9 @@ then ``BINS`` bins inside the one that holds the target.
 
 Defined cases: null or empty text has size 0, rate 0 and nothing taken; an
 empty table gives an empty result; a source without words has target 0;
-documents with equal id and text round alike; reruns agree, as only hashes and
-sums of bounded range enter; other columns are ignored by ``rates`` and kept by
-``mix``.
+documents with equal id and text round alike; reruns agree to the last bit
+however the rows are partitioned, as all sums are of integers or decimals;
+other columns are ignored by ``rates`` and kept by ``mix``.
 
 Scale: documents are read for sizes, twice for histograms (written narrow
 table) and once for the result; a hot source is pre-aggregated in every such
@@ -45,6 +45,12 @@ STEPS = 40           # most Newton steps; each halves the bracket at least
 TOLERANCE = 1e-9     # of a source's target
 
 
+def _exact_sum(x: Column) -> Column:
+    """Sum of doubles that does not depend on the order of the rows: every term is
+    a decimal of nine places, and decimals add exactly."""
+    return F.sum(x.cast("decimal(38,9)")).cast("double")
+
+
 def _sizes(batches):
     for whole in batches:
         for batch in pieces(whole, "text"):
@@ -86,8 +92,8 @@ def targets(sizes: DataFrame, weights: tuple = WEIGHTS, share: float = SHARE, ce
     level = None                 # words per unit of weight of the sources below the ceiling
     while total:
         capped = F.lit(False) if level is None else F.col("w") * F.lit(level) > bound
-        row = now.agg(F.sum(F.when(capped, bound).otherwise(0.0)).alias("c"),
-                      F.sum(F.when(capped, 0.0).otherwise(F.col("w"))).alias("w")).first()
+        row = now.agg(_exact_sum(F.when(capped, bound).otherwise(0.0)).alias("c"),
+                      _exact_sum(F.when(capped, 0.0).otherwise(F.col("w"))).alias("w")).first()
         fresh = (full - row["c"]) / row["w"] if row["w"] else 0.0
         if level is not None and fresh <= level:
             break
@@ -109,8 +115,8 @@ def balanced(sizes: DataFrame, goals: DataFrame, ceiling: int = CEILING) -> Data
         rate = F.least(F.lit(float(ceiling)), F.exp(F.least(F.col("tilt") * z, F.lit(50.0))))
         words = F.col("k") * F.col("size")
         sums = joined.groupBy(F.col("s.source").alias("gs")).agg(
-            F.sum(words * rate).alias("taken"),
-            F.sum(F.when(rate < ceiling, words * rate * z).otherwise(0.0)).alias("slope"))
+            _exact_sum(words * rate).alias("taken"),
+            _exact_sum(F.when(rate < ceiling, words * rate * z).otherwise(0.0)).alias("slope"))
         low = F.col("taken") < F.col("target")
         lo, hi = F.when(low, F.col("tilt")).otherwise(F.col("lo")), F.when(low, F.col("hi")).otherwise(F.col("tilt"))
         newton = F.col("tilt") + (F.col("target") - F.col("taken")) / F.col("slope")

@@ -87,6 +87,12 @@ def test_reruns_agree_and_copies_are_rows(spark, mixed):
     assert count == {r["doc_id"]: r["copies"] for r in got if r["copies"]}
 
 
+def test_every_column_is_bit_equal_however_rows_are_partitioned(spark, mixed):
+    _, df, _ = mixed
+    runs = [sorted(map(tuple, mixing.rates(df.repartition(n)).collect()), key=repr) for n in (1, 4, 7)]
+    assert "rate" in mixing.rates(df).columns and runs[0] == runs[1] == runs[2]
+
+
 def test_null_and_repeated_rows_and_empty_tables(spark):
     rows = [(None, "a b c", None), (1, "a b", "s"), (1, "a b", "s"), (2, None, None)]
     df = spark.createDataFrame([(*r, "", "", "") for r in rows], SCHEMA)
