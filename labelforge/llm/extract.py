@@ -12,22 +12,28 @@ tree of nested classes is the host's template; classes that hang nowhere are not
 part of it.  Text that is no token of the template is what fills its slots.
 
 A page's text is what fills the slots inside its article: the ``article`` or
-``main`` element if it has one (only elements that are no article text by their
-name, class or role are left out in there, never repeated text, as pages of a
-host may share passages), else all slots of the body outside such elements and
-not mostly links.
+``main`` element if it has one, else all slots of the body that hold more than
+links.  Inside an article an element is part of the template when its tag lies
+in the class of one of its texts (wherever it stands it holds that text) and all
+its text is template text; a passage that articles of a host share stays, as its
+element holds other text elsewhere.  A template never takes all text of an
+article.  Elements that are no article text by tag, role or name are left out as
+well; a name tells by its last word that is not one of ``CONTAINERS``.
 
 Defined cases: null or empty html gives empty text; a null url or one without a
 host counts as one host of its own; pages of hosts with fewer than
 ``MIN_PAGES`` pages have no template and all text outside named boilerplate is
 a slot; repeated rows give equal texts; unclosed or crossing tags close
-implicitly; extra columns are ignored.
+implicitly; extra columns are ignored.  A page is read in linear time and
+memory however deep its elements nest or many tags stay open: long paths
+are replaced by their hash, and nothing walks the stack.
 
 Scale: two map passes.  Vectors are never built: a token carries sums of page
 hashes times its count, equal exactly when the vectors are (up to 62-bit
 collisions), so they aggregate partially and a host may hold a third of all
 pages.  Tokens on half of a host's pages number at most twice the mean tokens of
-a page, so a host's template is one bounded row.
+a page, so a host's template is one bounded row; with less support it would grow
+with the host.
 """
 
 from __future__ import annotations
@@ -35,7 +41,7 @@ from __future__ import annotations
 import html
 import re
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator, Mapping
 from urllib.parse import urlsplit
 
 import pyarrow as pa
@@ -47,7 +53,7 @@ from .common import as_bytes, map_arrow, pieces, stage
 
 MIN_TOKENS = 3
 MIN_PAGES = 3
-LINKED = 0.6        # a block with more of its text in links is a menu
+PATH_CHARS = 256    # a longer path of open elements is replaced by its hash
 
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"
@@ -55,13 +61,14 @@ _TOKEN = re.compile(
 _ATTR = re.compile(r"""([a-zA-Z-]+)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""")
 _SPACE = re.compile(r"\s+")
 _WORDS = re.compile(r"[a-z]+")
+_WORD_CHAR = re.compile(r"\w")
 _RAW = ("script", "style", "noscript", "template", "iframe", "textarea", "title", "svg", "object", "select")
 _RAW_END = {t: re.compile(rf"</{t}(?=[\s/>])[^>]*(?:>|\Z)", re.I) for t in _RAW}
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 INLINE = frozenset(
     "a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label mark q rp rt ruby s samp small "
     "span strike strong sub sup time tt u var wbr".split())
-# elements that are no article text, by name, role, or the last word of a class or id
+# elements that are no article text, by name, role, or the telling word of a class or id
 SKIP = frozenset("head nav aside footer form button dialog menu input option select".split())
 SKIP_ROLES = frozenset("navigation banner contentinfo complementary search alert alertdialog dialog menu menubar form".split())
 SKIP_WORDS = frozenset(
@@ -70,6 +77,10 @@ SKIP_WORDS = frozenset(
     "sidebars aside menu menus nav navbar navigation breadcrumb breadcrumbs footer comment comments reply replies disqus "
     "share sharing social related recommended recommendations pagination pager search widget widgets toolbar masthead "
     "disclaimer copyright".split())
+# words of a class or id that say what holds something, not what it holds
+CONTAINERS = frozenset(
+    "area bar block box bottom col column container div group holder inner item items left link links list module outer pane "
+    "panel region right row section sections slot top unit wrap wrapper".split())
 # start tags that close an open paragraph or an element of their own kind
 _CLOSES_P = frozenset(
     "address article aside blockquote details div dl fieldset figure footer form h1 h2 h3 h4 h5 h6 header hr main menu nav ol "
@@ -80,13 +91,23 @@ _STOPS = frozenset("ul ol dl table tbody thead tfoot body html".split())
 
 
 class _Open:
-    """An open element: left out by its tag or role (``skip``), or by a word of its
-    class or id (``named``) unless it turns out to hold the page's text."""
-    __slots__ = ("name", "skip", "named", "article", "path", "articles")
+    """An element.  ``skip``: it or one around it is left out by tag or role;
+    ``named``: the innermost element, itself included, that a word of its class or
+    id leaves out unless it turns out to hold the page's text."""
+    __slots__ = ("name", "above", "skip", "named", "article", "path", "text", "articles", "held", "blocks", "fixed")
 
-    def __init__(self, name: str, skip: bool, named: bool, article: bool, path: str):
-        self.name, self.skip, self.named, self.article, self.path = name, skip, named, article, path
-        self.articles = 0                       # article and main elements inside
+    def __init__(self, name: str, above: _Open | None, skip: bool, named: bool, article: bool, path: str):
+        self.name, self.above, self.article, self.path = name, above, article, path
+        self.skip = skip or above is not None and above.skip
+        self.named = self if named else above.named if above is not None else None
+        self.text = self.articles = 0           # of a named element: characters, articles in it
+        self.held = True                        # of a named element: it and the named ones around it hold the text
+        self.blocks = self.fixed = 0            # blocks in it, and those of the template
+
+
+def _telling(name: str) -> str:
+    """The last word of a class or id that is not a container's; "" if none."""
+    return next((w for w in reversed(_WORDS.findall(name)) if w not in CONTAINERS), "")
 
 
 def _skipped(name: str, attrs: str, inside_article: bool) -> tuple[bool, bool]:
@@ -101,57 +122,80 @@ def _skipped(name: str, attrs: str, inside_article: bool) -> tuple[bool, bool]:
         if key.lower() == "role" and value.strip() in SKIP_ROLES:
             return True, False
         if key.lower() in ("class", "id"):
-            named = named or any(_WORDS.findall(own)[-1:] and _WORDS.findall(own)[-1] in SKIP_WORDS for own in value.split())
+            named = named or any(_telling(own) in SKIP_WORDS for own in value.split())
     # an article inside an article may be a comment, the others hold the page's text
     return False, named and name not in ("html", "body", "main") and (name != "article" or inside_article)
 
 
 class Block:
-    """A stretch of text without a block border: path, text, characters in links,
-    whether it is inside an article and inside skipped elements, and the open
-    elements that are left out by their names unless they hold the page's text."""
-    __slots__ = ("path", "text", "linked", "article", "skip", "named")
+    """A stretch of text without a block border: path, text, whether all of it is in
+    links, whether it is inside an article and inside left out elements, and the
+    innermost open element."""
+    __slots__ = ("path", "text", "linked", "article", "skip", "within")
+
+    def __init__(self, text: str, linked: bool, within: _Open):
+        self.path, self.article, self.skip = within.path, within.article, within.skip
+        self.text, self.linked, self.within = text, linked, within
+
+
+def _below(path: str, label: str) -> str:
+    """Path of an element with this label inside one with that path."""
+    if len(path) > PATH_CHARS:
+        path = f"#{_depth(path)}:{xxhash.xxh64_hexdigest(path.encode('utf-8', 'surrogatepass'))}"
+    return f"{path}/{label}"
 
-    def __init__(self, path: str, text: str, linked: int, article: bool, skip: bool, named: list[_Open]):
-        self.path, self.text, self.linked, self.article, self.skip, self.named = path, text, linked, article, skip, named
+
+def _depth(path: str) -> int:
+    """Open elements on a path."""
+    if path.startswith("#"):
+        above, _, rest = path[1:].partition(":")
+        return int(above) + rest.count("/")
+    return path.count("/")
 
 
 def parse(page: str) -> tuple[list[str], list[Block]]:
     """Tag tokens (paths) and text blocks of a page, in order."""
-    stack = [_Open("", False, False, False, "")]
+    return _parse(page)[:2]
+
+
+def _parse(page: str) -> tuple[list[str], list[Block], list[_Open]]:
+    """Tag tokens, text blocks and elements of a page, each in order."""
+    stack = [_Open("", None, False, False, False, "")]
+    elements = [stack[0]]
+    where: dict[str, list[int]] = {}            # places of the open elements, by name
+    borders = [0]                               # places of the open elements that are not inline
     articles = 0
     tags: list[str] = []
     blocks: list[Block] = []
     text: list[str] = []
-    linked = 0
-    links = 0                                   # open a elements
+    plain = False                               # the text holds words outside links
 
     def flush():
-        nonlocal linked
+        nonlocal plain
         if text:
             joined = _SPACE.sub(" ", html.unescape("".join(text))).strip()
             text.clear()
             if joined:
-                top = next(e for e in reversed(stack) if e.name not in INLINE)
-                blocks.append(Block(top.path, joined, linked, stack[-1].article, any(e.skip for e in stack),
-                                    [e for e in stack if e.named]))
-        linked = 0
+                blocks.append(Block(joined, not plain, stack[-1]))
+        plain = False
 
     def pop_to(k: int):
-        nonlocal links
-        for e in stack[k:]:
-            links -= e.name == "a"
-        if any(e.name not in INLINE for e in stack[k:]):
+        if borders[-1] >= k:
             flush()
+            while borders[-1] >= k:
+                borders.pop()
+        for e in stack[k:]:
+            where[e.name].pop()
         del stack[k:]
 
-    def close_open(names: set[str], stops: frozenset[str]):
-        for k in range(len(stack) - 1, 0, -1):
-            if stack[k].name in names:
-                pop_to(k)
-                return
-            if stack[k].name in stops:
-                return
+    def last(names: Iterable[str]) -> int:
+        """Place of the innermost open element of these names, 0 if none."""
+        return max((where[n][-1] for n in names if where.get(n)), default=0)
+
+    def close_open(names: Iterable[str], stops: frozenset[str]):
+        k = last(names)
+        if k and k >= last(stops):
+            pop_to(k)
 
     at = 0
     while at < len(page):
@@ -159,8 +203,7 @@ def parse(page: str) -> tuple[list[str], list[Block]]:
         end = m.start() if m else len(page)
         if end > at:
             text.append(page[at:end])
-            if links > 0:
-                linked += end - at
+            plain = plain or not where.get("a") and bool(_WORD_CHAR.search(html.unescape(page[at:end])))
         if not m:
             break
         at = m.end()
@@ -168,15 +211,11 @@ def parse(page: str) -> tuple[list[str], list[Block]]:
         if not name:
             continue
         if m.group(1):
-            for k in range(len(stack) - 1, 0, -1):
-                if stack[k].name == name:
-                    pop_to(k)
-                    break
-                if name in INLINE and stack[k].name not in INLINE:
-                    break
-            else:
-                if name not in INLINE:
-                    flush()
+            k = last((name,))
+            if name not in INLINE and not k:
+                flush()
+            elif k and (name not in INLINE or k > borders[-1]):
+                pop_to(k)
             continue
         attrs = m.group(3)
         if name in _RAW and not attrs.endswith("/"):
@@ -199,41 +238,50 @@ def parse(page: str) -> tuple[list[str], list[Block]]:
         label = name
         if name not in INLINE and "=" in attrs:
             classes = [a or b or c for key, a, b, c in _ATTR.findall(attrs) if key.lower() == "class"]
-            label = f"{name}.{'.'.join(sorted(classes[0].split()))}" if classes else name
-        path = top.path if name in INLINE else f"{top.path}/{label}"
-        inside = top.article or name in ("article", "main") and not any(e.skip for e in stack)
+            label = f"{name}.{'.'.join(sorted(classes[0].split()))}".replace("/", "|") if classes else name
+        path = top.path if name in INLINE else _below(top.path, label)
+        inside = top.article or name in ("article", "main") and not top.skip
         if inside and not top.article:
             articles += 1
-            for e in stack:
-                e.articles += 1
-        stack.append(_Open(name, *_skipped(name, attrs, top.article), inside, path))
-        links += name == "a"
+            if top.named is not None:
+                top.named.articles += 1
+        where.setdefault(name, []).append(len(stack))
         if name not in INLINE:
+            borders.append(len(stack))
             tags.append(path)
+        stack.append(_Open(name, top, *_skipped(name, attrs, top.article), inside, path))
+        elements.append(stack[-1])
     pop_to(1)
     flush()
-    _judge(blocks, articles)
-    return tags, blocks
+    _judge(blocks, elements, articles)
+    return tags, blocks, elements
 
 
-def _judge(blocks: list[Block], articles: int):
+def _judge(blocks: list[Block], elements: list[_Open], articles: int):
     """Mark the blocks inside elements with a telling name, except elements that
     hold over half of the text (of the articles if inside one, else of the page),
     or all articles of the page and no less than stands outside named elements."""
-    text: Counter = Counter()
     page = inside = plain = 0
     for b in blocks:
         if not b.skip:
             page += len(b.text)
             inside += len(b.text) * b.article
-            plain += len(b.text) * (not b.named)
-            for e in b.named:
-                text[e] += len(b.text)
-
-    def held(e: _Open) -> bool:
-        return text[e] * 2 > (inside if e.article else page) or 0 < articles == e.articles and text[e] >= plain
+            if b.within.named is None:
+                plain += len(b.text)
+            else:
+                b.within.named.text += len(b.text)
+    named = [e for e in elements if e.named is e]
+    for e in reversed(named):                   # an element comes after those around it
+        if (above := e.above.named) is not None:
+            above.text += e.text
+            above.articles += e.articles
+    for e in named:
+        e.held = (e.text * 2 > (inside if e.article else page) or 0 < articles == e.articles and e.text >= plain) and \
+            (e.above.named is None or e.above.named.held)
     for b in blocks:
-        b.skip = b.skip or not all(map(held, b.named))
+        b.skip = b.skip or b.within.named is not None and not b.within.named.held
+    for e in named:
+        e.named = None                          # no cycle, so a page is freed at once
 
 
 def _hash(kind: str, path: str, text: str = "") -> int:
@@ -285,13 +333,19 @@ def equivalence_classes(pages: DataFrame) -> DataFrame:
     ).filter((F.col("tokens") >= MIN_TOKENS) & (F.size("paths") > 0))
 
 
+def _root(paths: list[str]) -> str:
+    """The outermost tag of a class."""
+    return min(paths, key=lambda p: (_depth(p), p))
+
+
 def nest(paths: list[list[str]]) -> list[int | None]:
     """Parent of each class, given the tag paths of the classes: -1 at the top of
     the page, None for a class that hangs nowhere."""
     owner = {p: k for k, own in enumerate(paths) for p in own}
-    root = [min(own, key=lambda p: (p.count("/"), p)) for own in paths]
+    owner.update({_below(p, "").rpartition("/")[0]: k for p, k in owner.items() if len(p) > PATH_CHARS})
+    root = [_root(own) for own in paths]
     parent: list[int | None] = [None] * len(paths)
-    for k in sorted(range(len(paths)), key=lambda k: root[k].count("/")):       # outermost first
+    for k in sorted(range(len(paths)), key=lambda k: _depth(root[k])):          # outermost first
         above = root[k].rpartition("/")[0]
         if not above:
             parent[k] = -1
@@ -301,40 +355,73 @@ def nest(paths: list[list[str]]) -> list[int | None]:
 
 
 def templates(pages: DataFrame) -> DataFrame:
-    """(host, texts, tree): a host's template, one bounded row -- the text tokens of
-    its nested classes, and per nested class (class, parent, root, tokens)."""
+    """(host, tokens, classes, tree): a host's template, one bounded row -- the
+    tokens of its nested classes with their class, and per nested class (class,
+    parent, root, tokens)."""
     def run(batches):
         for batch in batches:
             rows = []
             for where, classes in zip(batch.column("host").to_pylist(), batch.column("classes").to_pylist()):
                 parent = nest([c["paths"] for c in classes])
                 kept = [k for k, p in enumerate(parent) if p is not None]
-                rows.append((where, [t for k in kept for t in classes[k]["texts"]],
-                             [{"class": k, "parent": parent[k], "root": min(classes[k]["paths"], key=lambda p: (p.count("/"), p)),
+                tokens = [(t, k) for k in kept for t in [*classes[k]["texts"], *(_hash("t", p) for p in classes[k]["paths"])]]
+                rows.append((where, [t for t, _ in tokens], [k for _, k in tokens],
+                             [{"class": k, "parent": parent[k], "root": _root(classes[k]["paths"]),
                                "tokens": classes[k]["tokens"]} for k in kept]))
-            types = [pa.string(), pa.list_(pa.int64()), pa.list_(pa.struct(
+            types = [pa.string(), pa.list_(pa.int64()), pa.list_(pa.int32()), pa.list_(pa.struct(
                 [("class", pa.int32()), ("parent", pa.int32()), ("root", pa.string()), ("tokens", pa.int64())]))]
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types)], ["host", "texts", "tree"])
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types)],
+                                             ["host", "tokens", "classes", "tree"])
     classes = equivalence_classes(pages).groupBy("host").agg(
         F.sort_array(F.collect_list(F.struct("va", "vb", "tokens", "paths", "texts"))).alias("classes"))
-    return map_arrow(classes, run, "host string, texts array<bigint>, "
+    return map_arrow(classes, run, "host string, tokens array<bigint>, classes array<int>, "
                                    "tree array<struct<class:int,parent:int,root:string,tokens:bigint>>")
 
 
-def main_text(page: str, template: frozenset[int] | set[int]) -> str:
-    """Blocks of the page's article, joined by line feeds."""
-    _, blocks = parse(page)
-    article = [b for b in blocks if b.article and not b.skip]
-    if not article:
-        body = [b for b in blocks if not b.skip and b.linked <= LINKED * len(b.text)]
-        article = [b for b in body if _hash("x", b.path, b.text) not in template] or body
-    return "\n".join(b.text for b in article)
+def _slots(article: list[Block], elements: list[_Open], template: Mapping[int, int]) -> list[Block]:
+    """The blocks of the article outside its elements that belong to the template."""
+    classes = [template.get(_hash("x", b.path, b.text)) for b in article]
+    for b, k in zip(article, classes):
+        b.within.blocks += 1
+        b.within.fixed += k is not None
+    for e in reversed(elements[1:]):
+        e.above.blocks += e.blocks
+        e.above.fixed += e.fixed
+    # an element whose text is template text through and through, and those around it up to the article
+    whole = {id(e) for e in elements if e.above is not None and e.above.article and 0 < e.blocks == e.fixed}
+    fixed: set[int] = set()                     # such elements whose tag shares its class with a text inside
+    seen: set[tuple[int, int]] = set()
+    for b, k in zip(article, classes):
+        e = b.within
+        while k is not None and id(e) in whole and (id(e), k) not in seen:
+            seen.add((id(e), k))
+            if e.name not in INLINE and template.get(_hash("t", e.path)) == k:
+                fixed.add(id(e))
+            e = e.above
+    inside = set(fixed)
+    for e in elements:                          # what lies inside a fixed element
+        if e.above is not None and id(e.above) in inside:
+            inside.add(id(e))
+    return [b for b in article if id(b.within) not in inside]
+
+
+def main_text(page: str, template: Mapping[int, int]) -> str:
+    """Blocks of the page's article, joined by line feeds; ``template`` gives the
+    class of each token of the host's template and may be empty."""
+    _, blocks, elements = _parse(page)
+    found = [b for b in blocks if b.article and not b.skip]
+    if found:
+        found = _slots(found, elements, template) or found if template else found
+    else:
+        body = [b for b in blocks if not b.skip and not b.linked]
+        found = [b for b in body if _hash("x", b.path, b.text) not in template] or body
+    return "\n".join(b.text for b in found)
 
 
 def extract(pages: DataFrame) -> DataFrame:
     """(page_id, url, text, n_chars) per page of (page_id, url, html)."""
     pages = pages.select("page_id", "url", "html")
-    found = stage(templates(pages), "templates").select(F.col("host").alias("__h"), F.col("texts"))
+    found = stage(templates(pages), "templates").select(F.col("host").alias("__h"), "tokens", "classes")
 
     def with_host(batches):
         for batch in batches:
@@ -343,15 +430,14 @@ def extract(pages: DataFrame) -> DataFrame:
                 [*batch.schema.names, "host"])
 
     def run(batches):
-        key, known = None, frozenset()
+        key, known = None, {}
         for whole in batches:
             for batch in pieces(whole, "html", 2 << 20):
                 out = []
-                texts = batch.column("texts")
                 for k, raw in enumerate(as_bytes(batch.column("html"))):
                     if batch.column("host")[k].as_py() != key:
                         key = batch.column("host")[k].as_py()
-                        known = frozenset(texts[k].as_py() or ())
+                        known = dict(zip(batch.column("tokens")[k].as_py() or (), batch.column("classes")[k].as_py() or ()))
                     out.append(main_text(raw.decode("utf-8", "replace"), known))
                 yield pa.RecordBatch.from_arrays(
                     [batch.column("page_id"), batch.column("url"), pa.array(out, pa.string()),

@@ -117,3 +117,57 @@ WRAPPED = [
 @pytest.mark.parametrize("page,want", WRAPPED)
 def test_names_of_wrappers_do_not_empty_a_page(page, want):
     assert extract.main_text(page, frozenset()) == want
+
+
+PROBES = ["comment-list", "ad-container", "cookie-bar", "comments-section", "newsletter-box", "sidebar-left"]
+
+
+@pytest.mark.parametrize("name", PROBES)
+def test_container_words_do_not_hide_what_an_element_holds(name):
+    page = f"<article><p>The story of the page.</p><div class='{name}'><p>No story.</p></div></article>"
+    assert extract.main_text(page, {}) == "The story of the page."
+    assert extract.main_text(page.replace("article", "div"), {}) == "The story of the page."
+
+
+def test_a_paragraph_with_a_long_link_is_text_and_a_row_of_links_is_not():
+    page = "<div><a href=1>Home</a> &middot; <a href=2>News</a></div><p>See <a href=3>one long reference text here</a></p>"
+    assert extract.main_text(page, {}) == "See one long reference text here"
+
+
+def test_open_elements_without_end_take_linear_time():
+    import time
+    seconds = []
+    for n in (10_000, 100_000):
+        page = "<div><span>" * n + "x" + "<p>y</p></b></section>" * n
+        start = time.process_time()
+        text = extract.main_text(page, {})
+        seconds.append(time.process_time() - start)
+        assert text == "x" + "\ny" * n
+        assert sum(map(len, extract.parse(page)[0])) < 400 * 2 * n
+    assert seconds[1] < 40 * seconds[0] + 1
+
+
+def test_classes_nest_below_paths_that_were_replaced_by_their_hash():
+    tags, _ = extract.parse("<div>" * 500)
+    assert len(set(tags)) == 500 and [extract._depth(t) for t in tags] == list(range(1, 501))
+    assert extract.nest([tags[:400], tags[400:]]) == [-1, 0]
+    assert extract.nest([tags[:300], tags[400:]]) == [-1, None]
+
+
+def test_the_template_decides_inside_the_article_where_names_cannot(spark):
+    """Every page has an article whose boilerplate has meaningless class names; a
+    paragraph that all articles share is no boilerplate, nor is a whole copy."""
+    shared = "A passage that every story quotes."
+
+    def page(i):
+        return (f"<html><body><article><h1>Story {i}</h1><div class=x7><p>Was this useful?</p><p>Tell us.</p></div>"
+                f"<div class=q><p>Body {i} one.</p><p>{shared}</p>{'<p>More.</p>' * (i % 3)}</div><p class=z9>Read on at our site.</p>"
+                f"<p>End {i}.</p></article></body></html>")
+    rows = [(i, "http://a.org/", page(i)) for i in range(12)]
+    rows += [(100 + i, "http://copies.org/", "<article><h1>Same</h1><p>Copied text.</p></article>") for i in range(6)]
+    df = spark.createDataFrame([(*r, "t", "h", "x") for r in rows], SCHEMA).repartition(4)
+    got = {r["page_id"]: r["text"] for r in extract.extract(df).collect()}
+    for i in range(12):
+        assert got[i] == "\n".join([f"Story {i}", f"Body {i} one.", shared, *["More."] * (i % 3), f"End {i}."])
+    assert all(got[100 + i] == "Same\nCopied text." for i in range(6))
+    assert "Was this useful?" in extract.main_text(page(1), {})
