@@ -14,13 +14,16 @@ no reference and its documents are not judged by distance; repeated rows are
 judged alike; other columns are ignored by ``score`` and kept by ``keep``.
 
 Scale: one pass sums the histograms (partial sums per batch, then a shuffle of
-(language, word) counts); the top words come from a per-task group limit.  The
+(language, word) counts, words of any length: long ones under a digest of 17
+bytes).  The top words are ranked within hashed parts of a language and then
+among the tops of its parts, so no task sees all words of a language.  The
 references, at most ``COMMON`` words of 32 bytes per language, are joined by
 language -- broadcast by Spark itself when their written size allows it.
 """
 
 from __future__ import annotations
 
+import hashlib
 import json
 from collections import Counter
 from collections.abc import Iterator
@@ -33,7 +36,8 @@ from pyspark.sql import functions as F
 from .common import as_bytes, map_arrow, pieces, stage
 
 COMMON = 64          # common words per language reference
-WORD_BYTES = 32      # function words are short; longer words are never "common"
+WORD_BYTES = 32      # longer words are counted under a digest
+SALTS = 64           # the words of a language are ranked in so many parts first
 MIN_WORDS = 50       # base rule and guard of the histogram rules
 MAX_CHARS_JS = 0.30  # Jensen-Shannon distance limit, character classes
 MAX_WORDS_JS = 0.48  # the same, common words
@@ -74,6 +78,11 @@ _SYMBOL = np.zeros(256, bool)
 _SYMBOL[list(b"#*$%&|<>")] = True
 
 
+def word_key(word: bytes) -> bytes:
+    """What a word is counted under: itself, or a digest that no UTF-8 text equals."""
+    return word if len(word) <= WORD_BYTES else b"\xff" + hashlib.blake2b(word, digest_size=16).digest()
+
+
 def repeated_words(words: list[bytes]) -> int:
     """Words that lie in a three-word window occurring twice or more."""
     if len(words) < 4:
@@ -104,7 +113,10 @@ def features(text: bytes) -> tuple[tuple[int, ...], np.ndarray, Counter]:
                 seen.add(line)
     # code points in words: all characters but white space
     base = (len(words), int(classes.sum() - classes[3]), int(_SYMBOL[raw].sum()), dup_lines, repeated_words(words))
-    return base, classes, Counter(text.lower().split())
+    counts = Counter(text.lower().split())
+    for word in [w for w in counts if len(w) > WORD_BYTES]:
+        counts[word_key(word)] += counts.pop(word)
+    return base, classes, counts
 
 
 def base_failed(base: tuple[int, ...]) -> bool:
@@ -132,11 +144,7 @@ def _histograms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 chars[lang] = chars.get(lang, 0) + classes
                 words.setdefault(lang, Counter()).update(counts)
             rows = [(lang, None, k, int(n)) for lang, c in chars.items() for k, n in enumerate(c)]
-            # class -1: words; the row without a word carries the words that are too long
-            for lang, c in words.items():
-                short = [(lang, w, -1, n) for w, n in c.items() if len(w) <= WORD_BYTES]
-                rows += short
-                rows.append((lang, None, -1, sum(c.values()) - sum(r[3] for r in short)))
+            rows += [(lang, w, -1, n) for lang, c in words.items() for w, n in c.items()]     # class -1: words
             cols = list(zip(*rows)) or [(), (), (), ()]
             yield pa.RecordBatch.from_arrays(
                 [pa.array(cols[0], pa.string()), pa.array(cols[1], pa.binary()), pa.array(cols[2], pa.int32()),
@@ -148,9 +156,10 @@ def references(docs: DataFrame, common: int = COMMON) -> DataFrame:
     counts = (map_arrow(docs.select("lang", "text"), _histograms, "lang string, word binary, class int, n long")
               .groupBy("lang", "class", "word").agg(F.sum("n").alias("n")))
     counts = stage(counts, "language-counts")
-    top = (counts.filter("class = -1 and word is not null")
-           .withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("n"), "word")))
-           .filter(F.col("rank") <= common))
+    top = counts.filter("class = -1").withColumn("part", F.pmod(F.xxhash64("word"), F.lit(SALTS)))
+    for group in (("lang", "part"), ("lang",)):
+        top = (top.withColumn("rank", F.row_number().over(Window.partitionBy(*group).orderBy(F.desc("n"), "word")))
+               .filter(F.col("rank") <= common))
     words = top.groupBy("lang").agg(F.sort_array(F.collect_list(F.struct("rank", F.base64("word").alias("w"), "n")))
                                     .alias("words"))
     sums = counts.groupBy("lang").agg(
@@ -159,7 +168,7 @@ def references(docs: DataFrame, common: int = COMMON) -> DataFrame:
     ref = sums.alias("s").join(words.alias("w"), F.col("s.lang").eqNullSafe(F.col("w.lang")), "left").select(
         F.col("s.lang").alias("lang"), F.to_json(F.struct(
             "total", "words", F.array(*[f"c{k}" for k in range(len(CLASSES))]).alias("chars"))).alias(_REF))
-    return stage(ref.coalesce(1), "language-references")
+    return stage(ref, "language-references")
 
 
 class _Reference:

@@ -72,3 +72,70 @@ def test_short_documents_are_not_judged_by_distance_and_empty_tables_work(spark)
     r = quality.score(df).first()
     assert r["js_chars"] is None and r["kept"] is False
     assert quality.score(df.limit(0)).collect() == [] and quality.keep(df.limit(0)).collect() == []
+
+
+def plain_verdicts(rows):
+    """``kept`` and distances by the rule, with plain dictionaries over all rows."""
+    def histograms(text):
+        chars = Counter()
+        for c in text:
+            if c in " \t\n\x0b\x0c\r":
+                chars["space"] += 1
+            elif c.isascii():
+                chars["lower" if c.islower() else "upper" if c.isupper() else "digit" if c.isdigit()
+                      else "stop" if c in ".,;:'\"!?()-" else "symbol"] += 1
+            else:
+                b = c.encode()
+                chars["latin" if len(b) == 2 and b[0] <= 0xC9 else f"script{len(b)}"] += 1
+        words = Counter(WORD.findall("".join(c.lower() if c.isascii() else c for c in text)))
+        return chars, words
+
+    def distance(p, q, keys):
+        p, q = ([x.get(k, 0) / sum(x.values()) for k in keys] for x in (p, q))
+        half = [sum(a * math.log2(2 * a / (a + b)) for a, b in zip(x, y) if a) for x, y in ((p, q), (q, p))]
+        return math.sqrt(max(0.0, sum(half) / 2))
+
+    def merged(words, top):
+        return {**{w: words.get(w, 0) for w in top}, None: sum(n for w, n in words.items() if w not in top)}
+    failed = {}
+    chars, words = {}, {}
+    for i, text, lang in rows:
+        base = plain(text)
+        failed[i] = base[0] < 50 or 100 * base[4] > 50 * base[0]
+        if not failed[i]:
+            c, w = histograms(text)
+            chars.setdefault(lang, Counter()).update(c)
+            words.setdefault(lang, Counter()).update(w)
+    out = {}
+    for i, text, lang in rows:
+        out[i] = (not failed[i], None, None)
+        if lang in chars and plain(text)[0] >= quality.MIN_WORDS:
+            c, w = histograms(text)
+            ranked = sorted(words[lang].items(), key=lambda x: (-x[1], quality.word_key(x[0].encode())))
+            top = [x for x, _ in ranked[:quality.COMMON]]
+            js = distance(c, chars[lang], set(c) | set(chars[lang])), distance(merged(w, top), merged(words[lang], top), [*top, None])
+            out[i] = (not failed[i] and js[0] <= quality.MAX_CHARS_JS and js[1] <= quality.MAX_WORDS_JS, *js)
+    return out
+
+
+def test_verdicts_equal_the_plain_version(spark):
+    """Also where common words are longer than 32 bytes, as in text without blanks."""
+    r = np.random.default_rng(5)
+    long = ["長い単語" * 5, "x" * 40, "é" * 30]
+    rows = []
+    for i in range(80):
+        lang = ("en", "ja", None)[i % 3]
+        stock = ["the", "of", "and", "a"] if lang == "en" else long
+        words = [str(r.choice(stock)) if r.random() < 0.2 + 0.01 * i else f"W{r.integers(10_000)}é." for _ in range(int(r.integers(40, 130)))]
+        rows.append((i, " ".join(words), lang))
+    rows += [(100, None, "en"), (101, "", None), (102, "%%% $$$ " + " ".join(f"#{k}#" for k in range(90)), "en"), (103, "a b", "xx")]
+    df = spark.createDataFrame([(*x, "k", "j") for x in rows], SCHEMA).repartition(3)
+    want = plain_verdicts(rows)
+    kept = Counter()
+    for x in quality.score(df).collect():
+        k, chars, words = want[x["doc_id"]]
+        assert x["kept"] == k and (chars is None) == (x["js_chars"] is None)
+        assert chars is None or abs(x["js_chars"] - chars) < 1e-9 and abs(x["js_words"] - words) < 1e-9
+        kept[k] += 1
+    assert kept[True] > 10 and kept[False] > 10
+    assert {x["doc_id"] for x in quality.keep(df).collect()} == {i for i, w in want.items() if w[0]}
