@@ -22,7 +22,9 @@ import base64
 import functools
 import hashlib
 import itertools
+import operator
 import re
+import string
 import struct
 from collections.abc import Iterator
 
@@ -88,7 +90,12 @@ def serialise(ranks: dict[bytes, int]) -> bytes:
 
 
 class Codec:
-    """Encoder and decoder over a serialised model; ``places`` maps piece ids to ranks."""
+    """Encoder and decoder over a serialised model; ``ranks`` maps piece ids to ranks.
+
+    ``pattern`` must begin a pre-token at every space that precedes a visible
+    character, as all public byte-level patterns do.  That a space and ASCII
+    letters are one pre-token, and a mark after them another, is tried on the
+    pattern first; where it does not hold every chunk is cut by the pattern."""
 
     def __init__(self, model: bytes, ranks: np.ndarray, pattern: str):
         self.pieces = sentencepiece.SentencePieceProcessor(model_proto=model)
@@ -102,35 +109,48 @@ class Codec:
         self.whole = {self.pieces.id_to_piece(i): i for i in range(1, n)}
         self.bytes = {int(ranks[i - 1]): bytes(to_byte[c] for c in piece) for piece, i in self.whole.items()}
         self.rank = [-1, *map(int, ranks)]
+        self.written = list(map(str, self.rank))
+        self.letters = self._keeps_letters()
         self.memo: dict[str, tuple[tuple[int, ...], str]] = {}
 
-    def _remember(self, chunks: dict[str, None]) -> None:
+    def _keeps_letters(self) -> bool:
+        """Whether the pattern cuts words of ASCII letters, of any case, nowhere."""
+        small = string.ascii_lowercase
+        words = [*string.ascii_letters, small, small.upper(), small.title(), small.swapcase() + small, small + small.upper(),
+                 "".join(a + b.upper() for a, b in zip(small, small[::-1])), "s", "ll", "re", "letters" * 50]
+        return all(self.cut(" " + w + mark) == [" " + w, *mark] for w in words for mark in ["", *".,;:!?"])
+
+    def _remember(self, chunks: set[str]) -> None:
         """Encode chunks (each follows a space) into the memo, in one call."""
-        space = self.to_char[32]
+        space, whole, cut, to_char = self.to_char[32], self.whole.get, self.cut, self.to_char
+        rank, written, memo = self.rank, self.written, self.memo
+        chunks = list(chunks)
         spread: list[str] = []                  # pre-tokens of all chunks, byte-mapped
-        counts: list[int] = []
-        for c in chunks:
-            if c.isascii() and c.isalpha():     # one pre-token, letters stand for themselves
-                spread.append(space + c)
-                counts.append(1)
-            elif c.isascii() and c[:-1].isalpha() and c[-1] in ".,;:!?":
-                spread += (space + c[:-1], c[-1])
-                counts.append(2)
-            else:
-                own = self.cut(" " + c)
-                spread += [t.encode("utf-8").decode("latin-1").translate(self.to_char) for t in own]
-                counts.append(len(own))
-        whole = self.whole
-        merged = iter(self.pieces.encode([m for m in spread if m not in whole], out_type=int, num_threads=1))
-        rank, memo, mapped = self.rank, self.memo, iter(spread)
-        for chunk, n in zip(chunks, counts):
-            flat: list[int] = []
-            for m in itertools.islice(mapped, n):
-                if m in whole:
-                    flat.append(rank[whole[m]])
-                else:
-                    flat += [rank[i] for i in next(merged)]
-            memo[chunk] = tuple(flat), ",".join(map(str, flat))
+        several: dict[int, int] = {}            # place of a chunk -> how many pre-tokens, if not one
+        for k, c in enumerate(chunks):
+            if self.letters and c.isascii():    # letters stand for themselves
+                if c.isalpha():
+                    spread.append(space + c)
+                    continue
+                if c[-1] in ".,;:!?" and c[:-1].isalpha():
+                    spread += (space + c[:-1], c[-1])
+                    several[k] = 2
+                    continue
+            own = cut(" " + c)
+            spread += [t.encode("utf-8").decode("latin-1").translate(to_char) for t in own]
+            several[k] = len(own)
+        found = list(map(whole, spread))
+        lost = [k for k, i in enumerate(found) if i is None]
+        merged = self.pieces.encode([spread[k] for k in lost], out_type=int, num_threads=1)
+        ids: list = [(i,) for i in found]
+        for k, own in zip(lost, merged):
+            ids[k] = own
+        at = 0
+        for k, chunk in enumerate(chunks):
+            n = several.get(k, 1)
+            own = ids[at] if n == 1 else [*itertools.chain.from_iterable(ids[at:at + n])]
+            at += n
+            memo[chunk] = tuple([rank[i] for i in own]), ",".join([written[i] for i in own])
 
     def encode_all(self, texts: list[str]) -> Iterator[list[tuple[tuple[int, ...], str]]]:
         """(ids, ids as written) of the chunks of each text.
@@ -139,15 +159,16 @@ class Codec:
         border of pre-tokens, and none reads past such a border, so a text may
         be cut there and each chunk looked up by itself."""
         split = [_CHUNKS(t) for t in texts]
-        fresh = {c: None for chunks in split for c in chunks[1:] if c not in self.memo}
-        if len(self.memo) + len(fresh) > MEMO:
-            self.memo.clear()
-            fresh = {c: None for chunks in split for c in chunks[1:]}
+        first = [chunks.pop(0) for chunks in split]
+        needed = set().union(*split)
+        fresh = needed.difference(self.memo)
+        if len(self.memo) + len(fresh) > MEMO:      # what this slice needs stays
+            self.memo = {c: self.memo[c] for c in needed - fresh}
         if fresh:
             self._remember(fresh)
-        for first, *chunks in split:
-            head = tuple(self.rank[i] for t in self.cut(first) for i in self._whole_or_merged(t))
-            yield [(head, ",".join(map(str, head)))] * bool(head) + [self.memo[c] for c in chunks]
+        for start, chunks in zip(first, split):
+            head = tuple(self.rank[i] for t in self.cut(start) for i in self._whole_or_merged(t))
+            yield [(head, ",".join(map(str, head)))] * bool(head) + list(map(self.memo.__getitem__, chunks))
 
     def _whole_or_merged(self, token: str) -> list[int]:
         mapped = token.encode("utf-8").decode("latin-1").translate(self.to_char)
@@ -158,6 +179,13 @@ class Codec:
         return b"".join(map(self.bytes.__getitem__, ids))
 
 
+_ids, _written = operator.itemgetter(0), operator.itemgetter(1)
+
+
+def _flat(parts: list[tuple[tuple[int, ...], str]]) -> list[int]:
+    return list(itertools.chain.from_iterable(map(_ids, parts)))
+
+
 def _model(path: str) -> tuple[bytes, np.ndarray]:
     ranks = load_ranks(path)
     return serialise(ranks), np.array(sorted(ranks.values()), np.int64)
@@ -178,8 +206,8 @@ def digests(docs: DataFrame, path: str, pattern: str) -> DataFrame:
             for batch in pieces(whole, "text", SLICE):
                 rows = []
                 for parts in codec.encode_all(_texts(batch)):
-                    ids = [i for own, _ in parts for i in own]
-                    rows.append((len(ids), hashlib.sha256(",".join(w for _, w in parts).encode()).hexdigest(),
+                    ids = _flat(parts)
+                    rows.append((len(ids), hashlib.sha256(",".join(map(_written, parts)).encode()).hexdigest(),
                                  hashlib.sha256(codec.decode(ids)).hexdigest()))
                 n, a, b = zip(*rows)
                 yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(n, pa.int64()), pa.array(a), pa.array(b)],
@@ -200,7 +228,7 @@ def encode(docs: DataFrame, path: str, pattern: str) -> DataFrame:
         codec = Codec(model, ranks, pattern)
         for whole in batches:
             for batch in pieces(whole, "text", SLICE):
-                ids = [[i for own, _ in parts for i in own] for parts in codec.encode_all(_texts(batch))]
+                ids = [_flat(parts) for parts in codec.encode_all(_texts(batch))]
                 yield pa.RecordBatch.from_arrays(
                     [*(batch.column(c) for c in kept), pa.array([len(x) for x in ids], pa.int64()),
                      pa.array(ids, pa.list_(pa.int32()))], [*kept, "n_tokens", "ids"])
