@@ -26,7 +26,7 @@ other columns are ignored by ``rates`` and kept by ``mix``.
 Scale: documents are read for sizes, twice for histograms (written narrow
 table) and once for the result; a hot source is pre-aggregated in every such
 step.  The per-source state (one row per source) is joined, by broadcast when
-Spark finds its written size small.
+Spark finds its written size small; then no text is shuffled.
 """
 
 from __future__ import annotations
@@ -43,6 +43,7 @@ CEILING = 2
 BINS = 4096
 STEPS = 40           # most Newton steps; each halves the bracket at least
 TOLERANCE = 1e-9     # of a source's target
+_WORD = r"[^\x20\x09-\x0D]+"
 
 
 def _exact_sum(x: Column) -> Column:
@@ -173,36 +174,47 @@ def rates(docs: DataFrame, weights: tuple = WEIGHTS, share: float = SHARE, ceili
     return _mixed(measured(docs, seed), weights, share, ceiling).drop("u")
 
 
-def _mixed(sizes: DataFrame, weights: tuple, share: float, ceiling: int) -> DataFrame:
+def _levels(sizes: DataFrame, weights: tuple, share: float, ceiling: int) -> DataFrame:
+    """(ts, source_size, target, mean, tilt, shift) per source ``ts``: all that a
+    document's copies depend on besides its own size and hash."""
     tilts = balanced(sizes, targets(sizes, weights, share, ceiling), ceiling)
     t = tilts.withColumnRenamed("source", "ts")
-    rated = stage(sizes.join(t, F.col("source").eqNullSafe(F.col("ts")), "left").drop("ts")
-                  .withColumn("rate", _rate(ceiling)), "rates")
+    rated = stage(sizes.select("source", "size", "u").join(t, F.col("source").eqNullSafe(F.col("ts")), "left")
+                  .select("source", "size", "u", _rate(ceiling).alias("rate")), "rates")
     span = float(ceiling + 1)
     goals = tilts.select("source", "target", F.lit(0.0).alias("base"), F.lit(-span).alias("lo"), F.lit(span).alias("hi"))
-    gains = _thresholds(rated.select("source", "size", "rate", "u"), ceiling)
+    gains = _thresholds(rated, ceiling)
     coarse = stage(_reach(gains, goals, BINS, F.col("lo"), F.col("hi")).drop("words"), "coarse")
     fine = stage(_reach(gains, coarse, BINS, F.col("lo"), F.col("hi")), "fine")
     # the bin that holds the target comes whole or not at all, whichever is nearer
     shift = fine.select(F.col("source").alias("fs"), F.when(
         F.col("words").isNull() | (F.abs(F.col("base") + F.col("words") - F.col("target")) <= F.abs(F.col("target") - F.col("base"))),
         F.col("hi")).otherwise(F.col("lo")).alias("shift"))
+    return stage(t.join(shift, F.col("ts").eqNullSafe(F.col("fs")), "left").drop("fs"), "levels")
+
+
+def _copied(rows: DataFrame, levels: DataFrame, ceiling: int) -> DataFrame:
+    """``rows`` (source, size, u, more) with rate, copies and the columns of their source's level."""
     copies = sum(((k - F.col("rate") - F.col("u")) < F.col("shift")).cast("long") for k in range(1, ceiling + 1))
     copies = F.when(F.col("tilt").isNull(), F.lit(ceiling).cast("long")).otherwise(copies)
-    return (rated.join(shift, F.col("source").eqNullSafe(F.col("fs")), "left")
-            .withColumn("copies", F.when(F.col("size") == 0, F.lit(0).cast("long")).otherwise(copies))
-            .select("doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"),
-                    "rate", "copies", "source", "u"))
+    return (rows.join(levels, F.col("source").eqNullSafe(F.col("ts")), "left").withColumn("rate", _rate(ceiling))
+            .withColumn("copies", F.when(F.col("size") == 0, F.lit(0).cast("long")).otherwise(copies)))
+
+
+def rates(docs: DataFrame, weights: tuple = WEIGHTS, share: float = SHARE, ceiling: int = CEILING, seed: int = 1) -> DataFrame:
+    """(doc_id, size, source_size, target, taken, rate, copies, source) per document
+    of (doc_id, text, source)."""
+    sizes = measured(docs, seed)
+    return _copied(sizes, _levels(sizes, weights, share, ceiling), ceiling).select(
+        "doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"), "rate", "copies", "source")
 
 
 def mix(docs: DataFrame, weights: tuple = WEIGHTS, share: float = SHARE, ceiling: int = CEILING, seed: int = 1) -> DataFrame:
-    """The rows of ``docs`` (all columns), each as often as the mix takes it."""
-    taken = _mixed(measured(docs, seed), weights, share, ceiling).filter("copies > 0")
-    # rows of equal id and text hash alike, so (id, u, source) finds a row's own count
-    taken = stage(taken.select(F.col("doc_id").alias("__lf_id"), F.col("u").alias("__lf_u"),
-                               F.col("source").alias("__lf_source"), F.col("copies").alias("__lf_copies")).distinct(), "taken")
-    keyed = docs.withColumn("__lf_key", _unit(seed))
-    found = keyed.join(taken, keyed["doc_id"].eqNullSafe(F.col("__lf_id")) & (F.col("__lf_key") == F.col("__lf_u"))
-                       & keyed["source"].eqNullSafe(F.col("__lf_source")))
-    return (found.withColumn("__lf_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("__lf_copies"))))
-            .select(*[F.col(f"`{c}`") for c in docs.columns]))
+    """The rows of ``docs`` (all columns), each as often as the mix takes it.  A row's copies
+    follow from its own words and hash and its source's level, so texts stay where they are."""
+    levels = _levels(measured(docs, seed), weights, share, ceiling)
+    size = F.coalesce(F.regexp_count("text", F.lit(_WORD)), F.lit(0)).cast("long")
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"),
+                       "source", size.alias("size"), _unit(seed).alias("u"))
+    return (_copied(rows, levels, ceiling).filter("copies > 0")
+            .select("doc", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies"))).alias("copy")).select("doc.*"))

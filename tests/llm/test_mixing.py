@@ -102,3 +102,20 @@ def test_null_and_repeated_rows_and_empty_tables(spark):
     assert mixing.rates(df.limit(0)).collect() == [] and mixing.mix(df.limit(0)).collect() == []
     silent = spark.createDataFrame([(1, "", "s", "", "", "")], SCHEMA)
     assert [r["taken"] for r in mixing.rates(silent).collect()] == [0]
+
+
+def test_mix_shuffles_no_texts(spark, tmp_path):
+    words = "alpha beta\tgamma\x0bdelta\n \x0c epsilon\r x  y\x1cz"
+    rows = [(i, words * (1 + i % 7) if i % 9 else None, f"s{i % 3}", "", "", "") for i in range(6000)]
+    spark.createDataFrame(rows, SCHEMA).write.parquet(f"{tmp_path}/d")
+    df = spark.read.parquet(f"{tmp_path}/d")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "30k")       # holds the sources, not the documents
+    try:
+        out = mixing.mix(df)
+        plan = out._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan and "Exchange hashpartitioning" not in plan
+    copies = {r["doc_id"]: r["copies"] for r in mixing.rates(df).collect()}
+    assert {r["doc_id"]: r["count"] for r in out.groupBy("doc_id").count().collect()} == {i: n for i, n in copies.items() if n}

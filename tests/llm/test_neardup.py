@@ -84,3 +84,18 @@ def test_components_of_a_long_chain(spark):
     edges = spark.createDataFrame([(i, i + 1) for i in range(60)] + [(100, 100), (300, 200)], "a long, b long")
     got = {r["node"]: r["component"] for r in components(edges).collect()}
     assert got == {**{i: 0 for i in range(61)}, 200: 200, 300: 200}
+
+
+def test_keep_one_copies_no_texts_and_moves_them_once_for_the_verdict(spark, monkeypatch):
+    written, plain = [], neardup.stage
+    monkeypatch.setattr(neardup, "stage", lambda df, name: written.append((name, df.columns)) or plain(df, name))
+    rows = [(i, t, f"n{i}") for i, t in corpus()] + [(5, "more words than one under id five", "again"), (201, "", "b"), (201, "", "c"),
+                                                     (None, "no id", "d"), (None, "no id", "e"), (203, "one", "f")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, note string").repartition(5)
+    got = neardup.keep_one(df)
+    assert not [w for w in written if "text" in w[1]]     # the whole rows were written before
+    want = {i for i, (_, _, first) in brute(corpus(), 5, 80, 100).items() if first}
+    notes = sorted(r["note"] for r in got.collect())
+    one = {"n203", "f"}                                   # equal in id and text: either of them
+    assert len(one & set(notes)) == 1
+    assert sorted(set(notes) - one) == sorted({f"n{i}" for i in want - {203}} | {"again", "b", "c", "d", "e"})
