@@ -26,16 +26,29 @@ def class_borders(counts: np.ndarray, classes: int = CLASSES) -> np.ndarray:
     return np.unique(np.concatenate([[0], np.minimum(cuts, len(counts)), [len(counts)]]))
 
 
-def _sigmoid(x):
+def _sigmoid(x: np.ndarray) -> np.ndarray:
+    """In place."""
+    np.negative(x, out=x)
     with np.errstate(over="ignore"):
-        return 1 / (1 + np.exp(-x))
+        np.exp(x, out=x)
+    x += 1
+    return np.divide(1, x, out=x)
+
+
+def _order(ids: np.ndarray, most: int) -> np.ndarray:
+    """Stable order of ids 0..``most``; narrow ones are sorted by radix."""
+    return np.argsort(ids.astype(np.uint16) if most < 1 << 16 else ids, kind="stable")
+
+
+def _row_sums(x: np.ndarray) -> np.ndarray:
+    return x @ np.ones(x.shape[1], x.dtype)
 
 
 def _softmax(z: np.ndarray) -> np.ndarray:
     """Row softmax; the shift by the row's maximum only where it is needed."""
     with np.errstate(over="ignore"):
         e = np.exp(z)
-    total = e.sum(1, keepdims=True)
+    total = _row_sums(e)[:, None]
     if not (np.isfinite(total).all() and total.min() > 1e-30):
         e = np.exp(z - z.max(1, keepdims=True))
         total = e.sum(1, keepdims=True)
@@ -46,7 +59,7 @@ def _softmax(z: np.ndarray) -> np.ndarray:
 def _log_sums(z: np.ndarray) -> np.ndarray:
     """log of the row sums of exp(z); shifted only where it is needed."""
     with np.errstate(over="ignore"):
-        total = np.exp(z).sum(1)
+        total = _row_sums(np.exp(z))
     if np.isfinite(total).all() and total.min() > 1e-30:
         return np.log(total)
     top = z.max(1)
@@ -92,20 +105,31 @@ class Model:
     def steps(self, inputs: np.ndarray, state: np.ndarray, keep: list | None = None) -> tuple[np.ndarray, np.ndarray]:
         """Hidden states (rows, steps, hidden) before each token is predicted, and the
         last state.  Reading an end token starts from the zero state again."""
+        out, state = self._steps(np.ascontiguousarray(inputs.T), state, keep)
+        return out.transpose(1, 0, 2), state
+
+    def _steps(self, inputs: np.ndarray, state: np.ndarray, keep: list | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """``steps`` of inputs (steps, rows), so that a step reads and writes one block."""
         p, h = self.p, self.p["u"].shape[0]
-        xs = p["x"][inputs]
-        out = np.empty((*inputs.shape, h), np.float32)
-        for t in range(inputs.shape[1]):
-            state = state * (inputs[:, t] != 0)[:, None]
+        xs = p["x"].take(inputs, axis=0)
+        going = (inputs != 0)[:, :, None]
+        out = np.empty((*inputs.shape, h), p["u"].dtype)
+        for t in range(len(inputs)):
+            state = state * going[t]
             hu = state @ p["u"]
-            gates = _sigmoid(xs[:, t, :2 * h] + hu[:, :2 * h])
+            gates = _sigmoid(xs[t, :, :2 * h] + hu[:, :2 * h])
             reset, update = gates[:, :h], gates[:, h:]
-            inner = hu[:, 2 * h:] + p["c"]
-            new = np.tanh(xs[:, t, 2 * h:] + reset * inner)
-            before, state = state, new + update * (state - new)
-            out[:, t] = state
+            inner = hu[:, 2 * h:]
+            inner += p["c"]
+            new = reset * inner
+            new += xs[t, :, 2 * h:]
+            np.tanh(new, out=new)
+            after = np.subtract(state, new, out=out[t])
+            after *= update
+            after += new
             if keep is not None:
-                keep.append((before, reset, update, inner, new))
+                keep.append((state, reset, update, inner, new))
+            state = after
         return out, state
 
     def log_probs(self, states: np.ndarray, targets: np.ndarray, grads: dict | None = None):
@@ -125,15 +149,15 @@ class Model:
             grads["wc"] += states.T @ d
             grads["bc"] += d.sum(0)
             ds = d @ p["wc"].T
-        order = np.argsort(cls, kind="stable")
-        at = np.searchsorted(cls[order], np.arange(len(self.borders)))
+        order = _order(cls, len(self.borders))
+        at = np.concatenate([[0], np.cumsum(np.bincount(cls, minlength=len(self.borders)))])
         for k in range(len(self.borders) - 1):
             own = order[at[k]:at[k + 1]]
             a, b = self.borders[k], self.borders[k + 1]
             if not len(own) or b - a == 1:
                 continue
             w = p["ww"][a:b]
-            inside = states[own]
+            inside = states.take(own, axis=0)
             z = inside @ w.T + p["bw"][a:b]
             pick = (np.arange(len(own)), targets[own] - a)
             if grads is None:
@@ -175,8 +199,9 @@ class Model:
         for begin in range(0, targets.shape[1], WINDOW):
             alive = int(np.searchsorted(-sizes, -begin, side="left"))
             at = (slice(0, alive), slice(begin, begin + WINDOW))
-            states, state = self.steps(inputs[at], state[:alive])
-            got[at] = self.log_probs(states.reshape(-1, states.shape[2]), targets[at].ravel()).reshape(states.shape[:2])
+            now = targets[at].T
+            states, state = self._steps(np.ascontiguousarray(inputs[at].T), state[:alive])
+            got[at] = self.log_probs(states.reshape(-1, states.shape[2]), now.ravel()).reshape(now.shape).T
         out = np.zeros(len(docs))
         for r, own in enumerate(rows):
             starts = np.concatenate([[0], np.cumsum(lengths[own])[:-1]])
@@ -205,29 +230,41 @@ class Model:
     def _learn(self, inputs, targets, counts, state, rate, adam):
         p, h = self.p, self.p["u"].shape[0]
         keep: list = []
-        states, last = self.steps(inputs, state, keep)
+        inputs, targets, counts = (np.ascontiguousarray(a.T) for a in (inputs, targets, counts))
+        states, last = self._steps(inputs, state, keep)
         g = {a: np.zeros_like(v) for a, v in p.items()}
         _, ds = self.log_probs(states[counts], targets[counts], g)
         d_all = np.zeros_like(states)
         d_all[counts] = ds
-        dx = np.empty((*inputs.shape, 3 * h), np.float32)
+        dx = np.empty((*inputs.shape, 3 * h), states.dtype)
         dh = np.zeros_like(last)
-        for t in range(inputs.shape[1] - 1, -1, -1):
+        going = (inputs != 0)[:, :, None]
+        back = np.empty((inputs.shape[1], 3 * h), states.dtype)
+        for t in range(len(inputs) - 1, -1, -1):
             before, reset, update, inner, new = keep[t]
-            dh = dh + d_all[:, t]
-            d_new = dh * (1 - update) * (1 - new * new)
-            d_up = dh * (before - new) * update * (1 - update)
-            d_inner = d_new * reset
-            d_reset = d_new * inner * reset * (1 - reset)
-            back = np.concatenate([d_reset, d_up, d_inner], 1)
+            dh += d_all[t]
+            rest = 1 - update
+            d_new = dh * rest
+            d_new *= 1 - new * new
+            d_up = np.subtract(before, new, out=back[:, h:2 * h])
+            d_up *= dh
+            d_up *= update
+            d_up *= rest
+            d_inner = np.multiply(d_new, reset, out=back[:, 2 * h:])
+            d_reset = np.multiply(d_inner, inner, out=back[:, :h])
+            d_reset *= 1 - reset
             g["u"] += before.T @ back
             g["c"] += d_inner.sum(0)
-            dx[:, t] = np.concatenate([d_reset, d_up, d_new], 1)
-            dh = (dh * update + back @ p["u"].T) * (inputs[:, t] != 0)[:, None]
+            dx[t, :, :2 * h] = back[:, :2 * h]
+            dx[t, :, 2 * h:] = d_new
+            dh *= update
+            dh += back @ p["u"].T
+            dh *= going[t]
         flat, ids = dx.reshape(-1, 3 * h), inputs.ravel()
-        order = np.argsort(ids, kind="stable")
-        seen, first = np.unique(ids[order], return_index=True)
-        g["x"][seen] += np.add.reduceat(flat[order], first)
+        order = _order(ids, self.other)
+        n_seen = np.bincount(ids, minlength=self.other + 1)
+        seen = np.flatnonzero(n_seen)
+        g["x"][seen] = np.add.reduceat(flat.take(order, axis=0), np.cumsum(n_seen[seen]) - n_seen[seen])
         n = max(1, int(counts.sum()))
         adam["t"] += 1
         size = float(rate * (1 - 0.99 ** adam["t"]) ** 0.5 / (1 - 0.9 ** adam["t"]))

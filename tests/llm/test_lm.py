@@ -139,3 +139,21 @@ def test_more_frequent_words_than_the_head_holds(spark):
         own = dict(rows)[r["doc_id"]].encode().split() + [b""]
         want = sum(math.log10((c[w] + 1) / (total + distinct + 1)) for w in own)
         assert r["n_known"] == sum(c[w] > 0 for w in own) and abs(r["base_score"] - want) < 1e-6 * abs(want)
+
+
+def test_steps_equal_the_plain_recurrence_and_lie_in_one_block_each():
+    m, r = small(7), np.random.default_rng(8)
+    inputs = r.integers(0, m.other + 1, (4, 11))
+    states, last = m.steps(inputs, np.zeros((4, 5)))
+    p, sigmoid = m.p, lambda z: 1 / (1 + np.exp(-z))
+    for k in range(4):
+        h = np.zeros(5)
+        for t in range(11):
+            h = h * (inputs[k, t] != 0)
+            x, u = p["x"][inputs[k, t]], h @ p["u"]
+            reset, update = sigmoid(x[:5] + u[:5]), sigmoid(x[5:10] + u[5:10])
+            new = np.tanh(x[10:] + reset * (u[10:] + p["c"]))
+            h = new + update * (h - new)
+            assert np.allclose(states[k, t], h, atol=1e-12)            # single precision before
+        assert np.allclose(last[k], h, atol=1e-12)
+    assert all(states[:, t].flags.c_contiguous for t in range(11))     # rows came first before
