@@ -154,6 +154,6 @@ def test_steps_equal_the_plain_recurrence_and_lie_in_one_block_each():
             reset, update = sigmoid(x[:5] + u[:5]), sigmoid(x[5:10] + u[5:10])
             new = np.tanh(x[10:] + reset * (u[10:] + p["c"]))
             h = new + update * (h - new)
-            assert np.allclose(states[k, t], h, atol=1e-12)            # single precision before
+            assert np.allclose(states[k, t], h, atol=1e-12)
         assert np.allclose(last[k], h, atol=1e-12)
     assert all(states[:, t].flags.c_contiguous for t in range(11))     # rows came first before
